@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strandline.llm import best_fit_packing, decontamination, fingerprints, language_id, near_dedup, quality, token_counts
+from strandline.llm import best_fit_packing, decontamination, fingerprints, language_id, license_scan, near_dedup, quality, token_counts, url_filters
 
-_MODULES = (token_counts, decontamination, fingerprints, best_fit_packing, near_dedup, language_id, quality)
+_MODULES = (token_counts, quality, decontamination, fingerprints, best_fit_packing, near_dedup, language_id, url_filters, license_scan)
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
