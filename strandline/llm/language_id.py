@@ -214,8 +214,10 @@ def language_id(docs: DataFrame, model: LanguageModel, penalty: float = 6.0, key
         names = np.array([*m.langs, UNKNOWN], dtype=object)
         ids = WordIds(m.describe, len(m.langs) + 1)
         for b in batches:
-            for first, texts in parts(b.column(1).to_pylist(), 30_000_000 // max(1, len(m.langs) // 4)):
-                numbers, counts = ids.of([t.lower().split() for t in texts])
+            for first, texts in parts(b.column(1).to_pylist(), 24_000_000 // max(1, len(m.langs) // 4)):
+                ids.tidy()
+                pieces = [ids.of([t.lower().split() for t in some]) for _, some in parts(texts, 1_000_000)]
+                numbers, counts = (np.concatenate(x) for x in zip(*pieces))
                 owner = np.repeat(np.arange(len(texts)), counts)
                 has = ids.rows[numbers, -1] > 0
                 lettered = np.bincount(owner[has], minlength=len(texts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Words after which a worker forgets all numbers before its next batch.
-WORDS = 600_000
+WORDS = 400_000
 
 
 class WordIds:
@@ -19,13 +19,16 @@ class WordIds:
         self.ids: dict = {}
         self.rows = np.empty((0, self.width), self.dtype)
 
+    def tidy(self) -> None:
+        """Forget all numbers if there are many; not between calls whose numbers are used together."""
+        if len(self.ids) > WORDS:
+            self.forget()
+
     def of(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words of all ``texts`` in one array, and how many each text has.
 
         ``rows[numbers]`` then holds what ``describe`` says of each word.
         """
-        if len(self.ids) > WORDS:
-            self.forget()
         ids = self.ids
         new = {w for ws in texts for w in ws if w not in ids}
         if new:
