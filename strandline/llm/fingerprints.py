@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import lower_ascii, read, stored, words
+from strandline.llm.common import read, stored, words
 
 BITS = 128
 LOW_HALVES = 0x0000000100000001
@@ -62,9 +62,8 @@ def with_next(docs: DataFrame, key: str, text: str, width: int = 512) -> DataFra
     )
 
 
-def shingles(text: Column) -> Column:
-    """Array of structs of five consecutive words; fewer words stand as one, padded with nulls."""
-    w = words(lower_ascii(text))
+def shingles(w: str) -> Column:
+    """Array of structs of five consecutive words of an array column; fewer words stand as one, padded with nulls."""
     n = F.size(w)
     long = F.arrays_zip(*[F.slice(w, i + 1, F.greatest(n - 4, F.lit(0))).alias(f"w{i}") for i in range(5)])
     short = F.array(F.struct(*[F.get(w, F.lit(i)).alias(f"w{i}") for i in range(5)]))
@@ -89,7 +88,7 @@ def simhash(df: DataFrame, text: str, by: list[str]) -> DataFrame:
     weighs its frequency. Two 32-bit counters share a long. ``by`` must identify rows; if
     ``df`` is partitioned by a subset of it, nothing is shuffled. A text without words gives zeros.
     """
-    terms = df.select(*by, F.expr("inline_outer(s)")) if "s" in df.columns else df.select(*by, shingles(F.col(text)).alias("s")).select(*by, F.expr("inline_outer(s)"))
+    terms = df.select(*by, words(F.lower(text)).alias("w")).select(*by, F.inline_outer(shingles("w")))
     row = [f"w{i}" for i in range(5)]
     voting = terms.select(
         *by, F.col("w0").isNotNull().cast("long").alias("v"),
