@@ -78,7 +78,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     items = stored(item_windows(benchmark, item_key, item_text), "item-windows")
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW values
     few = items.count() <= BROADCAST_ROWS
-    tokens = docs.select(F.col(key).alias("doc_id"), template(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
+    tokens = docs.select(F.col(key).alias("doc_id"), template(F.col(text)).alias("tokens"))
     hits = None
     for n in sizes or [WINDOW]:
         mine = items.where(F.col("size") == n).select("h", "item", "inner", F.col("slots").alias("item_slots"), "total")
