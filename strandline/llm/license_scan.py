@@ -90,14 +90,15 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
         return spark.createDataFrame([], f"doc_id {kind}, license string, contained double, first_word int, windows long")
     all_hashes = F.array(*[F.lit(h) for h in sorted({h for r in rows for h in r.hashes})])
     sizes = sorted({r.window for r in rows})
-    hashed = docs.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w")).where(F.size("w") >= SHINGLE).select("doc_id", _shingles("w").alias("hashes"))
-    hashed = hashed.where(F.arrays_overlap("hashes", all_hashes))
+    hashed = docs.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w")).select("doc_id", _shingles("w").alias("hashes"))
     cut = []
     for size in sizes:
         step = size // 4
         starts = F.sequence(F.lit(0), F.greatest(F.size("hashes") - 1, F.lit(0)), F.lit(step))
         cut.append(F.transform(starts, _window(size)))
-    windows = hashed.select("doc_id", F.inline(F.filter(F.flatten(F.array(*cut)), lambda x: F.arrays_overlap(x["part"], all_hashes))))
+    near = F.filter(F.flatten(F.array(*cut)), lambda x: F.arrays_overlap(x["part"], all_hashes))
+    # not a filter before: Spark would push it down and split each text again for every shingle
+    windows = hashed.select("doc_id", F.inline(F.when(F.arrays_overlap("hashes", all_hashes), near)))
     keyed = windows.select("doc_id", "window", "start", "part", F.inline(_bands(F.col("part"))))
     table = known.select("template", "license", "window", F.col("hashes").alias("wanted"), F.inline(_bands(F.col("hashes"))))
     met = keyed.join(F.broadcast(table), ["window", "band", "least"])
