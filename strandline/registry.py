@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from strandline.plans import stays
+from strandline.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES", "entry", "stays"]
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship query."""
-    return next(iter(QUERIES.values()))(spark, sf_dir)
+    """The flagship query: episodes with look-back, look-ahead and readmission flags."""
+    return QUERIES["build_helper_utilization"](spark, sf_dir)
