@@ -57,9 +57,9 @@ UTIL = f"""{EPS}, prevs AS (SELECT p.stay_id, i.stay_id AS pid, i.stay_stop AS p
  CASE WHEN f.days_to_readmit <= {SOON} THEN 1 ELSE 0 END AS readmit_soon, CASE WHEN f.days_to_readmit <= {LATER} THEN 1 ELSE 0 END AS readmit_later
  FROM pure p JOIN back b USING (stay_id) JOIN fol f USING (stay_id))"""
 SLOT = "(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS slot FROM lineitem)"
-CLAIMS = f"""claims AS (SELECT o.o_orderkey AS encounter, o.o_custkey AS patient, o.o_orderdate AS at, {', '.join(f"max(CASE WHEN slot = {i} THEN CAST(l_partkey AS VARCHAR) || '.0' END) AS d{i}" for i in range(1, 9))}
+CLAIMS = f"""claims AS (SELECT o.o_orderkey AS encounter, o.o_custkey AS patient, o.o_orderdate AS seen, {', '.join(f"max(CASE WHEN slot = {i} THEN CAST(l_partkey AS VARCHAR) || '.0' END) AS d{i}" for i in range(1, 9))}
  FROM orders o LEFT JOIN {SLOT} l ON l_orderkey = o_orderkey GROUP BY 1, 2, 3)"""
-LONG = f"""{CLAIMS}, long AS (SELECT DISTINCT encounter, patient, at, CAST(CAST(code AS DECIMAL(38,1)) AS BIGINT) AS code FROM (UNPIVOT claims ON d1, d2, d3, d4, d5, d6, d7, d8 INTO NAME slot VALUE code))"""
+LONG = f"""{CLAIMS}, long AS (SELECT DISTINCT encounter, patient, seen, CAST(CAST(code AS DECIMAL(38,1)) AS BIGINT) AS code FROM (UNPIVOT claims ON d1, d2, d3, d4, d5, d6, d7, d8 INTO NAME slot VALUE code))"""
 DICT = """dict AS (SELECT p_partkey AS code, p_name AS name, p_type AS type, CAST(p_size <= 10 AS INTEGER) AS is_chronic, CAST(p_size BETWEEN 11 AND 30 AS INTEGER) AS is_disorder, CAST(p_size > 30 AS INTEGER) AS is_symptom,
  CAST(p_size % 7 = 0 AS INTEGER) AS has_a, CAST(p_size % 7 = 1 AS INTEGER) AS has_b, CAST(p_size % 7 = 2 AS INTEGER) AS has_c, CAST(p_size % 5 = 0 AS INTEGER) AS is_planning, CAST(p_size % 11 = 0 AS INTEGER) AS is_surgery FROM part)"""
 PLANS = """plans AS (SELECT o_orderkey AS plan, o_custkey AS patient, CAST(o_orderdate AS DATE) AS start, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(max(l_shipdate) AS DATE) END AS stop FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate, o_orderstatus)"""
@@ -95,14 +95,14 @@ def claims(s: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
     slots = table(s, d, "lineitem").withColumn("slot", F.row_number().over(w)).where("slot <= 8")
     wide = slots.groupBy("l_orderkey").agg(*[F.max(F.when(F.col("slot") == i + 1, F.concat(F.col("l_partkey").cast("string"), F.lit(".0")))).alias(c) for i, c in enumerate(WIDE)])
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("patient"), F.col("o_orderdate").cast("timestamp").alias("at"))
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("patient"), F.col("o_orderdate").cast("timestamp").alias("seen"))
     return o.join(wide, o["encounter"] == wide["l_orderkey"], "left").drop("l_orderkey")
 
 
 def long(s: SparkSession, d: str) -> DataFrame:
     from strandline.operators.codes import unpivot_codes
 
-    return unpivot_codes(claims(s, d), ["encounter", "patient", "at"], WIDE)
+    return unpivot_codes(claims(s, d), ["encounter", "patient", "seen"], WIDE)
 
 
 def dictionary(s: SparkSession, d: str) -> DataFrame:

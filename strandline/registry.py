@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import stays
+from strandline.plans import stays, tables
 from strandline.plans.base import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "entry", "stays"]
+__all__ = ["ORACLE", "QUERIES", "entry", "stays", "tables"]
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CONCEPT = T.StructType.fromDDL(
+CONCEPT = (
     "conceptId string, active boolean, inferredDescendants bigint, descriptions array<struct<term:string>>, "
     "relationships array<struct<active:boolean, type:struct<conceptId:string>, target:struct<conceptId:string>>>"
 )
