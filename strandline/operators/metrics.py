@@ -17,11 +17,11 @@ def by_score(df: DataFrame) -> DataFrame:
 
 
 def roc_auc(df: DataFrame) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties half."""
+    """Share of (positive, negative) pairs in the right order, ties half; null with a single class."""
     s = by_score(df)
     # negatives below a score: all of them less those at or above it
     total = s.groupBy("model").agg(F.sum("pos").alias("np"), F.sum("neg").alias("nn"))
-    area = s.join(total, "model").groupBy("model").agg((F.sum(F.col("pos") * (F.col("nn") - F.col("fp") + F.col("neg") / 2)) / F.max(F.col("np") * F.col("nn"))).alias("roc_auc"))
+    area = s.join(total, "model").groupBy("model").agg(F.try_divide(F.sum(F.col("pos") * (F.col("nn") - F.col("fp") + F.col("neg") / 2)), F.max(F.col("np") * F.col("nn"))).alias("roc_auc"))
     return area
 
 
@@ -29,7 +29,7 @@ def average_precision(df: DataFrame) -> DataFrame:
     """Sum over distinct scores of the step in recall times the precision there."""
     s = by_score(df)
     total = s.groupBy("model").agg(F.sum("pos").alias("np"))
-    return s.join(total, "model").groupBy("model").agg((F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))) / F.max("np")).alias("avg_precision"))
+    return s.join(total, "model").groupBy("model").agg(F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.max("np")).alias("avg_precision"))
 
 
 def brier(df: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def confusion(df: DataFrame, by: list[str], hit: Column) -> DataFrame:
     """tp, fp, fn, tn, precision, recall and f1 (0 where undefined)."""
     y = F.col("y") == 1
     out = df.groupBy(*by).agg(F.count_if(hit & y).alias("tp"), F.count_if(hit & ~y).alias("fp"), F.count_if(~hit & y).alias("fn"), F.count_if(~hit & ~y).alias("tn"))
-    safe = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    safe = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     out = out.withColumns({"precision": safe(F.col("tp"), F.col("tp") + F.col("fp")), "recall": safe(F.col("tp"), F.col("tp") + F.col("fn"))})
     return out.withColumn("f1", safe(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
 

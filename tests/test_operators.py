@@ -67,7 +67,7 @@ def test_hierarchy(spark):
     e = spark.createDataFrame([*chain, (1, 100), (100, 3)], "child bigint, parent bigint")
     up = C.closure(e)
     got = {(r.node, r.ancestor): r.depth for r in up.collect()}
-    assert got[1, 3] == 2 and got[1, 10] == 8 and (1, 13) not in got
+    assert got[1, 3] == 2 and got[1, 10] == 9 and (1, 13) not in got
     cut = {(r.node, r.ancestor) for r in C.closure(e, stop=F.col("ancestor") == 5).collect()}
     assert (1, 4) in cut and (1, 5) not in cut and (1, 6) not in cut
     groups = spark.createDataFrame([(0, 1), (0, 2), (0, 50), (1, 50), (1, 40)], "grp int, code bigint")
