@@ -19,7 +19,8 @@ def following(ids: DataFrame, width: int = 512, alone: int = 10_000) -> DataFram
     """(id, next_id) for distinct ids in descending order; after the last comes the first.
 
     Ids are cut into blocks of ``width`` consecutive values, each sorted by itself; the heads
-    of the blocks are linked by the same function, until ``alone`` ids or fewer are left.
+    of the blocks are linked by the same function with wider blocks, until ``alone`` ids or
+    fewer are left. Sparse ids only make more heads.
     """
     if ids.count() <= alone:
         w = Window.orderBy(F.col("id").desc_nulls_last())
@@ -27,7 +28,7 @@ def following(ids: DataFrame, width: int = 512, alone: int = 10_000) -> DataFram
         return ids.select("id", F.coalesce(F.lead("id").over(w), F.first("id").over(whole)).alias("next_id"))
     blocks = ids.withColumn("block", F.floor(F.col("id") / width))
     heads = blocks.groupBy("block").agg(F.max("id").alias("head"))
-    links = following(heads.select(F.col("head").alias("id")), width, alone)
+    links = following(heads.select(F.col("head").alias("id")), width * 512, alone)
     after = heads.join(links, heads["head"] == links["id"]).select("block", F.col("next_id").alias("next_head"))
     w = Window.partitionBy("block").orderBy(F.col("id").desc())
     return blocks.withColumn("within", F.lead("id").over(w)).join(after, "block").select("id", F.coalesce("within", "next_head").alias("next_id"))
