@@ -12,7 +12,11 @@ from strandline.plans.base import BACK, ENC, EPS, LATER, MEM, RANK, SOON, UTIL,
 from strandline.sources.io import table
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
-CUTS = F.lit("2024-01-20 00:00:00").cast("timestamp")
+
+
+def cuts():
+    """The cut as a column; columns need a session, so not at import."""
+    return F.lit("2024-01-20 00:00:00").cast("timestamp")
 
 
 def utilization(s: SparkSession, d: str, stays: DataFrame | None = None) -> DataFrame:
@@ -74,7 +78,7 @@ def filter_right_censor(s, d):
 
 @query(f"WITH {ENC} SELECT e.id, c_custkey FROM enc e LEFT JOIN customer ON c_custkey = patient WHERE stop < coalesce(CASE WHEN c_acctbal < 0 THEN {CUT} END, TIMESTAMP '9999-12-31 00:00:00')")
 def filter_alive(s, d):
-    death = table(s, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") < 0, CUTS).alias("death"))
+    death = table(s, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") < 0, cuts()).alias("death"))
     e = enc(s, d)
     return e.join(death, e["patient"] == death["c_custkey"], "left").where(F.col("stop") < F.coalesce("death", F.lit("9999-12-31").cast("timestamp"))).select("id", "c_custkey")
 
@@ -109,7 +113,7 @@ def filter_asof_date(s, d):
 
 @query(f"WITH {ENC} SELECT id FROM enc WHERE start > TIMESTAMP '2024-01-05 00:00:00' AND stop <= {CUT}")
 def filter_window(s, d):
-    return enc(s, d).where((F.col("start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stop") <= CUTS)).select("id")
+    return enc(s, d).where((F.col("start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stop") <= cuts())).select("id")
 
 
 @query("SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.k') IS NULL AND props IS NOT NULL")
@@ -214,15 +218,15 @@ ANCHOR = f"""{ENC}, old AS (SELECT patient, max(stop) AS last, arg_max(id, (stop
 @query(f"WITH {ANCHOR} SELECT o.* FROM old o WHERE patient IN (SELECT patient FROM new)")
 def join_prior_anchor(s, d):
     e = enc(s, d)
-    old = E.touched(e.where(F.col("start") < CUTS), e.where(F.col("start") >= CUTS), "patient")
+    old = E.touched(e.where(F.col("start") < cuts()), e.where(F.col("start") >= cuts()), "patient")
     return old.groupBy("patient").agg(F.max("stop").alias("last"), F.max_by("id", F.struct("stop", "id")).alias("last_id"))
 
 
 @query(f"WITH {ANCHOR} SELECT id, CASE WHEN date_sub('hour', coalesce(lag(stop) OVER (PARTITION BY n.patient ORDER BY start, id), last), start) < 12 THEN 0 ELSE 1 END AS changed FROM new n LEFT JOIN old USING (patient)")
 def win_lag_or_anchor(s, d):
     e = enc(s, d)
-    last = e.where(F.col("start") < CUTS).groupBy("patient").agg(F.max("stop").alias("last"))
-    return E.gap_flag(e.where(F.col("start") >= CUTS).join(last, "patient", "left"), "patient", "start", "stop", "id", anchor=F.col("last")).select("id", "changed")
+    last = e.where(F.col("start") < cuts()).groupBy("patient").agg(F.max("stop").alias("last"))
+    return E.gap_flag(e.where(F.col("start") >= cuts()).join(last, "patient", "left"), "patient", "start", "stop", "id", anchor=F.col("last")).select("id", "changed")
 
 
 @query(f"WITH {ENC} SELECT patient, id, start FROM enc QUALIFY row_number() OVER (PARTITION BY patient ORDER BY start, id) = 1")
@@ -240,7 +244,7 @@ def semi_in(s, d):
 @query(f"WITH {ENC} SELECT id FROM enc e WHERE NOT EXISTS (SELECT 1 FROM enc x WHERE x.patient = e.patient AND x.class = 'inpatient' AND x.stop < {CUT})", "anti_not_in", "anti_left_null")
 def anti_not_in(s, d):
     e = enc(s, d)
-    return e.join(e.where((F.col("class") == "inpatient") & (F.col("stop") < CUTS)).select("patient").distinct(), "patient", "left_anti").select("id")
+    return e.join(e.where((F.col("class") == "inpatient") & (F.col("stop") < cuts())).select("patient").distinct(), "patient", "left_anti").select("id")
 
 
 @query(f"WITH {ENC} SELECT e.id, count(x.id) AS n FROM enc e LEFT JOIN enc x ON x.patient = e.patient AND x.class = 'emergency' AND x.start <= e.start GROUP BY e.id")
@@ -271,6 +275,6 @@ def order_by(s, d):
 
 @query(f"WITH {UTIL} SELECT patient, stay_id, stay_start, stay_stop, CAST(year(stay_stop) AS INTEGER) AS y, CAST(month(stay_stop) AS INTEGER) AS m, stay_days, admissions, readmit_soon, readmit_later, c_mktsegment FROM util LEFT JOIN customer ON c_custkey = patient WHERE stay_start > TIMESTAMP '2024-01-05 00:00:00' AND stay_stop <= {CUT}", "build_index_stay", "assemble_index", "select_index_stay")
 def build_index_stay(s, d):
-    u = utilization(s, d).where((F.col("stay_start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stay_stop") <= CUTS))
+    u = utilization(s, d).where((F.col("stay_start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stay_stop") <= cuts()))
     c = table(s, d, "customer").select(F.col("c_custkey").alias("patient"), "c_mktsegment")
     return u.join(c, "patient", "left").select("patient", "stay_id", "stay_start", "stay_stop", F.year("stay_stop").alias("y"), F.month("stay_stop").alias("m"), "stay_days", "admissions", "readmit_soon", "readmit_later", "c_mktsegment")

@@ -17,7 +17,7 @@ from strandline.operators import temporal as T
 from strandline.plans.base import (
     CLAIMS, DICT, EDGES, ENC, EPS, LONG, MEM, PLANS, SCORES, STAYS, UP, WIDE, claims, dictionary, edges, enc, eps, long, mem, plans, query, scores, stays,
 )
-from strandline.plans.stays import CUTS, utilization
+from strandline.plans.stays import cuts, utilization
 from strandline.sources import io
 from strandline.sources.io import table
 from strandline.streaming import sessions as ST
@@ -295,7 +295,7 @@ def surgery_combine(s, d):
 @query(f"WITH {MEM} SELECT id, stay_id, episode FROM mem", "clinical_grouped_update", "cost_grouped_update", "continuation_skip")
 def clinical_grouped_update(s, d):
     e = enc(s, d)
-    old, new = e.where(F.col("start") < CUTS), e.where(F.col("start") >= CUTS)
+    old, new = e.where(F.col("start") < cuts()), e.where(F.col("start") >= cuts())
     return I.update(mem(s, d, old), old, new, "patient", lambda rows: mem(s, d, rows)).select("id", "stay_id", "episode")
 
 
@@ -308,7 +308,7 @@ def _util_sql() -> str:
 @query(_util_sql(), "utilization_update", "index_update", "run_period")
 def utilization_update(s, d):
     e = enc(s, d)
-    old, new = e.where((F.col("start") < CUTS) & (F.col("patient") % 3 != 1)), e.where((F.col("start") >= CUTS) | (F.col("patient") % 3 == 1))
+    old, new = e.where((F.col("start") < cuts()) & (F.col("patient") % 3 != 1)), e.where((F.col("start") >= cuts()) | (F.col("patient") % 3 == 1))
     build = lambda rows: utilization(s, d, eps(s, d, rows))
     return I.update(io.stored(build(old), "utilization"), old, new, "patient", build)
 
