@@ -74,30 +74,43 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, contained, slots, consistent, same) for each document that holds an item's template."""
+    """(doc_id, item_id, contained, slots, consistent, same) for each document that holds an item's template.
+
+    Containment and slots are judged for each occurrence, and the item is held if one of them
+    passes. Hits that agree on where the item would begin are one; so that inserted or missing
+    words do not cut an occurrence in two, so are hits that begin within half an item of each
+    other (two sets of overlapping spans), and all hits of the document.
+    """
     items = stored(item_windows(benchmark, item_key, item_text), "item-windows")
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW values
     few = items.count() <= BROADCAST_ROWS
     tokens = docs.select(F.col(key).alias("doc_id"), template(F.col(text)).alias("tokens"))
     hits = None
     for n in sizes or [WINDOW]:
-        mine = items.where(F.col("size") == n).select("h", "item", "inner", F.col("slots").alias("item_slots"), "total")
+        mine = items.where(F.col("size") == n).select("h", "item", "inner", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "total")
         found = _hashed(_windows(tokens, ["doc_id"], n), ["doc_id"], n).join(F.broadcast(mine) if few else mine, "h")
-        found = found.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots")
+        found = found.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots", (F.col("place") - F.col("item_place")).alias("begin"))
         hits = found if hits is None else hits.union(found)
-    # equal windows of a document and an item count once, with how often they occur
-    hits = stored(hits.groupBy("doc_id", "item", "inner", "total", "h", "slots", "item_slots").agg(F.count("*").alias("times")), "hits")
-    share = hits.groupBy("doc_id", "item", "inner", "total").agg(F.countDistinct("h").alias("found"))
-    share = share.groupBy("doc_id", "item").agg(F.max(F.struct((F.col("found") / F.col("total")).alias("contained"), "inner")).alias("best"))
-    share = share.select("doc_id", "item", "best.contained", "best.inner").where(F.col("contained") >= CONTAINED)
-    pairs = hits.select("doc_id", "item", "inner", "times", F.inline(F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))))
-    given = pairs.groupBy("doc_id", "item", "inner", "asked", "given").agg(F.sum("times").alias("n"))
-    values = given.groupBy("doc_id", "item", "inner", "asked").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum(F.when(F.col("asked") == F.col("given"), F.col("n")).otherwise(0)).alias("same"))
-    slots = values.groupBy("doc_id", "item", "inner").agg(F.count("*").alias("slots"), (F.sum("most") / F.sum("n")).alias("consistent"), (F.sum("same") / F.sum("n")).alias("same"))
-    return share.join(slots, ["doc_id", "item", "inner"], "left").select(
-        "doc_id", F.col("item").alias("item_id"), "contained",
-        F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce("same", F.lit(1.0)).alias("same"),
+    # equal windows that begin at one place (of repeated rows) count once, with how often they occur
+    hits = stored(hits.groupBy("doc_id", "item", "inner", "total", "h", "slots", "item_slots", "begin").agg(F.count("*").alias("times")), "hits")
+    span = F.greatest(F.floor(F.col("total") / 2), F.lit(2)) * 2
+    spans = [F.lit(0).cast("long"), F.col("begin").cast("long"), F.floor(F.col("begin") / span), F.floor((F.col("begin") + span / 2) / span)]
+    place = F.array(*[F.struct(F.lit(k).alias("kind"), at.alias("at")) for k, at in enumerate(spans)])
+    hits = hits.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots", "times", F.inline(place))
+    one = ["doc_id", "item", "inner", "kind", "at"]
+    share = hits.groupBy(*one, "total").agg(F.countDistinct("h").alias("found"))
+    share = share.select(*one, (F.col("found") / F.col("total")).alias("contained")).where(F.col("contained") >= CONTAINED)
+    pairs = hits.select(*one, "times", F.inline(F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))))
+    given = pairs.groupBy(*one, "asked", "given").agg(F.sum("times").alias("n"))
+    values = given.groupBy(*one, "asked").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum(F.when(F.col("asked") == F.col("given"), F.col("n")).otherwise(0)).alias("same"))
+    slots = values.groupBy(*one).agg(F.count("*").alias("slots"), (F.sum("most") / F.sum("n")).alias("consistent"), (F.sum("same") / F.sum("n")).alias("same"))
+    slots = slots.withColumnsRenamed({c: f"_{c}" for c in one})
+    held = share.join(slots, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in one], "left").select(
+        *one, "contained", F.coalesce("slots", F.lit(0)).alias("slots"),
+        F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce("same", F.lit(1.0)).alias("same"),
     ).where(F.col("consistent") >= CONSISTENT)
+    best = held.groupBy("doc_id", "item").agg(F.max(F.struct("contained", "same", "consistent", "slots")).alias("best"))
+    return best.select("doc_id", F.col("item").alias("item_id"), *[f"best.{c}" for c in ("contained", "slots", "consistent", "same")])
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -105,8 +118,9 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
 
     Texts and items become templates; windows of five template tokens meet in a hash join. An
     item is in a document if 75 % of its windows are. Its slots are then checked: each value of
-    the item must mostly stand for one value in the document (``consistent``: the share of slot
-    occurrences that follow the most frequent mapping, at least 0.5).
+    the item must mostly stand for one value in an occurrence (``consistent``: the share of slot
+    occurrences that follow the most frequent mapping, at least 0.5). One occurrence that passes
+    is enough, whatever else the document holds; the most complete one is reported.
 
     Returns doc_id, item_id, contained, slots, consistent, same (share of equal values) and kind
     (verbatim or reparameterised), one row for each document and item. Null and empty texts hold

@@ -232,6 +232,16 @@ def test_decontamination(spark, docs):
     assert {(r.doc_id, r.item_id) for r in decontamination.decontamination(docs, items).collect()} == held
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    ask = "Ann has {} apples and gives Tom {} of them after {} hours in total."
+    bench = spark.createDataFrame([(1, ask.format(12, 5, 3))], "item_id long, text string")
+    variants = [ask.format(40, 7, 9).replace("Ann", "Eva"), ask.format(31, 8, 2).replace("Tom", "Bob"), ask.format(77, 21, 6)]
+    noise = " ".join(f"Then {a} has {i} apples and gives {b} {i + 3} of them." for i, (a, b) in enumerate([("Joe", "Kim"), ("Lea", "Max"), ("Pat", "Sue"), ("Una", "Wim")], 50))
+    rows = [(1, " ".join(variants)), (2, " ".join([variants[0], ask.format(12, 5, 3), variants[1]])), (3, f"{noise} {ask.format(12, 5, 3)} {noise}"), (4, noise)]
+    got = {r.doc_id: r.kind for r in decontamination.decontamination(table(spark, rows), bench).collect()}
+    assert got == {1: "reparameterised", 2: "verbatim", 3: "verbatim"}
+
+
 def test_license_scan(spark):
     mit = license_scan.TEMPLATES["MIT"][1]
     rows = [(1, f"{'pad ' * 300}{mit.upper()}{' pad' * 50}"), (2, "Licensed under CC BY-NC 4.0."), (3, None), (4, ""), (5, LONG), (6, "a license of no kind at all"), (6, "a license of no kind at all"), (None, "Released under the MIT License.")]
