@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import best_fit_packing, decontamination, language_id, near_dedup, quality
-from strandline.llm.common import read, shared_dir
+from strandline.llm.common import read, shared_dir, stored
 from strandline.llm.token_counts import vocabulary_path
 
 #: Languages that stay, and the share of a document's words that must be in the one it is kept for.
@@ -18,41 +18,58 @@ LANGUAGES, SHARE = ("de", "en", "es", "fr"), 0.3
 BROADCAST_ROWS = 1_000_000
 
 
-def _only(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """``docs`` with (left_semi) or without (left_anti) the given doc_ids."""
-    keys = keys.select("doc_id").distinct()
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "doc_id", how)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a key of each row's own.
+
+    That is doc_id where it is never null and never repeated. Else the rows are numbered and
+    written, so that every later plan reads the same numbers; a stage then takes the documents'
+    size once more on disk.
+    """
+    ids = docs.groupBy("doc_id").count()
+    if ids.where("count > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("_row", F.col("doc_id"))
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``_row`` is the only column of ``rejected``."""
+    keys = stored(rejected.toDF("_row").distinct(), "rejected")
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "_row", "left_anti").drop("_row")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under trusted text is within their language's limit."""
-    rejected = quality.quality(docs, read(spark, sf_dir, "labels")).where(~F.col("keep"))
-    return _only(docs, rejected, "left_anti")
+    """Rows whose perplexity under trusted text is within their language's limit."""
+    docs = _keyed(docs)
+    judged = quality.quality(docs, read(spark, sf_dir, "labels"), carry=("_row",))
+    return _without(docs, judged.where(~F.col("keep")).select("_row"))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are, by their own words, mostly in a wanted language."""
+    """Rows that are, by their own words, mostly in a wanted language."""
     model = language_id.train(docs)
-    found = language_id.language_id(docs.select("doc_id", "text"), model)
-    rejected = found.where(~F.col("lang_pred").isin(*LANGUAGES) | (F.col("score") < SHARE))
-    return _only(docs, rejected, "left_anti")
+    docs = _keyed(docs)
+    found = language_id.language_id(docs.select("_row", "text"), model, key="_row")
+    return _without(docs, found.where(~F.col("lang_pred").isin(*LANGUAGES) | (F.col("score") < SHARE)).select("_row"))
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, and one row of each document."""
-    copies = near_dedup.near_dedup(docs).where(~F.col("kept"))
-    once = docs.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_n = 1 or doc_id is null").drop("_n") if _repeats(docs) else docs
-    return _only(once, copies, "left_anti")
+    """One row of each group of near-duplicates, whatever their ids, and one of equal id and text.
 
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id occurs twice; only then must the texts move to be made one."""
-    return not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    Texts without words are linked with nothing; of those only rows of equal id and text are
+    made one, and rows without an id stay.
+    """
+    docs = _keyed(docs)
+    found = near_dedup.near_dedup(docs, key="_row")
+    copies = found.where(~F.col("kept")).select("doc_id")
+    wordless = docs.join(found.where("n_shingles = 0").select(F.col("doc_id").alias("_row")), "_row", "left_semi").where("doc_id is not null")
+    again = wordless.select("_row", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("_row")).alias("n")).where("n > 1").select("_row")
+    return _without(docs, copies.union(again))
 
 
 def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark items."""
-    return _only(docs, decontamination.decontamination(docs, read(spark, sf_dir, "benchmark")), "left_anti")
+    """Rows without benchmark items."""
+    docs = _keyed(docs)
+    return _without(docs, decontamination.decontamination(docs, read(spark, sf_dir, "benchmark"), key="_row").select("doc_id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +90,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each result is written as Parquet and read again."""
+    """Apply all stages to ``documents``; each result is written as Parquet and read again.
+
+    A stage judges every row by itself: a null doc_id protects no row, and a repeated one drops
+    only the rows that are rejected.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"

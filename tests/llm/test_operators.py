@@ -379,3 +379,29 @@ def test_pipeline(spark):
     assert not any(b in docs[k] for k in ids for b in items)
     kept = brute([(k, docs[k]) for k in ids])
     assert all(k == v for k, v in kept.items())
+
+
+def test_pipeline_judges_rows_and_not_ids(spark, docs, tmp_path):
+    import corpus_pipeline as cp
+
+    item = "The quick brown fox jumps over the lazy dog near the old river bank"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = ["alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine", "red green blue white black brown grey pink"]
+    rows = [(None, f"say {item} now"), (None, clean[0]), (7, f"say {item} now"), (7, clean[1]), (8, clean[2]), (8, clean[2]), (None, clean[2]), (9, ""), (9, "")]
+    df = table(spark, rows).repartition(3)
+
+    def left(out):
+        assert out.columns == df.columns
+        return Counter((r.doc_id, r.text) for r in out.collect())
+
+    assert left(cp.drop_benchmarks(spark, df, str(tmp_path))) == Counter(r for r in rows if item not in r[1])
+    got = left(cp.keep_first_copies(spark, df, str(tmp_path)))
+    assert sum(n for (_, x), n in got.items() if item in x) == 1 and sum(n for (_, x), n in got.items() if x == clean[2]) == 1
+    assert got[None, clean[0]] == got[7, clean[1]] == got[9, ""] == 1 and sum(got.values()) == 5
+    texts = docs.where("lang = 'en'").orderBy("doc_id").limit(2).collect()
+    odd = " ".join(f"#{i}@{i * 7}*" for i in range(60))
+    mixed = docs.unionByName(spark.createDataFrame([(None, texts[0].text), (None, odd), (-5, texts[1].text), (-5, odd)], "doc_id long, text string"), allowMissingColumns=True)
+    kept = Counter((r.doc_id, r.text) for r in cp.keep_languages(spark, mixed, SF).where("doc_id is null or doc_id = -5").collect())
+    assert kept == {(None, texts[0].text): 1, (-5, texts[1].text): 1}
+    kept = Counter((r.doc_id, r.text) for r in cp.keep_quality(spark, mixed.fillna({"lang": "en"}), SF).where("doc_id is null or doc_id = -5").collect())
+    assert kept == {(None, texts[0].text): 1, (-5, texts[1].text): 1}
