@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from strandline.llm.common import LOWER, UPPER, read, stored
 
 #: Hosts up to which their verdicts are broadcast to the pages; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Links and seeds up to which ranks are iterated on the driver; beyond, each round is a join.
+DRIVER_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -68,35 +71,67 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     found = pages.where(F.col(host) != "").select(F.col(host).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(link), F.lit(1))).alias("dst"))
     links = found.select("src", F.translate("dst", UPPER, LOWER).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
     hosts = pages.where(F.col(host) != "").select(F.col(host).alias("h")).union(links.select("dst")).distinct()
-    above = hosts
-    parents = []
-    for _ in range(4):  # a label at a time; hosts with more labels hang below their fourth ancestor
-        above = above.where(F.size(F.split("h", r"\.")) > 2).select("h", F.expr("substring(h, instr(h, '.') + 1)").alias("up")).distinct()
-        parents.append(above.select(F.col("h").alias("src"), F.col("up").alias("dst")))
-        above = above.select(F.col("up").alias("h")).distinct()
-    tree = parents[0]
-    for p in parents[1:]:
-        tree = tree.union(p)
-    tree = tree.distinct()
+    # every ancestor of two labels or more, each below the one a label longer
+    label = F.split("h", r"\.")
+    steps = F.transform(F.sequence(F.lit(1), F.size(label) - 2), lambda i: F.array_join(F.slice(label, i, F.size(label)), "."))
+    chain = F.when(F.size(label) > 2, F.concat(steps, F.array(F.array_join(F.slice(label, F.size(label) - 1, 2), "."))))
+    links_up = hosts.select(chain.alias("c")).where("c is not null").select(F.explode(F.arrays_zip(F.slice("c", 1, F.size("c") - 1).alias("src"), F.slice("c", 2, F.size("c") - 1).alias("dst"))).alias("e"))
+    tree = links_up.select("e.src", "e.dst").distinct()
     both = tree.union(tree.select("dst", "src")).select("src", "dst", F.lit(1.0).alias("weight"))
     return links.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def _spread_small(share: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """The rounds of :func:`spread` on the driver."""
+    e, s = share.toArrow(), seeds.select("host", "seed").toArrow()
+    names = [*e.column("src").to_pylist(), *e.column("dst").to_pylist(), *s.column("host").to_pylist()]
+    number = {h: i for i, h in enumerate(dict.fromkeys(names))}
+    src, dst, at = np.split(np.array([number[h] for h in names], np.int64), [e.num_rows, 2 * e.num_rows])
+    weight = np.array(e.column("share").to_pylist(), np.float64) * damping
+    moving = np.bincount(at, np.array(s.column("seed").to_pylist(), np.float64) * (1 - damping), len(number)).astype(np.float64)  # integers where there is no seed
+    ranks, seen, reached = moving.copy(), moving > 0, -1
+    least = tolerance * moving.sum()
+    while len(number) and not (moving.sum() <= least and seen.sum() == reached):
+        reached = seen.sum()
+        moving = np.bincount(dst, moving[src] * weight, len(number)).astype(np.float64)
+        ranks += moving
+        seen |= moving > 0
+    rows = [(h, float(ranks[i])) for h, i in number.items() if seen[i]]
+    return share.sparkSession.createDataFrame(rows, "host string, rank double")
+
+
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
     """(host, rank): personalised PageRank over ``edges`` (src, dst, weight) from ``seeds`` (host, seed).
 
-    Ranks are cut off from their lineage in the shared folder every three rounds. What a host
-    without edges out would pass on is lost, which only scales down its own surroundings.
+    What is under way is moved a link further each round and added to the ranks, until it is at
+    most ``tolerance`` of the seeds in sum and a round has reached no new host. A small graph
+    (``DRIVER_ROWS``) takes its rounds on the driver; the ranks of a larger one are cut off from
+    their lineage in the shared folder each round. What a host without edges out would pass on
+    is lost, which only scales down its own surroundings.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     share = stored(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")), "shares")
-    ranks = seeds.select("host", F.col("seed").alias("rank"))
-    for k in range(rounds):
-        moved = share.join(ranks.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (F.col("share") * F.col("rank") * damping).alias("rank"))
-        ranks = moved.union(seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if k % 3 == 2:
-            ranks = stored(ranks, "ranks")
-    return ranks
+    if share.count() <= DRIVER_ROWS and seeds.count() <= DRIVER_ROWS:
+        return _spread_small(share, seeds, damping, tolerance)
+    whole = seeds.agg(F.sum("seed")).first()[0] or 0.0
+    ranks = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"), (F.col("seed") * (1 - damping)).alias("moving"))
+    reached = -1
+    while True:
+        ranks = stored(ranks, "ranks")
+        hosts, left = ranks.agg(F.count("*"), F.sum("moving")).first()
+        if not hosts or ((left or 0.0) <= tolerance * (1 - damping) * whole and hosts == reached):
+            return ranks.select("host", "rank")
+        reached = hosts
+        on = ranks.where("moving > 0").select(F.col("host").alias("src"), "moving")
+        moved = share.join(on, "src").select(F.col("dst").alias("host"), F.lit(0.0).alias("rank"), (F.col("share") * F.col("moving") * damping).alias("moving"))
+        both = ranks.select("host", "rank", F.lit(0.0).alias("moving")).union(moved)
+        ranks = both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("moving").alias("moving")).select("host", (F.col("rank") + F.col("moving")).alias("rank"), "moving")
+
+
+def significant(x: Column, digits: int = 9) -> Column:
+    """``x`` rounded to so many significant digits, however small it is; 0 stays 0."""
+    scale = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(x)))
+    return F.when(x > 0, F.rint(x * scale) / scale).otherwise(F.lit(0.0))
 
 
 def url_filters(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float = 1.0, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -104,7 +139,8 @@ def url_filters(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float
 
     Hosts with allowed pages are trusted seeds, each as much as its share of them; hosts with
     blocked pages are seeds of distrust, which runs against the edges. Both are spread by
-    personalised PageRank. A host is blocked where its distrust exceeds ``ratio`` times its trust.
+    personalised PageRank until it no longer changes. A host is blocked where its distrust exceeds
+    ``ratio`` times its trust; both have nine significant digits, at any size of the table.
 
     Returns key, host, path, rule, verdict, trust, distrust, one row for each input row. A null
     URL, or one without ``://``, has an empty host and path and is allowed, as is a host
@@ -124,7 +160,7 @@ def url_filters(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float
     trust = spread(edges, good).withColumnRenamed("rank", "trust")
     distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), bad).withColumnRenamed("rank", "distrust")
     verdicts = stored(
-        trust.join(distrust, "host", "full").select("host", F.round(F.coalesce("trust", F.lit(0.0)), 12).alias("trust"), F.round(F.coalesce("distrust", F.lit(0.0)), 12).alias("distrust")),
+        trust.join(distrust, "host", "full").select("host", significant(F.coalesce("trust", F.lit(0.0))).alias("trust"), significant(F.coalesce("distrust", F.lit(0.0))).alias("distrust")),
         "hosts",
     )
     few = F.broadcast(verdicts) if verdicts.count() <= BROADCAST_ROWS else verdicts

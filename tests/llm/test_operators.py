@@ -275,6 +275,22 @@ def test_pagerank_flows_along_edges(spark):
     assert got["a"] > got["b"] > got["c"] > 0 and "y" not in got
 
 
+def test_distrust_reaches_every_host(spark, monkeypatch):
+    chain = [(i, f"http://h{i}.info/x", f'<a href="http://h{i + 1}.info/">') for i in range(18)]
+    rows = [*chain, (18, "http://h18.info/x", '<a href="http://a.com/en/">'), (19, "http://a.com/en/1", ""), (20, "http://s1.s2.s3.s4.s5.s6.s7.com/x", ""), (21, "http://s7.com/en/1", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filters.url_filters(df).collect()}
+    assert all(r.verdict == "block" and r.distrust > 0 for r in got.values())
+    small = spark.createDataFrame([(1e-20,), (0.123456789123,), (0.0,)], "x double").select(url_filters.significant(F.col("x"))).collect()
+    assert [r[0] for r in small] == pytest.approx([1e-20, 0.123456789, 0.0], rel=1e-12, abs=0)
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    ranks = {r.host: r["rank"] for r in url_filters.spread(edges, spark.createDataFrame([("a", 1.0)], "host string, seed double")).collect()}
+    assert ranks["a"] == pytest.approx(0.15 / (1 - 0.85**2), rel=1e-8) and sum(ranks.values()) == pytest.approx(1, rel=1e-8)
+    monkeypatch.setattr(url_filters, "DRIVER_ROWS", -1)
+    by_joins = {r.host: r["rank"] for r in url_filters.spread(edges, spark.createDataFrame([("a", 1.0)], "host string, seed double"), tolerance=0.01).collect()}
+    assert by_joins == pytest.approx(ranks, abs=0.01)
+
+
 def test_quality(spark, edge, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
