@@ -10,6 +10,7 @@ from strandline.llm.common import read, stored
 SHINGLE, BANDS, CONTAINED = 5, 32, 0.75
 #: Words of a window by the words of the templates it is for: a template fills at least a quarter
 #: of its window's shingles wherever it lies, as windows begin every quarter of their length.
+#: Longer templates take windows that go on doubling.
 WINDOWS = (8, 16, 32, 64, 128, 256)
 
 #: Phrases of public licences, by SPDX name.
@@ -51,8 +52,11 @@ def template_table(spark: SparkSession, templates: dict[str, tuple[str, ...]]) -
     """template, license, window, hashes of the templates; those of fewer than five words are left out."""
     rows = [(i, name, t) for i, (name, t) in enumerate((n, t) for n, ts in templates.items() for t in ts)]
     df = spark.createDataFrame(rows, "template int, license string, text string").withColumn("w", _words(F.col("text"))).where(F.size("w") >= SHINGLE)
-    window = F.lit(WINDOWS[-1])
-    for size in reversed(WINDOWS):
+    sizes, longest = list(WINDOWS), df.agg(F.max(F.size("w"))).first()[0] or 0
+    while sizes[-1] * 3 // 4 < longest:
+        sizes.append(sizes[-1] * 2)
+    window = F.lit(sizes[-1])
+    for size in reversed(sizes):
         window = F.when(F.size("w") <= size * 3 // 4, F.lit(size)).otherwise(window)
     return df.select("template", "license", window.alias("window"), F.array_distinct(_shingles("w")).alias("hashes"))
 

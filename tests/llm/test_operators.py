@@ -251,6 +251,13 @@ def test_license_scan(spark):
     assert license_scan.license_scan(table(spark, rows), {}).count() == 0
 
 
+def test_license_scan_finds_long_templates(spark):
+    full = " ".join(f"clause{i} term{i % 13}" for i in range(500))
+    rows = [(1, f"{'pad ' * 300}{full}{' pad' * 900}"), (2, full), (3, "pad " * 2000), (4, full[: len(full) // 2])]
+    got = {(r.doc_id, r.license): r.contained for r in license_scan.license_scan(table(spark, rows), {"Long": (full,)}).collect()}
+    assert got == {(1, "Long"): 1.0, (2, "Long"): 1.0}
+
+
 def test_url_filters(spark):
     urls = ["http://A.Example.com/en/7x?q", "https://example.net/de/8", "x://b.net/de/1#t", "ftp://h.org/es/", None, "no scheme", "http://com/en/", "http://xcom/en/", "http://example.net?x/de/8", "http://example.org/fr/"]
     df = spark.createDataFrame([(i, u, None if i % 2 else '<a href="http://evil.org/x">', "x") for i, u in enumerate(urls)], "page_id long, url string, html string, host string")
