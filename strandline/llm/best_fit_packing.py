@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import word_bpe
 from strandline.llm.common import read, stored
+from strandline.llm.shingling import text_parts
 from strandline.llm.token_counts import vocabulary_path
 
 PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
@@ -28,15 +29,13 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = 4096, end_id: int = 1,
         for b in batches:
             rows: list[tuple] = []
             keys = b.column(0).to_pylist()
-            done = 0
-            for part in word_bpe.parts(b.column(1).to_pylist()):
-                for doc, ids in zip(keys[done:], bpe.encode_texts(part)):
+            for first, part in text_parts(b.column(1)):
+                for doc, ids in zip(keys[first:], bpe.encode_texts(part)):
                     ids += tail
                     n = len(ids) // 4
                     for i, begin in enumerate(range(0, n, max_tokens)):
                         end = min(n, begin + max_tokens)
                         rows.append((doc, i, begin, end - begin, zlib.crc32(ids[4 * begin : 4 * end])))
-                done += len(part)
             columns = list(zip(*rows)) or [()] * 5
             types = [b.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import read
-from strandline.llm.shingling import mix
-from strandline.llm.word_ids import WordIds, parts
+from strandline.llm.shingling import mix, text_parts
+from strandline.llm.word_ids import WordIds
 
 #: First and last code point of script blocks.
 SCRIPTS = {
@@ -135,7 +135,7 @@ def train(docs: DataFrame, per_language: int = 4000, key: str = "doc_id", text:
         table = np.zeros((len(langs), BUCKETS + len(SCRIPTS) + 1), np.int64)
         for b in batches:
             which = b.column(0).to_pylist()
-            for first, texts in parts(b.column(1).to_pylist(), 1_000_000):
+            for first, texts in text_parts(b.column(1), 1_000_000):
                 for k, t in zip(which[first:], texts):
                     seen = Counter(t.lower().split())
                     times = np.fromiter(seen.values(), np.int64, len(seen))
@@ -214,9 +214,9 @@ def language_id(docs: DataFrame, model: LanguageModel, penalty: float = 6.0, key
         names = np.array([*m.langs, UNKNOWN], dtype=object)
         ids = WordIds(m.describe, len(m.langs) + 1)
         for b in batches:
-            for first, texts in parts(b.column(1).to_pylist(), 24_000_000 // max(1, len(m.langs) // 4)):
+            for first, texts in text_parts(b.column(1), 8_000_000 // max(1, len(m.langs) // 4)):
                 ids.tidy()
-                pieces = [ids.of([t.lower().split() for t in some]) for _, some in parts(texts, 1_000_000)]
+                pieces = [ids.of([t.lower().split() for t in texts[i : i + 300]]) for i in range(0, len(texts), 300)]
                 numbers, counts = (np.concatenate(x) for x in zip(*pieces))
                 owner = np.repeat(np.arange(len(texts)), counts)
                 has = ids.rows[numbers, -1] > 0

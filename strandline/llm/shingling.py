@@ -80,14 +80,38 @@ def shingle_sets(words: np.ndarray, counts: np.ndarray, n: int = 5) -> list[np.n
     return out
 
 
+def _cuts(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Rows (first, past) that hold about ``size`` bytes together, one at least."""
+    row, rows = 0, len(offsets) - 1
+    while row < rows:
+        past = min(rows, max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1))
+        yield row, past
+        row = past
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    wide = column.type == pa.large_string()
+    return np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
 def text_bytes(column: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a string column (null: empty) into (rows, bytes, ends) of about ``size`` bytes."""
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column):
+        return
+    column = column.fill_null("")
+    offsets = _offsets(column)
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.empty(0, np.uint8)
-    row = 0
-    while row < len(column):
-        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
-        last = min(last, len(column))
-        yield last - row, data[offsets[row] : offsets[last]], offsets[row + 1 : last + 1] - offsets[row]
-        row = last
+    for row, past in _cuts(offsets, size):
+        yield past - row, data[offsets[row] : offsets[past]], offsets[row + 1 : past + 1] - offsets[row]
+
+
+def text_parts(column: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Cut a string column (null: empty) into (first row, texts) of about ``size`` bytes.
+
+    A batch is cut before its texts become Python strings, so that a worker holds one part's
+    strings at a time, whatever the length of the batch.
+    """
+    if not len(column):
+        return
+    for row, past in _cuts(_offsets(column), size):
+        yield row, [t or "" for t in column.slice(row, past - row).to_pylist()]

@@ -10,6 +10,8 @@ import numpy as np
 import regex
 
 NO_RANK = np.int64(1) << 40
+#: Before the text of a special token, where pieces are kept by their text.
+SPECIAL = " "
 #: Entries after which a worker's memo of words is emptied, so that its memory is bounded.
 MEMO_ENTRIES = 600_000
 
@@ -106,11 +108,15 @@ class WordBpe:
         return symbols[order], np.bincount(owner, minlength=len(raw))
 
     def chunks(self, text: str) -> list[str]:
-        """Folded white-space-free pieces of ``text``; special tokens stand as themselves."""
+        """Folded white-space-free pieces of ``text``; a special token is the mark and its text.
+
+        Special tokens are found before folding. A mark of its own keeps them apart from pieces
+        that only become equal to one by folding; a blank cannot begin any other piece.
+        """
         if self.special_split is not None and "<|" in text:
             out = []
             for i, part in enumerate(self.special_split.split(text)):
-                out += [part] if i % 2 else self._plain(part)
+                out += [f"{SPECIAL}{part}"] if i % 2 else self._plain(part)
             return out
         return self._plain(text)
 
@@ -125,15 +131,13 @@ class WordBpe:
     def _encode_new(self, new: set[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Ids of all ``new`` chunks in one flat array, and how many each has."""
         chunks = list(new)
-        pieces = [[c] if c in self.specials else self.pre_tokens.findall(c) for c in chunks]
-        distinct = {p: i for i, p in enumerate({p for ps in pieces for p in ps})}
-        flat, sizes = self.ids_of(list(distinct))
-        for special, number in self.specials.items():
-            if special in distinct and special in new:
-                i = distinct[special]
-                begin = int(sizes[:i].sum())
-                flat = np.r_[flat[:begin], number, flat[begin + int(sizes[i]) :]]
-                sizes[i] = 1
+        pieces = [[c] if c[0] == SPECIAL else self.pre_tokens.findall(c) for c in chunks]
+        plain = list({p for c, ps in zip(chunks, pieces) if c[0] != SPECIAL for p in ps})
+        special = [c for c in chunks if c[0] == SPECIAL]
+        distinct = {p: i for i, p in enumerate([*plain, *special])}
+        flat, sizes = self.ids_of(plain) if plain else (np.empty(0, np.int64), np.empty(0, np.int64))
+        flat = np.r_[flat, np.array([self.specials[c[1:]] for c in special], np.int64)]
+        sizes = np.r_[sizes, np.ones(len(special), np.int64)]
         starts = np.cumsum(sizes) - sizes
         which = np.fromiter((distinct[p] for ps in pieces for p in ps), np.int64)
         many = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -176,15 +180,3 @@ def load(path: str) -> WordBpe:
     """The vocabulary at ``path``, read once in each Python worker."""
     return WordBpe(path)
 
-
-def parts(texts: list[str | None], chars: int = 2_000_000):
-    """Cut a list of texts (null: empty) into lists of about ``chars`` characters."""
-    batch, size = [], 0
-    for t in texts:
-        batch.append(t or "")
-        size += len(batch[-1])
-        if size >= chars:
-            yield batch
-            batch, size = [], 0
-    if batch:
-        yield batch

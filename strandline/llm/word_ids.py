@@ -38,15 +38,3 @@ class WordIds:
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         return np.fromiter((i for ws in texts for i in map(ids.__getitem__, ws)), np.int32, int(counts.sum())), counts
 
-
-def parts(texts: list, chars: int = 8_000_000):
-    """Cut a list of texts (null: empty) into (first, texts) of about ``chars`` characters."""
-    batch, size, first = [], 0, 0
-    for i, t in enumerate(texts):
-        batch.append(t or "")
-        size += len(batch[-1])
-        if size >= chars:
-            yield first, batch
-            batch, size, first = [], 0, i + 1
-    if batch:
-        yield first, batch

@@ -58,7 +58,7 @@ def test_merging_equals_library_on_random_text():
     from strandline.llm.word_bpe import WordBpe
 
     rng, t, b = random.Random(3), Tokenizer.from_file(PATH), WordBpe(PATH)
-    texts = ["".join(rng.choice("aabn<|endoftext|> 'sre\x1c\x85éΣσİ½!?日 ") for _ in range(80)) for _ in range(200)]
+    texts = ["".join(rng.choice(["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", *"aabn<|endoftext|> 'sre\x1c\x85éΣσİ½!?日 "]) for _ in range(80)) for _ in range(200)]
     for text, ids in zip(texts, b.encode_texts(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
