@@ -43,20 +43,31 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = 4096, end_id: int = 1,
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(cut, PIECE.format(kind=kind))
 
 
-def patterns(counts: np.ndarray, partners: int = 3) -> list[tuple[int, ...]]:
-    """Length patterns of up to three documents that fill a sequence exactly.
+def patterns(counts: np.ndarray, partners: int = 4) -> list[tuple[int, ...]]:
+    """Length patterns of two to four documents that fill a sequence exactly.
 
-    ``counts[n]`` is the number of pieces of length n. All pairs are listed, and for each
-    length the ``partners`` triples whose other two lengths are most frequent.
+    ``counts[n]`` is the number of pieces of length n. All pairs are listed; for each length the
+    ``partners`` triples whose other two lengths are most frequent; and for each length with
+    each of its ``partners`` most frequent shorter ones, the best two that fill the rest.
     """
     full = len(counts) - 1
     out = [(full - a, a) for a in range(1, full // 2 + 1) if counts[a] and counts[full - a]]
-    for a in np.flatnonzero(counts[: full // 3 + 1]):
-        b = np.arange(a, (full - a) // 2 + 1)
-        support = np.minimum(counts[b], counts[full - a - b])
-        best = b[np.argsort(-support, kind="stable")[:partners]]
-        out += [(int(full - a - x), int(x), int(a)) for x in best if support[x - a] > 0]
-    return out
+
+    def best_pairs(rest: int, least: int, many: int) -> list[tuple[int, int]]:
+        b = np.arange(least, rest // 2 + 1)
+        support = np.minimum(counts[b], counts[rest - b])
+        best = np.flatnonzero(support) if np.count_nonzero(support) <= many else np.argsort(-support, kind="stable")[:many]
+        return [(rest - int(b[i]), int(b[i])) for i in best]
+
+    present = np.flatnonzero(counts[: full + 1])
+    for a in present[present <= full // 3].tolist():
+        out += [(x, y, a) for x, y in best_pairs(full - a, a, partners)]
+    small = present[present <= full // 4]
+    for at, a in enumerate(small.tolist()):
+        step = max(1, at // partners)
+        for b in small[at % step : at + 1 : step].tolist()[:partners]:
+            out += [(x, y, a, b) for x, y in best_pairs(full - a - b, max(a, b), 1)]
+    return list(dict.fromkeys(tuple(sorted(p, reverse=True)) for p in out))
 
 
 def fit(counts: np.ndarray, listed: list[tuple[int, ...]], sweeps: int = 25) -> np.ndarray:
@@ -124,32 +135,61 @@ def best_fit(counts: np.ndarray) -> list[tuple[tuple[tuple[int, int], ...], int]
     return done + [g for groups in open_.values() for g in groups]
 
 
-def plan(counts: np.ndarray, shares: tuple[float, ...] = (1.0, 0.9, 0.75, 0.5, 0.0)) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """Groups of equal sequences for a histogram of lengths.
+Group = tuple[tuple[tuple[int, int], ...], int]
+
+
+def by_patterns(counts: np.ndarray, share: float, rounds: int = 12) -> tuple[list[Group], np.ndarray]:
+    """Groups of equal sequences by fitted patterns, and the histogram of what they leave.
 
-    Fits the patterns, rounds shares of the repeat counts down, packs what is left by best
-    fit, and keeps the share that needs the fewest sequences.
+    Each round lists the patterns of what is left, fits their repeat counts, and rounds them up
+    as far as pieces last, from the most repeated pattern on. It ends when ``share`` of all
+    tokens is placed or no pattern is left.
     """
-    listed = patterns(counts)
-    x = fit(counts, listed) if listed else np.empty(0)
-    order = np.argsort(-x, kind="stable")
-    best: list | None = None
-    for share in shares:
-        rest, groups = counts.copy(), []
-        for i in order.tolist():
-            many = int(share * x[i] + 1e-9)
-            if many < 1:
+    rest, groups = counts.copy(), []
+    lengths = np.arange(len(counts))
+    keep = (1 - share) * float(counts @ lengths)
+    for _ in range(rounds):
+        listed = patterns(rest)
+        if not listed or rest @ lengths <= keep:
+            break
+        x = fit(rest, listed)
+        placed = 0
+        for i in np.argsort(-x, kind="stable").tolist():
+            if x[i] < 1e-6 or rest @ lengths <= keep:
                 break
             content = tuple((n, listed[i].count(n)) for n in sorted(set(listed[i]), reverse=True))
-            many = min(many, *(int(rest[n]) // m for n, m in content))
+            many = min(int(np.ceil(x[i])), *(int(rest[n]) // m for n, m in content))
             if many:
                 groups.append((content, many))
+                placed += many
                 for n, m in content:
                     rest[n] -= m * many
-        groups += best_fit(rest)
+        if not placed:
+            break
+    return groups, rest
+
+
+def plan(counts: np.ndarray, shares: tuple[float, ...] = (1.0, 0.95, 0.9, 0.8, 0.7)) -> list[Group]:
+    """Groups of equal sequences for a histogram of lengths.
+
+    Fitted patterns place shares of the tokens; whole sequences of one piece stand by
+    themselves; the residual is packed by best fit. The share that needs the fewest sequences is
+    taken, of equal ones the largest.
+    """
+    counts = counts.copy()
+    full = len(counts) - 1
+    whole = [(((full, 1),), int(counts[full]))] if counts[full] else []
+    counts[full] = 0
+    best: list | None = None
+    least = -(-int(counts @ np.arange(len(counts))) // full)
+    for share in shares:
+        groups, rest = by_patterns(counts, share)
+        groups = groups + best_fit(rest)
         if best is None or sum(m for _, m in groups) < sum(m for _, m in best):
             best = groups
-    return best or []
+        if sum(m for _, m in best) == least:
+            break
+    return whole + (best or [])
 
 
 def plan_rows(groups: list[tuple[tuple[tuple[int, int], ...], int]]) -> list[tuple[int, ...]]:

@@ -35,22 +35,31 @@ def template(text: Column) -> Column:
     return F.array_remove(F.split(t, " "), "")
 
 
-def _windows(df: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """keep columns, place, w0..: every run of ``size`` tokens of the array column ``tokens``."""
-    n = F.greatest(F.size("tokens") - (size - 1), F.lit(0))
-    runs = F.arrays_zip(*[F.slice("tokens", i + 1, n).alias(f"w{i}") for i in range(size)])
-    return df.select(*keep, F.posexplode(runs).alias("place", "w")).select(*keep, "place", *[F.col(f"w.w{i}").alias(f"w{i}") for i in range(size)])
+def _windows(df: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
+    """keep columns, size, place, h, slots: every run of tokens of each size of the array column ``tokens``.
+
+    h is a hash of the run's template, slots are its slot tokens. Texts are read once for all sizes.
+    """
+    longest = max(sizes)
+    n = F.greatest(F.size("tokens") - (min(sizes) - 1), F.lit(0))
+    runs = F.arrays_zip(*[F.slice("tokens", i + 1, n).alias(f"w{i}") for i in range(longest)])
+    rows = df.select(*keep, F.posexplode(runs).alias("place", "w")).select(*keep, "place", *[F.col(f"w.w{i}").alias(f"w{i}") for i in range(longest)])
+    parts = [_hashed(size).alias(str(size)) for size in sizes]
+    if len(parts) == 1:
+        return rows.select(*keep, F.lit(sizes[0]).alias("size"), "place", parts[0].alias("x")).select(*keep, "size", "place", "x.h", "x.slots")
+    each = F.array(*[F.when(F.col(f"w{size - 1}").isNotNull(), F.struct(F.lit(size).alias("size"), part.alias("x"))) for size, part in zip(sizes, parts)])
+    return rows.select(*keep, "place", F.explode(each).alias("s")).where("s is not null").select(*keep, "s.size", "place", "s.x.h", "s.x.slots")
 
 
 def _type(word: str) -> Column:
     return F.when(F.substr(word, F.lit(1), F.lit(1)).between(NAME, UNIT), F.substr(word, F.lit(1), F.lit(1)))
 
 
-def _hashed(windows: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """keep columns, h (hash of the template) and slots (array of the window's slot tokens)."""
+def _hashed(size: int) -> Column:
+    """h and slots of a run of ``size`` tokens in the columns w0, w1, ..."""
     row = [f"w{i}" for i in range(size)]
     slots = F.filter(F.array(*row), lambda w: F.substr(w, F.lit(1), F.lit(1)).between(NAME, UNIT))
-    return windows.select(*keep, "place", F.xxhash64(F.lit(size), *[F.coalesce(_type(w), F.col(w)) for w in row]).alias("h"), slots.alias("slots"))
+    return F.struct(F.xxhash64(F.lit(size), *[F.coalesce(_type(w), F.col(w)) for w in row]).alias("h"), slots.alias("slots"))
 
 
 def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -63,14 +72,10 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text")
     alone = benchmark.select(F.col(key).alias("item"), F.lit(False).alias("inner"), template(F.col(text)).alias("tokens"))
     within = template(F.concat(F.lit("a "), F.col(text)))
     inner = benchmark.select(F.col(key).alias("item"), F.lit(True).alias("inner"), F.slice(within, 2, F.greatest(F.size(within) - 1, F.lit(0))).alias("tokens"))
-    tokens = alone.union(inner).withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW)))
-    keep = ["item", "inner", "size"]
-    parts = [_hashed(_windows(tokens.where(F.col("size") == n), keep, n), keep, n) for n in range(1, WINDOW + 1)]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.union(p)
-    total = rows.groupBy("item", "inner").agg(F.countDistinct("h").alias("total"))
-    return rows.join(total, ["item", "inner"])
+    tokens = alone.union(inner).withColumn("own", F.least(F.size("tokens"), F.lit(WINDOW)))
+    rows = _windows(tokens, ["item", "inner", "own"], list(range(1, WINDOW + 1))).where("size = own").drop("own")
+    total = rows.groupBy(F.col("item").alias("_item"), F.col("inner").alias("_inner")).agg(F.countDistinct("h").alias("total"))
+    return rows.join(total, F.col("item").eqNullSafe(F.col("_item")) & (F.col("inner") == F.col("_inner"))).drop("_item", "_inner")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -85,12 +90,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW values
     few = items.count() <= BROADCAST_ROWS
     tokens = docs.select(F.col(key).alias("doc_id"), template(F.col(text)).alias("tokens"))
-    hits = None
-    for n in sizes or [WINDOW]:
-        mine = items.where(F.col("size") == n).select("h", "item", "inner", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "total")
-        found = _hashed(_windows(tokens, ["doc_id"], n), ["doc_id"], n).join(F.broadcast(mine) if few else mine, "h")
-        found = found.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots", (F.col("place") - F.col("item_place")).alias("begin"))
-        hits = found if hits is None else hits.union(found)
+    mine = items.select("h", "item", "inner", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "total")
+    found = _windows(tokens, ["doc_id"], sorted(sizes) or [WINDOW]).join(F.broadcast(mine) if few else mine, "h")
+    hits = found.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots", (F.col("place") - F.col("item_place")).alias("begin"))
     # equal windows that begin at one place (of repeated rows) count once, with how often they occur
     hits = stored(hits.groupBy("doc_id", "item", "inner", "total", "h", "slots", "item_slots", "begin").agg(F.count("*").alias("times")), "hits")
     span = F.greatest(F.floor(F.col("total") / 2), F.lit(2)) * 2
@@ -124,7 +126,9 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
 
     Returns doc_id, item_id, contained, slots, consistent, same (share of equal values) and kind
     (verbatim or reparameterised), one row for each document and item. Null and empty texts hold
-    nothing; null keys are reported as null; repeated rows count as one document; an empty table
+    nothing; null keys, of documents and of items, are reported as null; repeated rows count as
+    one document; a very long text is read whole, and each place where an item may begin is
+    judged for itself; an empty table
     on either side gives an empty result; other columns are ignored. Built from DataFrame
     functions only; documents are not shuffled, only windows that an item has too.
     """

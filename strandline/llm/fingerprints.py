@@ -125,7 +125,7 @@ def _blocks(count: int) -> list[tuple[int, int]]:
     return [(signed(m & (2**64 - 1)), signed(m >> 64)) for m in masks]
 
 
-def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 4, blocks: int = 6) -> DataFrame:
+def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 8, blocks: int = 10) -> DataFrame:
     """All pairs of distinct fingerprints (low, high) at most ``radius`` bits apart.
 
     Fingerprints within the radius agree in ``blocks - radius`` whole blocks at least. There is
@@ -157,7 +157,7 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 4, blocks
     return pairs.where((distance <= radius) & (F.col("t") == first)).select("q_low", "q_high", "low", "high", distance.alias("distance"))
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, every: int = 100) -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 8, every: int = 100) -> DataFrame:
     """Fingerprint every whole text and its edited text, and search the near ones.
 
     The edited text has the last half of the code points replaced by the first as many (or
@@ -165,8 +165,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", radiu
     fingerprint, edited_fingerprint, near_edited, near_next, and near_docs: for documents whose
     key is divisible by ``every``, how many other rows have a fingerprint within ``radius``
     bits (else null). Null texts count as empty, texts without words have the fingerprint 0;
-    null keys sort last and repeated rows each get a row; a lone row is its own next; an empty
-    table gives an empty result; other columns are ignored.
+    null keys sort last and repeated rows each get a row; a lone row is its own next; a very long
+    text is fingerprinted whole; an empty table gives an empty result; other columns are ignored.
+    ``radius`` bounds bits and not the share of common shingles: see the README for what it finds.
     """
     rows = with_next(docs, key, text)
     n = F.char_length("text")

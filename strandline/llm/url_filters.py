@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +11,8 @@ from strandline.llm.common import LOWER, UPPER, read, stored
 
 #: Hosts up to which their verdicts are broadcast to the pages; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
-#: Links and seeds up to which ranks are iterated on the driver; beyond, each round is a join.
-DRIVER_ROWS = 200_000
+#: Rounds of the graph between two written tables.
+ROUNDS = 8
 
 
 @dataclass(frozen=True)
@@ -70,6 +69,7 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     link = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^"'\s>/?#]+)"""
     found = pages.where(F.col(host) != "").select(F.col(host).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(link), F.lit(1))).alias("dst"))
     links = found.select("src", F.translate("dst", UPPER, LOWER).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    links = stored(links, "links")  # pages are read for links once
     hosts = pages.where(F.col(host) != "").select(F.col(host).alias("h")).union(links.select("dst")).distinct()
     # every ancestor of two labels or more, each below the one a label longer
     label = F.split("h", r"\.")
@@ -81,54 +81,35 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     return links.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def _spread_small(share: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """The rounds of :func:`spread` on the driver."""
-    e, s = share.toArrow(), seeds.select("host", "seed").toArrow()
-    names = [*e.column("src").to_pylist(), *e.column("dst").to_pylist(), *s.column("host").to_pylist()]
-    number = {h: i for i, h in enumerate(dict.fromkeys(names))}
-    src, dst, at = np.split(np.array([number[h] for h in names], np.int64), [e.num_rows, 2 * e.num_rows])
-    weight = np.array(e.column("share").to_pylist(), np.float64) * damping
-    moving = np.bincount(at, np.array(s.column("seed").to_pylist(), np.float64) * (1 - damping), len(number)).astype(np.float64)  # integers where there is no seed
-    ranks, seen, reached = moving.copy(), moving > 0, -1
-    least = tolerance * moving.sum()
-    while len(number) and not (moving.sum() <= least and seen.sum() == reached):
-        reached = seen.sum()
-        moving = np.bincount(dst, moving[src] * weight, len(number)).astype(np.float64)
-        ranks += moving
-        seen |= moving > 0
-    rows = [(h, float(ranks[i])) for h, i in number.items() if seen[i]]
-    return share.sparkSession.createDataFrame(rows, "host string, rank double")
-
-
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
-    """(host, rank): personalised PageRank over ``edges`` (src, dst, weight) from ``seeds`` (host, seed).
-
-    What is under way is moved a link further each round and added to the ranks, until it is at
-    most ``tolerance`` of the seeds in sum and a round has reached no new host. A small graph
-    (``DRIVER_ROWS``) takes its rounds on the driver; the ranks of a larger one are cut off from
-    their lineage in the shared folder each round. What a host without edges out would pass on
-    is lost, which only scales down its own surroundings.
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """(side, host, rank): personalised PageRank over ``edges`` (side, src, dst, weight) from ``seeds`` (side, host, seed).
+
+    Sides are graphs of their own that take their rounds together. What is under way is moved a
+    link further each round and added to the ranks, until it is at most ``tolerance`` of the
+    seeds in sum and no new host has been reached. A host keeps its rank by an edge to itself,
+    so that a round is one join and one sum; every ``ROUNDS`` rounds the ranks are cut off from
+    their lineage in the shared folder. What a host without edges out would pass on is lost,
+    which only scales down its own surroundings.
     """
-    out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    share = stored(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")), "shares")
-    if share.count() <= DRIVER_ROWS and seeds.count() <= DRIVER_ROWS:
-        return _spread_small(share, seeds, damping, tolerance)
-    whole = seeds.agg(F.sum("seed")).first()[0] or 0.0
-    ranks = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"), (F.col("seed") * (1 - damping)).alias("moving"))
-    reached = -1
+    out = edges.groupBy("side", "src").agg(F.sum("weight").alias("total"))
+    share = edges.join(out, ["side", "src"]).select("side", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("total") * damping).alias("share"), F.lit(0.0).alias("stay"))
+    hosts = edges.select("side", "src").union(edges.select("side", "dst")).union(seeds.select("side", "host")).distinct().toDF("side", "host")
+    share = stored(share.union(hosts.select("side", "host", "host", F.lit(0.0), F.lit(1.0))), "shares")
+    ranks = seeds.select("side", "host", (F.col("seed") * (1 - damping)).alias("rank"), (F.col("seed") * (1 - damping)).alias("moving"))
+    whole = {r[0]: r[1] for r in ranks.groupBy("side").agg(F.sum("rank")).collect()}
+    reached = None
     while True:
+        for _ in range(ROUNDS):
+            moved = ranks.join(share, ["side", "host"]).groupBy("side", "dst").agg(F.sum(F.col("rank") * F.col("stay")).alias("rank"), F.sum(F.col("moving") * F.col("share")).alias("moving"))
+            ranks = moved.select("side", F.col("dst").alias("host"), (F.col("rank") + F.col("moving")).alias("rank"), "moving")
         ranks = stored(ranks, "ranks")
-        hosts, left = ranks.agg(F.count("*"), F.sum("moving")).first()
-        if not hosts or ((left or 0.0) <= tolerance * (1 - damping) * whole and hosts == reached):
-            return ranks.select("host", "rank")
-        reached = hosts
-        on = ranks.where("moving > 0").select(F.col("host").alias("src"), "moving")
-        moved = share.join(on, "src").select(F.col("dst").alias("host"), F.lit(0.0).alias("rank"), (F.col("share") * F.col("moving") * damping).alias("moving"))
-        both = ranks.select("host", "rank", F.lit(0.0).alias("moving")).union(moved)
-        ranks = both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("moving").alias("moving")).select("host", (F.col("rank") + F.col("moving")).alias("rank"), "moving")
+        now = {r[0]: r[1:] for r in ranks.groupBy("side").agg(F.count_if(F.col("rank") > 0), F.sum("moving")).collect()}
+        if all(left <= tolerance * whole[side] and (reached or {}).get(side, (-1,))[0] == n for side, (n, left) in now.items()):
+            return ranks.where("rank > 0").select("side", "host", "rank")
+        reached = now
 
 
-def significant(x: Column, digits: int = 9) -> Column:
+def significant(x: Column, digits: int = 6) -> Column:
     """``x`` rounded to so many significant digits, however small it is; 0 stays 0."""
     scale = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(x)))
     return F.when(x > 0, F.rint(x * scale) / scale).otherwise(F.lit(0.0))
@@ -140,12 +121,13 @@ def url_filters(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float
     Hosts with allowed pages are trusted seeds, each as much as its share of them; hosts with
     blocked pages are seeds of distrust, which runs against the edges. Both are spread by
     personalised PageRank until it no longer changes. A host is blocked where its distrust exceeds
-    ``ratio`` times its trust; both have nine significant digits, at any size of the table.
+    ``ratio`` times its trust; both have six significant digits, at any size of the table.
 
     Returns key, host, path, rule, verdict, trust, distrust, one row for each input row. A null
     URL, or one without ``://``, has an empty host and path and is allowed, as is a host
     without any rank; null HTML has no links; null keys and repeated rows are judged each; an
-    empty table gives an empty result; other columns are ignored.
+    empty table gives an empty result; a very long URL or page is read whole; other columns are
+    ignored.
     """
     host, path = parsed(F.col(url))
     rows = pages.select(F.col(key), host.alias("host"), path.alias("path"), F.col(html).alias("_html"))
@@ -157,8 +139,11 @@ def url_filters(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float
     total = judged.agg(F.sum("good"), F.sum("bad")).first()
     good = judged.where("good > 0").select("host", (F.col("good") / F.lit(float(total[0] or 1))).alias("seed"))
     bad = judged.where("bad > 0").select("host", (F.col("bad") / F.lit(float(total[1] or 1))).alias("seed"))
-    trust = spread(edges, good).withColumnRenamed("rank", "trust")
-    distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), bad).withColumnRenamed("rank", "distrust")
+    sides = edges.select(F.lit("trust").alias("side"), "src", "dst", "weight").union(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "weight"))
+    seeds = good.select(F.lit("trust").alias("side"), "host", "seed").union(bad.select(F.lit("distrust"), "host", "seed"))
+    ranks = spread(sides, seeds)
+    trust = ranks.where("side = 'trust'").select("host", F.col("rank").alias("trust"))
+    distrust = ranks.where("side = 'distrust'").select("host", F.col("rank").alias("distrust"))
     verdicts = stored(
         trust.join(distrust, "host", "full").select("host", significant(F.coalesce("trust", F.lit(0.0))).alias("trust"), significant(F.coalesce("distrust", F.lit(0.0))).alias("distrust")),
         "hosts",
