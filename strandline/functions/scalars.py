@@ -76,13 +76,14 @@ def total_cost(claim: Column, base: Column, *parts: Column) -> Column:
 
 
 def daily_cost(claim: Column, base: Column, start: Column, stop: Column, *parts: Column) -> Column:
-    """Cost beyond admission for each day of at least one, to two decimals."""
-    return F.round(greatest_or_null(claim - base, sum(parts, F.lit(0.0))) / F.greatest(elapsed("DAY", start, stop), F.lit(1)), 2)
+    """Cost beyond admission for each day of at least one, to two decimals; halves, as decimal text shows them, go up."""
+    cost = greatest_or_null(claim - base, sum(parts, F.lit(0.0))) / F.greatest(elapsed("DAY", start, stop), F.lit(1))
+    return F.round(cost.cast("decimal(30,10)"), 2).cast("double")
 
 
-def intervention_days(p: float, d: float) -> Column:
+def intervention_days(p: Column, d: Column) -> Column:
     """Days that lower a risk by ``d`` at ``p`` a day."""
-    return F.ceil(F.ln(1 - F.lit(d)) / F.ln(1 - F.lit(p)))
+    return F.ceil(F.ln(1 - d) / F.ln(1 - p))
 
 
 def reached(p: Column, days: Column) -> Column:

@@ -32,6 +32,18 @@ def onsets(df: DataFrame, key: str, at: str, flags: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.min(F.when(F.col(f) == 1, F.col(at))).alias(f"{f}_start") for f in flags])
 
 
+def is_a_edges(concepts: DataFrame, is_a: str = "116680003") -> DataFrame:
+    """(child, parent) of the active is-a relationships of active concepts (conceptId, active, relationships)."""
+    r = concepts.where("active").select(F.col("conceptId").cast("bigint").alias("child"), F.explode("relationships").alias("r"))
+    return r.where(F.col("r.active") & (F.col("r.type.conceptId") == is_a)).select("child", F.col("r.target.conceptId").cast("bigint").alias("parent")).distinct()
+
+
+def described_codes(codes: DataFrame, concepts: DataFrame) -> DataFrame:
+    """``codes`` (code, name) with a missing name taken from the concept's first description."""
+    terms = concepts.select(F.col("conceptId").cast("bigint").alias("code"), F.get("descriptions", F.lit(0))["term"].alias("term"))
+    return codes.join(terms, "code", "left").withColumn("name", F.coalesce("name", "term")).drop("term")
+
+
 def closure(edges: DataFrame, depth: int = 10, stop: Column | None = None) -> DataFrame:
     """(node, ancestor, depth) of an acyclic graph (child, parent), at the least depth, up to ``depth``.
 
@@ -73,9 +85,13 @@ def fixed_flags(df: DataFrame, diseases: list[str]) -> DataFrame:
 
 
 def elected(groups: DataFrame, up: DataFrame, descendants: DataFrame, favoured: DataFrame | None = None) -> DataFrame:
-    """One code for each group (grp, code): favoured ones first, none that is an ancestor of another, fewest descendants, least code."""
-    pairs = groups.alias("a").join(groups.alias("b"), "grp").join(up, (F.col("node") == F.col("b.code")) & (F.col("ancestor") == F.col("a.code"))).select("grp", F.col("a.code").alias("code")).distinct()
-    left = groups.join(pairs, ["grp", "code"], "left_anti").join(descendants, "code", "left")
+    """One code for each group (grp, code): favoured ones first, none that is an ancestor of another, fewest descendants, least code.
+
+    The ancestors of a group's codes are looked up first, and its codes among them left out, so
+    that codes of a group do not meet each other.
+    """
+    above = groups.select("grp", F.col("code").alias("node")).join(up.select("node", F.col("ancestor").alias("code")), "node").select("grp", "code").distinct()
+    left = groups.join(above, ["grp", "code"], "left_anti").join(descendants, "code", "left")
     liked = favoured.select("code", F.lit(1).alias("liked")) if favoured is not None else None
     left = left.join(liked, "code", "left") if liked is not None else left.withColumn("liked", F.lit(None).cast("int"))
     order = F.struct(-F.coalesce("liked", F.lit(0)), F.coalesce("n_desc", F.lit(0)), F.col("code"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.scalars import elapsed, flag
+from strandline.functions.scalars import elapsed
 
 
 def gap_flag(df: DataFrame, key: str, start: str, stop: str, ident: str, hours: int = 12, running_max: bool = False, anchor: Column | None = None) -> DataFrame:
@@ -46,11 +46,11 @@ def group_episodes(df: DataFrame, key: str, start: str, stop: str, ident: str, r
     return out.withColumn("stay_days", F.greatest(elapsed("DAY", F.col("stay_start"), F.col("stay_stop")), F.lit(1)))
 
 
-def episode_table(members: DataFrame, key: str) -> DataFrame:
-    """One row for each episode of :func:`group_episodes`."""
+def episode_table(members: DataFrame, key: str, *more: Column) -> DataFrame:
+    """One row for each episode of :func:`group_episodes`, with ``more`` aggregates of its members."""
     return members.groupBy(key, "episode").agg(
         F.first("stay_id").alias("stay_id"), F.max("stay_rank").alias("stay_rank"), F.min("stay_start").alias("stay_start"),
-        F.max("stay_stop").alias("stay_stop"), F.max("stay_days").alias("stay_days"), F.count("*").alias("members"),
+        F.max("stay_stop").alias("stay_stop"), F.max("stay_days").alias("stay_days"), F.count("*").alias("members"), *more,
     )
 
 
@@ -58,6 +58,3 @@ def touched(history: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """All rows of ``history`` whose key occurs in ``delta``."""
     return history.join(delta.select(key).distinct(), key, "left_semi")
 
-
-def one_if(c: Column) -> Column:
-    return flag(c)

@@ -6,14 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def by_score(df: DataFrame) -> DataFrame:
-    """Positives and negatives at each distinct score of a model, with those above it.
+def by_score(df: DataFrame, ranges: int = 4096) -> DataFrame:
+    """Positives and negatives at each distinct score of a model, with those at or above it.
 
-    Rows are counted for each score before the window, so it sorts distinct scores only.
+    Rows are counted for each score first. The running sums are taken within each of
+    ``ranges`` equal ranges of the score, to which the sums of the ranges above are added: no
+    task has to sort all scores of a model.
     """
     n = df.groupBy("model", "p").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    w = Window.partitionBy("model").orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return n.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
+    n = n.withColumn("_range", F.least(F.greatest(F.floor(F.col("p") * ranges), F.lit(0)), F.lit(ranges - 1)))
+    parts = n.groupBy("model", "_range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    before = Window.partitionBy("model").orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = parts.select("model", "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_pos", "_neg")])
+    w = Window.partitionBy("model", "_range").orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    within = n.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)}).join(above, ["model", "_range"])
+    return within.withColumns({"tp": F.col("tp") + F.col("_pos"), "fp": F.col("fp") + F.col("_neg")}).drop("_range", "_pos", "_neg")
 
 
 def roc_auc(df: DataFrame) -> DataFrame:
@@ -67,12 +74,19 @@ def psi(base: DataFrame, current: DataFrame, eps: float = 1e-8) -> DataFrame:
     return x.agg(F.sum((pc - pb) * F.ln(pc / pb)).alias("psi"))
 
 
+def retune(periods: DataFrame, drift: DataFrame, every: int = 6, most: float = 0.2) -> DataFrame:
+    """One row ``retune``: whether some periods (period) have gone by, a multiple of ``every``, or any ``psi`` of ``drift`` is above ``most``."""
+    n = periods.agg(F.countDistinct("period").alias("elapsed"))
+    x = n.crossJoin(drift.agg(F.max("psi").alias("psi")))  # one row each
+    return x.select("elapsed", (((F.col("elapsed") > 0) & (F.col("elapsed") % every == 0)) | F.coalesce(F.col("psi") > most, F.lit(False))).alias("retune"))
+
+
 def folds(df: DataFrame, key: str, label: str, k: int) -> DataFrame:
     """A stratified fold 0..k-1 for each row, in the order of a hash of the key within a label.
 
-    Labels have few values, so each is ranked in 64 parts by hash whose sizes are summed first.
+    Labels have few values, so each is ranked in 256 parts by hash whose sizes are summed first.
     """
-    h = df.withColumns({"_h": F.crc32(F.col(key).cast("string").cast("binary"))}).withColumn("_part", F.floor(F.col("_h") / (2**26)))
+    h = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_part", F.substring("_h", 1, 2))
     sizes = h.groupBy(label, "_part").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(label).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select(label, "_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_base"))

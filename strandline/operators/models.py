@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+from collections.abc import Callable
+from itertools import product
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,6 +25,42 @@ def log1p(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({f"log_{c}": F.log1p(c) for c in columns}).drop(*columns)
 
 
+def split_xy(df: DataFrame, key: str, labels: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Features and labels, each with the key."""
+    return df.drop(*labels), df.select(key, *labels)
+
+
+def aligned(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Exactly ``columns``, in order: those missing are 0, others go."""
+    return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(0).alias(c) for c in columns])
+
+
+def standardised(df: DataFrame, key: str, columns: list[str], centre: bool = True) -> DataFrame:
+    """Columns less their mean (with ``centre``), in standard deviations."""
+    made = VectorAssembler(inputCols=columns, outputCol="_raw").transform(df)
+    made = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=centre, withStd=True).fit(made).transform(made)
+    values = vector_to_array("_scaled")
+    return made.select(key, *[values[i].alias(c) for i, c in enumerate(columns)])
+
+
+def draws(grid: dict[str, list], many: int, seed: int = 0) -> list[dict]:
+    """``many`` different random points of a grid."""
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
+    return random.Random(seed).sample(points, min(many, len(points)))
+
+
+def saved_or_fitted(path: str, fit: Callable[[], PipelineModel] | None) -> PipelineModel:
+    """The model saved at ``path``; where there is none, ``fit`` makes and saves it, and without ``fit`` that is an error."""
+    if fit is not None:
+        try:
+            return PipelineModel.load(path)
+        except Exception as e:  # noqa: BLE001  a missing path is reported in many ways
+            if "exist" not in str(e):
+                raise
+        fit().write().save(path)
+    return PipelineModel.load(path)
+
+
 def balanced(df: DataFrame, label: str) -> DataFrame:
     """A weight that gives both classes the same total."""
     n = df.agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
@@ -28,14 +68,15 @@ def balanced(df: DataFrame, label: str) -> DataFrame:
     return df.crossJoin(F.broadcast(n)).withColumn("weight", w).drop("n", "pos")  # one row
 
 
-def classifier(kind: str, label: str, features: list[str], seed: int = 0) -> Pipeline:
-    """Scaling and one of logreg, rf, gbt."""
+def classifier(kind: str, label: str, features: list[str], seed: int = 0, **params) -> Pipeline:
+    """Scaling and one of logreg, rf, gbt, with ``params`` in place of its own."""
     common = {"featuresCol": "scaled", "labelCol": label, "weightCol": "weight"}
     model = {
         "logreg": lambda: LogisticRegression(maxIter=20, regParam=0.01, **common),
         "rf": lambda: RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed, **common),
         "gbt": lambda: GBTClassifier(maxIter=5, maxDepth=3, seed=seed, **common),
     }[kind]()
+    model.setParams(**params) if params else None
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="scaled", withMean=kind != "rf"), model])
 
 

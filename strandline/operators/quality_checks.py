@@ -43,10 +43,10 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def demand(report: DataFrame, *zero: str) -> DataFrame:
-    """The one-row report; raises if any of the named counts is not 0."""
+def demand(report: DataFrame, *zero: str, name: str = "check") -> DataFrame:
+    """The one-row report of the check ``name``; raises if any of the named counts is not 0."""
     row = report.first()
     broken = {c: row[c] for c in zero if row[c]}
     if broken:
-        raise ValueError(f"check failed: {broken}")
+        raise ValueError(f"{name} failed: {broken}")
     return report

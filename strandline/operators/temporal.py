@@ -36,20 +36,59 @@ def asof_previous(left: DataFrame, left_time: str, right: DataFrame, right_time:
 
 
 def asof_next(left: DataFrame, left_time: str, right: DataFrame, right_time: str, key: str, payload: list[str]) -> DataFrame:
-    """Each left row with ``next``: the earliest right row strictly after it (lowest payload on ties)."""
-    w = Window.partitionBy(key).orderBy("at").rangeBetween(1, Window.unboundedFollowing)
-    s = _streams(left, left_time, right, right_time, key, payload)
+    """Each left row with ``next``: the earliest right row strictly after it (lowest payload on ties).
+
+    Time runs backwards in the window, so that its frame only grows.
+    """
+    w = Window.partitionBy(key).orderBy("back").rangeBetween(Window.unboundedPreceding, -1)
+    s = _streams(left, left_time, right, right_time, key, payload).withColumn("back", -F.col("at"))
     return _mine(s.withColumn("next", F.min("event").over(w)), left, F.col("next"))
 
 
-def look_back(left: DataFrame, left_time: str, right: DataFrame, right_time: str, key: str, days: int, payload: list[str], aggregates: dict[str, Column]) -> DataFrame:
-    """Aggregates over the right rows that end up to ``days`` whole days before each left row.
+def _entering(rows: DataFrame, at: str, days: int) -> DataFrame:
+    """Each row once with sign 1 when it enters a window of ``days`` whole days, and once with -1 when it leaves it."""
+    both = F.array(F.struct(F.lit(1).alias("sign"), F.col(at).alias(at)), F.struct(F.lit(-1).alias("sign"), (F.col(at) + (days + 1) * DAY - 1).alias(at)))
+    return rows.withColumn("_turn", F.explode(both)).withColumns({"sign": F.col("_turn.sign"), at: F.col(f"_turn.{at}")}).drop("_turn")
+
+
+def _window_sums(w, count: str, sums: dict[str, str]) -> dict[str, Column]:
+    """Running count and sums of what has entered and not left; sums are null where nothing is in."""
+    n = F.coalesce(F.sum("sign").over(w), F.lit(0))
+    return {count: n, **{name: F.when(n > 0, F.sum(F.col("sign") * F.col(f"event.{c}")).over(w)) for name, c in sums.items()}}
+
+
+def look_back(left: DataFrame, left_time: str, right: DataFrame, right_time: str, key: str, days: int, count: str, sums: dict[str, str]) -> DataFrame:
+    """Count and sums of the right rows that end up to ``days`` whole days before each left row.
 
-    ``aggregates`` may use ``event.<payload>``; right rows outside the window do not count.
+    ``sums`` maps names to columns of the right side. A right row enters the window at its time
+    and leaves it when the days are over; running sums over both turns replace a sliding frame,
+    so that a key with many rows costs a sort.
     """
-    w = Window.partitionBy(key).orderBy("at").rangeBetween(-(days + 1) * DAY + 1, -1)
-    s = _streams(left, left_time, right, right_time, key, payload)
-    return _mine(s.withColumns({n: a.over(w) for n, a in aggregates.items()}), left, *[F.col(n) for n in aggregates])
+    s = _entering(_streams(left, left_time, right, right_time, key, sorted(set(sums.values()))), "at", days)
+    s = s.where("not mine or sign = 1").withColumn("sign", F.when(~F.col("mine"), F.col("sign")))
+    w = Window.partitionBy(key).orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    made = _window_sums(w, count, sums)
+    return _mine(s.withColumns(made), left, *[F.col(n) for n in made])
+
+
+def around(left: DataFrame, start: str, stop: str, right: DataFrame, key: str, days: int, payload: list[str], count: str, sums: dict[str, str]) -> DataFrame:
+    """Each left row with ``prev``, ``next``, count and sums of the right rows around it.
+
+    Both sides have ``start`` and ``stop``. ``prev`` is the latest right row that stops before
+    the left one starts, ``next`` the earliest that starts after it stops; count and sums are
+    of right rows that stop up to ``days`` whole days before. One stream of both sides on one
+    shuffle serves all windows.
+    """
+    past, ahead = micros(start), micros(stop)
+    fields = sorted({*payload, *sums.values()})
+    event = lambda at: F.struct(at.alias("at"), *payload, *[c for c in fields if c not in payload])
+    r = right.select(F.col(key), ahead.alias("at"), (-past).alias("back"), event(ahead).alias("event"), event(past).alias("coming"), F.lit(False).alias("mine"), *[F.lit(None).cast(left.schema[c].dataType).alias(f"_{c}") for c in left.columns])
+    l_ = left.select(F.col(key), past.alias("at"), (-ahead).alias("back"), F.lit(None).cast(r.schema["event"].dataType).alias("event"), F.lit(None).cast(r.schema["coming"].dataType).alias("coming"), F.lit(True).alias("mine"), *[F.col(c).alias(f"_{c}") for c in left.columns])
+    s = _entering(r.unionByName(l_), "at", days).where("not mine or sign = 1")
+    s = s.withColumns({"sign": F.when(~F.col("mine"), F.col("sign")), "entered": F.when(F.col("sign") == 1, F.col("event")), "coming": F.when(F.col("sign") == 1, F.col("coming"))})
+    grown = lambda c: Window.partitionBy(key).orderBy(c).rangeBetween(Window.unboundedPreceding, -1)
+    made = {"prev": F.max("entered").over(grown("at")), **_window_sums(grown("at"), count, sums), "next": F.min("coming").over(grown("back"))}
+    return _mine(s.withColumns(made), left, *[F.col(n) for n in made])
 
 
 def count_until(left: DataFrame, left_time: str, right: DataFrame, right_time: str, key: str, name: str) -> DataFrame:
@@ -65,11 +104,16 @@ def latest_before(left: DataFrame, left_time: str, right: DataFrame, right_time:
     return out.withColumn(name, F.timestamp_micros(F.col("prev.at"))).drop("prev")
 
 
-def active_intervals(events: DataFrame, at: str, plans: DataFrame, start: str, stop: str, key: str, horizon: Column) -> DataFrame:
-    """Pairs of events and plans of one key with start < at < stop; an open stop is the horizon.
+def active_intervals(events: DataFrame, at: str, plans: DataFrame, start: str, stop: str, key: str, horizon: Column, bucket_days: int = 366) -> DataFrame:
+    """Pairs of events and plans of one key with start < at < stop (dates); an open stop is the horizon.
 
-    The equality on the key plans as a shuffled join with the range as its residue.
+    Time is cut into buckets: a plan stands in each that it touches, an event in one. Key and
+    bucket are joined by equality, so that a key's events meet only the plans of their time.
     """
-    e, p = events.alias("e"), plans.alias("p")
+    bucket = lambda c: F.floor(F.unix_date(c) / bucket_days)
+    until = F.coalesce(F.col(stop), horizon)
+    e = events.withColumn("_bucket", bucket(F.col(at))).alias("e")
+    p = plans.where(F.col(start) <= until).withColumn("_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(until)))).alias("p")
     inside = (F.col(f"e.{at}") > F.col(f"p.{start}")) & (F.col(f"e.{at}") < F.coalesce(F.col(f"p.{stop}"), horizon))
-    return e.join(p, (F.col(f"e.{key}") == F.col(f"p.{key}")) & inside).select("e.*", *[F.col(f"p.{c}").alias(f"plan_{c}") for c in plans.columns if c != key]).distinct()
+    same = (F.col(f"e.{key}") == F.col(f"p.{key}")) & (F.col("e._bucket") == F.col("p._bucket"))
+    return e.join(p, same & inside).select(*[F.col(f"e.{c}") for c in events.columns], *[F.col(f"p.{c}").alias(f"plan_{c}") for c in plans.columns if c != key]).distinct()

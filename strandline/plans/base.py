@@ -36,6 +36,10 @@ def query(sql: str | None, *names: str):
 #: Look-back and readmission windows in days, for a table that spans a month.
 BACK, SOON, LATER = 7, 1, 3
 WIDE = [f"d{i}" for i in range(1, 9)]
+#: Diseases with an onset, and body systems, by the flags of the code dictionary.
+DISEASES = [f"has_{x}" for x in "abcdefg"]
+SYSTEMS = [f"sys_{k}" for k in range(1, 9)]
+_DISEASE = {"has_a": (7, 0), "has_b": (7, 1), "has_c": (7, 2), "has_d": (11, 3), "has_e": (11, 4), "has_f": (11, 5), "has_g": (11, 6)}
 
 # ---- SQL ------------------------------------------------------------------
 ENC = """enc AS (SELECT event_id AS id, user_id AS patient, ts AS start, ts + to_minutes(CAST(floor(value) AS BIGINT)) AS stop,
@@ -60,14 +64,17 @@ SLOT = "(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenum
 CLAIMS = f"""claims AS (SELECT o.o_orderkey AS encounter, o.o_custkey AS patient, o.o_orderdate AS seen, {', '.join(f"max(CASE WHEN slot = {i} THEN CAST(l_partkey AS VARCHAR) || '.0' END) AS d{i}" for i in range(1, 9))}
  FROM orders o LEFT JOIN {SLOT} l ON l_orderkey = o_orderkey GROUP BY 1, 2, 3)"""
 LONG = f"""{CLAIMS}, long AS (SELECT DISTINCT encounter, patient, seen, CAST(CAST(code AS DECIMAL(38,1)) AS BIGINT) AS code FROM (UNPIVOT claims ON d1, d2, d3, d4, d5, d6, d7, d8 INTO NAME slot VALUE code))"""
-DICT = """dict AS (SELECT p_partkey AS code, p_name AS name, p_type AS type, CAST(p_size <= 10 AS INTEGER) AS is_chronic, CAST(p_size BETWEEN 11 AND 30 AS INTEGER) AS is_disorder, CAST(p_size > 30 AS INTEGER) AS is_symptom,
- CAST(p_size % 7 = 0 AS INTEGER) AS has_a, CAST(p_size % 7 = 1 AS INTEGER) AS has_b, CAST(p_size % 7 = 2 AS INTEGER) AS has_c, CAST(p_size % 5 = 0 AS INTEGER) AS is_planning, CAST(p_size % 11 = 0 AS INTEGER) AS is_surgery FROM part)"""
+DICT = f"""dict AS (SELECT p_partkey AS code, p_name AS name, p_type AS type, CAST(p_size <= 10 AS INTEGER) AS is_chronic, CAST(p_size BETWEEN 11 AND 30 AS INTEGER) AS is_disorder, CAST(p_size > 30 AS INTEGER) AS is_symptom,
+ {', '.join(f"CAST(p_size % {m} = {r} AS INTEGER) AS {n}" for n, (m, r) in _DISEASE.items())}, {', '.join(f"CAST(p_size % 9 = {k} AS INTEGER) AS sys_{k}" for k in range(1, 9))}, CAST(p_size % 5 = 0 AS INTEGER) AS is_planning, CAST(p_size % 11 = 0 AS INTEGER) AS is_surgery FROM part)"""
 PLANS = """plans AS (SELECT o_orderkey AS plan, o_custkey AS patient, CAST(o_orderdate AS DATE) AS start, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(max(l_shipdate) AS DATE) END AS stop FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate, o_orderstatus)"""
 STAYS = """stays AS (SELECT o_orderkey AS stay_id, o_custkey AS patient, o_orderdate AS start, coalesce(max(l_shipdate), o_orderdate) AS stop, CAST(round(o_totalprice * 100) AS BIGINT) AS claim, CAST(round(o_totalprice * 100) AS BIGINT) // 10 AS base,
  CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN CAST(round(l_extendedprice * 100) AS BIGINT) END), 0) AS BIGINT) AS procedures, CAST(coalesce(sum(CASE WHEN l_returnflag = 'A' THEN CAST(round(l_extendedprice * 100) AS BIGINT) END), 0) AS BIGINT) AS medications
  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate, o_totalprice)"""
 EDGES = """edges AS (SELECT 1000000 + c_custkey AS child, 1000 + CAST(c_nationkey AS BIGINT) AS parent FROM customer UNION SELECT 1000 + CAST(n_nationkey AS BIGINT), 100 + CAST(n_regionkey AS BIGINT) FROM nation UNION SELECT 100 + CAST(r_regionkey AS BIGINT), 1 FROM region)"""
 UP = f"""RECURSIVE {EDGES}, up(node, ancestor, depth) AS (SELECT child, parent, 1 FROM edges UNION SELECT up.node, e.parent, up.depth + 1 FROM up JOIN edges e ON e.child = up.ancestor WHERE up.depth < 10)"""
+#: An is-a tree over the codes themselves: a code lies under the one without its last digit.
+TREE = """RECURSIVE tree AS (SELECT p_partkey AS child, p_partkey // 10 AS parent FROM part WHERE p_partkey >= 10), above(node, ancestor, depth) AS (SELECT child, parent, 1 FROM tree UNION SELECT above.node, t.parent, above.depth + 1 FROM above JOIN tree t ON t.child = above.ancestor WHERE above.depth < 10),
+ below AS (SELECT ancestor AS code, count(DISTINCT node) AS n_desc FROM above GROUP BY 1)"""
 SCORES = """scores AS (SELECT doc_id, toxic AS y, model, CASE model WHEN 'a' THEN ((doc_id * 37 + toxic * 29) % 101) / 100.0 ELSE ((doc_id * 53) % 97) / 96.0 END AS p FROM labels, (VALUES ('a'), ('b')) m(model))"""
 SCORES = SCORES.replace("/ 100.0", "/ CAST(100 AS DOUBLE)").replace("/ 96.0", "/ CAST(96 AS DOUBLE)")
 
@@ -87,8 +94,7 @@ def mem(s: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
 
 
 def eps(s: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
-    m = mem(s, d, rows)
-    return episode_table(m, "patient").join(m.groupBy("patient", "episode").agg(F.sum("cents").alias("cents")), ["patient", "episode"])
+    return episode_table(mem(s, d, rows), "patient", F.sum("cents").alias("cents"))
 
 
 def claims(s: SparkSession, d: str) -> DataFrame:
@@ -107,7 +113,7 @@ def long(s: SparkSession, d: str) -> DataFrame:
 
 def dictionary(s: SparkSession, d: str) -> DataFrame:
     z = F.col("p_size")
-    made = {"is_chronic": z <= 10, "is_disorder": z.between(11, 30), "is_symptom": z > 30, "has_a": z % 7 == 0, "has_b": z % 7 == 1, "has_c": z % 7 == 2, "is_planning": z % 5 == 0, "is_surgery": z % 11 == 0}
+    made = {"is_chronic": z <= 10, "is_disorder": z.between(11, 30), "is_symptom": z > 30, **{n: z % m == r for n, (m, r) in _DISEASE.items()}, **{f"sys_{k}": z % 9 == k for k in range(1, 9)}, "is_planning": z % 5 == 0, "is_surgery": z % 11 == 0}
     return table(s, d, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("name"), F.col("p_type").alias("type"), *[c.cast("int").alias(n) for n, c in made.items()])
 
 
@@ -138,6 +144,11 @@ def edges(s: SparkSession, d: str) -> DataFrame:
     return a.union(b).union(table(s, d, "region").select(F.col("r_regionkey").cast("bigint") + 100, F.lit(1).cast("bigint"))).distinct()
 
 
+def tree(s: SparkSession, d: str) -> DataFrame:
+    c = F.col("p_partkey")
+    return table(s, d, "part").where(c >= 10).select(c.alias("child"), F.floor(c / 10).alias("parent"))
+
+
 def scores(s: SparkSession, d: str) -> DataFrame:
     t = table(s, d, "labels").select("doc_id", F.col("toxic").alias("y"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("model"))
     i = F.col("doc_id")

@@ -9,7 +9,7 @@ from strandline.functions import scalars as S
 from strandline.operators import episodes as E
 from strandline.operators import temporal as T
 from strandline.plans.base import BACK, ENC, EPS, LATER, MEM, RANK, SOON, UTIL, enc, eps, mem, query
-from strandline.sources.io import table
+from strandline.sources.io import stored, table
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 
@@ -20,25 +20,18 @@ def cuts():
 
 
 def utilization(s: SparkSession, d: str, stays: DataFrame | None = None) -> DataFrame:
-    """Look-back and look-ahead of clinical episodes over inpatient ones."""
-    stays = eps(s, d) if stays is None else stays
+    """Look-back and look-ahead of clinical episodes over inpatient ones, on one stream of both."""
+    stays = stored(eps(s, d) if stays is None else stays, "episodes")
     pure, inp = stays.where("stay_rank in (4, 5, 6)").drop("episode", "members"), stays.where("stay_rank = 6")
-    back = T.look_back(
-        pure, "stay_start", inp, "stay_stop", "patient", BACK, ["stay_days", "cents"],
-        {"admissions": F.count("event"), "total_days": F.sum("event.stay_days"), "prev_cents": F.sum("event.cents")},
-    ).withColumn("total_days", F.coalesce("total_days", F.lit(0)))
-    prev = T.asof_previous(back, "stay_start", inp, "stay_stop", "patient", ["stay_id"])
-    nxt = T.asof_next(prev, "stay_stop", inp, "stay_start", "patient", ["stay_id"])
+    out = T.around(pure, "stay_start", "stay_stop", inp, "patient", BACK, ["stay_id"], "admissions", {"total_days": "stay_days", "prev_cents": "cents"})
     at = F.timestamp_micros(F.col("next.at"))
-    out = nxt.withColumns({"prev_stay_id": F.col("prev.stay_id"), "prev_stay_date": F.timestamp_micros(F.col("prev.at")), "following_stay_id": F.col("next.stay_id"), "following_stay_date": at, "days_to_readmit": S.elapsed("DAY", F.col("stay_stop"), at)})
+    out = out.withColumns({
+        "total_days": F.coalesce("total_days", F.lit(0)), "prev_stay_id": F.col("prev.stay_id"), "prev_stay_date": F.timestamp_micros(F.col("prev.at")),
+        "following_stay_id": F.col("next.stay_id"), "following_stay_date": at, "days_to_readmit": S.elapsed("DAY", F.col("stay_stop"), at),
+    })
     return out.withColumns({"readmit_soon": S.flag(F.col("days_to_readmit") <= SOON), "readmit_later": S.flag(F.col("days_to_readmit") <= LATER)}).drop("prev", "next")
 
 
-@query(f"WITH {UTIL} SELECT * FROM util")
-def build_helper_utilization(s, d):
-    return utilization(s, d)
-
-
 @query(f"WITH {EPS} SELECT * FROM eps")
 def group_episodes(s, d):
     return eps(s, d)
@@ -71,9 +64,22 @@ def filter_clinical(s, d):
 
 @query(f"WITH {ENC} SELECT id, stop FROM enc WHERE stop <= (SELECT max(stop) FROM enc) - INTERVAL 2 DAY")
 def filter_right_censor(s, d):
-    e = enc(s, d)
-    last = e.agg(F.max("stop").alias("last"))
-    return e.crossJoin(F.broadcast(last)).where(F.col("stop") <= F.col("last") - F.expr("interval 2 days")).select("id", "stop")  # one row
+    return censored(enc(s, d)).select("id", "stop")
+
+
+def bounded(e, name: str = "last"):
+    """Each row beside the one row of the latest stop."""
+    return e.crossJoin(F.broadcast(e.agg(F.max("stop").alias(name))))
+
+
+def censored(e):
+    """Rows that end two days before the latest stop at least."""
+    return bounded(e).where(F.col("stop") <= F.col("last") - F.expr("interval 2 days")).drop("last")
+
+
+@query(f"WITH {ENC} SELECT id, date_sub('day', stop, last) AS days_left FROM enc, (SELECT max(stop) AS last FROM enc) b")
+def join_cross_scalar(s, d):
+    return bounded(enc(s, d)).select("id", S.elapsed("DAY", F.col("stop"), F.col("last")).alias("days_left"))
 
 
 @query(f"WITH {ENC} SELECT e.id, c_custkey FROM enc e LEFT JOIN customer ON c_custkey = patient WHERE stop < coalesce(CASE WHEN c_acctbal < 0 THEN {CUT} END, TIMESTAMP '9999-12-31 00:00:00')")
@@ -116,11 +122,6 @@ def filter_window(s, d):
     return enc(s, d).where((F.col("start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stop") <= cuts())).select("id")
 
 
-@query("SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.k') IS NULL AND props IS NOT NULL")
-def filter_not_null(s, d):
-    return table(s, d, "events").where(F.get_json_object("props", "$.k").isNull() & F.col("props").isNotNull()).select("event_id", "event_type")
-
-
 @query(f"WITH {ENC} SELECT id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 4 WHEN 'error' THEN 5 WHEN 'purchase' THEN 6 ELSE 99 END AS rnk FROM enc")
 def map_class_rank(s, d):
     return enc(s, d).select("id", S.class_rank(F.col("class")).alias("rnk"))
@@ -151,21 +152,72 @@ def agg_group_span(s, d):
     return mem(s, d).groupBy("patient", "episode").agg(F.min("stay_start").alias("a"), F.max("stay_stop").alias("b"), F.max("stay_days").alias("days"))
 
 
-@query(f"WITH {UTIL} SELECT stay_id, admissions, total_days, prev_cents FROM util", "join_lookback", "agg_lookback_365")
+@query(f"WITH {UTIL} SELECT stay_id, admissions, total_days, prev_cents FROM util", "join_lookback")
+def join_lookback(s, d):
+    """Count and sums of the inpatient stays before each clinical one, by the look-back operator alone."""
+    stays = stored(eps(s, d), "episodes")
+    pure, inp = stays.where("stay_rank in (4, 5, 6)").select("patient", "stay_id", "stay_start"), stays.where("stay_rank = 6")
+    out = T.look_back(pure, "stay_start", inp, "stay_stop", "patient", BACK, "admissions", {"total_days": "stay_days", "prev_cents": "cents"})
+    return out.select("stay_id", "admissions", F.coalesce("total_days", F.lit(0)).alias("total_days"), "prev_cents")
+
+
+@query(f"WITH {UTIL} SELECT stay_id, admissions, total_days, CASE WHEN admissions > 0 THEN prev_cents / CAST(admissions AS DOUBLE) END AS avg_prev FROM util")
 def agg_lookback_365(s, d):
-    return utilization(s, d).select("stay_id", "admissions", "total_days", "prev_cents")
+    u = utilization(s, d)
+    return u.select("stay_id", "admissions", "total_days", F.try_divide(F.col("prev_cents").cast("double"), F.col("admissions")).alias("avg_prev"))
 
 
-@query(f"WITH {UTIL} SELECT stay_id, prev_stay_id, prev_stay_date FROM util", "asof_prev", "win_prev_rank")
+@query(f"WITH {UTIL} SELECT stay_id, prev_stay_id, prev_stay_date FROM util")
 def asof_prev(s, d):
     return utilization(s, d).select("stay_id", "prev_stay_id", "prev_stay_date")
 
 
-@query(f"WITH {UTIL} SELECT stay_id, following_stay_id, following_stay_date, days_to_readmit FROM util", "asof_next", "join_lookahead", "win_next_rank", "agg_pick_first")
-def asof_next(s, d):
+RANKED = f"""{EPS}, x AS (SELECT p.stay_id, i.stay_id AS other, row_number() OVER (PARTITION BY p.stay_id ORDER BY i.stay_stop DESC, i.stay_id DESC) AS back, NULL AS ahead FROM pure p JOIN inp i ON i.patient = p.patient AND i.stay_stop < p.stay_start),
+ y AS (SELECT p.stay_id, i.stay_id AS other, row_number() OVER (PARTITION BY p.stay_id ORDER BY i.stay_start, i.stay_id) AS ahead FROM pure p JOIN inp i ON i.patient = p.patient AND i.stay_start > p.stay_stop)"""
+
+
+def _ranked(s, d, ahead: bool, most: int = 3):
+    """The ``most`` nearest inpatient stays of each clinical one, ranked.
+
+    The nearest one is found as of its time; the others follow by their number within the
+    patient, so that stays are joined by equality and pairs are only those of the result.
+    """
+    stays = stored(eps(s, d), "episodes")
+    pure = stays.where("stay_rank in (4, 5, 6)").select("patient", "stay_id", "stay_start", "stay_stop")
+    at = "stay_start" if ahead else "stay_stop"
+    inp = stays.where("stay_rank = 6").select("patient", F.col("stay_id").alias("other"), at)
+    inp = stored(inp.withColumn("number", F.row_number().over(Window.partitionBy("patient").orderBy(at, "other"))), "numbered")
+    near = T.asof_next(pure, "stay_stop", inp, at, "patient", ["number"]) if ahead else T.asof_previous(pure, "stay_start", inp, at, "patient", ["number"])
+    first = F.col("next.number" if ahead else "prev.number")
+    ranks = near.where(first.isNotNull()).withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(most))))
+    step = F.col("rank") - 1
+    return ranks.withColumn("number", first + (step if ahead else -step)).join(inp.drop(at), ["patient", "number"]).select("stay_id", "other", "rank")
+
+
+@query(f"WITH {RANKED} SELECT stay_id, other, back AS rank FROM x WHERE back <= 3")
+def win_prev_rank(s, d):
+    return _ranked(s, d, ahead=False)
+
+
+@query(f"WITH {RANKED} SELECT stay_id, other, ahead AS rank FROM y WHERE ahead <= 3")
+def win_next_rank(s, d):
+    return _ranked(s, d, ahead=True)
+
+
+@query(f"WITH {UTIL} SELECT stay_id, following_stay_id, following_stay_date, days_to_readmit FROM util", "join_lookahead", "agg_pick_first")
+def join_lookahead(s, d):
     return utilization(s, d).select("stay_id", "following_stay_id", "following_stay_date", "days_to_readmit")
 
 
+@query(f"WITH {UTIL} SELECT stay_id, following_stay_id, following_stay_date FROM util")
+def asof_next(s, d):
+    """The next inpatient stay by the as-of operator alone."""
+    stays = stored(eps(s, d), "episodes")
+    pure, inp = stays.where("stay_rank in (4, 5, 6)").select("patient", "stay_id", "stay_stop"), stays.where("stay_rank = 6").select("patient", "stay_id", "stay_start")
+    out = T.asof_next(pure, "stay_stop", inp, "stay_start", "patient", ["stay_id"])
+    return out.select("stay_id", F.col("next.stay_id").alias("following_stay_id"), F.timestamp_micros("next.at").alias("following_stay_date"))
+
+
 @query(f"WITH {UTIL} SELECT readmit_soon, readmit_later, count(*) AS n FROM util GROUP BY 1, 2")
 def agg_readmit_flags(s, d):
     return utilization(s, d).groupBy("readmit_soon", "readmit_later").agg(F.count("*").alias("n"))
@@ -186,13 +238,13 @@ def suppress_planned(s, d):
 GROUPED = f"{MEM} SELECT stay_id, CAST(sum(cents) AS BIGINT) AS cents, max(rnk) AS rnk, CAST(max(CAST(cents % 3 = 0 AS INTEGER)) AS INTEGER) AS is_planned, count(*) AS n FROM mem WHERE stay_rank >= 4 AND stay_rank <= 6 GROUP BY stay_id"
 
 
-@query(f"WITH {GROUPED}", "agg_group_flags", "build_helper_clinical_grouped")
+@query(f"WITH {GROUPED}", "agg_group_flags")
 def agg_group_flags(s, d):
     m = mem(s, d).where("stay_rank between 4 and 6")
     return m.groupBy("stay_id").agg(F.sum("cents").alias("cents"), F.max("rnk").alias("rnk"), F.max((F.col("cents") % 3 == 0).cast("int")).alias("is_planned"), F.count("*").alias("n"))
 
 
-@query(f"WITH {MEM} SELECT stay_id, max(cents) AS admission, CAST(sum(cents) AS BIGINT) AS total, CAST(sum(cents) AS DOUBLE) / greatest(date_sub('day', min(start), max(stop)), 1) AS daily FROM mem GROUP BY stay_id", "agg_group_cost", "build_helper_cost_grouped")
+@query(f"WITH {MEM} SELECT stay_id, max(cents) AS admission, CAST(sum(cents) AS BIGINT) AS total, CAST(sum(cents) AS DOUBLE) / greatest(date_sub('day', min(start), max(stop)), 1) AS daily FROM mem GROUP BY stay_id", "agg_group_cost")
 def agg_group_cost(s, d):
     return mem(s, d).groupBy("stay_id").agg(F.max("cents").alias("admission"), F.sum("cents").alias("total"), (F.sum("cents").cast("double") / F.max("stay_days")).alias("daily"))
 
@@ -234,7 +286,7 @@ def qualify_top1(s, d):
     return enc(s, d).withColumn("rn", F.row_number().over(Window.partitionBy("patient").orderBy("start", "id"))).where("rn = 1").select("patient", "id", "start")
 
 
-@query(f"WITH {ENC} SELECT a.patient, min(b.id) AS dummy, count(*) AS n FROM enc a JOIN (SELECT DISTINCT patient, patient AS id FROM enc WHERE class = 'inpatient') b ON a.patient = b.patient GROUP BY a.patient", "semi_in", "join_inner_scope")
+@query(f"WITH {ENC} SELECT a.patient, min(b.id) AS dummy, count(*) AS n FROM enc a JOIN (SELECT DISTINCT patient, patient AS id FROM enc WHERE class = 'inpatient') b ON a.patient = b.patient GROUP BY a.patient", "semi_in")
 def semi_in(s, d):
     e = enc(s, d)
     hit = e.join(e.where("class = 'inpatient'").select("patient").distinct(), "patient", "left_semi")
@@ -271,10 +323,3 @@ def win_first_after_plan(s, d):
 @query(f"WITH {ENC} SELECT id FROM enc ORDER BY id")
 def order_by(s, d):
     return enc(s, d).select("id").orderBy("id")
-
-
-@query(f"WITH {UTIL} SELECT patient, stay_id, stay_start, stay_stop, CAST(year(stay_stop) AS INTEGER) AS y, CAST(month(stay_stop) AS INTEGER) AS m, stay_days, admissions, readmit_soon, readmit_later, c_mktsegment FROM util LEFT JOIN customer ON c_custkey = patient WHERE stay_start > TIMESTAMP '2024-01-05 00:00:00' AND stay_stop <= {CUT}", "build_index_stay", "assemble_index", "select_index_stay")
-def build_index_stay(s, d):
-    u = utilization(s, d).where((F.col("stay_start") > F.lit("2024-01-05").cast("timestamp")) & (F.col("stay_stop") <= cuts()))
-    c = table(s, d, "customer").select(F.col("c_custkey").alias("patient"), "c_mktsegment")
-    return u.join(c, "patient", "left").select("patient", "stay_id", "stay_start", "stay_stop", F.year("stay_stop").alias("y"), F.month("stay_stop").alias("m"), "stay_days", "admissions", "readmit_soon", "readmit_later", "c_mktsegment")

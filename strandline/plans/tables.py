@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,9 @@ from strandline.operators import models as ML
 from strandline.operators import quality_checks as Q
 from strandline.operators import temporal as T
 from strandline.plans.base import (
-    CLAIMS, DICT, EDGES, ENC, EPS, LONG, MEM, PLANS, SCORES, STAYS, UP, WIDE, claims, dictionary, edges, enc, eps, long, mem, plans, query, scores, stays,
+    CLAIMS, DICT, DISEASES, EDGES, ENC, EPS, LONG, MEM, PLANS, SCORES, STAYS, SYSTEMS, TREE, UP, WIDE, claims, dictionary, edges, enc, eps, long, mem, plans, query, scores, stays, tree,
 )
-from strandline.plans.stays import cuts, utilization
+from strandline.plans.stays import censored, cuts, utilization
 from strandline.sources import io
 from strandline.sources.io import table
 from strandline.streaming import sessions as ST
@@ -30,7 +32,7 @@ def unpivot_codes(s, d):
     return long(s, d)
 
 
-@query(f"WITH {LONG}, {DICT} SELECT code, min(name) AS name FROM (SELECT code FROM long UNION SELECT CAST(s_suppkey AS BIGINT) + 5000000 FROM supplier) LEFT JOIN dict USING (code) GROUP BY code", "union_distinct_codes", "unique_codes", "join_left_dim")
+@query(f"WITH {LONG}, {DICT} SELECT code, min(name) AS name FROM (SELECT code FROM long UNION SELECT CAST(s_suppkey AS BIGINT) + 5000000 FROM supplier) LEFT JOIN dict USING (code) GROUP BY code")
 def union_distinct_codes(s, d):
     return C.code_set(claims(s, d), WIDE, table(s, d, "supplier").select((F.col("s_suppkey") + 5_000_000).alias("code")), dictionary(s, d))
 
@@ -46,11 +48,11 @@ def agg_min_onset(s, d):
     return C.first_seen(long(s, d).join(dictionary(s, d).where("is_chronic = 1").select("code"), "code"), "patient", "code", "seen")
 
 
-ONSET = f"{LONG}, {DICT}, onset AS (SELECT patient, min(CASE WHEN has_a = 1 THEN seen END) AS has_a_start, min(CASE WHEN has_b = 1 THEN seen END) AS has_b_start, min(CASE WHEN has_c = 1 THEN seen END) AS has_c_start FROM long JOIN dict USING (code) GROUP BY patient)"
+ONSET = f"{LONG}, {DICT}, onset AS (SELECT patient, " + ", ".join(f"min(CASE WHEN {x} = 1 THEN seen END) AS {x}_start" for x in DISEASES) + " FROM long JOIN dict USING (code) GROUP BY patient)"
 
 
 def _onset(s, d):
-    return C.onsets(long(s, d).join(dictionary(s, d), "code"), "patient", "seen", ["has_a", "has_b", "has_c"])
+    return C.onsets(long(s, d).join(dictionary(s, d), "code"), "patient", "seen", DISEASES)
 
 
 @query(f"WITH {ONSET} SELECT * FROM onset")
@@ -58,10 +60,10 @@ def agg_cond_min_pivot(s, d):
     return _onset(s, d)
 
 
-@query(f"WITH {ONSET} SELECT encounter, CAST(coalesce(seen >= has_a_start, false) AS INTEGER) AS a, CAST(coalesce(seen >= has_b_start, false) AS INTEGER) AS b, CAST(coalesce(seen >= has_c_start, false) AS INTEGER) AS c FROM claims LEFT JOIN onset USING (patient)")
+@query(f"WITH {ONSET} SELECT encounter, " + ", ".join(f"CAST(coalesce(seen >= {x}_start, false) AS INTEGER) AS {x}" for x in DISEASES) + " FROM claims LEFT JOIN onset USING (patient)")
 def onset_flag(s, d):
     c = claims(s, d).select("encounter", "patient", "seen").join(_onset(s, d), "patient", "left")
-    return c.select("encounter", *[S.flag(F.col("seen") >= F.col(f"has_{x}_start")).alias(x) for x in "abc"])
+    return c.select("encounter", *[S.flag(F.col("seen") >= F.col(f"{x}_start")).alias(x) for x in DISEASES])
 
 
 CLIN = f"""{ONSET}, first_chronic AS (SELECT patient, code, min(seen) AS f FROM long JOIN dict USING (code) WHERE is_chronic = 1 GROUP BY 1, 2),
@@ -72,31 +74,74 @@ CLIN = f"""{ONSET}, first_chronic AS (SELECT patient, code, min(seen) AS f FROM
  nproc AS (SELECT l_orderkey AS encounter, count(*) AS num_procedures FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"""
 
 
+def main_codes(s: SparkSession, d: str, groups: DataFrame) -> DataFrame:
+    """Main code of each group (grp, code) with its dictionary row, and how many disorders and findings the group has.
+
+    A group with disorders elects among these, else among all its codes: favoured codes first,
+    no ancestor of another, fewest descendants, least code.
+    """
+    dic, up = dictionary(s, d), C.closure(tree(s, d))
+    known = groups.join(dic.select("code", "is_disorder", "is_symptom"), "code")
+    totals = known.groupBy("grp").agg(F.sum("is_disorder").alias("num_disorders"), F.sum("is_symptom").alias("num_findings"), F.max("is_disorder").alias("_top"))
+    totals = io.stored(totals, "totals")
+    electors = known.join(totals.select("grp", "_top"), "grp").where(F.col("is_disorder") == F.col("_top")).select("grp", "code")
+    desc = up.groupBy(F.col("ancestor").alias("code")).agg(F.countDistinct("node").alias("n_desc"))
+    favoured = dic.where("code % 50 = 0").select("code")
+    main = C.elected(electors, up, desc, favoured).withColumnRenamed("main_code", "code")
+    named = main.join(dic.select("code", F.col("name").alias("main_name"), "is_disorder", "is_symptom", *SYSTEMS), "code", "left").withColumnRenamed("code", "main_code")
+    return totals.drop("_top").join(named, "grp", "left")
+
+
+def main_sql(groups: str, name: str = "main") -> str:
+    """CTEs that end in ``name``, as :func:`main_codes` on the CTE ``groups`` (grp, code)."""
+    g = groups
+    return f"""{g}_known AS (SELECT grp, code, is_disorder, is_symptom, max(is_disorder) OVER (PARTITION BY grp) AS top FROM {g} JOIN dict USING (code)),
+ {g}_e AS (SELECT grp, code FROM {g}_known WHERE is_disorder = top),
+ {g}_up AS (SELECT DISTINCT e.grp, a.ancestor AS code FROM {g}_e e JOIN above a ON a.node = e.code),
+ {g}_m AS (SELECT e.grp, arg_min(e.code, (CASE WHEN e.code % 50 = 0 THEN 0 ELSE 1 END, coalesce(n_desc, 0), e.code)) AS main_code FROM {g}_e e LEFT JOIN below b ON b.code = e.code LEFT JOIN {g}_up u ON u.grp = e.grp AND u.code = e.code WHERE u.code IS NULL GROUP BY e.grp),
+ {name} AS (SELECT t.grp, t.num_disorders, t.num_findings, main_code, dict.name AS main_name, is_disorder, is_symptom, {', '.join(SYSTEMS)}
+ FROM (SELECT grp, CAST(sum(is_disorder) AS BIGINT) AS num_disorders, CAST(sum(is_symptom) AS BIGINT) AS num_findings FROM {g}_known GROUP BY grp) t LEFT JOIN {g}_m m ON m.grp = t.grp LEFT JOIN dict ON dict.code = m.main_code)"""
+
+
+#: Columns that are 0 where a group has no main code.
+ZEROED = ["is_disorder", "is_symptom", *SYSTEMS, "num_disorders", "num_findings"]
+
+
 def clinical(s: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
-    """One row for each encounter with procedures, chronic codes so far, onsets, planning and surgery."""
-    c = (claims(s, d) if base is None else base)
+    """One row of 28 columns for each encounter: main code, counts, chronic codes so far, onsets, planning and surgery.
+
+    With ``base`` (claims of some patients) only these patients' procedures are read on.
+    """
+    c = io.stored(claims(s, d), "claims") if base is None else base
     rows = c.select("encounter", "patient", "seen")
     dic = dictionary(s, d)
-    codes = C.unpivot_codes(c, ["encounter", "patient", "seen"], WIDE).join(dic, "code")
+    codes = io.stored(C.unpivot_codes(c, ["encounter", "patient", "seen"], WIDE).join(dic, "code"), "codes")
     out = T.count_until(rows, "seen", C.first_seen(codes.where("is_chronic = 1"), "patient", "code", "seen"), "first_seen", "patient", "num_chronic")
-    proc = table(s, d, "lineitem").where("l_returnflag = 'R'")
-    ev = proc.join(table(s, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(dic, F.col("code") == F.col("l_partkey")).select(F.col("o_custkey").alias("patient"), F.col("l_shipdate").cast("timestamp").alias("ts"), "is_planning", "is_surgery")
+    proc, orders = table(s, d, "lineitem").where("l_returnflag = 'R'"), table(s, d, "orders").select("o_orderkey", "o_custkey")
+    if base is not None:
+        orders = orders.join(rows.select(F.col("patient").alias("o_custkey")).distinct(), "o_custkey", "left_semi")
+    proc = proc.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    ev = proc.join(dic, F.col("code") == F.col("l_partkey")).select(F.col("o_custkey").alias("patient"), F.col("l_shipdate").cast("timestamp").alias("ts"), "is_planning", "is_surgery")
     out = T.latest_before(out, "seen", ev.where("is_surgery = 1").select("patient", "ts"), "ts", "patient", "last")
     first = ev.where("is_planning = 1").groupBy("patient").agg(F.min("ts").alias("t"))
     plan = rows.join(first, "patient").where("seen > t").groupBy("patient").agg(F.min_by("encounter", F.struct("seen", "encounter")).alias("encounter")).select("encounter", F.lit(1).alias("planned"))
     many = proc.groupBy(F.col("l_orderkey").alias("encounter")).agg(F.count("*").alias("num_procedures"))
-    on = C.onsets(codes, "patient", "seen", ["has_a", "has_b", "has_c"])
-    out = out.join(on, "patient", "left").join(plan, "encounter", "left").join(many, "encounter", "left")
+    on = C.onsets(codes, "patient", "seen", DISEASES)
+    main = main_codes(s, d, codes.select(F.col("encounter").alias("grp"), "code")).withColumnRenamed("grp", "encounter")
+    out = out.join(on, "patient", "left").join(plan, "encounter", "left").join(many, "encounter", "left").join(main, "encounter", "left")
     recent = S.elapsed("DAY", F.col("last"), F.col("seen")) < 730
     return out.select(
-        "encounter", "patient", "num_chronic", F.coalesce("num_procedures", F.lit(0)).alias("num_procedures"), *[S.flag(F.col("seen") >= F.col(f"has_{x}_start")).alias(f"has_{x}") for x in "abc"],
+        "encounter", "patient", "main_code", "main_name", *[F.coalesce(x, F.lit(0)).alias(x) for x in ZEROED], F.coalesce("num_procedures", F.lit(0)).alias("num_procedures"), "num_chronic",
+        *[S.flag(F.col("seen") >= F.col(f"{x}_start")).alias(x) for x in DISEASES],
         F.coalesce("planned", F.lit(0)).alias("is_planned"), S.flag(recent).alias("had_surgery"), F.when(recent, F.col("last")).alias("last_surgery"),
     )
 
 
-CLIN_SQL = f"""WITH {CLIN} SELECT c.encounter, c.patient, num_chronic, coalesce(num_procedures, 0) AS num_procedures, CAST(coalesce(seen >= has_a_start, false) AS INTEGER) AS has_a, CAST(coalesce(seen >= has_b_start, false) AS INTEGER) AS has_b,
- CAST(coalesce(seen >= has_c_start, false) AS INTEGER) AS has_c, CASE WHEN plan1.encounter IS NULL THEN 0 ELSE 1 END AS is_planned, CASE WHEN last_surgery IS NULL THEN 0 ELSE 1 END AS had_surgery, last_surgery
- FROM claims c LEFT JOIN onset USING (patient) LEFT JOIN chronic USING (encounter) LEFT JOIN surg USING (encounter) LEFT JOIN plan1 USING (encounter) LEFT JOIN nproc USING (encounter)"""
+CLIN_ROWS = f"""SELECT c.encounter, c.patient, main_code, main_name, {', '.join(f'coalesce({x}, 0) AS {x}' for x in ZEROED)}, coalesce(num_procedures, 0) AS num_procedures, num_chronic, {', '.join(f'CAST(coalesce(seen >= {x}_start, false) AS INTEGER) AS {x}' for x in DISEASES)},
+ CASE WHEN plan1.encounter IS NULL THEN 0 ELSE 1 END AS is_planned, CASE WHEN last_surgery IS NULL THEN 0 ELSE 1 END AS had_surgery, last_surgery
+ FROM claims c LEFT JOIN onset USING (patient) LEFT JOIN chronic USING (encounter) LEFT JOIN surg USING (encounter) LEFT JOIN plan1 USING (encounter) LEFT JOIN nproc USING (encounter) LEFT JOIN cmain ON cmain.grp = c.encounter"""
+CLIN_ALL = f"{TREE}, {CLIN}, cgrp AS (SELECT DISTINCT encounter AS grp, code FROM long), {main_sql('cgrp', 'cmain')}"
+CLIN_SQL = f"WITH {CLIN_ALL} {CLIN_ROWS}"
 
 
 @query(CLIN_SQL)
@@ -104,11 +149,11 @@ def build_helper_clinical(s, d):
     return clinical(s, d)
 
 
-@query(CLIN_SQL, "clinical_update", "known_codes_delta")
+@query(CLIN_SQL)
 def clinical_update(s, d):
-    c = claims(s, d)
+    c = io.stored(claims(s, d), "claims")
     old, new = c.where("encounter % 10 <> 3"), c.where("encounter % 10 = 3")
-    return I.update(clinical(s, d, old), old, new, "patient", lambda rows: clinical(s, d, rows))
+    return I.update(io.stored(clinical(s, d, old), "clinical"), old, new, "patient", lambda rows: clinical(s, d, rows))
 
 
 @query(f"WITH {LONG}, {DICT} SELECT DISTINCT code FROM long WHERE code NOT IN (SELECT code FROM dict WHERE code % 3 = 0)")
@@ -116,14 +161,40 @@ def dict_delta(s, d):
     return I.unseen(long(s, d), dictionary(s, d).where("code % 3 = 0"))
 
 
-@query(f"WITH {LONG}, {DICT} SELECT encounter, CAST(sum(is_disorder) AS BIGINT) AS disorders, CAST(sum(is_symptom) AS BIGINT) AS symptoms, CAST(max(is_chronic) AS INTEGER) AS chronic FROM long JOIN dict USING (code) GROUP BY encounter", "codes_split", "agg_baseline_max")
+@query(f"WITH {LONG}, {DICT} SELECT encounter, CAST(sum(is_disorder) AS BIGINT) AS disorders, CAST(sum(is_symptom) AS BIGINT) AS symptoms, CAST(max(is_chronic) AS INTEGER) AS chronic FROM long JOIN dict USING (code) GROUP BY encounter")
 def codes_split(s, d):
     return long(s, d).join(dictionary(s, d), "code").groupBy("encounter").agg(F.sum("is_disorder").alias("disorders"), F.sum("is_symptom").alias("symptoms"), F.max("is_chronic").alias("chronic"))
 
 
-@query(f"WITH {CLAIMS} SELECT encounter, CAST(CAST(d1 AS DECIMAL(38,1)) AS BIGINT) AS code FROM claims", "codes_flatten")
+@query(f"WITH {LONG} SELECT DISTINCT patient, code FROM long")
 def codes_flatten(s, d):
-    return claims(s, d).select("encounter", S.code_of(F.col("d1")).alias("code"))
+    """The distinct codes of each patient over all wide columns of all its claims."""
+    return C.unpivot_codes(claims(s, d), ["patient"], WIDE)
+
+
+@query(f"WITH {CLAIMS} SELECT encounter, slot, code FROM (UNPIVOT claims ON d1, d2, d3, d4, d5, d6, d7, d8 INTO NAME slot VALUE code)")
+def filter_not_null(s, d):
+    """The filled wide columns, each with its place; nulls go before anything is parsed."""
+    return claims(s, d).unpivot(["encounter"], WIDE, "slot", "code").where("code is not null")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, p_name, p_type FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON p_partkey = l_partkey")
+def join_left_dim(s, d):
+    names = table(s, d, "part").where("p_size < 40").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(names, "l_partkey", "left")
+
+
+@query(f"WITH {LONG}, {DICT} SELECT DISTINCT code, name FROM (SELECT code FROM long WHERE seen <= TIMESTAMP '1998-06-30 00:00:00' UNION SELECT CAST(s_suppkey AS BIGINT) + 5000000 FROM supplier) LEFT JOIN dict USING (code) ORDER BY code")
+def unique_codes(s, d):
+    """Codes in use up to an end date, with names, in order."""
+    seen = claims(s, d).where(F.col("seen") <= F.lit("1998-06-30").cast("timestamp"))
+    return C.code_set(seen, WIDE, table(s, d, "supplier").select((F.col("s_suppkey") + 5_000_000).alias("code")), dictionary(s, d)).orderBy("code")
+
+
+@query(f"WITH {CLIN_ALL}, rows AS ({CLIN_ROWS}) SELECT patient, max(is_planned) AS is_planned, " + ", ".join(f"max({x}) AS {x}" for x in DISEASES) + " FROM rows GROUP BY patient")
+def agg_baseline_max(s, d):
+    """The flags a patient has had so far: the greatest of the stored ones."""
+    return clinical(s, d).groupBy("patient").agg(*[F.max(x).alias(x) for x in ("is_planned", *DISEASES)])
 
 
 # ---- costs ----------------------------------------------------------------
@@ -137,7 +208,7 @@ def costed(x: DataFrame) -> DataFrame:
     return x.select("stay_id", "patient", "claim", "base", "procedures", "medications", total.alias("total"), (S.greatest_or_null(F.col("claim") - F.col("base"), F.col("procedures") + F.col("medications")).cast("double") / day).alias("per_day"))
 
 
-@query(f"WITH {COST} SELECT * FROM cost", "build_helper_cost", "cost_total", "cost_per_day", "agg_sum_round")
+@query(f"WITH {COST} SELECT * FROM cost")
 def build_helper_cost(s, d):
     return costed(stays(s, d))
 
@@ -165,25 +236,75 @@ def join_semi_dedup(s, d):
     return table(s, d, "supplier").join(table(s, d, "lineitem").where("l_quantity >= 49"), F.col("s_suppkey") == F.col("l_suppkey"), "left_semi").select("s_suppkey", "s_name")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON o_orderkey = l_orderkey", "build_slim_children")
+@query("SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O') ON o_orderkey = l_orderkey")
+def join_inner_scope(s, d):
+    """Child rows of valid parents, with a column of the parent; a parent's key is unique."""
+    valid = table(s, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber").join(valid, "l_orderkey")
+
+
+def slim_children(s: SparkSession, d: str, valid: DataFrame) -> dict[str, DataFrame]:
+    """The six child tables cut down to valid encounters (id): care plans, claims, conditions, medications, procedures, organizations."""
+    o, li = table(s, d, "orders"), table(s, d, "lineitem")
+    mine = lambda df, c: df.join(valid.select(F.col("id").alias(c)), c, "left_semi")
+    lines = mine(li, "l_orderkey")
+    child = lambda df: df.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("code"), F.col("l_shipdate").cast("timestamp").alias("at"))
+    made = {
+        "careplans": mine(plans(s, d).select(F.col("plan").alias("id"), F.lit(None).cast("bigint").alias("code"), F.col("start").cast("timestamp").alias("at")), "id"),
+        "claims": mine(o, "o_orderkey").select(F.col("o_orderkey").alias("id"), F.lit(None).cast("bigint").alias("code"), F.col("o_orderdate").cast("timestamp").alias("at")),
+        "conditions": child(lines.where("l_returnflag = 'N'")),
+        "medications": child(lines.where("l_returnflag = 'A'")),
+        "procedures": child(lines.where("l_returnflag = 'R'")),
+    }
+    used = lines.select(F.col("l_suppkey").alias("s_suppkey")).distinct()
+    made["organizations"] = table(s, d, "supplier").join(used, "s_suppkey", "left_semi").select(F.col("s_suppkey").cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("code"), F.lit(None).cast("timestamp").alias("at"))
+    return made
+
+
+def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for name, df in tables.items():
+        df = df.select(F.lit(name).alias("child"), "id", "code", "at")
+        out = df if out is None else out.union(df)
+    return out
+
+
+CHILDREN = f"""valid AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'), lines AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT id FROM valid)),
+ children AS (SELECT 'careplans' AS child, plan AS id, CAST(NULL AS BIGINT) AS code, CAST(start AS TIMESTAMP) AS "at" FROM plans WHERE plan IN (SELECT id FROM valid) UNION ALL SELECT 'claims', o_orderkey, NULL, o_orderdate FROM orders WHERE o_orderkey IN (SELECT id FROM valid)
+ UNION ALL SELECT CASE l_returnflag WHEN 'N' THEN 'conditions' WHEN 'A' THEN 'medications' ELSE 'procedures' END, l_orderkey, l_partkey, l_shipdate FROM lines WHERE l_returnflag IN ('N', 'A', 'R') UNION ALL SELECT 'organizations', s_suppkey, NULL, NULL FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lines))"""
+
+
+@query(f"WITH {PLANS}, {CHILDREN} SELECT * FROM children")
 def build_slim_children(s, d):
-    return table(s, d, "lineitem").join(table(s, d, "orders").where("o_orderstatus = 'F'"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return _stacked(slim_children(s, d, table(s, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))))
+
+
+@query(f"WITH {PLANS}, {CHILDREN} SELECT child, id, code FROM children WHERE last_day(CAST(\"at\" AS DATE)) = DATE '1997-03-31'")
+def scan_month_segment(s, d):
+    """The child tables of one month; each must have it."""
+    root = io.scratch(s, "months")
+    made = slim_children(s, d, table(s, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id")))
+    for name in (n for n in made if n != "organizations"):
+        io.write_periods(made[name], "at", f"{root}/{name}")
+    month = io.read_month(s, root, [n for n in made if n != "organizations"], "1997-03-31")
+    return _stacked(month).drop("at")
 
 
-SLIM = f"WITH {ENC} SELECT id, patient, start, stop, class FROM enc WHERE class <> 'wellness' AND stop <= (SELECT max(stop) FROM enc) - INTERVAL 2 DAY"
+SLIM = f"WITH {ENC} SELECT id, patient, start, stop, class FROM enc LEFT JOIN customer ON c_custkey = patient WHERE class <> 'wellness' AND stop <= (SELECT max(stop) FROM enc) - INTERVAL 2 DAY AND stop < coalesce(CASE WHEN c_acctbal < 0 THEN TIMESTAMP '2024-01-20 00:00:00' END, TIMESTAMP '9999-12-31 00:00:00')"
 
 
-@query(SLIM, "build_slim_encounters")
+@query(SLIM)
 def build_slim_encounters(s, d):
-    e = enc(s, d)
-    last = e.agg(F.max("stop").alias("last"))
-    return e.where("class <> 'wellness'").crossJoin(F.broadcast(last)).where(F.col("stop") <= F.col("last") - F.expr("interval 2 days")).select("id", "patient", "start", "stop", "class")  # one row
+    """Encounters of the wanted classes that end well before the last one, of patients alive."""
+    death = table(s, d, "customer").select(F.col("c_custkey").alias("patient"), F.when(F.col("c_acctbal") < 0, cuts()).alias("death"))
+    e = censored(enc(s, d)).where("class <> 'wellness'").join(death, "patient", "left")
+    return e.where(F.col("stop") < F.coalesce("death", F.lit("9999-12-31").cast("timestamp"))).select("id", "patient", "start", "stop", "class")
 
 
 ACTIVE = f"{PLANS}, {ENC}, active AS (SELECT DISTINCT e.id, e.patient, p.plan FROM enc e JOIN (SELECT plan, patient, start + INTERVAL 9131 DAY AS start, stop + INTERVAL 9131 DAY AS stop FROM plans) p ON p.patient = e.patient AND CAST(e.start AS DATE) > p.start AND CAST(e.start AS DATE) < coalesce(p.stop, DATE '2030-01-01'))"
 
 
-@query(f"WITH {ACTIVE} SELECT id, plan FROM active", "join_interval_active", "careplan_feed", "careplan_delta")
+@query(f"WITH {ACTIVE} SELECT id, plan FROM active")
 def join_interval_active(s, d):
     p = plans(s, d).select("plan", "patient", F.date_add("start", 9131).alias("start"), F.date_add("stop", 9131).alias("stop"))
     e = enc(s, d).select("id", "patient", F.to_date("start").alias("day"))
@@ -191,9 +312,22 @@ def join_interval_active(s, d):
 
 
 # ---- hierarchy --------------------------------------------------------------
-@query(f"WITH {EDGES} SELECT * FROM edges")
+def _concepts(s: SparkSession, d: str, kept: str = "true") -> DataFrame:
+    """Nations and regions as concepts of one JSON file each, some relationships inactive or of another type."""
+    n, r = table(s, d, "nation"), table(s, d, "region")
+    link = lambda active, kind, target: F.struct(active.alias("active"), F.struct(F.lit(kind).alias("conceptId")).alias("type"), F.struct(target.cast("string").alias("conceptId")).alias("target"))
+    up = F.array(link(F.col("n_nationkey") % 4 != 3, "116680003", F.col("n_regionkey") + 100), link(F.lit(True), "363698007", F.lit(7)), link(F.lit(True), "116680003", F.lit(1)))
+    a = n.select((F.col("n_nationkey") + 1000).cast("string").alias("conceptId"), (F.col("n_nationkey") % 6 != 5).alias("active"), F.array(F.struct(F.col("n_name").alias("term"))).alias("descriptions"), up.alias("relationships"))
+    b = r.select((F.col("r_regionkey") + 100).cast("string").alias("conceptId"), F.lit(True).alias("active"), F.array(F.struct(F.col("r_name").alias("term"))).alias("descriptions"), F.array(link(F.lit(True), "116680003", F.lit(1))).alias("relationships"))
+    path = io.scratch(s, "concepts")
+    a.union(b).where(kept).repartition(30, "conceptId").write.option("maxRecordsPerFile", 1).json(path)
+    return io.read_concepts(s, path)
+
+
+@query("SELECT CAST(1000 + n_nationkey AS BIGINT) AS child, CAST(100 + n_regionkey AS BIGINT) AS parent FROM nation WHERE n_nationkey % 6 <> 5 AND n_nationkey % 4 <> 3 UNION SELECT CAST(1000 + n_nationkey AS BIGINT), 1 FROM nation WHERE n_nationkey % 6 <> 5 UNION SELECT CAST(100 + r_regionkey AS BIGINT), 1 FROM region")
 def graph_edges(s, d):
-    return edges(s, d)
+    """Active is-a relationships of the active concepts of a JSON store."""
+    return C.is_a_edges(_concepts(s, d))
 
 
 @query(f"WITH {UP} SELECT node, ancestor, min(depth) AS depth FROM up WHERE ancestor NOT IN (1, 101) GROUP BY 1, 2")
@@ -211,21 +345,36 @@ TARGETS = "t(name, target) AS (VALUES ('europe', 103), ('asia', 102), ('nation',
 FLAGS = f"WITH {UP}, {TARGETS}, own AS (SELECT node, ancestor FROM up UNION SELECT child, child FROM edges) SELECT node, max(CASE WHEN name = 'europe' THEN 1 ELSE 0 END) AS europe, max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) AS asia, max(CASE WHEN name = 'nation' THEN 1 ELSE 0 END) AS nation FROM own LEFT JOIN t ON target = ancestor GROUP BY node"
 
 
-@query(FLAGS, "dict_flags", "dict_build")
+@query(FLAGS)
 def dict_flags(s, d):
     e = edges(s, d)
     t = s.createDataFrame([("europe", 103), ("asia", 102), ("nation", 1007)], "name string, target bigint")
     return C.dictionary_flags(e.select(F.col("child").alias("node")).distinct(), C.closure(e), t, ["europe", "asia", "nation"])
 
 
-@query(f"WITH {DICT} SELECT code, is_disorder, CASE WHEN is_disorder = 1 THEN 0 ELSE is_symptom END AS is_symptom, greatest(is_chronic, has_a, has_b, has_c) AS is_chronic FROM dict")
+@query(f"WITH {DICT} SELECT code, is_disorder, CASE WHEN is_disorder = 1 THEN 0 ELSE is_symptom END AS is_symptom, greatest(is_chronic, {", ".join(DISEASES)}) AS is_chronic FROM dict")
 def dict_fix(s, d):
-    return C.fixed_flags(dictionary(s, d), ["has_a", "has_b", "has_c"]).select("code", "is_disorder", "is_symptom", "is_chronic")
+    return C.fixed_flags(dictionary(s, d), DISEASES).select("code", "is_disorder", "is_symptom", "is_chronic")
 
 
-@query("SELECT p_partkey, coalesce(CASE WHEN p_size > 25 THEN p_name END, p_type) AS name FROM part")
+@query("SELECT CAST(1000 + c_nationkey AS BIGINT) AS code, coalesce(min(CASE WHEN c_nationkey % 2 = 0 THEN 'known ' || c_nationkey END), min(n_name)) AS name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 7 <> 1) ON n_nationkey = c_nationkey GROUP BY 1")
 def dict_describe(s, d):
-    return table(s, d, "part").select("p_partkey", F.coalesce(F.when(F.col("p_size") > 25, F.col("p_name")), F.col("p_type")).alias("name"))
+    """Missing names taken from the first description of the concept."""
+    n = F.col("c_nationkey")
+    codes = table(s, d, "customer").select(n.cast("bigint") + 1000, F.when(n % 2 == 0, F.concat(F.lit("known "), n.cast("string")))).toDF("code", "name").distinct()
+    return C.described_codes(codes, _concepts(s, d, "(cast(conceptId as int) - 1000) % 7 <> 1"))
+
+
+@query("WITH RECURSIVE " + FLAGS.removeprefix("WITH RECURSIVE ").replace("SELECT node, max(CASE WHEN name = 'europe'", "SELECT node AS code, coalesce(any_value(c_name), any_value(n_name), any_value(r_name)) AS label, max(CASE WHEN name = 'europe'").replace("greatest", "greatest").replace(" GROUP BY node", " LEFT JOIN customer ON 1000000 + c_custkey = node LEFT JOIN nation ON 1000 + n_nationkey = node LEFT JOIN region ON 100 + r_regionkey = node GROUP BY node").replace("max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) AS asia", "CASE WHEN max(CASE WHEN name = 'europe' THEN 1 ELSE 0 END) = 1 THEN 0 ELSE max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) END AS asia"))
+def dict_build(s, d):
+    """Codes with names, flags over the hierarchy, and the rule that one flag clears another."""
+    e = edges(s, d)
+    t = s.createDataFrame([("europe", 103), ("asia", 102), ("nation", 1007)], "name string, target bigint")
+    nodes = e.select(F.col("child").alias("node")).distinct()
+    names = table(s, d, "customer").select((F.col("c_custkey") + 1_000_000).alias("node"), F.col("c_name").alias("label"))
+    names = names.union(table(s, d, "nation").select(F.col("n_nationkey").cast("bigint") + 1000, "n_name")).union(table(s, d, "region").select(F.col("r_regionkey").cast("bigint") + 100, "r_name"))
+    flags = C.dictionary_flags(nodes, C.closure(e), t, ["europe", "asia", "nation"]).join(names, "node", "left")
+    return flags.select(F.col("node").alias("code"), "label", "europe", F.when(F.col("europe") == 1, 0).otherwise(F.col("asia")).alias("asia"), "nation")
 
 
 GRP = f"{UP}, grp AS (SELECT c_custkey % 97 AS grp, CAST(1000 + c_nationkey AS BIGINT) AS code FROM customer WHERE c_custkey % 5 = 0 UNION SELECT c_custkey % 97, CAST(100 + n_regionkey AS BIGINT) FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 3 = 0), nd AS (SELECT ancestor AS code, count(DISTINCT node) AS n_desc FROM up GROUP BY 1), main AS (SELECT grp, arg_min(code, (coalesce(n_desc, 0), code)) AS main_code FROM grp g LEFT JOIN nd USING (code) WHERE NOT EXISTS (SELECT 1 FROM grp h JOIN up ON up.node = h.code AND up.ancestor = g.code WHERE h.grp = g.grp) GROUP BY grp)"
@@ -245,12 +394,23 @@ def _elected(s, d):
     return C.elected(_grp(s, d), up, desc)
 
 
-@query(f"WITH {GRP} SELECT * FROM main", "main_code_elect", "argmin_descendants")
+@query("WITH " + GRP.replace("arg_min(code, (coalesce(n_desc, 0), code))", "arg_min(code, (CASE WHEN code % 9 = 4 THEN 0 ELSE 1 END, coalesce(n_desc, 0), code))") + " SELECT * FROM main")
 def main_code_elect(s, d):
-    return _elected(s, d)
+    up = C.closure(edges(s, d))
+    desc = up.groupBy(F.col("ancestor").alias("code")).agg(F.countDistinct("node").alias("n_desc"))
+    favoured = up.select(F.col("node").alias("code")).union(up.select("ancestor")).distinct().where("code % 9 = 4")
+    return C.elected(_grp(s, d), up, desc, favoured)
+
+
+@query(f"WITH {GRP} SELECT grp, arg_min(code, (coalesce(n_desc, 0), code)) AS code FROM grp LEFT JOIN nd USING (code) GROUP BY grp")
+def argmin_descendants(s, d):
+    """The code with fewest descendants in each group, ancestors of others included."""
+    desc = C.closure(edges(s, d)).groupBy(F.col("ancestor").alias("code")).agg(F.countDistinct("node").alias("n_desc"))
+    x = _grp(s, d).join(desc, "code", "left")
+    return x.groupBy("grp").agg(F.min_by("code", F.struct(F.coalesce("n_desc", F.lit(0)), "code")).alias("code"))
 
 
-@query(f"WITH {GRP} SELECT m.grp, main_code, count(*) AS num_codes, count(*) FILTER (code >= 1000) AS num_fine, coalesce(any_value(n_name), any_value(r_name)) AS name FROM main m JOIN grp USING (grp) LEFT JOIN nation ON main_code = 1000 + n_nationkey LEFT JOIN region ON main_code = 100 + r_regionkey GROUP BY 1, 2", "main_diagnoses", "main_diag_delta", "main_diag_feed")
+@query(f"WITH {GRP} SELECT m.grp, main_code, count(*) AS num_codes, count(*) FILTER (code >= 1000) AS num_fine, coalesce(any_value(n_name), any_value(r_name)) AS name FROM main m JOIN grp USING (grp) LEFT JOIN nation ON main_code = 1000 + n_nationkey LEFT JOIN region ON main_code = 100 + r_regionkey GROUP BY 1, 2")
 def main_diagnoses(s, d):
     counts = _grp(s, d).groupBy("grp").agg(F.count("*").alias("num_codes"), F.count_if(F.col("code") >= 1000).alias("num_fine"))
     names = table(s, d, "nation").select((F.col("n_nationkey").cast("bigint") + 1000).alias("main_code"), F.col("n_name").alias("name")).union(table(s, d, "region").select(F.col("r_regionkey").cast("bigint") + 100, "r_name"))
@@ -272,7 +432,7 @@ def code_related(s, d):
     return _related(s, d).select("pair_id", "is_related")
 
 
-@query(f"WITH {PAIRS} SELECT o_custkey, max(is_related) AS is_related, max(greatest(0, CAST(pair_id % 2 AS INTEGER) * is_related)) AS rel_readmit FROM rel JOIN orders ON o_orderkey = pair_id GROUP BY 1", "related_readmit", "careplan_related", "agg_max_relation", "related_feed", "related_update")
+@query(f"WITH {PAIRS} SELECT o_custkey, max(is_related) AS is_related, max(greatest(0, CAST(pair_id % 2 AS INTEGER) * is_related)) AS rel_readmit FROM rel JOIN orders ON o_orderkey = pair_id GROUP BY 1", "related_readmit", "agg_max_relation")
 def related_readmit(s, d):
     r = _related(s, d).join(table(s, d, "orders"), F.col("o_orderkey") == F.col("pair_id"))
     return r.groupBy("o_custkey").agg(F.max("is_related").alias("is_related"), F.max(F.greatest(F.lit(0), (F.col("pair_id") % 2).cast("int") * F.col("is_related"))).alias("rel_readmit"))
@@ -291,29 +451,8 @@ def surgery_combine(s, d):
     return plans(s, d).select("plan", F.greatest("start", "stop").alias("latest"))
 
 
-# ---- increments -----------------------------------------------------------------
-@query(f"WITH {MEM} SELECT id, stay_id, episode FROM mem", "clinical_grouped_update", "cost_grouped_update", "continuation_skip")
-def clinical_grouped_update(s, d):
-    e = enc(s, d)
-    old, new = e.where(F.col("start") < cuts()), e.where(F.col("start") >= cuts())
-    return I.update(mem(s, d, old), old, new, "patient", lambda rows: mem(s, d, rows)).select("id", "stay_id", "episode")
-
-
-def _util_sql() -> str:
-    from strandline.plans.base import UTIL
-
-    return f"WITH {UTIL} SELECT * FROM util"
-
-
-@query(_util_sql(), "utilization_update", "index_update", "run_period")
-def utilization_update(s, d):
-    e = enc(s, d)
-    old, new = e.where((F.col("start") < cuts()) & (F.col("patient") % 3 != 1)), e.where((F.col("start") >= cuts()) | (F.col("patient") % 3 == 1))
-    build = lambda rows: utilization(s, d, eps(s, d, rows))
-    return I.update(io.stored(build(old), "utilization"), old, new, "patient", build)
-
-
-@query(f"WITH {ENC} SELECT id, patient FROM enc WHERE last_day(CAST(start AS DATE)) = DATE '2024-01-31' AND class <> 'wellness'", "slim_monthly", "scan_month_segment", "union_all_periods")
+# ---- periods ----------------------------------------------------------------------
+@query(f"WITH {ENC} SELECT id, patient FROM enc WHERE last_day(CAST(start AS DATE)) = DATE '2024-01-31' AND class <> 'wellness'")
 def slim_monthly(s, d):
     path = io.scratch(s, "periods")
     io.write_periods(enc(s, d), "start", path)
@@ -334,7 +473,7 @@ def window_bounds(s, d):
 
 
 # ---- sources ----------------------------------------------------------------------
-@query("SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 11 MONTH AS sim_start, CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 11 MONTH - INTERVAL 1 DAY AS cutoff FROM orders", "derive_window", "cursor_init")
+@query("SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 11 MONTH AS sim_start, CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 11 MONTH - INTERVAL 1 DAY AS cutoff FROM orders")
 def derive_window(s, d):
     return io.window_of(table(s, d, "orders"), "o_orderdate", 12).select(F.col("sim_start").cast("timestamp").alias("sim_start"), F.col("cutoff").cast("timestamp").alias("cutoff"))
 
@@ -386,7 +525,7 @@ def scan_csv(s, d):
     return io.read_csv(s, path, o.schema)
 
 
-@query("SELECT n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey", "scan_csv_dir", "load_lookup")
+@query("SELECT n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey")
 def scan_csv_dir(s, d):
     folder = io.scratch(s, "csv")
     given = {n: table(s, d, n) for n in ("nation", "region")}
@@ -396,15 +535,50 @@ def scan_csv_dir(s, d):
     return got["nation"].join(got["region"], F.col("r_regionkey") == F.col("n_regionkey")).select("n_name", "r_name")
 
 
-@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1", "ctas", "cached_fetch")
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
 def ctas(s, d):
     return io.stored(table(s, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")), "ctas")
 
 
-@query("SELECT o_custkey, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
+def cached_fetch(s, d):
+    """A saved result serves the second request; its build would fail."""
+    path = io.scratch(s, "fetched")
+    io.fetched(s, path, lambda: table(s, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")))
+
+    def never():
+        raise AssertionError("built again")
+
+    return io.fetched(s, path, never)
+
+
+@query("SELECT c_custkey, c_name, count(o_orderkey) AS n FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2")
 def cluster_layout(s, d):
-    a = table(s, d, "orders").repartition("o_custkey").sortWithinPartitions("o_custkey")
-    return a.join(table(s, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).groupBy("o_custkey").agg(F.count("*").alias("n"))
+    """Two tables saved in buckets by one key; their join and the grouping after it shuffle nothing."""
+    tag = uuid.uuid4().hex
+    o = io.save_clustered(table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"), f"orders_{tag}", "c_custkey")
+    c = io.save_clustered(table(s, d, "customer").select("c_custkey", "c_name"), f"customer_{tag}", "c_custkey")
+    return c.join(o, "c_custkey").groupBy("c_custkey", "c_name").agg(F.count("o_orderkey").alias("n"))
+
+
+@query(f"WITH {DICT} SELECT l_orderkey, l_linenumber, l_partkey, name, is_chronic FROM lineitem JOIN dict ON code = l_partkey")
+def load_lookup(s, d):
+    """A dictionary loaded from CSV and joined; broadcast while it is small."""
+    folder = io.scratch(s, "lookup")
+    dic = dictionary(s, d)
+    io.write_csv(dic, f"{folder}/dictionary")
+    got = io.read_csv_folder(s, folder, {"dictionary": dic.schema})["dictionary"].select(F.col("code").alias("l_partkey"), "name", "is_chronic")
+    small = F.broadcast(got) if got.count() <= 1_000_000 else got
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(small, "l_partkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE last_day(CAST(o_orderdate AS DATE)) IN (DATE '1997-04-30', DATE '1997-03-31')")
+def union_all_periods(s, d):
+    """The rows of the current and the previous period, stacked."""
+    path = io.scratch(s, "segments")
+    io.write_periods(table(s, d, "orders"), "o_orderdate", path)
+    one = lambda x: io.read_periods(s, path, F.col("period_end") == F.lit(x).cast("date"))
+    return one("1997-04-30").unionByName(one("1997-03-31")).select("o_orderkey")
 
 
 @query("SELECT p_partkey, p_name FROM part", "csv_merge_append")
@@ -413,7 +587,7 @@ def csv_merge_append(s, d):
     return io.append_new(p.where("p_partkey % 3 <> 0"), p.where("p_partkey % 3 <> 1"), ["p_partkey"])
 
 
-@query(f"WITH {SCORES} SELECT doc_id, model, p, CAST(DATE '2024-01-31' AS VARCHAR) AS period FROM scores UNION ALL SELECT doc_id, model, p, CAST(DATE '2024-02-29' AS VARCHAR) FROM scores WHERE y = 1", "append_scores", "append_results")
+@query(f"WITH {SCORES} SELECT doc_id, model, p, CAST(DATE '2024-01-31' AS VARCHAR) AS period FROM scores UNION ALL SELECT doc_id, model, p, CAST(DATE '2024-02-29' AS VARCHAR) FROM scores WHERE y = 1")
 def append_scores(s, d):
     path = io.scratch(s, "scores")
     x = scores(s, d).select("doc_id", "model", "p", "y")
@@ -438,13 +612,6 @@ def scan_json_concepts(s, d):
     return c.select("conceptId", F.explode("relationships").alias("r")).where("r.active and r.type.conceptId = '116680003'").select("conceptId", F.col("r.target.conceptId").alias("parent"))
 
 
-@query("SELECT last_day(max(CAST(o_orderdate AS DATE))) AS last_processed, last_day(last_day(max(CAST(o_orderdate AS DATE))) + INTERVAL 1 DAY) AS next_end FROM orders", "cursor_run_next", "cursor_run_until")
-def cursor_run_next(s, d):
-    end = F.last_day(F.max("o_orderdate"))
-    cursor = table(s, d, "orders").agg(F.lit(None).cast("date").alias("last_processed"), end.alias("next_end"), end.alias("final_end"))
-    return io.advance(cursor).select("last_processed", "next_end")
-
-
 # ---- metrics --------------------------------------------------------------------
 AUC = f"WITH {SCORES}, g AS (SELECT model, p, sum(y) AS pos, sum(1 - y) AS neg FROM scores GROUP BY 1, 2), c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model) AS np, sum(neg) OVER (PARTITION BY model) AS nn FROM g WINDOW w AS (PARTITION BY model ORDER BY p DESC ROWS UNBOUNDED PRECEDING))"
 
@@ -483,18 +650,12 @@ def threshold_sweep(s, d):
 PSI = f"WITH {SCORES}, h AS (SELECT model, least(greatest(CAST(floor(p * 10) AS INTEGER), 0), 9) AS bin, count(*) AS n FROM scores GROUP BY 1, 2), f AS (SELECT bin, coalesce(max(n) FILTER (model = 'a'), 0) + 1e-8 AS b, coalesce(max(n) FILTER (model = 'b'), 0) + 1e-8 AS c FROM range(10) r(bin) LEFT JOIN h USING (bin) GROUP BY bin), q AS (SELECT b / sum(b) OVER () AS b, c / sum(c) OVER () AS c FROM f) SELECT round(sum((c - b) * ln(c / b)), 6) AS psi FROM q"
 
 
-@query(PSI, "psi", "psi_baseline")
+@query(PSI)
 def psi(s, d):
     x = scores(s, d)
     return M.psi(M.histogram(x.where("model = 'a'")), M.histogram(x.where("model = 'b'"))).withColumn("psi", F.round("psi", 6))
 
 
-@query("SELECT count(DISTINCT last_day(CAST(o_orderdate AS DATE))) % 6 = 0 OR max(o_totalprice) / 1e9 > 0.2 AS retune FROM orders")
-def retune_rule(s, d):
-    o = table(s, d, "orders")
-    return o.agg(((F.countDistinct(F.last_day("o_orderdate")) % 6 == 0) | (F.max("o_totalprice") / 1e9 > 0.2)).alias("retune"))
-
-
 GAIN = f"""WITH {SCORES}, k AS (SELECT *, CAST((doc_id * 7) % 50 AS DOUBLE) AS cost_per_day, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE CAST((doc_id * 3) % 60 AS DOUBLE) END AS prev_cost, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE CAST(doc_id % 1000 AS DOUBLE) END AS readmission_cost FROM scores),
  g AS (SELECT k.*, t, p >= t AS hit, CASE WHEN p >= t THEN CAST({1 - 0.9 ** 3!r} AS DOUBLE) * p * coalesce(readmission_cost, 0) - 3 * greatest(coalesce(cost_per_day, 0), coalesce(prev_cost, 0)) ELSE 0 END AS gain FROM k, {TS}),
  tot AS (SELECT model, t, round(sum(gain), 4) AS gain, sum(CASE WHEN hit AND y = 1 THEN coalesce(readmission_cost, 0) ELSE 0 END) AS at_stake FROM g GROUP BY 1, 2), pct AS (SELECT *, CASE WHEN at_stake > 0 THEN round(100 * gain / at_stake, 4) ELSE 0 END AS pct_saved FROM tot)"""
@@ -513,24 +674,32 @@ def _saved(s, d):
     return x.withColumn("pct_saved", F.when(F.col("at_stake") > 0, F.round(100 * F.col("gain") / F.col("at_stake"), 4)).otherwise(0.0))
 
 
-@query(f"{GAIN} SELECT model, t, gain, at_stake, pct_saved FROM pct", "gain_totals", "pct_saved", "cost_score")
+@query(f"{GAIN} SELECT model, t, gain, at_stake, pct_saved FROM pct", "gain_totals", "pct_saved")
 def gain_totals(s, d):
     return _saved(s, d)
 
 
-@query(f"{GAIN} SELECT doc_id, model, t, round(gain, 6) AS gain FROM g", "gain", "intervention_cost", "join_costs_scores")
+@query(f"{GAIN} SELECT doc_id, model, t, round(gain, 6) AS gain FROM g")
 def gain(s, d):
     return _gain(s, d).select("doc_id", "model", "t", F.round("gain", 6).alias("gain"))
 
 
-@query(f"{GAIN} SELECT model, arg_max(t, (pct_saved, -t)) AS t, max(pct_saved) AS pct_saved FROM pct GROUP BY model", "argmax_threshold", "performance_report", "sort_report", "evaluate_period")
+@query(f"{GAIN} SELECT model, arg_max(t, (pct_saved, -t)) AS t, max(pct_saved) AS pct_saved FROM pct GROUP BY model")
 def argmax_threshold(s, d):
     return _saved(s, d).groupBy("model").agg(F.max_by("t", F.struct("pct_saved", -F.col("t"))).alias("t"), F.max("pct_saved").alias("pct_saved")).orderBy("model")
 
 
-@query("SELECT doc_id, ceil(ln(1 - 0.2) / ln(1 - 0.1)) AS days, round(1 - pow(1 - 0.1, 3), 6) AS reached FROM labels")
+_P, _D = "(CAST(1 + doc_id % 9 AS DOUBLE) / 20)", "(CAST(1 + doc_id % 9 AS DOUBLE) / 20 + CAST(doc_id % 3 AS DOUBLE) * 0.07)"
+
+
+@query(f"SELECT doc_id, CAST(ceil(ln(1 - {_D}) / ln(1 - {_P})) AS BIGINT) AS days, round(1 - pow(1 - {_P}, ceil(ln(1 - {_D}) / ln(1 - {_P}))), 6) AS reached FROM labels")
 def intervention_days(s, d):
-    return table(s, d, "labels").select("doc_id", S.intervention_days(0.1, 0.2).cast("double").alias("days"), F.round(S.reached(F.lit(0.1), F.lit(3)), 6).alias("reached"))
+    """Days that each row's own wish needs at its own daily effect, and what they really reach."""
+    i = F.col("doc_id")
+    p = (1 + i % 9).cast("double") / 20
+    x = table(s, d, "labels").select("doc_id", p.alias("p"), (p + (i % 3).cast("double") * 0.07).alias("d"))
+    days = S.intervention_days(F.col("p"), F.col("d")).cast("bigint")
+    return x.select("doc_id", days.alias("days"), F.round(S.reached(F.col("p"), days), 6).alias("reached"))
 
 
 GRID = "(VALUES " + ", ".join(f"({p}, {dd}, {n}, CAST({r!r} AS DOUBLE))" for p, dd, n, r in K.grid()) + ") grid(pp, dd, days, reached)"
@@ -549,7 +718,7 @@ def tiered_intervention(s, d):
     return scores(s, d).select("doc_id", "model", (F.least(F.col("doc_id") % 50, F.col("doc_id") % 37) * days).alias("cost"))
 
 
-@query(f"WITH {SCORES} SELECT doc_id, model, p, quality FROM scores JOIN labels USING (doc_id)", "join_scores_actuals", "merge_predictions")
+@query(f"WITH {SCORES} SELECT doc_id, model, p, quality FROM scores JOIN labels USING (doc_id)")
 def join_scores_actuals(s, d):
     return scores(s, d).drop("y").join(table(s, d, "labels").select("doc_id", "quality"), "doc_id")
 
@@ -570,17 +739,12 @@ def group_having_dupes(s, d):
     return Q.repeated(table(s, d, "lineitem"), "l_orderkey")
 
 
-@query(f"WITH {CLAIMS} SELECT count(*) FILTER (d1 IS NULL) AS null_d1, count(*) FILTER (d2 IS NULL) AS null_d2, count(*) FILTER (d8 IS NULL) AS null_d8 FROM claims", "check_keys_dict", "check_util_keys")
-def check_keys_dict(s, d):
-    return Q.nulls(claims(s, d), "d1", "d2", "d8")
-
-
 @query(f"WITH {DICT} SELECT count(*) FILTER (is_chronic IS NULL OR is_chronic NOT IN (0, 1)) AS bad_is_chronic, count(*) FILTER (has_a IS NULL OR has_a NOT IN (0, 1)) AS bad_has_a, CAST(max(is_chronic) = 0 AS INTEGER) AS zero_is_chronic, CAST(max(has_a) = 0 AS INTEGER) AS zero_has_a FROM dict")
 def check_flags(s, d):
     return Q.flags(dictionary(s, d), "is_chronic", "has_a")
 
 
-@query(f"WITH {COST} SELECT count(*) FILTER (total IS NULL) AS no_total, count(*) FILTER (total < 0) AS negative, count(*) FILTER (total < base + procedures + medications - 1) AS too_small, count(*) FILTER (procedures = 0) AS without FROM cost", "check_costs", "count_if_many", "run_checks")
+@query(f"WITH {COST} SELECT count(*) FILTER (total IS NULL) AS no_total, count(*) FILTER (total < 0) AS negative, count(*) FILTER (total < base + procedures + medications - 1) AS too_small, count(*) FILTER (procedures = 0) AS without FROM cost", "check_costs", "count_if_many")
 def check_costs(s, d):
     c = costed(stays(s, d))
     report = Q.violations(c, no_total=F.col("total").isNull(), negative=F.col("total") < 0, too_small=F.col("total") < F.col("base") + F.col("procedures") + F.col("medications") - 1, without=F.col("procedures") == 0)
@@ -592,16 +756,6 @@ def check_costs_grouped(s, d):
     return Q.violations(eps(s, d), no_days=F.col("stay_days") <= 0, negative=F.col("cents") < 0)
 
 
-UV = _util_sql().replace("SELECT * FROM util", "SELECT count(*) FILTER (admissions < 0) AS negative, count(*) FILTER (readmit_soon = 1 AND readmit_later = 0) AS implied, count(*) FILTER (readmit_later = 1 AND days_to_readmit > 3) AS late, count(*) FILTER (following_stay_id IS NULL AND days_to_readmit IS NOT NULL) AS loose FROM util")
-
-
-@query(UV, "check_util_values", "check_util_logic")
-def check_util_values(s, d):
-    u = utilization(s, d)
-    report = Q.violations(u, negative=F.col("admissions") < 0, implied=(F.col("readmit_soon") == 1) & (F.col("readmit_later") == 0), late=(F.col("readmit_later") == 1) & (F.col("days_to_readmit") > 3), loose=F.col("following_stay_id").isNull() & F.col("days_to_readmit").isNotNull())
-    return Q.demand(report, "negative", "implied", "late", "loose")
-
-
 # ---- features and models --------------------------------------------------------
 FEATS = "feats AS (SELECT o_orderkey AS id, coalesce(o_totalprice, 0) AS price, CAST(o_custkey % 17 AS DOUBLE) AS visits, o_orderpriority AS priority, o_orderdate AS seen, CAST(o_totalprice > 150000 AND o_custkey % 17 > 4 AS INTEGER) AS label FROM orders)"
 LEVELS = {"priority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]}
@@ -614,12 +768,20 @@ def feats(s, d):
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), (F.col("o_custkey") % 17).cast("double").alias("visits"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").cast("timestamp").alias("seen"), label.alias("label"))
 
 
-@query(f"WITH {FEATS} SELECT id, price, visits FROM feats", "feat_select_fill", "feat_split_xy")
+@query(f"WITH {FEATS} SELECT id, price, visits FROM feats")
 def feat_select_fill(s, d):
     return feats(s, d).select("id", "price", "visits").fillna(0)
 
 
-@query(f"WITH {FEATS} SELECT id, {DUMMY} FROM feats", "feat_dummies", "align_columns")
+@query(f"WITH {FEATS} SELECT id, 'x' AS side, 'price' AS name, price AS value FROM feats UNION ALL SELECT id, 'x', 'visits', visits FROM feats UNION ALL SELECT id, 'y', 'label', CAST(label AS DOUBLE) FROM feats")
+def feat_split_xy(s, d):
+    """Features and labels as two tables, shown in long form."""
+    x, y = ML.split_xy(feats(s, d).select("id", "price", "visits", "label"), "id", ["label"])
+    long_form = lambda df, side: df.unpivot("id", [F.col(c).cast("double").alias(c) for c in df.columns if c != "id"], "name", "value").select("id", F.lit(side).alias("side"), "name", "value")
+    return long_form(x, "x").union(long_form(y, "y"))
+
+
+@query(f"WITH {FEATS} SELECT id, {DUMMY} FROM feats", "feat_dummies")
 def feat_dummies(s, d):
     return ML.dummies(feats(s, d).select("id", "priority"), LEVELS)
 
@@ -641,76 +803,118 @@ def label_consistency(s, d):
     return table(s, d, "labels").select("doc_id", F.when(F.col("quality") == 0, 0).otherwise(F.col("toxic")).alias("toxic"))
 
 
-@query(f"WITH {FEATS} SELECT label, n // 5 + CAST(fold < n % 5 AS INTEGER) AS n, CAST(fold AS INTEGER) AS fold FROM (SELECT label, count(*) AS n FROM feats GROUP BY label), range(5) f(fold)")
-def cv_stratified(s, d):
-    return M.folds(feats(s, d), "id", "label", 5).groupBy("label", "fold").agg(F.count("*").alias("n"))
+@query(f"WITH {FEATS} SELECT id, CAST(priority = '1-URGENT' AS INTEGER) AS \"priority_1-URGENT\", 0 AS \"priority_2-HIGH\", 0 AS \"priority_3-MEDIUM\" FROM feats WHERE seen >= TIMESTAMP '1998-01-01 00:00:00'")
+def align_columns(s, d):
+    """Later rows with levels of their own, brought to the columns of the training rows."""
+    later = feats(s, d).where(F.col("seen") >= F.lit("1998-01-01").cast("timestamp")).select("id", "priority")
+    train = ML.dummies(feats(s, d).select("id", "priority"), LEVELS).columns
+    return ML.aligned(ML.dummies(later, {"priority": ["1-URGENT", "9-NEW"]}), train)
 
 
-@query(f"WITH {FEATS} SELECT round(avg(price), 4) AS mean_price, round(stddev_samp(visits), 6) AS std_visits FROM feats")
+@query(f"WITH {FEATS} SELECT id, round((price - avg(price) OVER ()) / stddev_samp(price) OVER (), 6) AS price, round((visits - avg(visits) OVER ()) / stddev_samp(visits) OVER (), 6) AS visits FROM feats")
 def scale(s, d):
-    return feats(s, d).agg(F.round(F.avg("price"), 4).alias("mean_price"), F.round(F.stddev_samp("visits"), 6).alias("std_visits"))
+    """Standardised columns, fitted on all rows."""
+    return ML.standardised(feats(s, d).select("id", "price", "visits"), "id", ["price", "visits"]).select("id", F.round("price", 6).alias("price"), F.round("visits", 6).alias("visits"))
 
 
-@query(None)
+@query("SELECT o_orderkey AS id, CASE WHEN CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0 THEN 'test' ELSE 'train' END AS part FROM orders")
 def split_random(s, d):
-    return feats(s, d).withColumn("part", F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, "test").otherwise("train")).select("id", "part")
+    """A fifth of the rows by a hash of their key: the same rows in every run and on every cluster."""
+    h = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("bigint")
+    return feats(s, d).select("id", F.when(h % 5 == 0, "test").otherwise("train").alias("part"))
+
+
+FEATURES = ["log_price", "visits"]
 
 
-def _fitted(s: SparkSession, d: str, kind: str) -> tuple[PipelineModel, DataFrame]:
-    x = ML.balanced(ML.log1p(feats(s, d).drop("priority"), ["price"]), "label")
-    train = x.where(F.col("seen") < F.lit("1997-06-01").cast("timestamp"))
-    return ML.classifier(kind, "label", ["log_price", "visits"]).fit(train), x
+def model_rows(s: SparkSession, d: str) -> DataFrame:
+    """Features, the two labels ``label`` and ``label_late``, and weights."""
+    x = ML.log1p(feats(s, d).drop("priority"), ["price"]).withColumn("label_late", F.greatest("label", (F.col("visits") > 12).cast("int")))
+    return io.stored(ML.balanced(x, "label"), "model-rows")
+
+
+def fitted(x: DataFrame, kind: str, label: str = "label", **params) -> PipelineModel:
+    """A model of rows before the test month."""
+    return ML.classifier(kind, label, FEATURES, **params).fit(x.where(F.col("seen") < F.lit("1997-06-01").cast("timestamp")))
 
 
 def _fit(kind: str):
     def run(s, d):
-        model, x = _fitted(s, d, kind)
-        return ML.scored(model, x, "id", kind)
+        x = model_rows(s, d)
+        return ML.scored(fitted(x, kind), x, "id", kind)
 
     return run
 
 
 for _kind in ("logreg", "rf", "gbt"):
     query(None, f"fit_{_kind}")(_fit(_kind))
-query(None, "score", "score_only_run")(_fit("logreg"))
 
 
 @query(None)
 def save_load_model(s, d):
-    model, x = _fitted(s, d, "logreg")
-    path = io.scratch(s, "model")
-    model.write().overwrite().save(path)
-    return ML.scored(PipelineModel.load(path), x, "id", "logreg")
+    """A saved model is loaded, and not fitted again where it is there."""
+    x, path = model_rows(s, d), io.scratch(s, "model")
+    ML.saved_or_fitted(path, lambda: fitted(x, "logreg"))
+    return ML.scored(ML.saved_or_fitted(path, None), x, "id", "logreg")
+
+
+@query(None)
+def score(s, d):
+    """Probabilities of a month, appended to the score history under the month's end."""
+    x, out = model_rows(s, d), io.scratch(s, "scores")
+    month = x.where(F.last_day("seen") == F.lit("1997-06-30").cast("date"))
+    io.write_snapshot(ML.scored(fitted(x, "logreg"), month, "id", "logreg").withColumn("end_date", F.lit("1997-06-30")), out, "end_date")
+    return s.read.parquet(out)
+
+
+@query(None)
+def score_only_run(s, d):
+    """Two months scored with a model that was saved before; nothing is fitted and nothing evaluated."""
+    x, path, out = model_rows(s, d), io.scratch(s, "model"), io.scratch(s, "scores")
+    fitted(x, "rf").write().save(path)
+    for end in ("1997-06-30", "1997-07-31"):
+        month = x.where(F.last_day("seen") == F.lit(end).cast("date"))
+        io.write_snapshot(ML.scored(ML.saved_or_fitted(path, None), month, "id", "rf").withColumn("end_date", F.lit(end)), out, "end_date")
+    return s.read.parquet(out)
 
 
 @query(None)
 def coefs(s, d):
-    return s.createDataFrame(ML.coefficients(_fitted(s, d, "logreg")[0], ["log_price", "visits"]), "feature string, value double, share double")
+    return s.createDataFrame(ML.coefficients(fitted(model_rows(s, d), "logreg"), FEATURES), "feature string, value double, share double")
 
 
 @query(None)
 def evaluate_models(s, d):
-    out = None
-    for kind in ("logreg", "rf"):
-        model, x = _fitted(s, d, kind)
-        p = ML.scored(model, x, "id", kind).join(x.select("id", F.col("label").alias("y")), "id").withColumnRenamed("prob", "p")
-        p = io.stored(p, "scored")
-        one = M.roc_auc(p).join(M.average_precision(p), "model").join(M.brier(p), "model")
-        out = one if out is None else out.union(one)
-    return out
+    """Metrics of the three models for both labels, with the feature that weighs most."""
+    x, all_scores, heaviest = model_rows(s, d), None, []
+    for kind in ("logreg", "rf", "gbt"):
+        for label in ("label", "label_late"):
+            model = fitted(x, kind, label)
+            top = max(ML.coefficients(model, FEATURES), key=lambda r: abs(r[1]))
+            heaviest.append((f"{kind}/{label}", top[0], top[2]))
+            p = ML.scored(model, x, "id", f"{kind}/{label}").join(x.select("id", F.col(label).alias("y")), "id").withColumnRenamed("prob", "p")
+            all_scores = p if all_scores is None else all_scores.union(p)
+    p = io.stored(all_scores, "scored")
+    top = s.createDataFrame(heaviest, "model string, feature string, share double")
+    return M.roc_auc(p).join(M.average_precision(p), "model").join(M.brier(p), "model").join(F.broadcast(top), "model")  # six rows
 
 
 @query(None)
 def tune_random(s, d):
-    x = io.stored(ML.balanced(ML.log1p(feats(s, d).drop("priority"), ["price"]), "label"), "tuning")
-    train, test = x.where(F.pmod(F.xxhash64("id"), F.lit(5)) != 0), x.where(F.pmod(F.xxhash64("id"), F.lit(5)) == 0)
-    out = None
-    for reg in (0.001, 0.1):
-        pipe = ML.classifier("logreg", "label", ["log_price", "visits"])
-        pipe.getStages()[-1].setRegParam(reg)
-        p = ML.scored(pipe.fit(train), test, "id", f"reg={reg}").join(test.select("id", F.col("label").alias("y")), "id").withColumnRenamed("prob", "p")
-        out = p if out is None else out.union(p)
-    return M.roc_auc(out)
+    """Random draws of a grid, each scored by the share of costs saved over stratified folds; the best is marked."""
+    x = M.folds(model_rows(s, d), "id", "label", 2)
+    x = io.stored(K.with_costs(x.withColumnRenamed("label", "y"), F.col("id")).withColumn("label", F.col("y")), "tuning")
+    rows = []
+    for draw in ML.draws({"regParam": [0.0001, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}, 3, seed=5):
+        parts = None
+        for fold in range(2):
+            model = ML.classifier("logreg", "label", FEATURES, **draw).fit(x.where(F.col("fold") != fold))
+            p = ML.scored(model, x.where(F.col("fold") == fold), "id", f"fold {fold}").withColumnRenamed("prob", "p")
+            parts = p if parts is None else parts.union(p)
+        scored = parts.join(x.drop("label", "weight", *FEATURES), "id").withColumn("prob", F.col("p"))
+        rows.append((str(draw), K.cost_score(scored).agg(F.avg("cost_score")).first()[0]))
+    best = max(r for _, r in rows)
+    return s.createDataFrame([(name, value, value == best) for name, value in rows], "params string, cost_score double, best boolean")
 
 
 # ---- streams ----------------------------------------------------------------------
@@ -723,15 +927,25 @@ def episodes_running_max(s, d):
     return ST.sessions(enc(s, d), "patient", "start", "stop")
 
 
-@query(None)
+@query(RUNS)
 def stream_sessions(s, d):
-    raw = s.readStream.schema(table(s, d, "events").schema).parquet(f"{d}/events.parq*t")
+    """Streaming twin of the running-maximum episodes; at the end, open sessions are closed by a last mark of time."""
+    schema = table(s, d, "events").schema
+    marks = io.scratch(s, "marks")
+    s.createDataFrame([], schema).write.parquet(marks)
+    read = lambda path: s.readStream.schema(schema).parquet(path)
+    raw = read(f"{d}/events.parq*t").union(read(f"{marks}/*.parq*t"))
     ev = raw.withColumn("start", F.col("ts").cast("timestamp")).select(F.col("user_id").alias("patient"), "start", F.timestamp_micros(F.unix_micros("start") + F.floor("value") * 60_000_000).alias("stop"))
-    return ST.run_available(ST.sessions(ev, "patient", "start", "stop"), "sessions", "sessions")
+    out, state = io.scratch(s, "sessions"), io.scratch(s, "sessions-state")
+    made = ST.sessions(ev, "patient", "start", "stop")
+    ST.run_available(made, out, state, "sessions")
+    last = table(s, d, "events").agg((F.max("ts") + F.expr("interval 365 days")).alias("ts"))
+    last.select(*[F.col("ts").cast(f.dataType) if f.name == "ts" else F.lit(0.0 if f.name == "value" else None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(marks)
+    return ST.run_available(made, out, state, "sessions").where("patient is not null")
 
 
 @query("SELECT user_id, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM events GROUP BY user_id")
 def stream_upsert(s, d):
     schema = table(s, d, "events").schema
     raw = s.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{d}/events.parq*t")
-    return ST.upsert_stream(raw.select("user_id", "ts", "event_id"), "user_id", "ts")
+    return ST.upsert_stream(raw.select("user_id", "ts", "event_id"), "user_id", "ts", io.scratch(s, "latest"), io.scratch(s, "latest-state"))

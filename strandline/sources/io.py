@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +18,15 @@ CONCEPT = (
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A new path in the folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves in local mode; on a cluster, where executors
+    do not share one, that is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/{name}-{uuid.uuid4().hex}"
@@ -61,9 +69,57 @@ def month_end(c: Column | str) -> Column:
     return F.last_day(F.col(c) if isinstance(c, str) else c)
 
 
-def write_periods(df: DataFrame, at: str, path: str) -> None:
-    """Partition by month end, so that a period is read alone."""
-    df.withColumn("period_end", month_end(at)).repartition("period_end").write.mode("overwrite").partitionBy("period_end").parquet(path)
+def write_periods(df: DataFrame, at: str, path: str, rows_per_task: int = 2_000_000) -> None:
+    """Partition by month end, so that a period is read alone.
+
+    A period is written by one task for each ``rows_per_task`` of its rows.
+    """
+    rows = df.withColumn("period_end", month_end(at))
+    shares = rows.groupBy(F.col("period_end").alias("_end")).agg(F.ceil(F.count("*") / rows_per_task).alias("_shares"))  # a row a month
+    dealt = rows.join(F.broadcast(shares), F.col("period_end").eqNullSafe(F.col("_end"))).drop("_end")
+    dealt = dealt.withColumn("_share", F.pmod(F.xxhash64(*[c for c in df.columns]), F.col("_shares")))
+    dealt.repartition("period_end", "_share").drop("_share", "_shares").write.mode("overwrite").partitionBy("period_end").parquet(path)
+
+
+def read_month(spark: SparkSession, root: str, names: list[str], period: str) -> dict[str, DataFrame]:
+    """The tables ``root/name`` of one month; a table without that period raises."""
+    found = {}
+    for n in names:
+        rows = spark.read.parquet(f"{root}/{n}").where(F.col("period_end") == F.lit(period).cast("date"))
+        if rows.isEmpty():
+            raise FileNotFoundError(f"{n} has no period {period}")
+        found[n] = rows
+    return found
+
+
+def fetched(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """The table at ``path``; ``build`` is run and written only where there is none, or with ``force``."""
+    if not force:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def save_clustered(df: DataFrame, name: str, by: str, buckets: int = 16) -> DataFrame:
+    """Save as a table in ``buckets`` by a key, sorted; joins and groups by that key then shuffle nothing."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by).option("path", scratch(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
+def write_control(cursor: DataFrame, path: str, number: int) -> None:
+    """Write the control row as version ``number``."""
+    cursor.write.mode("overwrite").parquet(f"{path}/version={number}")
+
+
+def read_control(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The control row of the highest version, and its number."""
+    rows = spark.read.parquet(path)
+    number = rows.agg(F.max("version")).first()[0]
+    return rows.where(F.col("version") == number).drop("version"), number
 
 
 def read_periods(spark: SparkSession, path: str, condition: Column) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from strandline.sources.io import scratch
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def sessions(stream: DataFrame, key: str, start: str, stop: str, hours: int = 12, late: str = "1 day") -> DataFrame:
@@ -21,30 +20,38 @@ def sessions(stream: DataFrame, key: str, start: str, stop: str, hours: int = 12
     return grouped.agg(F.min(start).alias("stay_start"), F.max(stop).alias("stay_stop"), F.count("*").alias("members")).drop("w")
 
 
-def run_available(stream: DataFrame, sink: str, query: str) -> DataFrame:
-    """Append all available input to a Parquet sink in the shared folder, and read it back."""
+def run_available(stream: DataFrame, path: str, state: str, query: str) -> DataFrame:
+    """Append all input there is to a Parquet sink, and read it back; a later run goes on from ``state``."""
     spark = stream.sparkSession
-    path = scratch(spark, sink)
-    stream.writeStream.format("parquet").option("checkpointLocation", scratch(spark, f"{query}-state")).option("path", path).trigger(availableNow=True).outputMode("append").queryName(query).start().awaitTermination()
+    stream.writeStream.format("parquet").option("checkpointLocation", state).option("path", path).trigger(availableNow=True).outputMode("append").queryName(query).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def upsert_stream(stream: DataFrame, key: str, order: str) -> DataFrame:
-    """Keep the latest row of each key: every micro-batch is merged into a new version of the table."""
-    from strandline.operators.incremental import upsert
+def current(spark: SparkSession, root: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """The table under ``root``: each bucket at its highest version, below ``before`` if given."""
+    rows = spark.read.schema(StructType([*schema, StructField("bucket", IntegerType()), StructField("version", LongType())])).parquet(root)
+    rows = rows if before is None else rows.where(F.col("version") < before)
+    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))  # a row a bucket
+    return rows.join(F.broadcast(newest), ["bucket", "version"])
 
-    spark = stream.sparkSession
-    state: dict[str, str] = {}
+
+def upsert_stream(stream: DataFrame, key: str, order: str, root: str, state: str, buckets: int = 16) -> DataFrame:
+    """Keep the latest row of each key in a table of ``buckets`` by key under ``root``.
+
+    A micro-batch rewrites the buckets that it touches as new versions named by its number, and
+    reads versions below its own only. All there is to know lies in the folders: a restart goes
+    on from them, and a batch that runs twice writes the same.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    spark.createDataFrame([], schema).write.mode("append").parquet(root)
 
     def merge(batch: DataFrame, number: int) -> None:
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
-        if "path" in state:
-            old = spark.read.parquet(state["path"])
-            newer = latest.alias("n").join(old.alias("o"), key, "left").where(f"o.{order} is null or n.{order} >= o.{order}").select("n.*")
-            latest = upsert(old, newer, key)
-        path = scratch(spark, f"version-{number}")
-        latest.write.parquet(path)
-        state["path"] = path
-
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", scratch(spark, "upsert-state")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(state["path"])
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        fresh = batch.groupBy(key).agg(F.max_by(F.struct(*schema.names), order).alias("r")).select("r.*").withColumn("bucket", bucket)
+        touched = fresh.select("bucket").distinct()
+        old = current(spark, root, schema, number).join(F.broadcast(touched), "bucket", "left_semi").select(*schema.names, "bucket")
+        latest = old.unionByName(fresh).groupBy("bucket", key).agg(F.max_by(F.struct(*schema.names), order).alias("r")).select("r.*", "bucket")
+        latest.withColumn("version", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(root)
+
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return current(spark, root, schema).select(*schema.names)

@@ -1,7 +1,6 @@
 """Every registered query of the library against its SQL on the smallest tables."""
 
 import glob
-import math
 import os
 
 import duckdb
@@ -25,7 +24,7 @@ def duck():
 
 
 def shown(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if pd.api.types.is_scalar(x) and pd.isna(x):
         return "null"
     if hasattr(x, "isoformat"):
         return pd.Timestamp(x).isoformat()
