@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import word_bpe
-from strandline.llm.common import read, stored
+from strandline.llm.common import in_batches, read, stored
 from strandline.llm.shingling import text_parts
 from strandline.llm.token_counts import vocabulary_path
 
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = 4096, end_id: int = 1,
             types = [b.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(cut, PIECE.format(kind=kind))
+    return in_batches(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), cut, PIECE.format(kind=kind))
 
 
 def patterns(counts: np.ndarray, partners: int = 4) -> list[tuple[int, ...]]:

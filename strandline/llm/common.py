@@ -28,13 +28,27 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
+def in_batches(df: DataFrame, function, schema: str, rows: int = 2500) -> DataFrame:
+    """``df.mapInArrow`` in batches of texts that are small enough for two workers of an executor.
+
+    Spark's default of 10,000 rows a batch is meant for numbers; where the session has no
+    setting of its own, it becomes ``rows``.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, str(rows))
+    return df.mapInArrow(function, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests in local mode) is a temporary folder used.
+    Only where that setting is absent is a temporary folder used, and only in local mode.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

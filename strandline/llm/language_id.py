@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import read
+from strandline.llm.common import in_batches, read
 from strandline.llm.shingling import mix, text_parts
 from strandline.llm.word_ids import WordIds
 
@@ -147,7 +147,7 @@ def train(docs: DataFrame, per_language: int = 4000, key: str = "doc_id", text:
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(at, pa.int32()), pa.array(table[k, at])], names=["which", "at", "n"])
 
     table = np.zeros((len(langs), BUCKETS + len(SCRIPTS) + 1))
-    for r in sample.mapInArrow(count, "which int, at int, n long").groupBy("which", "at").agg(F.sum("n")).collect():
+    for r in in_batches(sample, count, "which int, at int, n long").groupBy("which", "at").agg(F.sum("n")).collect():
         table[r[0], r[1]] = r[2]
     counts, scripts = table[:, :BUCKETS], table[:, BUCKETS:]
     logp = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS))
@@ -236,7 +236,7 @@ def language_id(docs: DataFrame, model: LanguageModel, penalty: float = 6.0, key
                     names=["k", "lang_pred", "score", "spans"],
                 )
 
-    out = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(label, f"k {kind}, lang_pred string, score double, spans array<struct<begin:int,end:int,lang:string>>")
+    out = in_batches(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), label, f"k {kind}, lang_pred string, score double, spans array<struct<begin:int,end:int,lang:string>>")
     return out.withColumnRenamed("k", key)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import word_bpe
-from strandline.llm.common import read
+from strandline.llm.common import in_batches, read
 from strandline.llm.shingling import text_parts
 
 
@@ -38,7 +38,7 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             tokens = [n for _, part in text_parts(b.column(1)) for n in bpe.count_texts(part)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(tokens, pa.int64())], names=["k", "n_bytes", "n_tokens"])
 
-    counted = source.mapInArrow(count, f"k {kind}, n_bytes long, n_tokens long")
+    counted = in_batches(source, count, f"k {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("k").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
