@@ -49,6 +49,80 @@ def test_readmission_days(spark):
     assert got == {0: 8, 1: 9, 2: None}  # an equal time does not follow
 
 
+def test_windows_around_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    make = lambda n, first: [(rng.choice("pq"), first + i, h(a := rng.randrange(900)), h(a + rng.randrange(40)), rng.randrange(9)) for i in range(n)]
+    left, right = make(60, 0), make(80, 1000)
+    schema = "k string, id int, a timestamp, b timestamp, v int"
+    day, df = dt.timedelta(days=1), lambda rows: spark.createDataFrame(rows, schema)
+    got = {r.id: r for r in T.around(df(left), "a", "b", df(right), "k", 7, ["id"], "n", {"total": "v"}).collect()}
+    back = {r.id: r for r in T.look_back(df(left), "a", df(right), "b", "k", 7, "n", {"total": "v"}).collect()}
+    after = {r.id: r for r in T.asof_next(df(left), "b", df(right), "a", "k", ["id"]).collect()}
+    assert len(got) == len(back) == len(after) == len(left)
+    for k, i, a, b, _ in left:
+        mine = [x for x in right if x[0] == k]
+        inside = [x for x in mine if x[3] < a and (a - x[3]) // day <= 7]
+        assert (got[i].n, got[i].total) == (back[i].n, back[i].total) == (len(inside), sum(x[4] for x in inside) if inside else None)
+        prev = max(((x[3], x[1]) for x in mine if x[3] < a), default=(None, None))[1]
+        nxt = min(((x[2], x[1]) for x in mine if x[2] > b), default=(None, None))[1]
+        assert (got[i].prev and got[i].prev.id) == prev
+        assert (got[i].next and got[i].next.id) == (after[i].next and after[i].next.id) == nxt
+
+
+def test_one_key_with_many_events(spark):
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    rows = spark.range(100_000).select(F.lit("p").alias("k"), "id", t.alias("a"), t.alias("b"), F.lit(1).alias("v"))
+    out = T.around(rows, "a", "b", rows, "k", 7, ["id"], "n", {"total": "v"})
+    assert out.agg(F.max("n")).first()[0] == 8 * 24 * 60 - 1  # a sliding frame would take minutes
+
+
+def test_intervals_meet_in_their_time(spark):
+    e = spark.createDataFrame([("p", i, dt.date(2020, 1, 1) + dt.timedelta(days=97 * i)) for i in range(30)], "k string, id int, day date")
+    p = spark.createDataFrame([("p", 1, dt.date(2020, 5, 5), dt.date(2024, 2, 1)), ("p", 2, dt.date(2026, 1, 1), None), ("p", 3, dt.date(2031, 1, 1), None)], "k string, plan int, a date, b date")
+    got = {(r.id, r.plan_plan) for r in T.active_intervals(e, "day", p, "a", "b", "k", F.lit("2030-01-01").cast("date"), bucket_days=100).collect()}
+    spans = [(1, dt.date(2020, 5, 5), dt.date(2024, 2, 1)), (2, dt.date(2026, 1, 1), dt.date(2030, 1, 1))]
+    assert got == {(r.id, n) for r in e.collect() for n, a, b in spans if a < r.day < b}
+
+
+def test_upserts_survive_a_restart(spark, tmp_path):
+    from strandline.streaming import sessions as ST
+
+    source, root, state = (str(tmp_path / x) for x in ("in", "table", "state"))
+    write = lambda rows: spark.createDataFrame(rows, "k int, at int, v string").write.mode("append").parquet(source)
+    run = lambda: ST.upsert_stream(spark.readStream.schema("k int, at int, v string").parquet(source), "k", "at", root, state, buckets=3)
+    write([(1, 1, "a"), (2, 5, "b")])
+    assert {tuple(r) for r in run().collect()} == {(1, 1, "a"), (2, 5, "b")}
+    write([(1, 3, "c"), (2, 4, "late"), (9, 1, "d")])  # a new query, which knows the folders only
+    assert {tuple(r) for r in run().collect()} == {(1, 3, "c"), (2, 5, "b"), (9, 1, "d")}
+    assert {tuple(r) for r in run().collect()} == {(1, 3, "c"), (2, 5, "b"), (9, 1, "d")}
+
+
+def test_a_failing_check_raises(spark):
+    from strandline.plans import period
+
+    rows = spark.createDataFrame([(1, None, h(0), h(1)), (1, "p", h(0), None)], "stay_id int, patient string, stay_start timestamp, stay_stop timestamp")
+    with pytest.raises(ValueError, match="U2 failed.*null_patient"):
+        period.checked(spark, "", None, None, {"utilization": rows}, ("U2",))
+
+
+def test_a_missing_month_raises(spark, tmp_path):
+    df = spark.createDataFrame([(1, h(0))], "id int, at timestamp")
+    io.write_periods(df, "at", f"{tmp_path}/a")
+    assert io.read_month(spark, str(tmp_path), ["a"], "2024-01-31")["a"].count() == 1
+    with pytest.raises(FileNotFoundError):
+        io.read_month(spark, str(tmp_path), ["a"], "2024-02-29")
+
+
+def test_scores_in_ranges(spark):
+    rows = [("m", i / 997, int(i * 7 % 13 > 6)) for i in range(998)]
+    df = spark.createDataFrame(rows, "model string, p double, y int")
+    pos, neg = [p for _, p, y in rows if y], [p for _, p, y in rows if not y]
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg)
+    assert M.roc_auc(df).first()["roc_auc"] == pytest.approx(want)
+
+
 def test_open_interval(spark):
     e = spark.createDataFrame([("p", 1, dt.date(2024, 1, 2)), ("p", 2, dt.date(2024, 1, 1)), ("p", 3, dt.date(2024, 1, 9))], "k string, id int, day date")
     p = spark.createDataFrame([("p", 1, dt.date(2024, 1, 1), None), ("p", 2, dt.date(2024, 1, 1), dt.date(2024, 1, 9))], "k string, plan int, a date, b date")
