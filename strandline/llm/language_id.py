@@ -32,7 +32,7 @@ SCRIPTS = {
     "georgian": [(0x10A0, 0x10FF), (0x1C90, 0x1CBF)],
     "hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7AF)],
     "kana": [(0x3040, 0x30FF), (0x31F0, 0x31FF)],
-    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FA1F)],
+    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FA1F), (0x30000, 0x323AF)],
 }
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -42,7 +42,7 @@ _PLACES = mix(np.arange(1, 5, dtype=np.uint64)) | np.uint64(1)
 @lru_cache(maxsize=1)
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """Whether a code point is a letter, and its script (0: none of the listed)."""
-    points = 0x30000
+    points = 0x110000
     letter = np.fromiter((chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False for c in range(points)), bool, points)
     script = np.zeros(points, np.int8)
     for i, ranges in enumerate(SCRIPTS.values(), 1):
@@ -56,7 +56,6 @@ def _code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     letter, _ = _letters()
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
     points = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.minimum(points, 0x2FFFF)
     owner = np.repeat(np.arange(len(words)), sizes)
     keep = letter[points] | (points == 32)
     return points[keep], owner[keep]
@@ -166,8 +165,9 @@ def viterbi(scores: np.ndarray, numbers: np.ndarray, counts: np.ndarray, penalty
     begin = (np.cumsum(counts) - counts)[order]
     sizes = counts[order]
     longest = int(sizes[0]) if len(sizes) else 0
-    back = np.empty((len(numbers), langs), np.uint8)
-    own = np.arange(langs, dtype=np.uint8)
+    kind = np.min_scalar_type(langs)
+    back = np.empty((len(numbers), langs), kind)
+    own = np.arange(langs, dtype=kind)
     value = np.zeros((len(sizes), langs), np.float32)
     active = np.searchsorted(-sizes, -np.arange(longest), "left")
     for t in range(longest):
@@ -177,10 +177,10 @@ def viterbi(scores: np.ndarray, numbers: np.ndarray, counts: np.ndarray, penalty
         best = v.argmax(axis=1)
         change = v[np.arange(n), best][:, None] - penalty
         stay = v >= change
-        back[at] = np.where(stay, own, best[:, None].astype(np.uint8))
+        back[at] = np.where(stay, own, best[:, None].astype(kind))
         value[:n] = np.where(stay, v, change) + scores[numbers[at]]
     state = value.argmax(axis=1)
-    labels = np.empty(len(numbers), np.uint8)
+    labels = np.empty(len(numbers), kind)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = begin[:n] + t
@@ -201,8 +201,8 @@ def language_id(docs: DataFrame, model: LanguageModel, penalty: float = 6.0, key
     Returns key, lang_pred, score (share of the words with letters that bear that label, 0 to 1)
     and spans (begin and end word, language). The language with most labelled words wins, of
     equal ones the first by name. Null texts and texts without letters are ``und`` with score 0
-    and no spans; a null key stays null; repeated rows are labelled each; other columns are
-    ignored; an empty table gives an empty result.
+    and no spans; a null key stays null; repeated rows are labelled each; a very long text is
+    labelled whole, word by word; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)

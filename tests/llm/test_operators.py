@@ -198,6 +198,27 @@ def test_near_dedup(spark, edge, docs):
     assert near_dedup.near_dedup(edge.limit(0)).count() == 0
 
 
+def test_near_dedup_takes_keys_of_any_type(spark):
+    base = [f"w{i}" for i in range(80)]
+    rows = [("b", " ".join(base)), ("a", " ".join(base[:79] + ["x"])), ("c", "something else altogether that is not near"), ("d", None)]
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": ("a", True), "b": ("a", False), "c": ("c", True), "d": ("d", True)}
+
+
+def test_near_dedup_divides_crowds(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    own = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join(passage + own(30))) for i in range(260)]  # alike by 0.6, not linked
+    for i in range(0, 40, 2):  # pairs that share what is their own, too
+        w = rows[i][1].split()
+        rows[i + 1] = (i + 1, " ".join(w[:-3] + own(3)))
+    rows += [(1000 + i, " ".join(passage + own(i % 4))) for i in range(30)]  # close to the passage itself
+    want = brute(rows)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(table(spark, rows)).collect()}
+    assert len(set(want.values())) > 200 and got == want
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 90)], "u long, v long")
     got = {r.node: r.component for r in components.components(chain).collect()}
@@ -232,6 +253,14 @@ def test_decontamination(spark, docs):
     assert {(r.doc_id, r.item_id) for r in decontamination.decontamination(docs, items).collect()} == held
 
 
+def test_decontamination_with_null_keys(spark):
+    ask = "Ann has 12 apples and gives Tom 5 of them after 3 hours in total."
+    bench = spark.createDataFrame([(None, ask), (2, "He needs to find the answer to 7 quite long questions.")], "item_id long, text string")
+    other = ask.replace("12", "40").replace("Tom", "Bob")
+    got = {(r.doc_id, r.item_id): (r.slots > 0, r.kind) for r in decontamination.decontamination(table(spark, [(None, other), (3, ask)]), bench).collect()}
+    assert got == {(None, None): (True, "reparameterised"), (3, None): (True, "verbatim")}
+
+
 def test_decontamination_judges_each_occurrence(spark):
     ask = "Ann has {} apples and gives Tom {} of them after {} hours in total."
     bench = spark.createDataFrame([(1, ask.format(12, 5, 3))], "item_id long, text string")
@@ -429,6 +458,27 @@ def test_language_id(spark, edge, docs):
     assert {r.lang_pred for r in language_id.language_id(edge, empty).collect()} == {"und"}
 
 
+def test_rare_scripts_and_many_languages():
+    assert language_id.features(["\U00030000\U00031000"])[2].tolist() == [list(language_id.SCRIPTS).index("han") + 1]
+    scores = np.zeros((1, 300), np.float32)
+    scores[0, 280] = 5
+    assert language_id.viterbi(scores, np.zeros(4, np.int32), np.array([4]), 1.0).tolist() == [280] * 4
+
+
+def test_word_scores_are_posteriors(spark, docs):
+    model = language_id.train(docs.where(~language_id.held_out()))
+    words = ["the", "und", "12"]
+    got = model.describe(words)
+    for w, row in zip(words, got):
+        bucket, _, script = language_id.features([w])
+        if script[0] < 0:
+            assert row.tolist() == [0.0] * (len(model.langs) + 1)
+            continue
+        total = [sum(float(model.logp[k][b]) for b in bucket) if model.scripts[k][script[0]] else -1e9 for k in range(len(model.langs))]
+        norm = max(total) + math.log(sum(math.exp(x - max(total)) for x in total))
+        assert row[:-1] == pytest.approx([max(x - norm, -12.0) for x in total], abs=1e-3)
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(2)
     scores = rng.standard_normal((30, 3)).astype(np.float32) * 3
@@ -464,6 +514,34 @@ def test_language_model_base(spark, edge, docs):
     assert language_model.language_model(edge.limit(0), F.lit(True)).count() == 0
 
 
+def test_scores_do_not_depend_on_company():
+    net, rng = language_model.Network(2), np.random.default_rng(1)
+    docs = [rng.integers(0, language_model.HEAD, n) for n in (5, 0, 300, 17, 2000, 3)]
+    model = language_model.Model(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), net)
+    alone = [model.score([d])[0] for d in docs]
+    assert model.score(docs) == pytest.approx(alone, rel=1e-4)
+    for d, got in zip(docs, alone):  # a symbol at a time
+        h, total = np.zeros((1, language_model.HIDDEN), np.float32), 0.0
+        for x, y in zip([language_model.EDGE, *d], [*d, language_model.EDGE]):
+            out, h = net.run(np.array([[x]]), h)
+            total += net.log_probs(out.reshape(1, -1), np.array([y]))[0][0]
+        assert got == pytest.approx(total / math.log(10), rel=1e-4)
+
+
+def test_lanes_hold_a_very_long_document():
+    docs = [np.zeros(200_000, np.int32)] + [np.zeros(60, np.int32)] * 500
+    symbols, _, owner, _ = language_model.lanes_of(docs, 256)
+    assert symbols.size <= 3 * sum(len(d) + 1 for d in docs) and (owner >= 0).sum() == sum(len(d) + 1 for d in docs)
+
+
+def test_stretches_come_from_every_document():
+    for text in (b"", b"one", b"many words here " * 500, b"x" * 5000):
+        parts = list(language_model.stretches(text))
+        assert parts and all(0 <= r < language_model.ROUNDS for r, *_ in parts)
+        assert len(parts) == -(-max(1, len(text) // language_model.STRETCH) // language_model.SHARE)
+        assert all(w in text for *_, w in parts)
+
+
 def test_gradients_are_right():
     net = language_model.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
