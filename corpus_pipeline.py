@@ -93,7 +93,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written as Parquet and read again.
 
     A stage judges every row by itself: a null doc_id protects no row, and a repeated one drops
-    only the rows that are rejected.
+    only the rows that are rejected. Null and empty texts have no language and go with the second
+    stage; a null lang is a language of its own; very long texts are judged and packed whole;
+    further columns of documents stay up to the last stage. An empty table, and one that a stage
+    has emptied, gives an empty result.
     """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
