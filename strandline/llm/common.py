@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +40,16 @@ def in_batches(df: DataFrame, function, schema: str, rows: int = 2500) -> DataFr
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if df.sparkSession.conf.get(name) == "10000":
         df.sparkSession.conf.set(name, str(rows))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        # a worker serves the next stage, too: what this one has freed goes back to the system
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Words after which a worker forgets all numbers before its next batch.
-WORDS = 200_000
+WORDS = 400_000
 
 
 class WordIds:
