@@ -81,7 +81,7 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     return links.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, most: int = 40) -> DataFrame:
     """(side, host, rank): personalised PageRank over ``edges`` (side, src, dst, weight) from ``seeds`` (side, host, seed).
 
     Sides are graphs of their own that take their rounds together. What is under way is moved a
@@ -98,7 +98,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance:
     ranks = seeds.select("side", "host", (F.col("seed") * (1 - damping)).alias("rank"), (F.col("seed") * (1 - damping)).alias("moving"))
     whole = {r[0]: r[1] for r in ranks.groupBy("side").agg(F.sum("rank")).collect()}
     reached = None
-    while True:
+    for _ in range(most):
         for _ in range(ROUNDS):
             moved = ranks.join(share, ["side", "host"]).groupBy("side", "dst").agg(F.sum(F.col("rank") * F.col("stay")).alias("rank"), F.sum(F.col("moving") * F.col("share")).alias("moving"))
             ranks = moved.select("side", F.col("dst").alias("host"), (F.col("rank") + F.col("moving")).alias("rank"), "moving")
@@ -107,6 +107,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance:
         if all(left <= tolerance * whole[side] and (reached or {}).get(side, (-1,))[0] == n for side, (n, left) in now.items()):
             return ranks.where("rank > 0").select("side", "host", "rank")
         reached = now
+    raise RuntimeError(f"ranks still spread after {most * ROUNDS} rounds")
 
 
 def significant(x: Column, digits: int = 6) -> Column:
