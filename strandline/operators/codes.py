@@ -44,38 +44,97 @@ def described_codes(codes: DataFrame, concepts: DataFrame) -> DataFrame:
     return codes.join(terms, "code", "left").withColumn("name", F.coalesce("name", "term")).drop("term")
 
 
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Each (node, ancestor) once, at its least depth."""
+    return pairs.groupBy("node", "ancestor").agg(F.min("depth").cast("int").alias("depth"))
+
+
+def _through(first: DataFrame, second: DataFrame, depth: int) -> DataFrame:
+    """Pairs by way of an ancestor of ``first`` that is a node of ``second``, up to ``depth`` together."""
+    left = first.select("node", F.col("ancestor").alias("at"), F.col("depth").alias("_d"))
+    right = second.select(F.col("node").alias("at"), "ancestor", "depth")
+    return left.join(right, "at").where(F.col("_d") + F.col("depth") <= depth).select("node", "ancestor", (F.col("_d") + F.col("depth")).alias("depth"))
+
+
+def _allowed(edges: DataFrame, stop: Column | None) -> DataFrame:
+    """Edges (child, parent) as pairs of depth 1, without those into a stop node."""
+    pairs = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct()
+    return (pairs if stop is None else pairs.where(~stop)).withColumn("depth", F.lit(1))
+
+
 def closure(edges: DataFrame, depth: int = 10, stop: Column | None = None) -> DataFrame:
     """(node, ancestor, depth) of an acyclic graph (child, parent), at the least depth, up to ``depth``.
 
     Ancestors for which ``stop`` (on column ``ancestor``) holds are neither kept nor followed.
-    Each round joins the frontier with the edges and leaves out pairs already known; rounds are
-    written to the shared folder, so lineage stays short.
+    Paths are doubled: after a round that knows all pairs up to k links, those of k + 1 to 2 k
+    links go by way of a pair of exactly k, so ten links take four rounds. A round is written to the
+    shared folder, so lineage stays short; it reads a pair once for each way through it.
     """
-    hop = edges.select(F.col("child").alias("at"), F.col("parent").alias("ancestor"))
-    keep = F.lit(True) if stop is None else ~stop
-    frontier = stored(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).where(keep).distinct().withColumn("depth", F.lit(1)), "closure")
-    known = frontier
-    for d in range(2, depth + 1):
-        found = frontier.select("node", F.col("ancestor").alias("at")).join(hop, "at").select("node", "ancestor").where(keep).distinct()
-        frontier = stored(found.join(known, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(d)), "closure")
-        if frontier.isEmpty():
+    known = stored(_allowed(edges, stop), "closure")
+    reach = 1
+    while reach < depth:
+        found = _through(known.where(F.col("depth") == reach), known, depth)
+        more = stored(_nearest(found).join(known, ["node", "ancestor"], "left_anti"), "closure")
+        if more.isEmpty():
             break
-        known = known.union(frontier)
+        known, reach = known.unionByName(more), 2 * reach
     return known
 
 
+def added_pairs(up: DataFrame, edges: DataFrame, depth: int = 10, stop: Column | None = None) -> DataFrame:
+    """Pairs that new ``edges`` add to the closure ``up``, or bring nearer.
+
+    Every such pair has a path through a new edge: from what lies below its child, as ``up``
+    knows it, to what lies above its parent. These one-edge paths are joined with each other
+    until paths through several new edges change nothing, which four rounds reach for ten links.
+    Pairs of ``up`` that no new edge touches are only looked up, never made again; the result,
+    added to ``up`` and taken at the least depth, equals a closure of all edges.
+    """
+    fresh = _allowed(edges, stop).join(up.where("depth = 1"), ["node", "ancestor"], "left_anti")
+    fresh = stored(fresh, "edges")
+    if fresh.isEmpty():
+        return fresh
+    below = fresh.unionByName(_through(up, fresh, depth))
+    made = stored(_nearest(below.unionByName(_through(below, up, depth))), "paths")
+    size = lambda df: tuple(df.agg(F.count("*"), F.sum("depth")).first())
+    before = size(made)
+    for _ in range(depth):
+        made = stored(_nearest(made.unionByName(_through(made, made, depth))), "paths")
+        now = size(made)
+        if now == before:
+            break
+        before = now
+    old = up.select("node", "ancestor", F.col("depth").alias("_old"))
+    return made.join(old, ["node", "ancestor"], "left").where("_old is null or depth < _old").drop("_old")
+
+
+def extended(up: DataFrame, added: DataFrame) -> DataFrame:
+    """The closure ``up`` with the pairs of :func:`added_pairs`."""
+    return _nearest(up.unionByName(added))
+
+
+def descendants(up: DataFrame) -> DataFrame:
+    """code, n_desc: how many nodes lie under each ancestor."""
+    return up.groupBy(F.col("ancestor").alias("code")).agg(F.count("*").alias("n_desc"))
+
+
 def has_ancestor(nodes: DataFrame, up: DataFrame, targets: DataFrame) -> DataFrame:
     """Nodes that are targets or have one among their ancestors."""
     own = nodes.select("node", F.col("node").alias("ancestor"))
     return own.union(up.select("node", "ancestor")).join(targets.select(F.col("target").alias("ancestor")), "ancestor", "left_semi").select("node").distinct()
 
 
-def dictionary_flags(nodes: DataFrame, up: DataFrame, targets: DataFrame, names: list[str]) -> DataFrame:
-    """A 0/1 column for each name in ``targets`` (name, target): whether the node or an ancestor is one."""
+def dictionary_flags(nodes: DataFrame, up: DataFrame, targets: DataFrame, names: list[str], negated: tuple[str, ...] = (), limit: int = 100_000) -> DataFrame:
+    """A 0/1 column for each name in ``targets`` (name, target): whether the node or an ancestor is one.
+
+    A name in ``negated`` is 1 where neither the node nor an ancestor is in its set. All sets are
+    looked up in one join of the closure with the targets, which are broadcast up to ``limit``.
+    """
     own = nodes.select("node", F.col("node").alias("ancestor")).union(up.select("node", "ancestor"))
-    met = own.join(F.broadcast(targets) if targets.count() <= 100_000 else targets, F.col("ancestor") == F.col("target"))
+    met = own.join(F.broadcast(targets) if targets.count() <= limit else targets, F.col("ancestor") == F.col("target"))
     flags = met.groupBy("node").agg(*[F.max(F.when(F.col("name") == n, 1).otherwise(0)).alias(n) for n in names])
-    return nodes.select("node").join(flags, "node", "left").fillna(0, names)
+    out = nodes.select("node").join(flags, "node", "left").fillna(0, names)
+    return out.withColumns({n: 1 - F.col(n) for n in negated}) if negated else out
 
 
 def fixed_flags(df: DataFrame, diseases: list[str]) -> DataFrame:

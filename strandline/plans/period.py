@@ -42,21 +42,22 @@ def members(s: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame
     return mem(s, d, rows).where("stay_rank between 4 and 6")
 
 
-def clinical_grouped(s: SparkSession, d: str, rows: DataFrame, clin: DataFrame) -> DataFrame:
+def clinical_grouped(s: SparkSession, d: str, rows: DataFrame, clin: DataFrame, up: DataFrame | None = None, m: DataFrame | None = None) -> DataFrame:
     """One row for each clinical episode of ``rows`` (encounters): flags of its members, and its main code."""
-    m = io.stored(members(s, d, rows).select("id", "patient", "stay_id"), "members")
+    m = io.stored(members(s, d, rows).select("id", "patient", "stay_id"), "members") if m is None else m
     flags = m.join(clin.select(F.col("encounter").alias("id"), *_SUMMED, *_MOST), "id", "left").groupBy("stay_id").agg(
         F.max("patient").alias("patient"), *[F.sum(c).alias(c) for c in _SUMMED], *[F.max(c).alias(c) for c in _MOST]
     )
     groups = long(s, d).join(m.select(F.col("id").alias("encounter"), F.col("stay_id").alias("grp")), "encounter").select("grp", "code").distinct()
-    main = main_codes(s, d, groups).withColumnRenamed("grp", "stay_id")
+    main = main_codes(s, d, groups, up).withColumnRenamed("grp", "stay_id")
     out = flags.join(main, "stay_id", "left")
     return out.select("stay_id", "patient", *_SUMMED, *_MOST, "main_code", "main_name", *[F.coalesce(c, F.lit(0)).alias(c) for c in ZEROED])
 
 
-def cost_grouped(s: SparkSession, d: str, rows: DataFrame, costs: DataFrame) -> DataFrame:
+def cost_grouped(s: SparkSession, d: str, rows: DataFrame, costs: DataFrame, m: DataFrame | None = None) -> DataFrame:
     """One row for each clinical episode of ``rows`` with the costs of its members."""
-    m = members(s, d, rows).select("id", "patient", "stay_id", "stay_days").join(costs.drop("patient").withColumnRenamed("stay_id", "id"), "id", "left")
+    m = members(s, d, rows) if m is None else m
+    m = m.select("id", "patient", "stay_id", "stay_days").join(costs.drop("patient").withColumnRenamed("stay_id", "id"), "id", "left")
     out = m.groupBy("stay_id").agg(
         F.max("patient").alias("patient"), F.max("stay_days").alias("stay_days"), F.max("base").alias("admission"),
         F.sum("procedures").alias("procedures"), F.sum("medications").alias("medications"), F.sum("total").alias("total"),
@@ -130,19 +131,28 @@ def _marked(pairs: DataFrame, up: DataFrame) -> DataFrame:
     return C.related(pairs.withColumnsRenamed({"stay_id": "pair_id", "code": "code1", "sec_code": "code2"}), up).withColumnsRenamed({"pair_id": "stay_id", "code1": "code", "code2": "sec_code"})
 
 
-def related_stays(s: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
-    """For each stay whether its readmission is related to it, and the readmission flags that are."""
-    x = _marked(pairs, C.closure(tree(s, d), stop=F.col("ancestor") < 10))
+def related_stays(s: SparkSession, d: str, pairs: DataFrame, up: DataFrame | None = None) -> DataFrame:
+    """For each stay whether its readmission is related to it, and the readmission flags that are.
+
+    Ancestors below 10 relate nothing. In a tree of codes what lies above them is below 10, too, so the
+    closure ``up`` may be one that has followed them.
+    """
+    up = C.closure(tree(s, d), stop=F.col("ancestor") < 10) if up is None else up.where("ancestor >= 10")
+    x = _marked(pairs, up)
     clip = lambda c: F.max(F.greatest(F.lit(0), F.col(c) * F.col("is_related")))
     return x.groupBy("stay_id").agg(F.max("patient").alias("patient"), F.max("is_related").alias("is_related"), clip("readmit_soon").alias("rel_soon"), clip("readmit_later").alias("rel_later"))
 
 
-def _built(s: SparkSession, d: str, rows: DataFrame, clin: DataFrame, costs: DataFrame) -> dict[str, DataFrame]:
-    """Every table by episode of ``rows``, each written once."""
-    cg = io.stored(clinical_grouped(s, d, rows, clin), "clinical-grouped")
-    kg = io.stored(cost_grouped(s, d, rows, costs), "cost-grouped")
-    u = io.stored(used(utilization(s, d, eps(s, d, rows)), cg, kg), "utilization")
-    rel = io.stored(related_stays(s, d, related_pairs(u, cg)), "related")
+def _built(s: SparkSession, d: str, rows: DataFrame, clin: DataFrame, costs: DataFrame, up: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every table by episode of ``rows``, on one closure and one pass over the episodes."""
+    up = C.closure(tree(s, d)) if up is None else up
+    m = io.stored(mem(s, d, rows), "members")
+    clinic = m.where("stay_rank between 4 and 6")
+    cg = io.stored(clinical_grouped(s, d, rows, clin, up, clinic.select("id", "patient", "stay_id")), "clinical-grouped")
+    kg = io.stored(cost_grouped(s, d, rows, costs, clinic), "cost-grouped")
+    episodes = E.episode_table(m, "patient", F.sum("cents").alias("cents"))
+    u = io.stored(used(utilization(s, d, episodes), cg, kg), "utilization")
+    rel = io.stored(related_stays(s, d, related_pairs(u, cg), up), "related")
     return {"clinical_grouped": cg, "cost_grouped": kg, "utilization": u, "related": rel}
 
 
@@ -220,14 +230,15 @@ def assemble(s: SparkSession, d: str, t: dict[str, DataFrame], first: str = FIRS
     )
 
 
-def _bases(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _bases(s: SparkSession, d: str, up: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The tables by encounter that those by episode are made of."""
-    return io.stored(clinical(s, d), "clinical"), io.stored(costed(stays(s, d)), "costs")
+    return io.stored(clinical(s, d, up=up), "clinical"), io.stored(costed(stays(s, d)), "costs")
 
 
 @query(f"WITH {INDEX} SELECT * FROM idx", "build_index_stay", "assemble_index")
 def build_index_stay(s, d):
-    return assemble(s, d, _built(s, d, enc(s, d), *_bases(s, d)))
+    up = C.closure(tree(s, d))
+    return assemble(s, d, _built(s, d, enc(s, d), *_bases(s, d, up), up))
 
 
 @query(f"WITH {INDEX} SELECT * FROM idx WHERE stay_type = 'inpatient' AND discharge_date > DATE '2024-01-10' ORDER BY stay_id")

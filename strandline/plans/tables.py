@@ -74,18 +74,20 @@ CLIN = f"""{ONSET}, first_chronic AS (SELECT patient, code, min(seen) AS f FROM
  nproc AS (SELECT l_orderkey AS encounter, count(*) AS num_procedures FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"""
 
 
-def main_codes(s: SparkSession, d: str, groups: DataFrame) -> DataFrame:
+def main_codes(s: SparkSession, d: str, groups: DataFrame, up: DataFrame | None = None) -> DataFrame:
     """Main code of each group (grp, code) with its dictionary row, and how many disorders and findings the group has.
 
+    ``up`` is the closure of the codes' tree, made here where it is not given.
+
     A group with disorders elects among these, else among all its codes: favoured codes first,
     no ancestor of another, fewest descendants, least code.
     """
-    dic, up = dictionary(s, d), C.closure(tree(s, d))
+    dic, up = dictionary(s, d), C.closure(tree(s, d)) if up is None else up
     known = groups.join(dic.select("code", "is_disorder", "is_symptom"), "code")
     totals = known.groupBy("grp").agg(F.sum("is_disorder").alias("num_disorders"), F.sum("is_symptom").alias("num_findings"), F.max("is_disorder").alias("_top"))
     totals = io.stored(totals, "totals")
     electors = known.join(totals.select("grp", "_top"), "grp").where(F.col("is_disorder") == F.col("_top")).select("grp", "code")
-    desc = up.groupBy(F.col("ancestor").alias("code")).agg(F.countDistinct("node").alias("n_desc"))
+    desc = C.descendants(up)
     favoured = dic.where("code % 50 = 0").select("code")
     main = C.elected(electors, up, desc, favoured).withColumnRenamed("main_code", "code")
     named = main.join(dic.select("code", F.col("name").alias("main_name"), "is_disorder", "is_symptom", *SYSTEMS), "code", "left").withColumnRenamed("code", "main_code")
@@ -107,7 +109,7 @@ def main_sql(groups: str, name: str = "main") -> str:
 ZEROED = ["is_disorder", "is_symptom", *SYSTEMS, "num_disorders", "num_findings"]
 
 
-def clinical(s: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
+def clinical(s: SparkSession, d: str, base: DataFrame | None = None, up: DataFrame | None = None) -> DataFrame:
     """One row of 28 columns for each encounter: main code, counts, chronic codes so far, onsets, planning and surgery.
 
     With ``base`` (claims of some patients) only these patients' procedures are read on.
@@ -127,7 +129,7 @@ def clinical(s: SparkSession, d: str, base: DataFrame | None = None) -> DataFram
     plan = rows.join(first, "patient").where("seen > t").groupBy("patient").agg(F.min_by("encounter", F.struct("seen", "encounter")).alias("encounter")).select("encounter", F.lit(1).alias("planned"))
     many = proc.groupBy(F.col("l_orderkey").alias("encounter")).agg(F.count("*").alias("num_procedures"))
     on = C.onsets(codes, "patient", "seen", DISEASES)
-    main = main_codes(s, d, codes.select(F.col("encounter").alias("grp"), "code")).withColumnRenamed("grp", "encounter")
+    main = main_codes(s, d, codes.select(F.col("encounter").alias("grp"), "code"), up).withColumnRenamed("grp", "encounter")
     out = out.join(on, "patient", "left").join(plan, "encounter", "left").join(many, "encounter", "left").join(main, "encounter", "left")
     recent = S.elapsed("DAY", F.col("last"), F.col("seen")) < 730
     return out.select(
