@@ -44,7 +44,7 @@ def described_codes(codes: DataFrame, concepts: DataFrame) -> DataFrame:
     return codes.join(terms, "code", "left").withColumn("name", F.coalesce("name", "term")).drop("term")
 
 
-def _nearest(pairs: DataFrame) -> DataFrame:
+def nearest(pairs: DataFrame) -> DataFrame:
     """Each (node, ancestor) once, at its least depth."""
     return pairs.groupBy("node", "ancestor").agg(F.min("depth").cast("int").alias("depth"))
 
@@ -74,7 +74,7 @@ def closure(edges: DataFrame, depth: int = 10, stop: Column | None = None) -> Da
     reach = 1
     while reach < depth:
         found = _through(known.where(F.col("depth") == reach), known, depth)
-        more = stored(_nearest(found).join(known, ["node", "ancestor"], "left_anti"), "closure")
+        more = stored(nearest(found).join(known, ["node", "ancestor"], "left_anti"), "closure")
         if more.isEmpty():
             break
         known, reach = known.unionByName(more), 2 * reach
@@ -95,11 +95,11 @@ def added_pairs(up: DataFrame, edges: DataFrame, depth: int = 10, stop: Column |
     if fresh.isEmpty():
         return fresh
     below = fresh.unionByName(_through(up, fresh, depth))
-    made = stored(_nearest(below.unionByName(_through(below, up, depth))), "paths")
+    made = stored(nearest(below.unionByName(_through(below, up, depth))), "paths")
     size = lambda df: tuple(df.agg(F.count("*"), F.sum("depth")).first())
     before = size(made)
     for _ in range(depth):
-        made = stored(_nearest(made.unionByName(_through(made, made, depth))), "paths")
+        made = stored(nearest(made.unionByName(_through(made, made, depth))), "paths")
         now = size(made)
         if now == before:
             break
@@ -110,7 +110,19 @@ def added_pairs(up: DataFrame, edges: DataFrame, depth: int = 10, stop: Column |
 
 def extended(up: DataFrame, added: DataFrame) -> DataFrame:
     """The closure ``up`` with the pairs of :func:`added_pairs`."""
-    return _nearest(up.unionByName(added))
+    return nearest(up.unionByName(added))
+
+
+def edges_above(edges: DataFrame, codes: DataFrame, depth: int = 10) -> DataFrame:
+    """The edges (child, parent) that lie on a way up from ``codes`` (code), up to ``depth`` links."""
+    at, out = codes.select(F.col("code").alias("child")).distinct(), None
+    for _ in range(depth):
+        step = stored(edges.join(at, "child", "left_semi").distinct(), "edges")
+        if step.isEmpty():
+            break
+        at = step.select(F.col("parent").alias("child")).distinct()
+        out = step if out is None else out.union(step)
+    return edges.limit(0) if out is None else out.distinct()
 
 
 def descendants(up: DataFrame) -> DataFrame:

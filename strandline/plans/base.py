@@ -97,11 +97,12 @@ def eps(s: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     return episode_table(mem(s, d, rows), "patient", F.sum("cents").alias("cents"))
 
 
-def claims(s: SparkSession, d: str) -> DataFrame:
+def claims(s: SparkSession, d: str, orders: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
-    slots = table(s, d, "lineitem").withColumn("slot", F.row_number().over(w)).where("slot <= 8")
+    slots = (table(s, d, "lineitem") if lines is None else lines).withColumn("slot", F.row_number().over(w)).where("slot <= 8")
     wide = slots.groupBy("l_orderkey").agg(*[F.max(F.when(F.col("slot") == i + 1, F.concat(F.col("l_partkey").cast("string"), F.lit(".0")))).alias(c) for i, c in enumerate(WIDE)])
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("patient"), F.col("o_orderdate").cast("timestamp").alias("seen"))
+    o = table(s, d, "orders") if orders is None else orders
+    o = o.select(F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("patient"), F.col("o_orderdate").cast("timestamp").alias("seen"))
     return o.join(wide, o["encounter"] == wide["l_orderkey"], "left").drop("l_orderkey")
 
 
@@ -117,19 +118,19 @@ def dictionary(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("name"), F.col("p_type").alias("type"), *[c.cast("int").alias(n) for n, c in made.items()])
 
 
-def plans(s: SparkSession, d: str) -> DataFrame:
-    last = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.to_date(F.max("l_shipdate")).alias("ship"))
-    o = table(s, d, "orders")
+def plans(s: SparkSession, d: str, orders: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
+    last = (table(s, d, "lineitem") if lines is None else lines).groupBy("l_orderkey").agg(F.to_date(F.max("l_shipdate")).alias("ship"))
+    o = table(s, d, "orders") if orders is None else orders
     return o.join(last, o["o_orderkey"] == last["l_orderkey"], "left").select(
         F.col("o_orderkey").alias("plan"), F.col("o_custkey").alias("patient"), F.to_date("o_orderdate").alias("start"), F.when(F.col("o_orderstatus") != "O", F.col("ship")).alias("stop")
     )
 
 
-def stays(s: SparkSession, d: str, cut=None) -> DataFrame:
+def stays(s: SparkSession, d: str, cut=None, orders: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     part = lambda f: F.sum(F.when(F.col("l_returnflag") == f, cents))
-    lines = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.max(F.col("l_shipdate").cast("timestamp")).alias("ship"), part("R").alias("procedures"), part("A").alias("medications"))
-    o = table(s, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    lines = (table(s, d, "lineitem") if lines is None else lines).groupBy("l_orderkey").agg(F.max(F.col("l_shipdate").cast("timestamp")).alias("ship"), part("R").alias("procedures"), part("A").alias("medications"))
+    o = (table(s, d, "orders") if orders is None else orders).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     o = o if cut is None else o.where(cut)
     claim = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left").select(

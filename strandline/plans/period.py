@@ -261,11 +261,6 @@ def _updated(s: SparkSession, d: str, build: Callable[[DataFrame], DataFrame], n
     return I.update(io.stored(build(old), name), old, new, "patient", build)
 
 
-@query(f"WITH {UTIL} SELECT * FROM util")
-def utilization_update(s, d):
-    return _updated(s, d, lambda rows: utilization(s, d, eps(s, d, rows)), "utilization")
-
-
 @query(f"WITH {HELPERS} SELECT * FROM cg")
 def clinical_grouped_update(s, d):
     clin = io.stored(clinical(s, d), "clinical")
@@ -344,50 +339,7 @@ def index_update(s, d):
     return _updated(s, d, build, "index").drop("patient")
 
 
-# ---- the monthly step ---------------------------------------------------------------
-def run_month(s: SparkSession, d: str, root: str, version: int, new: DataFrame) -> DataFrame:
-    """One period: dictionary and plan deltas, helpers, related stays, index, in this order.
-
-    Reads the tables of ``version`` under ``root`` and writes all of the next one; a step that
-    fails leaves the version before as it was. Returns the new index.
-    """
-    last = lambda name: s.read.parquet(f"{root}/version={version}/{name}")
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        path = f"{root}/version={version + 1}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return s.read.parquet(path)
-
-    history = last("encounters")
-    fresh = new.join(history.select("id"), "id", "left_anti")
-    everything = put("encounters", history.unionByName(fresh))
-    codes = long(s, d).join(fresh.select(F.col("id").alias("encounter")), "encounter", "left_semi")
-    put("codes", last("codes").unionByName(I.unseen(codes, last("codes"))))
-    put("care", last("care").unionByName(care_feed(s, d, fresh)))
-    touched = io.stored(E.touched(everything, fresh, "patient"), "touched")
-    clin, costs = put("clinical", clinical(s, d)), put("costs", I.upsert(last("costs"), costed(stays(s, d)), "stay_id"))
-    built = _built(s, d, touched, clin, costs)
-    tables = {n: put(n, last(n).join(touched.select("patient").distinct(), "patient", "left_anti").unionByName(df)) for n, df in built.items()}
-    return put("index", assemble(s, d, tables))
-
-
-def start_months(s: SparkSession, d: str, root: str, rows: DataFrame) -> None:
-    """Version 0 under ``root``, built in full from the encounters so far."""
-    clin, costs = _bases(s, d)
-    tables = {"encounters": rows, "codes": long(s, d).join(rows.select(F.col("id").alias("encounter")), "encounter", "left_semi").select("code").distinct(), "care": care_feed(s, d, rows), "clinical": clin, "costs": costs, **_built(s, d, rows, clin, costs)}
-    for name, df in tables.items():
-        df.write.parquet(f"{root}/version=0/{name}")
-
-
-@query(f"WITH {INDEX} SELECT * FROM idx")
-def run_period(s, d):
-    """A full build up to the cut, then one period with all its steps."""
-    root = io.scratch(s, "state")
-    old, new = _split(s, d)
-    start_months(s, d, root, old)
-    return run_month(s, d, root, 0, new)
-
-
+# ---- the cursor ----------------------------------------------------------------------
 MONTHS = "w AS (SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 11 MONTH AS sim_start, last_day(CAST(max(o_orderdate) AS DATE)) AS final_end FROM orders)"
 
 
@@ -398,26 +350,6 @@ def _opened(s: SparkSession, d: str, path: str) -> None:
     io.write_control(w.select(F.col("cutoff").alias("last_processed"), F.last_day("sim_start").alias("next_end"), "final_end"), path, 0)
 
 
-def next_period(s: SparkSession, control: str, step: Callable[[str], None]) -> bool:
-    """Process the period that the control row names and advance it; false where none is left."""
-    cursor, number = io.read_control(s, control)
-    row = cursor.first()
-    if row["next_end"] is not None and row["next_end"] > row["final_end"]:
-        return False
-    after = io.advance(cursor)
-    step(str(row["next_end"]))
-    io.write_control(after, control, number + 1)
-    return True
-
-
-def _slim_step(s: SparkSession, d: str, out: str) -> Callable[[str], None]:
-    def step(end: str) -> None:
-        month = table(s, d, "orders").where(F.last_day("o_orderdate") == F.lit(end).cast("date")).select("o_orderkey", F.lit(end).alias("period"))
-        io.write_snapshot(month, out, "period")
-
-    return step
-
-
 @query(f"WITH {MONTHS} SELECT CAST(sim_start - INTERVAL 1 DAY AS DATE) AS last_processed, last_day(CAST(sim_start AS DATE)) AS next_end, final_end FROM w")
 def cursor_init(s, d):
     control = io.scratch(s, "control")
@@ -425,25 +357,6 @@ def cursor_init(s, d):
     return io.read_control(s, control)[0]
 
 
-@query(f"WITH {MONTHS} SELECT last_day(CAST(sim_start AS DATE)) AS last_processed, last_day(CAST(sim_start + INTERVAL 1 MONTH AS DATE)) AS next_end, final_end, (SELECT count(*) FROM orders, w WHERE last_day(CAST(o_orderdate AS DATE)) = last_day(CAST(sim_start AS DATE))) AS n FROM w")
-def cursor_run_next(s, d):
-    """One period is processed, then the control row moves on."""
-    control, out = io.scratch(s, "control"), io.scratch(s, "processed")
-    _opened(s, d, control)
-    next_period(s, control, _slim_step(s, d, out))
-    return io.read_control(s, control)[0].crossJoin(s.read.parquet(out).agg(F.count("*").alias("n")))  # one row each
-
-
-@query(f"WITH {MONTHS} SELECT last_day(CAST(o_orderdate AS DATE)) AS period, count(*) AS n FROM orders, w WHERE o_orderdate >= sim_start GROUP BY 1")
-def cursor_run_until(s, d):
-    """Periods are processed until the last one; each is written once."""
-    control, out = io.scratch(s, "control"), io.scratch(s, "processed")
-    _opened(s, d, control)
-    while next_period(s, control, _slim_step(s, d, out)):
-        pass
-    return s.read.parquet(out).groupBy(F.col("period").cast("date").alias("period")).agg(F.count("*").alias("n"))
-
-
 # ---- checks -------------------------------------------------------------------------
 _FLAGS = [*DISEASES, "is_planned", "had_surgery"]
 _bad = lambda c: f"count(*) FILTER ({c} IS NULL OR {c} NOT IN (0, 1)) AS bad_{c}"

@@ -19,17 +19,21 @@ def cuts():
     return F.lit("2024-01-20 00:00:00").cast("timestamp")
 
 
-def utilization(s: SparkSession, d: str, stays: DataFrame | None = None) -> DataFrame:
-    """Look-back and look-ahead of clinical episodes over inpatient ones, on one stream of both."""
+def utilization(s: SparkSession, d: str, stays: DataFrame | None = None, earlier: DataFrame | None = None, back: int = BACK, soon: int = SOON, later: int = LATER) -> DataFrame:
+    """Look-back and look-ahead of clinical episodes over inpatient ones, on one stream of both.
+
+    ``earlier`` are inpatient episodes that are looked back at and get no row themselves.
+    """
     stays = stored(eps(s, d) if stays is None else stays, "episodes")
     pure, inp = stays.where("stay_rank in (4, 5, 6)").drop("episode", "members"), stays.where("stay_rank = 6")
-    out = T.around(pure, "stay_start", "stay_stop", inp, "patient", BACK, ["stay_id"], "admissions", {"total_days": "stay_days", "prev_cents": "cents"})
+    inp = inp if earlier is None else inp.select(*earlier.columns).unionByName(earlier)
+    out = T.around(pure, "stay_start", "stay_stop", inp, "patient", back, ["stay_id"], "admissions", {"total_days": "stay_days", "prev_cents": "cents"})
     at = F.timestamp_micros(F.col("next.at"))
     out = out.withColumns({
         "total_days": F.coalesce("total_days", F.lit(0)), "prev_stay_id": F.col("prev.stay_id"), "prev_stay_date": F.timestamp_micros(F.col("prev.at")),
         "following_stay_id": F.col("next.stay_id"), "following_stay_date": at, "days_to_readmit": S.elapsed("DAY", F.col("stay_stop"), at),
     })
-    return out.withColumns({"readmit_soon": S.flag(F.col("days_to_readmit") <= SOON), "readmit_later": S.flag(F.col("days_to_readmit") <= LATER)}).drop("prev", "next")
+    return out.withColumns({"readmit_soon": S.flag(F.col("days_to_readmit") <= soon), "readmit_later": S.flag(F.col("days_to_readmit") <= later)}).drop("prev", "next")
 
 
 @query(f"WITH {EPS} SELECT * FROM eps")

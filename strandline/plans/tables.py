@@ -74,10 +74,11 @@ CLIN = f"""{ONSET}, first_chronic AS (SELECT patient, code, min(seen) AS f FROM
  nproc AS (SELECT l_orderkey AS encounter, count(*) AS num_procedures FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"""
 
 
-def main_codes(s: SparkSession, d: str, groups: DataFrame, up: DataFrame | None = None) -> DataFrame:
+def main_codes(s: SparkSession, d: str, groups: DataFrame, up: DataFrame | None = None, desc: DataFrame | None = None) -> DataFrame:
     """Main code of each group (grp, code) with its dictionary row, and how many disorders and findings the group has.
 
-    ``up`` is the closure of the codes' tree, made here where it is not given.
+    ``up`` is the closure of the codes' tree, made here where it is not given, and ``desc``
+    (code, n_desc) how many codes lie under each one, counted in ``up`` where it is not given.
 
     A group with disorders elects among these, else among all its codes: favoured codes first,
     no ancestor of another, fewest descendants, least code.
@@ -87,7 +88,7 @@ def main_codes(s: SparkSession, d: str, groups: DataFrame, up: DataFrame | None
     totals = known.groupBy("grp").agg(F.sum("is_disorder").alias("num_disorders"), F.sum("is_symptom").alias("num_findings"), F.max("is_disorder").alias("_top"))
     totals = io.stored(totals, "totals")
     electors = known.join(totals.select("grp", "_top"), "grp").where(F.col("is_disorder") == F.col("_top")).select("grp", "code")
-    desc = C.descendants(up)
+    desc = C.descendants(up) if desc is None else desc
     favoured = dic.where("code % 50 = 0").select("code")
     main = C.elected(electors, up, desc, favoured).withColumnRenamed("main_code", "code")
     named = main.join(dic.select("code", F.col("name").alias("main_name"), "is_disorder", "is_symptom", *SYSTEMS), "code", "left").withColumnRenamed("code", "main_code")
@@ -151,18 +152,6 @@ def build_helper_clinical(s, d):
     return clinical(s, d)
 
 
-@query(CLIN_SQL)
-def clinical_update(s, d):
-    c = io.stored(claims(s, d), "claims")
-    old, new = c.where("encounter % 10 <> 3"), c.where("encounter % 10 = 3")
-    return I.update(io.stored(clinical(s, d, old), "clinical"), old, new, "patient", lambda rows: clinical(s, d, rows))
-
-
-@query(f"WITH {LONG}, {DICT} SELECT DISTINCT code FROM long WHERE code NOT IN (SELECT code FROM dict WHERE code % 3 = 0)")
-def dict_delta(s, d):
-    return I.unseen(long(s, d), dictionary(s, d).where("code % 3 = 0"))
-
-
 @query(f"WITH {LONG}, {DICT} SELECT encounter, CAST(sum(is_disorder) AS BIGINT) AS disorders, CAST(sum(is_symptom) AS BIGINT) AS symptoms, CAST(max(is_chronic) AS INTEGER) AS chronic FROM long JOIN dict USING (code) GROUP BY encounter")
 def codes_split(s, d):
     return long(s, d).join(dictionary(s, d), "code").groupBy("encounter").agg(F.sum("is_disorder").alias("disorders"), F.sum("is_symptom").alias("symptoms"), F.max("is_chronic").alias("chronic"))
@@ -343,17 +332,6 @@ def graph_has_ancestor(s, d):
     return C.has_ancestor(e.select(F.col("child").alias("node")).distinct(), C.closure(e), s.createDataFrame([(102,), (1003,)], "target bigint"))
 
 
-TARGETS = "t(name, target) AS (VALUES ('europe', 103), ('asia', 102), ('nation', 1007))"
-FLAGS = f"WITH {UP}, {TARGETS}, own AS (SELECT node, ancestor FROM up UNION SELECT child, child FROM edges) SELECT node, max(CASE WHEN name = 'europe' THEN 1 ELSE 0 END) AS europe, max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) AS asia, max(CASE WHEN name = 'nation' THEN 1 ELSE 0 END) AS nation FROM own LEFT JOIN t ON target = ancestor GROUP BY node"
-
-
-@query(FLAGS)
-def dict_flags(s, d):
-    e = edges(s, d)
-    t = s.createDataFrame([("europe", 103), ("asia", 102), ("nation", 1007)], "name string, target bigint")
-    return C.dictionary_flags(e.select(F.col("child").alias("node")).distinct(), C.closure(e), t, ["europe", "asia", "nation"])
-
-
 @query(f"WITH {DICT} SELECT code, is_disorder, CASE WHEN is_disorder = 1 THEN 0 ELSE is_symptom END AS is_symptom, greatest(is_chronic, {", ".join(DISEASES)}) AS is_chronic FROM dict")
 def dict_fix(s, d):
     return C.fixed_flags(dictionary(s, d), DISEASES).select("code", "is_disorder", "is_symptom", "is_chronic")
@@ -367,18 +345,6 @@ def dict_describe(s, d):
     return C.described_codes(codes, _concepts(s, d, "(cast(conceptId as int) - 1000) % 7 <> 1"))
 
 
-@query("WITH RECURSIVE " + FLAGS.removeprefix("WITH RECURSIVE ").replace("SELECT node, max(CASE WHEN name = 'europe'", "SELECT node AS code, coalesce(any_value(c_name), any_value(n_name), any_value(r_name)) AS label, max(CASE WHEN name = 'europe'").replace("greatest", "greatest").replace(" GROUP BY node", " LEFT JOIN customer ON 1000000 + c_custkey = node LEFT JOIN nation ON 1000 + n_nationkey = node LEFT JOIN region ON 100 + r_regionkey = node GROUP BY node").replace("max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) AS asia", "CASE WHEN max(CASE WHEN name = 'europe' THEN 1 ELSE 0 END) = 1 THEN 0 ELSE max(CASE WHEN name = 'asia' THEN 1 ELSE 0 END) END AS asia"))
-def dict_build(s, d):
-    """Codes with names, flags over the hierarchy, and the rule that one flag clears another."""
-    e = edges(s, d)
-    t = s.createDataFrame([("europe", 103), ("asia", 102), ("nation", 1007)], "name string, target bigint")
-    nodes = e.select(F.col("child").alias("node")).distinct()
-    names = table(s, d, "customer").select((F.col("c_custkey") + 1_000_000).alias("node"), F.col("c_name").alias("label"))
-    names = names.union(table(s, d, "nation").select(F.col("n_nationkey").cast("bigint") + 1000, "n_name")).union(table(s, d, "region").select(F.col("r_regionkey").cast("bigint") + 100, "r_name"))
-    flags = C.dictionary_flags(nodes, C.closure(e), t, ["europe", "asia", "nation"]).join(names, "node", "left")
-    return flags.select(F.col("node").alias("code"), "label", "europe", F.when(F.col("europe") == 1, 0).otherwise(F.col("asia")).alias("asia"), "nation")
-
-
 GRP = f"{UP}, grp AS (SELECT c_custkey % 97 AS grp, CAST(1000 + c_nationkey AS BIGINT) AS code FROM customer WHERE c_custkey % 5 = 0 UNION SELECT c_custkey % 97, CAST(100 + n_regionkey AS BIGINT) FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 3 = 0), nd AS (SELECT ancestor AS code, count(DISTINCT node) AS n_desc FROM up GROUP BY 1), main AS (SELECT grp, arg_min(code, (coalesce(n_desc, 0), code)) AS main_code FROM grp g LEFT JOIN nd USING (code) WHERE NOT EXISTS (SELECT 1 FROM grp h JOIN up ON up.node = h.code AND up.ancestor = g.code WHERE h.grp = g.grp) GROUP BY grp)"
 
 
@@ -454,13 +420,6 @@ def surgery_combine(s, d):
 
 
 # ---- periods ----------------------------------------------------------------------
-@query(f"WITH {ENC} SELECT id, patient FROM enc WHERE last_day(CAST(start AS DATE)) = DATE '2024-01-31' AND class <> 'wellness'")
-def slim_monthly(s, d):
-    path = io.scratch(s, "periods")
-    io.write_periods(enc(s, d), "start", path)
-    return io.read_periods(s, path, F.col("period_end") == F.lit("2024-01-31").cast("date")).where("class <> 'wellness'").select("id", "patient")
-
-
 @query(f"WITH {ENC} SELECT DISTINCT id FROM enc WHERE CAST(start AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' OR CAST(stop AS DATE) = DATE '2024-01-21'")
 def union_distinct_ids(s, d):
     e = enc(s, d)
@@ -869,17 +828,6 @@ def score(s, d):
     return s.read.parquet(out)
 
 
-@query(None)
-def score_only_run(s, d):
-    """Two months scored with a model that was saved before; nothing is fitted and nothing evaluated."""
-    x, path, out = model_rows(s, d), io.scratch(s, "model"), io.scratch(s, "scores")
-    fitted(x, "rf").write().save(path)
-    for end in ("1997-06-30", "1997-07-31"):
-        month = x.where(F.last_day("seen") == F.lit(end).cast("date"))
-        io.write_snapshot(ML.scored(ML.saved_or_fitted(path, None), month, "id", "rf").withColumn("end_date", F.lit(end)), out, "end_date")
-    return s.read.parquet(out)
-
-
 @query(None)
 def coefs(s, d):
     return s.createDataFrame(ML.coefficients(fitted(model_rows(s, d), "logreg"), FEATURES), "feature string, value double, share double")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import period, scoring, stays, tables
+from strandline.plans import months, period, scoring, stays, tables
 from strandline.plans.base import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "entry", "period", "scoring", "stays", "tables"]
+__all__ = ["ORACLE", "QUERIES", "entry", "months", "period", "scoring", "stays", "tables"]
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
