@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +69,19 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
+    """Within it, tables are written with Arrow batches of ``rows`` rows, if the session has no size of its own; afterwards all is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    if own == "10000":
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -75,7 +89,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out

@@ -83,8 +83,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 
     Containment and slots are judged for each occurrence, and the item is held if one of them
     passes. Hits that agree on where the item would begin are one; so that inserted or missing
-    words do not cut an occurrence in two, so are hits that begin within half an item of each
-    other (two sets of overlapping spans), and all hits of the document.
+    words do not cut an occurrence in two, so are hits that begin within an item's length of each
+    other (two sets of overlapping spans). Windows that lie further apart or far out of order, each
+    with a beginning of its own, are no occurrence, however many a long text has of them.
     """
     items = stored(item_windows(benchmark, item_key, item_text), "item-windows")
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW values
@@ -96,7 +97,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     # equal windows that begin at one place (of repeated rows) count once, with how often they occur
     hits = stored(hits.groupBy("doc_id", "item", "inner", "total", "h", "slots", "item_slots", "begin").agg(F.count("*").alias("times")), "hits")
     span = F.greatest(F.floor(F.col("total") / 2), F.lit(2)) * 2
-    spans = [F.lit(0).cast("long"), F.col("begin").cast("long"), F.floor(F.col("begin") / span), F.floor((F.col("begin") + span / 2) / span)]
+    spans = [F.col("begin").cast("long"), F.floor(F.col("begin") / span), F.floor((F.col("begin") + span / 2) / span)]
     place = F.array(*[F.struct(F.lit(k).alias("kind"), at.alias("at")) for k, at in enumerate(spans)])
     hits = hits.select("doc_id", "item", "inner", "total", "h", "slots", "item_slots", "times", F.inline(place))
     one = ["doc_id", "item", "inner", "kind", "at"]

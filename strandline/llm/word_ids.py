@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Words after which a worker forgets all numbers before its next batch.
+#: Words after which a worker forgets all numbers before its next batch, if it is not told otherwise.
 WORDS = 400_000
 
 
 class WordIds:
     """Numbers words in order of appearance; ``describe(words)`` gives a row for each new one."""
 
-    def __init__(self, describe, width: int, dtype=np.float32):
-        self.describe, self.width, self.dtype = describe, width, dtype
+    def __init__(self, describe, width: int, dtype=np.float32, most: int = WORDS):
+        self.describe, self.width, self.dtype, self.most = describe, width, dtype, most
         self.forget()
 
     def forget(self) -> None:
@@ -21,7 +21,7 @@ class WordIds:
 
     def tidy(self) -> None:
         """Forget all numbers if there are many; not between calls whose numbers are used together."""
-        if len(self.ids) > WORDS:
+        if len(self.ids) > self.most:
             self.forget()
 
     def of(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:

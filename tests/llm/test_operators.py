@@ -271,6 +271,20 @@ def test_decontamination_judges_each_occurrence(spark):
     assert got == {1: "reparameterised", 2: "verbatim", 3: "verbatim"}
 
 
+def test_decontamination_wants_windows_in_one_place(spark):
+    """Windows of an item that lie scattered and out of order, far apart in a long text, are no occurrence; inserted words are."""
+    words = "if seven red trains leave a small town at noon and every second one stops at three quiet villages how late is it".split()
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    rng = random.Random(9)
+    windows = [words[i : i + 5] for i in range(len(words) - 4)]
+    rng.shuffle(windows)
+    filler = lambda n: [f"filler{rng.randrange(10**6)}x" for _ in range(n)]
+    scattered = " ".join(w for part in windows for w in (*part, *filler(60)))
+    inserted = " ".join([*filler(30), *words[:12], "just", "now", *words[12:], *filler(30)])
+    got = {r.doc_id: r.kind for r in decontamination.decontamination(table(spark, [(1, scattered), (2, inserted), (3, " ".join(words))]), bench).collect()}
+    assert got == {2: "verbatim", 3: "verbatim"}
+
+
 def test_license_scan(spark):
     mit = license_scan.TEMPLATES["MIT"][1]
     rows = [(1, f"{'pad ' * 300}{mit.upper()}{' pad' * 50}"), (2, "Licensed under CC BY-NC 4.0."), (3, None), (4, ""), (5, LONG), (6, "a license of no kind at all"), (6, "a license of no kind at all"), (None, "Released under the MIT License.")]
@@ -382,7 +396,8 @@ def test_quality(spark, edge, docs):
 
 
 def test_kneser_ney_sums_to_one(spark, docs):
-    model = quality.fit(docs.limit(60), 60, vocabulary=50)
+    model = quality.fit(docs.limit(60), 60, least=40)
+    assert 30 < len(model.vocabulary.hashes) < 400
     v = model.vocabulary.size
     for a, b in ((0, 0), (5, 7), (60, 61)):
         p = model.score(np.concatenate([[a, b, c] for c in range(v)]))[::3]
@@ -426,7 +441,7 @@ def kneser_ney(texts, v):
 
 def test_perplexity_equals_brute_force(spark, docs):
     rows = docs.where("length(text) < 3000").limit(80)
-    model = quality.fit(rows, 80, most=10**9, vocabulary=60)
+    model = quality.fit(rows, 80, most=10**9, least=30)
     ids = quality.WordIds(model.vocabulary.describe, 1, np.int32)
     spell = lambda t: model.vocabulary.tokens(ids, [t or ""])[0].tolist()
     learned = {r.doc_id for r in rows.where(quality.in_sample("doc_id", 80, 10**9)).select("doc_id").collect()}
@@ -581,6 +596,26 @@ def test_pipeline(spark):
     assert all(k == v for k, v in kept.items())
 
 
+def test_pipeline_edges(spark, tmp_path):
+    """Empty tables, columns with the names used inside, and a very long text."""
+    import corpus_pipeline as cp
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of this stands anywhere in these few texts")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, LONG, "en", 11, 12, 13), (2, "two words", "en", 21, 22, 23), (2, "two words", "en", 21, 22, 23), (None, None, None, 31, 32, 33)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, _row long, _n int, keep int")
+    for name, stage in cp.STAGES:
+        for left in (df, df.limit(0)):
+            out = stage(spark, left, str(tmp_path))
+            kept = out.collect()
+            if name != "packing":
+                assert out.columns == df.columns and set(map(tuple, kept)) <= set(rows), name
+            if left is not df:
+                assert not kept, name
+    assert {r._row for r in cp.keep_quality(spark, df, str(tmp_path)).collect()} == {11, 21, 31}  # no limit without trusted texts
+    assert sorted(r._row for r in cp.keep_first_copies(spark, df, str(tmp_path)).collect()) == [11, 21, 31]
+
+
 def test_pipeline_judges_rows_and_not_ids(spark, docs, tmp_path):
     import corpus_pipeline as cp
 
