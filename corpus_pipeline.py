@@ -18,38 +18,47 @@ LANGUAGES, SHARE = ("de", "en", "es", "fr"), 0.3
 BROADCAST_ROWS = 1_000_000
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a key of each row's own.
+def _free(docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has, whatever its case."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row's own, and the key's name.
 
     That is doc_id where it is never null and never repeated. Else the rows are numbered and
     written, so that every later plan reads the same numbers; a stage then takes the documents'
     size once more on disk.
     """
+    row = _free(docs)
     ids = docs.groupBy("doc_id").count()
     if ids.where("count > 1 or doc_id is null").isEmpty():
-        return docs.withColumn("_row", F.col("doc_id"))
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        return docs.withColumn(row, F.col("doc_id")), row
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``_row`` is the only column of ``rejected``."""
-    keys = stored(rejected.toDF("_row").distinct(), "rejected")
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "_row", "left_anti").drop("_row")
+def _without(docs: DataFrame, row: str, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key is in the only column of ``rejected``."""
+    keys = stored(rejected.toDF(row).distinct(), "rejected")
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, row, "left_anti").drop(row)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose perplexity under trusted text is within their language's limit."""
-    docs = _keyed(docs)
-    judged = quality.quality(docs, read(spark, sf_dir, "labels"), carry=("_row",))
-    return _without(docs, judged.where(~F.col("keep")).select("_row"))
+    docs, row = _keyed(docs)
+    judged = quality.quality(docs, read(spark, sf_dir, "labels"), carry=(row,))
+    return _without(docs, row, judged.where(~F.col("keep")).select(row))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that are, by their own words, mostly in a wanted language."""
     model = language_id.train(docs)
-    docs = _keyed(docs)
-    found = language_id.language_id(docs.select("_row", "text"), model, key="_row")
-    return _without(docs, found.where(~F.col("lang_pred").isin(*LANGUAGES) | (F.col("score") < SHARE)).select("_row"))
+    docs, row = _keyed(docs)
+    found = language_id.language_id(docs.select(row, "text"), model, key=row)
+    return _without(docs, row, found.where(~F.col("lang_pred").isin(*LANGUAGES) | (F.col("score") < SHARE)).select(found.columns[0]))
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,18 +67,19 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Texts without words are linked with nothing; of those only rows of equal id and text are
     made one, and rows without an id stay.
     """
-    docs = _keyed(docs)
-    found = near_dedup.near_dedup(docs, key="_row")
+    docs, row = _keyed(docs)
+    found = near_dedup.near_dedup(docs, key=row)
     copies = found.where(~F.col("kept")).select("doc_id")
-    wordless = docs.join(found.where("n_shingles = 0").select(F.col("doc_id").alias("_row")), "_row", "left_semi").where("doc_id is not null")
-    again = wordless.select("_row", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("_row")).alias("n")).where("n > 1").select("_row")
-    return _without(docs, copies.union(again))
+    wordless = docs.join(found.where("n_shingles = 0").select(F.col("doc_id").alias(row)), row, "left_semi").where("doc_id is not null").select(row, "doc_id", "text")
+    n = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(row))
+    again = wordless.select(row, n.alias("_n")).where("_n > 1").select(row)
+    return _without(docs, row, copies.union(again))
 
 
 def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without benchmark items."""
-    docs = _keyed(docs)
-    return _without(docs, decontamination.decontamination(docs, read(spark, sf_dir, "benchmark"), key="_row").select("doc_id"))
+    docs, row = _keyed(docs)
+    return _without(docs, row, decontamination.decontamination(docs, read(spark, sf_dir, "benchmark"), key=row).select("doc_id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
