@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,6 +48,7 @@ def in_batches(df: DataFrame, function, schema: str, rows: int = 2500) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(cut(batches))
         # a worker serves the next stage, too: what this one has freed goes back to the system
+        gc.collect()
         pa.default_memory_pool().release_unused()
         libc = ctypes.CDLL(None)
         if hasattr(libc, "malloc_trim"):
@@ -71,15 +73,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
-    """Within it, tables are written with Arrow batches of ``rows`` rows, if the session has no size of its own; afterwards all is as before."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    own = spark.conf.get(name)
-    if own == "10000":
-        spark.conf.set(name, str(rows))
+    """Within it, tables are read and written in batches of texts and not of numbers, where the session has Spark's own sizes; afterwards all is as before."""
+    sizes = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", rows), "spark.sql.parquet.columnarReaderBatchSize": ("4096", max(1, rows // 4))}
+    own = {name: spark.conf.get(name) for name in sizes}
+    changed = [name for name, (usual, _) in sizes.items() if own[name] == usual]
+    for name in changed:
+        spark.conf.set(name, str(sizes[name][1]))
     try:
         yield
     finally:
-        spark.conf.set(name, own)
+        for name in changed:
+            spark.conf.set(name, own[name])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

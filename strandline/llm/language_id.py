@@ -16,6 +16,9 @@ from strandline.llm.common import in_batches, read
 from strandline.llm.shingling import mix, text_parts
 from strandline.llm.word_ids import WordIds
 
+#: Words that a worker remembers.
+REMEMBERED = 100_000
+
 #: First and last code point of script blocks.
 SCRIPTS = {
     "latin": [(0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A)],
@@ -212,9 +215,9 @@ def language_id(docs: DataFrame, model: LanguageModel, penalty: float = 6.0, key
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.langs, UNKNOWN], dtype=object)
-        ids = WordIds(m.describe, len(m.langs) + 1)
+        ids = WordIds(m.describe, len(m.langs) + 1, most=REMEMBERED)
         for b in batches:
-            for first, texts in text_parts(b.column(1), 8_000_000 // max(1, len(m.langs) // 4)):
+            for first, texts in text_parts(b.column(1), 2_000_000 // max(1, len(m.langs) // 4)):
                 ids.tidy()
                 pieces = [ids.of([t.lower().split() for t in texts[i : i + 300]]) for i in range(0, len(texts), 300)]
                 numbers, counts = (np.concatenate(x) for x in zip(*pieces))
