@@ -12,6 +12,8 @@ SHINGLE, BANDS, CONTAINED = 5, 32, 0.75
 #: of its window's shingles wherever it lies, as windows begin every quarter of their length.
 #: Longer templates take windows that go on doubling.
 WINDOWS = (8, 16, 32, 64, 128, 256)
+#: Shingles of templates up to which they stand in the plan, and rows up to which a table is broadcast.
+LITERALS, BROADCAST_ROWS = 5_000, 1_000_000
 
 #: Phrases of public licences, by SPDX name.
 TEMPLATES = {
@@ -48,10 +50,11 @@ def _shingles(words: str) -> Column:
     return F.when(n >= SHINGLE, runs).otherwise(F.array().cast("array<bigint>"))
 
 
-def template_table(spark: SparkSession, templates: dict[str, tuple[str, ...]]) -> DataFrame:
-    """template, license, window, hashes of the templates; those of fewer than five words are left out."""
-    rows = [(i, name, t) for i, (name, t) in enumerate((n, t) for n, ts in templates.items() for t in ts)]
-    df = spark.createDataFrame(rows, "template int, license string, text string").withColumn("w", _words(F.col("text"))).where(F.size("w") >= SHINGLE)
+def template_table(spark: SparkSession, templates: dict[str, tuple[str, ...]] | DataFrame) -> DataFrame:
+    """template, license, window, hashes of the templates (a dict, or rows of license and text); those of fewer than five words are left out."""
+    if isinstance(templates, dict):
+        templates = spark.createDataFrame([(name, t) for name, ts in templates.items() for t in ts], "license string, text string")
+    df = templates.select(F.xxhash64("license", "text").alias("template"), "license", _words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE).distinct()
     sizes, longest = list(WINDOWS), df.agg(F.max(F.size("w"))).first()[0] or 0
     while sizes[-1] * 3 // 4 < longest:
         sizes.append(sizes[-1] * 2)
@@ -70,7 +73,38 @@ def _window(size: int):
     return lambda start: F.struct(F.lit(size).alias("window"), start.alias("start"), F.slice("hashes", start + 1, size - SHINGLE + 1).alias("part"))
 
 
-def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _near(hashed: DataFrame, sizes: list[int], known: list[int]) -> DataFrame:
+    """doc_id, window, start, part: the windows of all sizes that share a shingle with ``known``, which stand in the plan."""
+    all_hashes = F.array(*[F.lit(h) for h in known])
+    cut = []
+    for size in sizes:
+        starts = F.sequence(F.lit(0), F.greatest(F.size("hashes") - 1, F.lit(0)), F.lit(size // 4))
+        cut.append(F.transform(starts, _window(size)))
+    near = F.filter(F.flatten(F.array(*cut)), lambda x: F.arrays_overlap(x["part"], all_hashes))
+    # not a filter before: Spark would push it down and split each text again for every shingle
+    return hashed.select("doc_id", F.inline(F.when(F.arrays_overlap("hashes", all_hashes), near)))
+
+
+def _near_by_join(hashed: DataFrame, sizes: list[int], known: DataFrame) -> DataFrame:
+    """The same windows where ``known`` (h) is a table: shingles meet it in a join, and say which windows hold them.
+
+    Only places of shingles that a template has move; documents with any are read again for
+    their windows, which are written.
+    """
+    few = known.count() <= BROADCAST_ROWS
+    # outer generators: from others Spark infers filters and pushes them down, where each shingle would split its text again
+    hits = hashed.select("doc_id", F.posexplode_outer("hashes").alias("place", "h")).join(F.broadcast(known) if few else known, "h", "left_semi")
+    steps = F.array(*[F.struct(F.lit(size).alias("window"), F.lit(size // 4).alias("step"), F.lit(size - SHINGLE).alias("reach")) for size in sizes])
+    each = hits.select("doc_id", "place", F.inline(steps))
+    first = F.greatest(F.ceil((F.col("place") - F.col("reach")) / F.col("step")), F.lit(0))
+    starts = each.select("doc_id", "window", F.explode(F.transform(F.sequence(first, F.floor(F.col("place") / F.col("step"))), lambda k: (k * F.col("step")).cast("int"))).alias("start")).distinct()
+    wanted = stored(starts.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("window", "start")).alias("at")), "windows")
+    mine = hashed.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS // 100 else wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    part = lambda x: F.struct(x["window"].alias("window"), x["start"].alias("start"), F.slice("hashes", x["start"] + 1, x["window"] - SHINGLE + 1).alias("part"))
+    return stored(mine.select("doc_id", F.inline_outer(F.transform("at", part))).where(F.size("part") > 0), "windows")
+
+
+def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | DataFrame | None = None, key: str = "doc_id", text: str = "text", literals: int = LITERALS) -> DataFrame:
     """Find license texts in every whole text.
 
     Texts are cut into overlapping windows; a window and a template that share the least hash
@@ -78,34 +112,35 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
     five-word shingles. A template fills a quarter of some window's shingles at least, so a band
     meets with probability 1/4 and all 32 miss with 1 in 10,000. Windows that share no shingle
     with any template cannot meet one in a band; they are left out before the bands are
-    computed, without moving a text.
-
-    Returns doc_id, license, contained (highest share), first_word, windows, one row for each
-    document and license found. Null and empty texts hold none; a null key is reported as null;
-    repeated rows count as one document; an empty table gives an empty result; other columns
-    are ignored. Built from DataFrame functions only. The templates are a parameter; their
-    number does not grow with the data.
+    computed, without moving a text: by the shingles in the plan, or, where the templates have
+    more than ``literals``, by a join with their table.
+
+    ``templates`` are texts by license, or a table (license, text) of any length. Returns doc_id,
+    license, contained (highest share), first_word, windows, one row for each document and
+    license found. Null and empty texts hold none; a null key is reported as null; repeated rows
+    count as one document; a very long text is scanned whole; templates of one license that a
+    window holds alike count once, with the highest share and the first place; an empty table, of
+    documents or of templates, gives an empty result; other columns are ignored. Built from
+    DataFrame functions only.
     """
     spark = docs.sparkSession
     known = stored(template_table(spark, TEMPLATES if templates is None else templates), "templates")
-    rows = known.collect()
-    if not rows:
+    sizes = sorted(r[0] for r in known.select("window").distinct().collect())  # they double: a few
+    if not sizes:
         kind = docs.schema[key].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {kind}, license string, contained double, first_word int, windows long")
-    all_hashes = F.array(*[F.lit(h) for h in sorted({h for r in rows for h in r.hashes})])
-    sizes = sorted({r.window for r in rows})
+    shingles = known.select(F.explode("hashes").alias("h")).distinct()
+    some = [r[0] for r in shingles.limit(literals + 1).collect()]
     hashed = docs.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w")).select("doc_id", _shingles("w").alias("hashes"))
-    cut = []
-    for size in sizes:
-        step = size // 4
-        starts = F.sequence(F.lit(0), F.greatest(F.size("hashes") - 1, F.lit(0)), F.lit(step))
-        cut.append(F.transform(starts, _window(size)))
-    near = F.filter(F.flatten(F.array(*cut)), lambda x: F.arrays_overlap(x["part"], all_hashes))
-    # not a filter before: Spark would push it down and split each text again for every shingle
-    windows = hashed.select("doc_id", F.inline(F.when(F.arrays_overlap("hashes", all_hashes), near)))
+    windows = _near(hashed, sizes, sorted(some)) if len(some) <= literals else _near_by_join(hashed, sizes, shingles)
     keyed = windows.select("doc_id", "window", "start", "part", F.inline(_bands(F.col("part"))))
-    table = known.select("template", "license", "window", F.col("hashes").alias("wanted"), F.inline(_bands(F.col("hashes"))))
-    met = keyed.join(F.broadcast(table), ["window", "band", "least"])
+    bands = known.select("template", "license", "window", F.inline(_bands(F.col("hashes"))))
+    # where templates are many, their shingles wait until a band has met
+    if len(some) <= literals:
+        bands = known.select("template", "license", "window", F.col("hashes").alias("wanted"), F.inline(_bands(F.col("hashes"))))
+    met = keyed.join(F.broadcast(bands) if bands.count() <= BROADCAST_ROWS else bands, ["window", "band", "least"])
+    if len(some) > literals:
+        met = stored(met.dropDuplicates(["doc_id", "window", "start", "template", "part"]), "met").join(known.select("template", F.col("hashes").alias("wanted")), "template")
     share = F.size(F.array_intersect("part", "wanted")) / F.size("wanted")
     held = met.select("doc_id", "license", "start", share.alias("contained")).where(F.col("contained") >= CONTAINED)
     return held.groupBy("doc_id", "license").agg(

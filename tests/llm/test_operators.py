@@ -327,6 +327,22 @@ def test_license_scan_finds_long_templates(spark):
     assert got == {(1, "Long"): 1.0, (2, "Long"): 1.0}
 
 
+def test_license_scan_with_a_table_of_full_texts(spark):
+    """Texts of thousands of words as rows of a table, found by a join; equal to exact containment."""
+    rng = random.Random(6)
+    words = [f"term{i}" for i in range(4000)]
+    full = {f"L{k}": " ".join(rng.choice(words) for _ in range(rng.randint(2000, 3500))) for k in range(3)}
+    rows = [*full.items(), *(("MIT", t) for t in license_scan.TEMPLATES["MIT"]), ("short", "two words"), ("none", None)]
+    table_ = spark.createDataFrame(rows, "license string, text string")
+    cut = full["L2"].split()
+    texts = [(1, "intro " * 50 + full["L1"] + " outro" * 30), (2, " ".join(cut[: len(cut) * 9 // 10])), (3, " ".join(cut[: len(cut) // 2])), (5, None), (None, "say " + license_scan.TEMPLATES["MIT"][1]), (6, "x " + license_scan.TEMPLATES["MIT"][1])]
+    df = table(spark, texts)
+    got = {(r.doc_id, r.license): r.contained for r in license_scan.license_scan(df, table_, literals=1000).collect()}
+    assert set(got) == {(1, "L1"), (2, "L2"), (None, "MIT"), (6, "MIT")}
+    assert got[1, "L1"] == 1.0 and 0.85 < got[2, "L2"] < 0.95
+    assert license_scan.license_scan(df, table_.limit(0)).count() == 0
+
+
 def test_url_filters(spark):
     urls = ["http://A.Example.com/en/7x?q", "https://example.net/de/8", "x://b.net/de/1#t", "ftp://h.org/es/", None, "no scheme", "http://com/en/", "http://xcom/en/", "http://example.net?x/de/8", "http://example.org/fr/"]
     df = spark.createDataFrame([(i, u, None if i % 2 else '<a href="http://evil.org/x">', "x") for i, u in enumerate(urls)], "page_id long, url string, html string, host string")
