@@ -65,6 +65,26 @@ def histogram(df: DataFrame, p: str = "p", bins: int = 10) -> DataFrame:
     return F.broadcast(spine).join(counts, "bin", "left").fillna(0, ["n"])
 
 
+def score_bins(df: DataFrame, *by: str, p: str = "p", bins: int = 10) -> DataFrame:
+    """(by, bin, n): rows of each group in each equal bin of [0, 1] that has any; outer bins are open."""
+    bin_ = F.least(F.greatest(F.floor(F.col(p) * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+    return df.groupBy(*by, bin_.alias("bin")).agg(F.count("*").alias("n"))
+
+
+def summed_bins(counts: DataFrame, *by: str, bins: int = 10) -> DataFrame:
+    """Counts of several periods as one histogram of each group, empty bins included."""
+    every = counts.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(counts.groupBy(*by, "bin").agg(F.sum("n").alias("n")), [*by, "bin"], "left").fillna(0, ["n"])
+
+
+def psi_by(base: DataFrame, current: DataFrame, by: str, eps: float = 1e-8) -> DataFrame:
+    """Population stability index of two sets of histograms (by, bin, n), one row for each of ``by`` in both."""
+    x = base.select(by, "bin", (F.col("n") + eps).alias("b")).join(current.select(by, "bin", (F.col("n") + eps).alias("c")), [by, "bin"])
+    total = x.groupBy(by).agg(F.sum("b").alias("tb"), F.sum("c").alias("tc"))
+    x = x.join(total, by).select(by, (F.col("b") / F.col("tb")).alias("b"), (F.col("c") / F.col("tc")).alias("c"))
+    return x.groupBy(by).agg(F.sum((F.col("c") - F.col("b")) * F.ln(F.col("c") / F.col("b"))).alias("psi"))
+
+
 def psi(base: DataFrame, current: DataFrame, eps: float = 1e-8) -> DataFrame:
     """Population stability index of two histograms (bin, n)."""
     b, c = base.select("bin", F.col("n").alias("b")), current.select("bin", F.col("n").alias("c"))

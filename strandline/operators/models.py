@@ -8,8 +8,10 @@ from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +82,14 @@ def classifier(kind: str, label: str, features: list[str], seed: int = 0, **para
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="scaled", withMean=kind != "rf"), model])
 
 
+def by_fold(kind: str, label: str, features: list[str], df: DataFrame, fold: str, folds: int, **params) -> list[PipelineModel]:
+    """The model of each fold 0..folds-1 of the column ``fold``, fitted on all other folds; the fits run side by side."""
+    pipeline = classifier(kind, label, features, **params)
+    metric = BinaryClassificationEvaluator(labelCol=label)
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=[{}], evaluator=metric, numFolds=folds, foldCol=fold, parallelism=folds, collectSubModels=True)
+    return [models[0] for models in cv.fit(df).subModels]
+
+
 def scored(model: PipelineModel, df: DataFrame, key: str, name: str) -> DataFrame:
     """key, prob and model of each row."""
     return model.transform(df).select(key, vector_to_array("probability")[1].alias("prob"), F.lit(name).alias("model"))

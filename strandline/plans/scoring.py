@@ -85,33 +85,45 @@ def append_results(s, d):
 
 
 # ---- drift --------------------------------------------------------------------------
-_DRIFT = f"""{SCORES}, h AS (SELECT model, doc_id % 2 AS later, least(greatest(CAST(floor(p * 10) AS INTEGER), 0), 9) AS bin, count(*) AS n FROM scores GROUP BY 1, 2, 3),
- f AS (SELECT m.model, bin, coalesce(max(n) FILTER (later = 0), 0) + 1e-8 AS b, coalesce(max(n) FILTER (later = 1), 0) + 1e-8 AS c FROM (SELECT DISTINCT model FROM h) m CROSS JOIN range(10) r(bin) LEFT JOIN h USING (model, bin) GROUP BY 1, 2),
- q AS (SELECT model, b / sum(b) OVER (PARTITION BY model) AS b, c / sum(c) OVER (PARTITION BY model) AS c FROM f), psis AS (SELECT model, round(sum((c - b) * ln(c / b)), 6) AS psi FROM q GROUP BY model)"""
-
-
-def _drift(s: SparkSession, d: str) -> DataFrame:
-    """PSI of each model's later scores against the bin counts kept of its earlier ones."""
-    x, path, out = scores(s, d), io.scratch(s, "baseline"), None
-    for model in "ab":
-        M.histogram(x.where((F.col("model") == model) & (F.col("doc_id") % 2 == 0))).write.parquet(f"{path}/model={model}")
-    for model in "ab":
-        kept = s.read.parquet(f"{path}/model={model}")
-        one = M.psi(kept, M.histogram(x.where((F.col("model") == model) & (F.col("doc_id") % 2 == 1)))).select(F.lit(model).alias("model"), F.round("psi", 6).alias("psi"))
-        out = one if out is None else out.union(one)
-    return out
-
-
-@query(f"WITH {_DRIFT} SELECT * FROM psis")
+#: A history of scores: fourteen months; the last three have scores of their own, as if the rows had changed.
+HISTORY_FROM, HISTORY_MONTHS = "2023-01-31", 14
+_HISTORY = f"""{SCORES}, months AS (SELECT m, last_day(DATE '{HISTORY_FROM}' + to_months(CAST(m AS INTEGER)) - INTERVAL 15 DAY) AS period FROM range({HISTORY_MONTHS}) r(m)),
+ hist AS (SELECT model, doc_id, period, m, CASE WHEN m >= 11 AND model = 'a' THEN p * p ELSE p END AS p FROM scores, months WHERE doc_id % {HISTORY_MONTHS} = m),
+ h AS (SELECT model, period, least(greatest(CAST(floor(p * 10) AS INTEGER), 0), 9) AS bin, count(*) AS n FROM hist GROUP BY 1, 2, 3)"""
+_SPANS = "f AS (SELECT q.model, r.bin, coalesce(sum(n) FILTER (period <= DATE '2023-06-30'), 0) + 1e-8 AS b, coalesce(sum(n) FILTER (period > DATE '2023-11-30'), 0) + 1e-8 AS c FROM (SELECT DISTINCT model FROM h) q CROSS JOIN range(10) r(bin) LEFT JOIN h ON h.model = q.model AND h.bin = r.bin GROUP BY 1, 2)"
+_PSIS = f"{_HISTORY}, {_SPANS}, w AS (SELECT model, b / sum(b) OVER (PARTITION BY model) AS b, c / sum(c) OVER (PARTITION BY model) AS c FROM f), psis AS (SELECT model, round(sum((c - b) * ln(c / b)), 6) AS psi FROM w GROUP BY model)"
+
+
+def score_history(s: SparkSession, d: str) -> DataFrame:
+    """Bin counts (model, period, bin, n) of scores, appended month by month; counts of any span of months add up."""
+    path = io.scratch(s, "score-bins")
+    x = scores(s, d).withColumn("m", (F.col("doc_id") % HISTORY_MONTHS).cast("int"))
+    x = x.withColumns({"p": F.when((F.col("m") >= 11) & (F.col("model") == "a"), F.col("p") * F.col("p")).otherwise(F.col("p")), "period": F.last_day(F.add_months(F.date_sub(F.lit(HISTORY_FROM).cast("date"), 15), F.col("m")))})
+    x = io.stored(x, "scored")
+    M.score_bins(x.where("m < 12"), "model", "period").write.mode("append").parquet(path)
+    for m in (12, 13):  # each month adds its own counts and reads no score again
+        M.score_bins(x.where(F.col("m") == m), "model", "period").write.mode("append").parquet(path)
+    return s.read.parquet(path)
+
+
+def _drift(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The history, and the PSI of each model's last months against its first ones."""
+    history = score_history(s, d)
+    base, late = (M.summed_bins(history.where(c), "model") for c in (F.col("period") <= F.lit("2023-06-30").cast("date"), F.col("period") > F.lit("2023-11-30").cast("date")))
+    return history, M.psi_by(base, late, "model").withColumn("psi", F.round("psi", 6))
+
+
+@query(f"WITH {_PSIS} SELECT * FROM psis")
 def psi_baseline(s, d):
-    return _drift(s, d)
+    """Drift of scores by the sums of monthly bin counts."""
+    return _drift(s, d)[1]
 
 
-@query(f"WITH {_DRIFT}, n AS (SELECT count(DISTINCT last_day(CAST(o_orderdate AS DATE))) AS elapsed FROM orders WHERE o_orderdate < DATE '1996-01-01') SELECT elapsed, (elapsed > 0 AND elapsed % 6 = 0) OR (SELECT max(psi) FROM psis) > 0.2 AS retune FROM n")
+@query(f"WITH {_PSIS}, n AS (SELECT count(DISTINCT period) AS elapsed FROM h) SELECT elapsed, (elapsed > 0 AND elapsed % 6 = 0) OR (SELECT max(psi) FROM psis) > 0.2 AS retune FROM n")
 def retune_rule(s, d):
-    """Whether it is time: every sixth period, or any score has drifted."""
-    periods = table(s, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")).select(F.last_day("o_orderdate").alias("period"))
-    return M.retune(periods, _drift(s, d))
+    """Whether it is time: every sixth month of the score history, or any score has drifted."""
+    history, drift = _drift(s, d)
+    return M.retune(history.select("period"), drift)
 
 
 # ---- evaluation ---------------------------------------------------------------------

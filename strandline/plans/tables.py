@@ -835,20 +835,35 @@ def coefs(s, d):
 
 @query(None)
 def evaluate_models(s, d):
-    """Metrics of the three models for both labels, with the feature that weighs most."""
+    """Metrics of the three models for both labels on rows that they have not learned from, with the feature that weighs most."""
     x, all_scores, heaviest = model_rows(s, d), None, []
+    later = x.where(F.col("seen") >= F.lit("1997-06-01").cast("timestamp"))
     for kind in ("logreg", "rf", "gbt"):
         for label in ("label", "label_late"):
             model = fitted(x, kind, label)
             top = max(ML.coefficients(model, FEATURES), key=lambda r: abs(r[1]))
             heaviest.append((f"{kind}/{label}", top[0], top[2]))
-            p = ML.scored(model, x, "id", f"{kind}/{label}").join(x.select("id", F.col(label).alias("y")), "id").withColumnRenamed("prob", "p")
+            p = ML.scored(model, later, "id", f"{kind}/{label}").join(later.select("id", F.col(label).alias("y")), "id").withColumnRenamed("prob", "p")
             all_scores = p if all_scores is None else all_scores.union(p)
     p = io.stored(all_scores, "scored")
     top = s.createDataFrame(heaviest, "model string, feature string, share double")
     return M.roc_auc(p).join(M.average_precision(p), "model").join(M.brier(p), "model").join(F.broadcast(top), "model")  # six rows
 
 
+@query(None)
+def cv_fit(s, d):
+    """A model fitted for each stratified fold, in parallel on the fold column: metrics on the rows that it has not seen."""
+    x = io.stored(M.folds(model_rows(s, d), "id", "label", 3), "folds")
+    models = ML.by_fold("logreg", "label", FEATURES, x, "fold", 3)
+    parts = None
+    for fold, model in enumerate(models):
+        held = x.where(F.col("fold") == fold)
+        p = ML.scored(model, held, "id", f"fold {fold}").join(held.select("id", F.col("label").alias("y")), "id").withColumnRenamed("prob", "p")
+        parts = p if parts is None else parts.union(p)
+    parts = io.stored(parts, "held-out")
+    return M.roc_auc(parts).join(M.average_precision(parts), "model").join(parts.groupBy("model").agg(F.count("*").alias("n")), "model")
+
+
 @query(None)
 def tune_random(s, d):
     """Random draws of a grid, each scored by the share of costs saved over stratified folds; the best is marked."""
