@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def sessions(stream: DataFrame, key: str, start: str, stop: str, hours: int = 12, late: str = "1 day") -> DataFrame:
@@ -27,31 +27,50 @@ def run_available(stream: DataFrame, path: str, state: str, query: str) -> DataF
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def current(spark: SparkSession, root: str, schema: StructType, before: int | None = None) -> DataFrame:
-    """The table under ``root``: each bucket at its highest version, below ``before`` if given."""
-    rows = spark.read.schema(StructType([*schema, StructField("bucket", IntegerType()), StructField("version", LongType())])).parquet(root)
-    rows = rows if before is None else rows.where(F.col("version") < before)
-    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))  # a row a bucket
-    return rows.join(F.broadcast(newest), ["bucket", "version"])
+def current(spark: SparkSession, root: str, schema: StructType, key: str) -> DataFrame:
+    """The table under ``root``: each key's row of the last batch that has changed it."""
+    rows = spark.read.schema(StructType([*schema, StructField("batch", LongType())])).parquet(root)
+    return rows.groupBy(key).agg(F.max_by(F.struct(*schema.names), "batch").alias("r")).select("r.*")
 
 
-def upsert_stream(stream: DataFrame, key: str, order: str, root: str, state: str, buckets: int = 16) -> DataFrame:
-    """Keep the latest row of each key in a table of ``buckets`` by key under ``root``.
+def upsert_stream(stream: DataFrame, key: str, order: str, root: str, state: str) -> DataFrame:
+    """Keep the latest row of each key in a table under ``root``.
 
-    A micro-batch rewrites the buckets that it touches as new versions named by its number, and
-    reads versions below its own only. All there is to know lies in the folders: a restart goes
-    on from them, and a batch that runs twice writes the same.
+    The latest rows are the stream's own state, in the state store of ``state``; a micro-batch
+    writes the rows of its keys only, under its number, so its bytes grow with the batch and not
+    with the table. All there is to know lies in the folders: a restart goes on from them, and a
+    batch that runs twice overwrites what it wrote. :func:`compact` makes one part of many batches.
     """
     spark, schema = stream.sparkSession, stream.schema
-    spark.createDataFrame([], schema).write.mode("append").parquet(root)
-
-    def merge(batch: DataFrame, number: int) -> None:
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        fresh = batch.groupBy(key).agg(F.max_by(F.struct(*schema.names), order).alias("r")).select("r.*").withColumn("bucket", bucket)
-        touched = fresh.select("bucket").distinct()
-        old = current(spark, root, schema, number).join(F.broadcast(touched), "bucket", "left_semi").select(*schema.names, "bucket")
-        latest = old.unionByName(fresh).groupBy("bucket", key).agg(F.max_by(F.struct(*schema.names), order).alias("r")).select("r.*", "bucket")
-        latest.withColumn("version", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(root)
-
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return current(spark, root, schema).select(*schema.names)
+    latest = stream.groupBy(key).agg(F.max_by(F.struct(*schema.names), order).alias("r")).select("r.*")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch={number}")
+
+    latest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return current(spark, root, schema, key)
+
+
+def compact(spark: SparkSession, root: str, schema: StructType, key: str, upto: int) -> int:
+    """Replace the parts of the batches up to number ``upto`` by one part; returns how many went.
+
+    The new part is written beside the table and moved in under the number -1 - ``upto`` first,
+    while all old ones are there: a reader sees a key's newest row at any moment, since a compacted
+    row is older than any later batch and equal to what it replaces. No stream needs the old parts.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [x.getPath() for x in fs.listStatus(hadoop.Path(root)) if x.isDirectory() and x.getPath().getName().startswith("batch=")]
+    old = [x for x in parts if int(x.getName().partition("=")[2]) <= upto]
+    if not old:
+        return 0
+    rows = current(spark, root, schema, key) if len(old) == len(parts) else None
+    if rows is None:
+        some = spark.read.schema(StructType([*schema, StructField("batch", LongType())])).option("basePath", root).parquet(*[str(x) for x in old])
+        rows = some.groupBy(key).agg(F.max_by(F.struct(*schema.names), "batch").alias("r")).select("r.*")
+    beside = f"{root}-compacted-{upto}"
+    rows.write.mode("overwrite").parquet(beside)
+    fs.rename(hadoop.Path(beside), hadoop.Path(f"{root}/batch={-1 - upto}"))
+    for x in old:
+        fs.delete(x, True)
+    return len(old)

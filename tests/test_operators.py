@@ -91,12 +91,22 @@ def test_upserts_survive_a_restart(spark, tmp_path):
 
     source, root, state = (str(tmp_path / x) for x in ("in", "table", "state"))
     write = lambda rows: spark.createDataFrame(rows, "k int, at int, v string").write.mode("append").parquet(source)
-    run = lambda: ST.upsert_stream(spark.readStream.schema("k int, at int, v string").parquet(source), "k", "at", root, state, buckets=3)
+    run = lambda: ST.upsert_stream(spark.readStream.schema("k int, at int, v string").parquet(source), "k", "at", root, state)
     write([(1, 1, "a"), (2, 5, "b")])
     assert {tuple(r) for r in run().collect()} == {(1, 1, "a"), (2, 5, "b")}
     write([(1, 3, "c"), (2, 4, "late"), (9, 1, "d")])  # a new query, which knows the folders only
     assert {tuple(r) for r in run().collect()} == {(1, 3, "c"), (2, 5, "b"), (9, 1, "d")}
     assert {tuple(r) for r in run().collect()} == {(1, 3, "c"), (2, 5, "b"), (9, 1, "d")}
+    write([(3, 1, "e")])
+    run()
+    batches = {int(r.batch): r.n for r in spark.read.parquet(root).groupBy("batch").count().withColumnRenamed("count", "n").collect()}
+    assert batches[max(batches)] == 1  # a batch writes its own keys
+    schema = spark.read.parquet(source).schema
+    assert ST.compact(spark, root, schema, "k", max(batches) - 1) == len(batches) - 1
+    everything = {(1, 3, "c"), (2, 5, "b"), (9, 1, "d"), (3, 1, "e")}
+    assert {tuple(r) for r in ST.current(spark, root, schema, "k").collect()} == everything
+    write([(9, 7, "f")])
+    assert {tuple(r) for r in run().collect()} == everything - {(9, 1, "d")} | {(9, 7, "f")}
 
 
 def test_a_failing_check_raises(spark):
