@@ -32,10 +32,11 @@ def nulls(df: DataFrame, *columns: str) -> DataFrame:
     return violations(df, **{f"null_{c}": F.col(c).isNull() for c in columns})
 
 
-def flags(df: DataFrame, *columns: str) -> DataFrame:
-    """Values other than 0 and 1, nulls included, and whether a column is all 0."""
+def flags(df: DataFrame, *columns: str, **rules: Column) -> DataFrame:
+    """Values other than 0 and 1, nulls included, whether a column is all 0, and how many rows break each further rule, in one pass."""
     bad = [F.count_if(F.col(c).isNull() | ~F.col(c).isin(0, 1)).alias(f"bad_{c}") for c in columns]
-    return df.agg(*bad, *[F.coalesce((F.max(c) == 0).cast("int"), F.lit(1)).alias(f"zero_{c}") for c in columns])
+    zero = [F.coalesce((F.max(c) == 0).cast("int"), F.lit(1)).alias(f"zero_{c}") for c in columns]
+    return df.agg(*bad, *zero, *[F.count_if(c).alias(n) for n, c in rules.items()])
 
 
 def repeated(df: DataFrame, key: str) -> DataFrame:
