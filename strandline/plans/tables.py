@@ -356,12 +356,6 @@ def _grp(s, d):
     return a.union(b).distinct()
 
 
-def _elected(s, d):
-    up = C.closure(edges(s, d))
-    desc = up.groupBy(F.col("ancestor").alias("code")).agg(F.countDistinct("node").alias("n_desc"))
-    return C.elected(_grp(s, d), up, desc)
-
-
 @query("WITH " + GRP.replace("arg_min(code, (coalesce(n_desc, 0), code))", "arg_min(code, (CASE WHEN code % 9 = 4 THEN 0 ELSE 1 END, coalesce(n_desc, 0), code))") + " SELECT * FROM main")
 def main_code_elect(s, d):
     up = C.closure(edges(s, d))
@@ -378,11 +372,15 @@ def argmin_descendants(s, d):
     return x.groupBy("grp").agg(F.min_by("code", F.struct(F.coalesce("n_desc", F.lit(0)), "code")).alias("code"))
 
 
-@query(f"WITH {GRP} SELECT m.grp, main_code, count(*) AS num_codes, count(*) FILTER (code >= 1000) AS num_fine, coalesce(any_value(n_name), any_value(r_name)) AS name FROM main m JOIN grp USING (grp) LEFT JOIN nation ON main_code = 1000 + n_nationkey LEFT JOIN region ON main_code = 100 + r_regionkey GROUP BY 1, 2")
+_KIND = "CASE WHEN is_disorder = 1 THEN 'disorder' WHEN is_symptom = 1 THEN 'finding' END"
+
+
+@query(f"WITH {CLIN_ALL} SELECT grp AS encounter, main_code, main_name, {_KIND} AS main_type, num_disorders, num_findings FROM cmain")
 def main_diagnoses(s, d):
-    counts = _grp(s, d).groupBy("grp").agg(F.count("*").alias("num_codes"), F.count_if(F.col("code") >= 1000).alias("num_fine"))
-    names = table(s, d, "nation").select((F.col("n_nationkey").cast("bigint") + 1000).alias("main_code"), F.col("n_name").alias("name")).union(table(s, d, "region").select(F.col("r_regionkey").cast("bigint") + 100, "r_name"))
-    return _elected(s, d).join(counts, "grp").join(F.broadcast(names) if names.count() <= 100_000 else names, "main_code", "left")
+    """Main code, name and type of each encounter with known codes, disorders before findings, and how many of each it has."""
+    x = main_codes(s, d, long(s, d).select(F.col("encounter").alias("grp"), "code"))
+    kind = F.when(F.col("is_disorder") == 1, "disorder").when(F.col("is_symptom") == 1, "finding")
+    return x.select(F.col("grp").alias("encounter"), "main_code", "main_name", kind.alias("main_type"), "num_disorders", "num_findings")
 
 
 PAIRS = f"{UP}, pairs AS (SELECT o_orderkey AS pair_id, 1000000 + o_custkey AS code1, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(1000 + o_orderkey % 25 AS BIGINT) END AS code2 FROM orders), anc AS (SELECT node, ancestor FROM up WHERE ancestor <> 1), rel AS (SELECT pair_id, CASE WHEN code1 IS NULL OR code2 IS NULL THEN 0 WHEN EXISTS (SELECT 1 FROM anc x WHERE x.node = code1 AND (x.ancestor = code2 OR x.ancestor IN (SELECT ancestor FROM anc y WHERE y.node = code2))) THEN 1 ELSE -1 END AS is_related FROM pairs)"
