@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Characters that separate words in every word-based operator.
 SPACES = "[\\x20\\x09-\\x0D]+"
+#: Bytes after which a batch of rows for Python ends (a longer row stands alone), and of a row group of a table of the operators' own.
+BATCH_BYTES, GROUP_BYTES = 8 << 20, 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,7 +76,11 @@ def shared_dir(spark: SparkSession) -> str:
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
     """Within it, tables are read and written in batches of texts and not of numbers, where the session has Spark's own sizes; afterwards all is as before."""
-    sizes = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", rows), "spark.sql.parquet.columnarReaderBatchSize": ("4096", max(1, rows // 4))}
+    sizes = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", BATCH_BYTES),
+        "spark.sql.parquet.columnarReaderBatchSize": ("4096", max(1, rows // 4)),
+    }
     own = {name: spark.conf.get(name) for name in sizes}
     changed = [name for name, (usual, _) in sizes.items() if own[name] == usual]
     for name in changed:
@@ -89,12 +95,13 @@ def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    The result has no lineage, so a lost executor costs a re-read and no recomputation.
+    The result has no lineage, so a lost executor costs a re-read and no recomputation. Its row
+    groups are small: a writer holds one at a time, and several tasks can read one file.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with small_batches(spark):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", str(GROUP_BYTES)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
     return out

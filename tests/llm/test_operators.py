@@ -8,10 +8,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import best_fit_packing, components, decontamination, fingerprints, language_id, language_model, license_scan, near_dedup, quality, shingling, token_counts, url_filters
+from strandline.llm import best_fit_packing, common, components, decontamination, fingerprints, language_id, language_model, license_scan, near_dedup, quality, shingling, token_counts, url_filters
 from tests.conftest import SF
 
 PATH = token_counts.vocabulary_path()
@@ -656,3 +657,24 @@ def test_pipeline_judges_rows_and_not_ids(spark, docs, tmp_path):
     assert kept == {(None, texts[0].text): 1, (-5, texts[1].text): 1}
     kept = Counter((r.doc_id, r.text) for r in cp.keep_quality(spark, mixed.fillna({"lang": "en"}), SF).where("doc_id is null or doc_id = -5").collect())
     assert kept == {(None, texts[0].text): 1, (-5, texts[1].text): 1}
+
+
+def test_small_batches_leave_the_session_as_it_was(spark):
+    names = ["maxRecordsPerBatch", "maxBytesPerBatch"]
+    conf = lambda: [spark.conf.get(f"spark.sql.execution.arrow.{n}") for n in names]
+    before = conf()
+    with pytest.raises(ValueError), common.small_batches(spark):
+        assert conf() == ["2500", str(common.BATCH_BYTES)]
+        raise ValueError
+    assert conf() == before
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1000000")  # a user's own size stays
+    with common.small_batches(spark):
+        assert conf() == ["2500", "1000000"]
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before[1])
+
+
+def test_batches_end_by_bytes(spark):
+    big = spark.range(40, numPartitions=1).select(F.concat(F.repeat(F.lit("x"), 1_000_000), F.col("id").cast("string")).alias("t"))
+    sizes = lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in bs)
+    rows = [r.n for r in common.stored(big.mapInArrow(sizes, "n long"), "sizes").collect()]
+    assert sum(rows) == 40 and max(rows) <= common.BATCH_BYTES // 1_000_000 + 1
