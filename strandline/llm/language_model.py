@@ -28,9 +28,9 @@ HIDDEN, LANES, WINDOW = 24, 256, 64
 #: Words whose counts are broadcast; counts of rarer words are joined.
 KNOWN = 1 << 17
 DISCOUNT = 0.75
-#: The weights are fitted on stretches of about so many bytes of every training document: one in
-#: ``SHARE`` of them, one at least, dealt to ``ROUNDS`` rounds of training.
-STRETCH, SHARE, ROUNDS = 600, 8, 4
+#: The weights are fitted on every training document: on one in ``SHARE``, that is on all, of its
+#: stretches of about so many bytes, dealt to ``ROUNDS`` rounds of training.
+STRETCH, SHARE, ROUNDS = 16_000, 1, 4
 #: Symbols: head words, tail classes, then the edge of a document.
 EDGE = HEAD + TAIL
 SYMBOLS, CLASSES = EDGE + 1, HEAD_CLASSES + TAIL + 1
@@ -156,6 +156,7 @@ class Network:
         dh = dh.reshape(hs.shape)
         back = np.zeros_like(after)
         dx = np.empty((*symbols.shape, 3 * n), np.float32)
+        da = np.empty_like(dx)
         for t in range(len(symbols) - 1, -1, -1):
             h0, z, r, inner, new = tape[t]
             d = dh[t] + back
@@ -163,10 +164,10 @@ class Network:
             dz = d * (h0 - new) * z * (1 - z)
             dr = dnew * inner * r * (1 - r)
             dx[t, :, :n], dx[t, :, n : 2 * n], dx[t, :, 2 * n :] = dz, dr, dnew
-            da = np.concatenate([dz, dr, dnew * r], axis=1)
-            g["u"] += h0.T @ da
-            g["bn"] += (dnew * r).sum(axis=0)
-            back = (d * z + da @ p["u"].T) * (symbols[t] != EDGE)[:, None]
+            da[t, :, : 2 * n], da[t, :, 2 * n :] = dx[t, :, : 2 * n], dnew * r
+            back = (d * z + da[t] @ p["u"].T) * (symbols[t] != EDGE)[:, None]
+        flat = da.reshape(-1, 3 * n)
+        g["u"], g["bn"] = np.concatenate([step[0] for step in tape]).T @ flat, flat[:, 2 * n :].sum(axis=0)
         order = np.argsort(symbols, axis=None, kind="stable")
         met = symbols.ravel()[order]
         begins = np.flatnonzero(np.r_[True, met[1:] != met[:-1]])
@@ -183,7 +184,7 @@ class Adam:
         self.m = {k: np.zeros_like(x) for k, x in network.p.items()}
         self.v = {k: np.zeros_like(x) for k, x in network.p.items()}
 
-    def learn(self, documents: list[np.ndarray], whole: list[tuple[bool, bool]] | None = None, lanes: int = 32, steps: int = 32) -> int:
+    def learn(self, documents: list[np.ndarray], whole: list[tuple[bool, bool]] | None = None, lanes: int = 128, steps: int = 32) -> int:
         """One pass over documents in windows of ``steps`` symbols, states carried from window to window; gives the symbols."""
         symbols, target, owner, _ = lanes_of(documents, lanes, whole)
         state = np.zeros((symbols.shape[1], HIDDEN), np.float32)
@@ -237,13 +238,25 @@ _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def stretches(text: bytes) -> Iterator[tuple[int, bool, bool, bytes]]:
-    """The stretches of a folded text to learn from: (round, is its beginning, is its end, words)."""
+    """The stretches of a folded text to learn from: (round, is its beginning, is its end, words).
+
+    One that is not the beginning starts with the last word before it, which is not to be
+    predicted there, so that every word and the end are predicted once.
+    """
     many, h = max(1, len(text) // STRETCH), zlib.crc32(text)
     begin = lambda i: 0 if i == 0 else (m.end() if (m := _SPACE.search(text, i * STRETCH)) else len(text))
     for j in range(-(-many // SHARE)):
         i = (h + j * SHARE) % many
-        last = i + 1 == many
-        yield (h + j) % ROUNDS, i == 0, last, text[begin(i) : len(text) if last else begin(i + 1)]
+        last, past = i + 1 == many, begin(i)
+        if i and not last and begin(i + 1) == past:  # within one long word
+            yield (h + j) % ROUNDS, False, False, b""
+            continue
+        while past and _SPACE.match(text, past - 1):
+            past -= 1
+        while past and not _SPACE.match(text, past - 1):
+            past -= 1
+        first = not text[past : begin(i)].strip()
+        yield (h + j) % ROUNDS, first, last, text[past : len(text) if last else begin(i + 1)]
 
 
 @dataclass
@@ -302,22 +315,13 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def fit(model: Model, train: DataFrame, text: str) -> None:
-    """Fit the network to stretches of all documents of ``train``.
+    """Fit the network to all words and ends of all documents of ``train``.
 
-    The stretches are written once. In each round, every task learns from its part of the
-    round's stretches (truncated backpropagation from the same weights), and the weights are
-    averaged by the symbols they have seen: first in Spark, in about the square root of the
-    number of tasks, so that only so many copies reach the driver.
+    In each round, every task learns from the round's stretches of its documents (truncated
+    backpropagation from the same weights), and the weights are averaged by the symbols they
+    have seen: first in Spark, in about the square root of the number of tasks, so that only so
+    many copies reach the driver.
     """
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, texts in text_parts(b.column(0)):
-                rows = [x for t in texts for x in stretches(t.encode("utf-8", "replace").lower())]
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.bool_(), pa.bool_(), pa.binary()))], names=["round", "first", "last", "words"])
-
-    chosen = stored(in_batches(train.select(F.col(text).alias("t")), choose, "round int, first boolean, last boolean, words binary"), "stretches")
     for number in range(ROUNDS):
         now, rate = train.sparkSession.sparkContext.broadcast(model), 0.01 * 0.6**number
 
@@ -327,10 +331,13 @@ def fit(model: Model, train: DataFrame, text: str) -> None:
             net.set_from(np.frombuffer(m.network.to_bytes(), "<f4"))
             adam, ids, seen = Adam(net, rate), WordIds(m.describe, 4, np.int64), 0  # noqa: B023
             for b in batches:
-                ids.tidy()
-                numbers, sizes = ids.of([w.split() for w in b.column(2).to_pylist()])
-                documents = np.split(ids.rows[numbers, 0], np.cumsum(sizes)[:-1])
-                seen += adam.learn(documents, list(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+                for _, texts in text_parts(b.column(0), 8_000_000):
+                    mine = [x for t in texts for x in stretches(t.encode("utf-8", "replace").lower()) if x[0] == number]  # noqa: B023
+                    if mine:
+                        ids.tidy()
+                        numbers, sizes = ids.of([words.split() for *_, words in mine])
+                        documents = np.split(ids.rows[numbers, 0], np.cumsum(sizes)[:-1])
+                        seen += adam.learn(documents, [(first, last) for _, first, last, _ in mine])
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([net.to_bytes()], pa.binary())], names=["n", "w"])
 
@@ -343,7 +350,7 @@ def fit(model: Model, train: DataFrame, text: str) -> None:
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(total / n).astype("<f4").tobytes()], pa.binary())], names=["n", "w"])
 
-        learned = stored(chosen.where(F.col("round") == number).select("first", "last", "words").mapInArrow(learn, "n long, w binary"), "weights")
+        learned = stored(in_batches(train.select(F.col(text).alias("t")), learn, "n long, w binary"), "weights")
         many = learned.count()
         if many:
             rows = learned.repartition(max(1, int(many**0.5))).mapInArrow(average, "n long, w binary").collect()
@@ -361,7 +368,7 @@ def language_model(docs: DataFrame, learn, key: str = "doc_id", text: str = "tex
     by their last letters and are chosen within it by their discounted counts, unseen words
     together taking what the discount freed. Documents run side by side in lanes, and the state is
     carried over windows to a document's end, however long it is. The weights are fitted by
-    tasks on a fixed share of every document to learn from (:func:`fit`).
+    tasks on the whole of every document to learn from (:func:`fit`).
 
     Returns key, n_tokens, n_known, train_tokens, base_score and score. Tokens are words and one
     end; a null or empty text is its end alone; a null key is never learned from; repeated rows

@@ -575,6 +575,16 @@ def test_stretches_come_from_every_document():
         assert all(w in text for *_, w in parts)
 
 
+def test_every_word_and_end_is_learned_once(monkeypatch):
+    monkeypatch.setattr(language_model, "STRETCH", 40)
+    for text in (b"", b"   ", b"one", b" ".join(b"w%d" % i for i in range(300)), b"a " + b"x" * 500 + b" b  c ", b"y" * 300, b" " * 90 + b"z"):
+        learned, ends = [], 0
+        for _, first, last, words in language_model.stretches(text):
+            learned += words.split()[not first :]
+            ends += last and (first or bool(words.split()))
+        assert sorted(learned) == sorted(text.split()) and ends == 1
+
+
 def test_gradients_are_right():
     net = language_model.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
