@@ -18,6 +18,8 @@ TREES, LEVELS, NODE = 16, 4, 64
 SKETCH, COARSE = 32, 6
 #: Standard deviations by which a sketch's estimate may fall short of the similarity asked for.
 SLACK = 4.0
+#: Bits of the cell that a token is counted in, words of a set's parities, sets of a token in a block of pairs.
+CELL_BITS, PARITIES, BLOCK = 20, 32, 512
 #: Rows of a list of large nodes or of documents up to which it is broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -233,6 +235,87 @@ def rare_tokens(crowd: DataFrame, docs: DataFrame, key: str, text: str, most: in
     return by_rare, sets.where(F.col("n_rare") * 4 <= F.col("n")).select(core, "cid", "n"), sets.select("cid", (F.col("n_rare") / F.col("n")).alias("share"))
 
 
+def token_cells(texts: DataFrame) -> np.ndarray:
+    """How many sets have a token in each cell (its first bits), over all texts (t); added up in Spark."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << CELL_BITS, np.int64)
+        for b in batches:
+            for _, data, ends in shingling.text_bytes(b.column(0)):
+                tokens = np.concatenate(shingling.shingle_sets(*shingling.word_hashes(data, ends)))
+                cells += np.bincount((tokens >> np.uint64(64 - CELL_BITS)).view(np.int64), minlength=len(cells))
+        yield pa.RecordBatch.from_arrays([pa.array([np.minimum(cells, 2**31 - 1).astype("<i4").tobytes()], pa.binary())], names=["cells"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << CELL_BITS, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                cells += np.frombuffer(x.as_buffer(), "<i4")
+        yield pa.RecordBatch.from_arrays([pa.array([np.minimum(cells, 2**31 - 1).astype("<i4").tobytes()], pa.binary())], names=["cells"])
+
+    parts = stored(in_batches(texts.select("t"), tally, "cells binary"), "cells")
+    some = max(1, int(parts.count() ** 0.5))
+    rows = parts.repartition(some).mapInArrow(add, "cells binary").repartition(1).mapInArrow(add, "cells binary").collect()
+    return np.frombuffer(rows[0][0], "<i4") if rows else np.zeros(1 << CELL_BITS, np.int32)
+
+
+def _differ_little(percent: int) -> Column:
+    """Whether sizes and parities of a and b allow the similarity; exact, as no similar pair is ruled out.
+
+    Each differing parity stands for a token at least that only one of the sets has, and similar
+    sets have at most (100 - percent) / (100 + percent) of their tokens together as such.
+    """
+    n, m = F.col("a.n"), F.col("b.n")
+    bits = sum((F.bit_count(F.get("a.parity", F.lit(i)).bitwiseXOR(F.get("b.parity", F.lit(i)))) for i in range(PARITIES)), F.lit(0))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (bits * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def pairs_left(own: DataFrame, docs: DataFrame, key: str, text: str, percent: int = 75) -> DataFrame:
+    """All pairs (u, v) in different components (own: cid, component) that sizes and tokens allow to be similar.
+
+    Tokens are ordered from rare to frequent by the counts of their cells, then by their hash.
+    Similar sets have one of the first n - ceil(percent n / 100) + 1 tokens of each in common
+    (prefix filter), whatever the order, so nothing is lost. The sets of a frequent token are
+    dealt to blocks, and a task takes two blocks of them.
+    """
+    kind, group = own.schema["cid"].dataType.simpleString(), own.schema["component"].dataType.simpleString()
+    texts = docs.select(F.col(key).alias("cid"), F.col(text).alias("t")).join(_small(own), "cid").select("t", "cid", "component")
+    cells = docs.sparkSession.sparkContext.broadcast(token_cells(texts))
+
+    def first_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift, low = np.uint64(64 - CELL_BITS), np.uint64(64 * PARITIES - 1)
+        for b in batches:
+            row = 0
+            for many, data, ends in shingling.text_bytes(b.column(0)):
+                sets = shingling.shingle_sets(*shingling.word_hashes(data, ends))
+                parity, chosen = np.zeros((many, PARITIES), np.int64), []
+                for i, s in enumerate(sets):
+                    odd = np.bincount((s & low).view(np.int64), minlength=64 * PARITIES) & 1
+                    parity[i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                    order = np.argsort(cells.value[(s >> shift).view(np.int64)], kind="stable")
+                    chosen.append(s[order[: len(s) + 1 + -percent * len(s) // 100]])
+                ends_of = lambda sizes: pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends_of([PARITIES] * many), pa.array(parity.ravel())), pa.ListArray.from_arrays(ends_of([len(c) for c in chosen]), pa.array(np.concatenate(chosen).view(np.int64)))]
+                columns = [b.column(1).slice(row, many), b.column(2).slice(row, many), pa.array([len(s) for s in sets], pa.int64()), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "component", "n", "parity", "tokens"])
+                row += many
+
+    made = stored(in_batches(texts, first_tokens, f"cid {kind}, component {group}, n long, parity array<long>, tokens array<long>"), "prefixes")
+    cells.destroy()
+    rows = made.select("cid", "component", F.explode("tokens").alias("token"))
+    again = stored(rows.groupBy("token").count().where("count > 1").select("token"), "again")
+    rows = stored(rows.join(_small(again), "token"), "shared")
+    apart = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    rows = rows.join(apart.select("token", "size"), "token").select("token", "cid", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).alias("mine"))
+    rows = rows.select("token", "cid", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("token", "cid", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+    rows = stored(rows.join(made.drop("tokens"), "cid"), "blocks")
+    pairs = rows.where("mine = lo").alias("a").join(rows.where("mine = hi").alias("b"), ["token", "lo", "hi"])
+    pairs = pairs.where(((F.col("lo") < F.col("hi")) | (F.col("a.cid") < F.col("b.cid"))) & (F.col("a.component") != F.col("b.component")) & _differ_little(percent))
+    return pairs.select(F.least("a.cid", "b.cid").alias("u"), F.greatest("a.cid", "b.cid").alias("v")).distinct()
+
+
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; see :func:`near_dedup`."""
     sig = stored(signatures(docs, key, text), "signatures")
@@ -275,8 +358,15 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     joining = second.join(own_part("u"), "u", "left").join(own_part("v"), "v", "left").select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
     merged = stored(components(joining), "parts").select(F.col("node").alias("first_id"), F.col("component").alias("last_id"))
 
-    home = classes.select("ha", "hb", "cid").join(part, "cid", "left").withColumn("first_id", F.coalesce("component", "cid"))
-    home = home.join(merged, "first_id", "left").select("ha", "hb", F.coalesce("last_id", "first_id").alias("component_id"))
+    own = classes.select("cid").distinct().join(part, "cid", "left").withColumn("first_id", F.coalesce("component", "cid"))
+    own = stored(own.join(merged, "first_id", "left").select("cid", F.coalesce("last_id", "first_id").alias("component")), "own")
+
+    # Last, exactly, whatever nodes, crowds and sketches have missed.
+    third = confirmed(stored(pairs_left(own, docs, key, text), "pairs"), docs, key, text)
+    of = lambda c: own.select(F.col("cid").alias(c), F.col("component").alias(f"of_{c}"))
+    joining = third.join(of("u"), "u").join(of("v"), "v").select(F.col("of_u").alias("u"), F.col("of_v").alias("v"))
+    last = stored(components(joining), "parts").select(F.col("node").alias("component"), F.col("component").alias("last_id"))
+    home = classes.select("ha", "hb", "cid").join(own, "cid").join(last, "component", "left").select("ha", "hb", F.coalesce("last_id", "component").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "ha", "hb").join(home, ["ha", "hb"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
@@ -294,7 +384,9 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     have (:func:`rare_tokens`); for what is similar by the crowd's common tokens alone, sets are
     compared with the smallest set of the same common tokens, and all of the node with the one
     that has the least share of rare ones. Sketches and sizes rule pairs out
-    that cannot be similar enough; links are confirmed on the full sets.
+    that cannot be similar enough; links are confirmed on the full sets. What these ways may miss
+    is found exactly: all pairs that still lie in different components and share one of their
+    rarest tokens are looked at (:func:`pairs_left`), so no link is lost.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable), kept. Documents
     without words or text are linked with nothing; a null key is linked with nothing, its

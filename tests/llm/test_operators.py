@@ -199,6 +199,19 @@ def test_near_dedup(spark, edge, docs):
     assert near_dedup.near_dedup(edge.limit(0)).count() == 0
 
 
+def test_near_dedup_loses_no_link_that_its_nodes_miss(spark, monkeypatch):
+    rng, found = random.Random(4), near_dedup.nodes
+    monkeypatch.setattr(near_dedup, "nodes", lambda *a: found(*a).limit(0))
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    passage = [f"p{i}" for i in range(90)]
+    own = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join(passage + own(i % 40))) for i in range(120)]
+    rows += [(500 + i, " ".join(rows[i][1].split()[: -(i % 9) or None] + own(i % 5))) for i in range(60)]
+    rows += [(900, "a b"), (901, "A b"), (902, ""), (903, None), (904, "a b c d e f g h"), (905, "a b c d e f g")]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(table(spark, rows)).collect()}
+    assert got == brute(rows)
+
+
 def test_near_dedup_takes_keys_of_any_type(spark):
     base = [f"w{i}" for i in range(80)]
     rows = [("b", " ".join(base)), ("a", " ".join(base[:79] + ["x"])), ("c", "something else altogether that is not near"), ("d", None)]
