@@ -17,9 +17,11 @@ from strandline.llm.common import in_batches, read, stored
 from strandline.llm.shingling import text_parts
 from strandline.llm.word_ids import WordIds
 
-#: Trusted documents that the model is fitted on, at most about so many (a hash of the key chooses).
-TRUSTED = 4000
-#: How often the sample must have a word for it to stand for itself; rarer ones stand for their shape.
+#: Trusted documents that the model is fitted on: no bound, so four in five (a hash of the key chooses); the fifth sets limits.
+TRUSTED = 1 << 62
+#: Trigrams of a model up to which it is broadcast; a larger one stays in Spark and scores by joins.
+ENTRIES = 2_000_000
+#: How often the trusted text must have a word for it to stand for itself; rarer ones stand for their shape.
 LEAST = 2
 #: Words that a worker remembers.
 REMEMBERED = 100_000
@@ -72,8 +74,6 @@ class Vocabulary:
     def __post_init__(self):
         self.shape = {s: 3 + i for i, s in enumerate(SHAPES)}
         self.size = 3 + len(SHAPES) + len(self.hashes)
-        if self.size >= 1 << 21:
-            raise ValueError("three numbers no longer fit a key of 63 bits: ask for more occurrences of a word")
 
     def describe(self, words: list[str]) -> np.ndarray:
         out = np.fromiter((self.shape[shape(w)] for w in words), np.int64, len(words))
@@ -164,12 +164,53 @@ def in_sample(key: str, trusted: int, most: int) -> Column:
     return F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) < F.lit(int(1_000_000 * share)), F.lit(False))
 
 
+@dataclass
+class Tables:
+    """The model in Spark: p3 (ab, c, x) and p2 (b, c, x), log10; contexts ab and b with x, the log10 of what they leave; p1 (c, x)."""
+
+    vocabulary: Vocabulary
+    uniform: float
+    p1: DataFrame
+    after2: DataFrame
+    p2: DataFrame
+    after3: DataFrame
+    p3: DataFrame
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """log10 values of all symbols alone, and of what each leaves as a context."""
+        v = self.vocabulary.size
+        unigram, back2 = np.full(v, np.log10(self.uniform), np.float32), np.zeros(v, np.float32)
+        for out, df in ((unigram, self.p1), (back2, self.after2)):
+            t = df.toArrow()
+            out[t.column(0).to_numpy()] = t.column(1).to_numpy()
+        return unigram, back2
+
+    def collected(self) -> KneserNey:
+        """The model as arrays, for one that is small enough to be broadcast."""
+        v = self.vocabulary.size
+        if v >= 1 << 21:
+            raise ValueError("three numbers no longer fit a key of 63 bits: score by joins")
+
+        def table(df: DataFrame, key: Column) -> tuple[np.ndarray, np.ndarray]:
+            t = df.select(key.alias("k"), "x").toArrow().sort_by("k")
+            return t.column("k").to_numpy().astype(np.int64), t.column("x").to_numpy().astype(np.float32)
+
+        unigram, back2 = self.arrays()
+        key2, p2 = table(self.p2, F.col("b") * v + F.col("c"))
+        return KneserNey(self.vocabulary, unigram, key2, p2, back2, *table(self.p3, F.col("ab") * v + F.col("c")), *table(self.after3, F.col("ab")))
+
+
 def fit(trusted: DataFrame, many: int, most: int = TRUSTED, least: int = LEAST, key: str = "doc_id", text: str = "text") -> KneserNey:
-    """Fit the model to ``many`` trusted documents, at most about ``most`` of them.
+    """The model of :func:`fit_tables` as arrays in the driver."""
+    return fit_tables(trusted, many, most, least, key, text).collected()
+
+
+def fit_tables(trusted: DataFrame, many: int, most: int = TRUSTED, least: int = LEAST, key: str = "doc_id", text: str = "text") -> Tables:
+    """Fit the model to four in five of ``many`` trusted documents, if ``most`` sets no bound.
 
     Counts of trigrams and continuation counts of shorter ones are joined with those of their
-    contexts, sharded by context. Words that the sample has ``least`` times stand for themselves.
-    Words and entries of the model are at most as many as the words of the bounded sample.
+    contexts, sharded by context, and stay in Spark. Words that the text has ``least`` times
+    stand for themselves; only their hashes reach the driver.
     """
     texts = trusted.where(in_sample(key, many, most)).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
 
@@ -199,11 +240,12 @@ def fit(trusted: DataFrame, many: int, most: int = TRUSTED, least: int = LEAST,
                 for k in (1, 2):
                     inside[ends - k] = False
                 at = np.flatnonzero(inside)
-                keys, n = np.unique((symbols[at] * v + symbols[at + 1]) * v + symbols[at + 2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["k", "n"])
+                contexts, which = np.unique(symbols[at] * v + symbols[at + 1], return_inverse=True)
+                keys, n = np.unique(which * v + symbols[at + 2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(contexts[keys // v]), pa.array(keys % v), pa.array(n.astype(np.int64))], names=["ab", "c", "n"])
 
-    split = [F.expr(f"k div {v * v}").alias("a"), F.expr(f"k div {v} % {v}").alias("b"), F.expr(f"k % {v}").alias("c")]
-    three = stored(in_batches(texts, count_trigrams, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).select(*split, "n"), "trigrams")
+    three = stored(in_batches(texts, count_trigrams, "ab long, c long, n long").groupBy("ab", "c").agg(F.sum("n").alias("n")), "trigrams")
+    three = three.withColumn("b", F.col("ab") % v)
     two = stored(three.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
     one = two.groupBy("c").agg(F.count("*").alias("n"))
     d3, d2 = _discounts(three), _discounts(two)
@@ -213,34 +255,30 @@ def fit(trusted: DataFrame, many: int, most: int = TRUSTED, least: int = LEAST,
     after2 = stored(_contexts(two, ["b"], d2), "contexts2")
     p2 = two.join(after2, "b").join(p1, "c").select("b", "c", ((F.col("n") - _off(d2)) / F.col("total") + F.col("back") * F.col("p1")).alias("p2"))
     p2 = stored(p2, "p2")
-    after3 = stored(_contexts(three, ["a", "b"], d3), "contexts3")
-    p3 = three.join(after3, ["a", "b"]).join(p2, ["b", "c"]).select(((F.col("a") * v + F.col("b")) * v + F.col("c")).alias("k"), F.log10((F.col("n") - _off(d3)) / F.col("total") + F.col("back") * F.col("p2")).alias("x"))
-
-    def table(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        t = df.toArrow().sort_by("k")
-        return t.column("k").to_numpy().astype(np.int64), t.column("x").to_numpy().astype(np.float32)
-
-    unigram, back2 = np.full(v, np.log10(uniform), np.float32), np.zeros(v, np.float32)
-    k, x = table(p1.select(F.col("c").alias("k"), F.log10("p1").alias("x")))
-    unigram[k] = x
-    k, x = table(after2.select(F.col("b").alias("k"), F.log10("back").alias("x")))
-    back2[k] = x
-    k2, x2 = table(p2.select((F.col("b") * v + F.col("c")).alias("k"), F.log10("p2").alias("x")))
-    kb, xb = table(after3.select((F.col("a") * v + F.col("b")).alias("k"), F.log10("back").alias("x")))
-    k3, x3 = table(p3)
-    return KneserNey(words, unigram, k2, x2, back2, k3, x3, kb, xb)
+    after3 = stored(_contexts(three, ["ab"], d3), "contexts3")
+    p3 = three.join(after3, "ab").join(p2, ["b", "c"]).select("ab", "c", F.log10((F.col("n") - _off(d3)) / F.col("total") + F.col("back") * F.col("p2")).alias("x"))
+    log = lambda c: F.log10(c).alias("x")
+    return Tables(words, uniform, p1.select("c", log("p1")), after2.select("b", log("back")), p2.select("b", "c", log("p2")), after3.select("ab", log("back")), stored(p3, "p3"))
 
 
 #: Lengths are compared by powers of two, up to this one.
 LONGEST = 9
 
 
+def _spans(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many spans each text has, and of each span its power of two and its place in the text."""
+    many = np.minimum(np.log2(sizes - 2).astype(np.int64), LONGEST) + 1
+    k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    size = np.repeat(sizes, many)
+    return many, k, (size * 2654435761 + k * 40503) % (size - 1 - (1 << k))
+
+
 def perplexity(docs: DataFrame, model: KneserNey, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """key, ``keep`` columns, n_tokens (words and the end), logp (log10 P) and spans of every whole text.
 
     ``spans`` holds the mean surprise of one span of 2 ** k symbols for every k that fits. The
-    model is broadcast: its size is bounded by the sample it was fitted on. The same scores by
-    joins with the counts are in :func:`perplexity_by_joins`.
+    model is broadcast, so it must be small. The same scores by joins with the counts are in
+    :func:`scores_by_joins`.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(text).alias("_t"), F.col(key), *keep)
@@ -256,10 +294,8 @@ def perplexity(docs: DataFrame, model: KneserNey, key: str = "doc_id", text: str
                 logp[2:] = shared.value.score(symbols)
                 logp[begins] = logp[begins + 1] = 0
                 upto = np.cumsum(logp)  # that of begins + 1 is before a text's first symbol
-                many = np.minimum(np.log2(sizes - 2).astype(np.int64), LONGEST) + 1
-                k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                size, start = np.repeat(sizes, many), np.repeat(begins + 1, many)
-                start = start + (size * 2654435761 + k * 40503) % (size - 1 - (1 << k))
+                many, k, start = _spans(sizes)
+                start = start + np.repeat(begins + 1, many)
                 means = (upto[start] - upto[start + (1 << k)]) / (1 << k)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(means))
                 columns = [c.slice(first, len(texts)) for c in b.columns[1:]]
@@ -271,44 +307,55 @@ def perplexity(docs: DataFrame, model: KneserNey, key: str = "doc_id", text: str
 
 
 def model_tables(spark: SparkSession, model: KneserNey) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The model as tables: trigrams (k, p3), bigrams (k, p2), contexts of two symbols (k, back3)."""
-    make = lambda k, x, name: spark.createDataFrame(pa.table({"k": k, name: x.astype(np.float64)}))
-    return make(model.key3, model.p3, "p3"), make(model.key2, model.p2, "p2"), make(model.key_ab, model.back3, "back3")
+    """The model as tables: trigrams (ab, c, x), bigrams (b, c, x), contexts of two symbols (ab, x)."""
+    v = model.vocabulary.size
+    make = lambda k, x: spark.createDataFrame(pa.table({**k, "x": x.astype(np.float64)}))
+    return make({"ab": model.key3 // v, "c": model.key3 % v}, model.p3), make({"b": model.key2 // v, "c": model.key2 % v}, model.p2), make({"ab": model.key_ab}, model.back3)
 
 
 def perplexity_by_joins(docs: DataFrame, model: KneserNey, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """n_tokens and logp of every whole text as in :func:`perplexity`, by joins with the sharded tables.
+    """n_tokens and logp of every whole text as in :func:`perplexity`, by joins with the sharded tables."""
+    tables = model_tables(docs.sparkSession, model)
+    return scores_by_joins(docs.select(key, text), model.vocabulary, (model.unigram, model.back2), tables, F.lit(False), text)[0].drop("row")
+
+
+def scores_by_joins(docs: DataFrame, vocabulary: Vocabulary, arrays: tuple[np.ndarray, np.ndarray], tables: tuple[DataFrame, DataFrame, DataFrame], spanned: Column, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The columns of ``docs`` but ``text`` with row, n_tokens and logp, and the spans (row, k, mean) of the rows that are ``spanned``.
 
-    For a model that is too large to be broadcast. Each text's trigrams are counted and joined
-    with the trigram, bigram and context tables by their keys; the sums meet again by row. It
-    moves each text's distinct trigrams three times.
+    For a model of any size. Each text's trigrams are joined with the trigram, bigram and
+    context tables by their keys; the sums meet again by row. A span is scored as a text of its own.
     """
-    v, vocabulary = model.vocabulary.size, model.vocabulary
-    unigram, back2 = model.unigram, model.back2
+    v = vocabulary.size
+    numbered = stored(docs.withColumns({"row": F.monotonically_increasing_id(), "_s": F.coalesce(spanned, F.lit(False))}), "numbered")
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, *arrays))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(vocabulary.describe, 1, np.int32, REMEMBERED)
+        words, unigram, back2 = shared.value
+        ids = WordIds(words.describe, 1, np.int32, REMEMBERED)
         for b in batches:
-            for first, texts in text_parts(b.column(0)):
-                symbols, sizes = vocabulary.tokens(ids, texts)
-                owner = np.repeat(np.arange(len(texts)), sizes - 2)
-                inside = np.ones(len(symbols), bool)
-                ends = np.cumsum(sizes)
-                inside[ends - 1] = inside[ends - 2] = False
-                at = np.flatnonzero(inside)
+            for first, texts in text_parts(b.column(0), 1_000_000):
+                symbols, sizes = words.tokens(ids, texts)
+                begins, tokens = np.cumsum(sizes) - sizes, sizes - 2
+                mine = np.flatnonzero(b.column(2).slice(first, len(texts)).to_numpy(zero_copy_only=False))
+                many, k, start = _spans(sizes[mine])
+                # whole texts, then spans: which text, which power of two, where and how long
+                owner = np.r_[np.arange(len(texts)), np.repeat(mine, many)]
+                kind = np.r_[np.full(len(texts), -1), k].astype(np.int32)
+                length = np.r_[tokens, 1 << k]
+                at = np.arange(length.sum()) + np.repeat(np.r_[begins, begins[np.repeat(mine, many)] + start] - np.cumsum(length) + length, length)
                 x, y, z = symbols[at], symbols[at + 1], symbols[at + 2]
-                rows = b.column(1).slice(first, len(texts)).to_numpy()[owner]
-                low = (back2[y] + unigram[z]).astype(np.float64)
-                columns = [rows, (x * v + y) * v + z, y * v + z, x * v + y, low]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "k3", "k2", "kab", "low"])
-
-    numbered = stored(docs.select(F.col(key), F.col(text).alias("_t")).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    grams = in_batches(numbered.select("_t", "row"), spell, "row long, k3 long, k2 long, kab long, low double").groupBy("row", "k3", "k2", "kab", "low").agg(F.count("*").alias("n"))
-    three, two, contexts = model_tables(docs.sparkSession, model)
-    met = grams.join(three.withColumnRenamed("k", "k3"), "k3", "left").join(two.withColumnRenamed("k", "k2"), "k2", "left").join(contexts.withColumnRenamed("k", "kab"), "kab", "left")
+                rows = b.column(1).slice(first, len(texts)).to_numpy()[np.repeat(owner, length)]
+                columns = [rows, np.repeat(kind, length), x * v + y, y, z, (back2[y] + unigram[z]).astype(np.float64)]
+                for i in range(0, len(rows), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["row", "k", "ab", "b", "c", "low"])
+
+    grams = in_batches(numbered.select(F.col(text).alias("_t"), "row", "_s"), spell, "row long, k int, ab long, b long, c long, low double")
+    three, two, contexts = (t.withColumnRenamed("x", n) for t, n in zip(tables, ("p3", "p2", "back3")))
+    met = grams.join(three, ["ab", "c"], "left").join(two, ["b", "c"], "left").join(contexts, "ab", "left")
     one = F.coalesce("p3", F.coalesce("p2", "low") + F.coalesce("back3", F.lit(0.0)))
-    sums = met.groupBy("row").agg(F.sum("n").alias("n_tokens"), F.sum(F.col("n") * one).alias("logp"))
-    return numbered.join(sums, "row").select(key, "n_tokens", "logp")
+    sums = stored(met.groupBy("row", "k").agg(F.count("*").alias("n_tokens"), F.sum(one).alias("logp")), "sums")
+    whole = numbered.drop(text, "_s").join(sums.where("k = -1").drop("k"), "row")
+    return whole, sums.where("k >= 0").select("row", "k", (-F.col("logp") / F.col("n_tokens")).alias("mean"))
 
 
 def limits(sample: DataFrame, quantile: float, least: int = 200) -> DataFrame:
@@ -327,8 +374,9 @@ def quality(
 ) -> DataFrame:
     """Judge every whole text by its perplexity under a model of trusted text.
 
-    Trusted are documents labelled with quality 1; a bounded sample of them fits the model. The
-    others set the limits: for each language and each power of two, the ``quantile`` of the
+    Trusted are documents labelled with quality 1; four in five of them, all of their text, fit
+    the model, which is broadcast if it is small and else joined. The
+    others, all of them, set the limits on text that was not learned: for each language and each power of two, the ``quantile`` of the
     mean surprise of their spans of that length. A text is kept if its own mean is within the
     limit for its language and length, so that a short one is compared with short spans.
 
@@ -342,15 +390,21 @@ def quality(
     good = F.broadcast(good) if good.count() <= 1_000_000 else good
     trusted = docs.select(key, text).join(good, key, "left_semi")
     many = trusted.count()
-    model = fit(trusted, many, most, key=key, text=text)
+    model = fit_tables(trusted, many, most, key=key, text=text)
     named = docs.select(F.col(key), *carry, F.col(text), F.col(lang).alias("lang"))
-    scored = perplexity(named, model, key, text, (*carry, "lang")).withColumns({"score": -F.col("logp") / F.col("n_tokens"), "g": F.coalesce("lang", F.lit("\x00"))})
-    scored = stored(scored, "scored")
-    others = scored.where(~in_sample(key, many, most)).join(good, key, "left_semi").select("g", F.posexplode("spans").alias("k", "mean"))
+    more = {"score": -F.col("logp") / F.col("n_tokens"), "g": F.coalesce("lang", F.lit("\x00"))}
+    if model.p3.count() <= ENTRIES:
+        scored = stored(perplexity(named, model.collected(), key, text, (*carry, "lang")).withColumns(more), "scored")
+        others = scored.where(~in_sample(key, many, most)).join(good, key, "left_semi").select("g", F.posexplode("spans").alias("k", "mean"))
+    else:
+        marked = named.join(good.withColumn("_good", F.lit(True)), key, "left")
+        scored, spans = scores_by_joins(marked, model.vocabulary, model.arrays(), (model.p3, model.p2, model.after3), F.col("_good") & ~in_sample(key, many, most), text)
+        scored = stored(scored.withColumns(more), "scored")
+        others = spans.join(scored.select("row", "g"), "row").select("g", "k", "mean")
     bounds = stored(limits(others, quantile), "limits")
     length = F.least(F.floor(F.log2(F.col("n_tokens"))), F.lit(LONGEST)).cast("int")
     longest = F.broadcast(bounds.groupBy("g").agg(F.max("k").alias("_most")))
-    out = scored.drop("spans").join(longest, "g", "left").withColumn("k", F.least(length, F.col("_most")))
+    out = scored.drop("spans", "row").join(longest, "g", "left").withColumn("k", F.least(length, F.col("_most")))
     out = out.join(F.broadcast(bounds), ["g", "k"], "left")  # languages x lengths
     return out.select(key, *carry, "lang", "n_tokens", F.pow(F.lit(10.0), F.col("score")).alias("perplexity"), "score", "limit", F.coalesce(F.col("score") <= F.col("limit"), F.lit(True)).alias("keep"))
 

@@ -485,6 +485,19 @@ def test_perplexity_equals_brute_force(spark, docs):
             assert got[k].logp == pytest.approx(want[k], rel=2e-4, abs=1e-3)
 
 
+def test_quality_learns_from_all_trusted_text_by_joins_too(spark, docs, monkeypatch):
+    share = spark.range(5000).where(quality.in_sample("id", 10**7, quality.TRUSTED)).count() / 5000
+    assert share == pytest.approx(0.8, abs=0.03)  # however many trusted documents there are
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    want = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    monkeypatch.setattr(quality, "ENTRIES", 0)
+    got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        assert (got[k].n_tokens, got[k].keep) == (r.n_tokens, r.keep)
+        assert got[k].score == pytest.approx(r.score, rel=1e-4) and (got[k].limit or 0.0) == pytest.approx(r.limit or 0.0, rel=1e-4)
+
+
 def test_limits_are_quantiles_by_length(spark):
     rows = [("en", 3, float(i)) for i in range(1000)] + [("de", 3, float(i)) for i in range(5000, 5010)]
     got = {(r.g, r.k): r.limit for r in quality.limits(spark.createDataFrame(rows, "g string, k int, mean double"), 0.9).collect()}
