@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import shingling
@@ -270,13 +270,24 @@ def _differ_little(percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (bits * (100 + percent) <= (n + m) * (100 - percent))
 
 
+def _enough_follows(percent: int) -> Column:
+    """Whether sizes and the places of a token that a and b share allow the similarity; exact for the first token they share.
+
+    What they have in common then starts there, in the order of both.
+    """
+    n, m = F.col("a.n"), F.col("b.n")
+    follow = F.least(n - F.col("a.at"), m - F.col("b.at"))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (follow * (100 + percent) >= (n + m) * percent)
+
+
 def pairs_left(own: DataFrame, docs: DataFrame, key: str, text: str, percent: int = 75) -> DataFrame:
     """All pairs (u, v) in different components (own: cid, component) that sizes and tokens allow to be similar.
 
     Tokens are ordered from rare to frequent by the counts of their cells, then by their hash.
     Similar sets have one of the first n - ceil(percent n / 100) + 1 tokens of each in common
     (prefix filter), whatever the order, so nothing is lost. The sets of a frequent token are
-    dealt to blocks, and a task takes two blocks of them.
+    dealt to blocks, and a task takes two blocks of them. Only numbers move with the tokens;
+    parities join the distinct pairs that sizes and places leave.
     """
     kind, group = own.schema["cid"].dataType.simpleString(), own.schema["component"].dataType.simpleString()
     texts = docs.select(F.col(key).alias("cid"), F.col(text).alias("t")).join(_small(own), "cid").select("t", "cid", "component")
@@ -302,18 +313,21 @@ def pairs_left(own: DataFrame, docs: DataFrame, key: str, text: str, percent: in
 
     made = stored(in_batches(texts, first_tokens, f"cid {kind}, component {group}, n long, parity array<long>, tokens array<long>"), "prefixes")
     cells.destroy()
-    rows = made.select("cid", "component", F.explode("tokens").alias("token"))
-    again = stored(rows.groupBy("token").count().where("count > 1").select("token"), "again")
-    rows = stored(rows.join(_small(again), "token"), "shared")
-    apart = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    rows = made.select("cid", "component", "n", F.posexplode("tokens").alias("at", "token"))
+    same = Window.partitionBy("token")
+    rows = rows.withColumns({"size": F.count("*").over(same), "x": F.min("component").over(same), "y": F.max("component").over(same)})
+    rows = stored(rows.where("x <> y").drop("x", "y"), "shared")
     blocks = F.ceil(F.col("size") / BLOCK)
-    rows = rows.join(apart.select("token", "size"), "token").select("token", "cid", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).alias("mine"))
-    rows = rows.select("token", "cid", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("token", "cid", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-    rows = stored(rows.join(made.drop("tokens"), "cid"), "blocks")
-    pairs = rows.where("mine = lo").alias("a").join(rows.where("mine = hi").alias("b"), ["token", "lo", "hi"])
-    pairs = pairs.where(((F.col("lo") < F.col("hi")) | (F.col("a.cid") < F.col("b.cid"))) & (F.col("a.component") != F.col("b.component")) & _differ_little(percent))
-    return pairs.select(F.least("a.cid", "b.cid").alias("u"), F.greatest("a.cid", "b.cid").alias("v")).distinct()
+    rows = rows.select("token", "cid", "component", "n", "at", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).alias("mine"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    rows = rows.select("token", "cid", "component", "n", "at", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+    pairs = rows.alias("a").join(rows.alias("b"), ["token", "lo", "hi"])
+    pairs = pairs.where((F.col("a.mine") == F.col("lo")) & (F.col("b.mine") == F.col("hi")) & ((F.col("lo") < F.col("hi")) | (F.col("a.cid") < F.col("b.cid"))))
+    pairs = pairs.where((F.col("a.component") != F.col("b.component")) & _enough_follows(percent))
+    met = stored(pairs.select(F.least("a.cid", "b.cid").alias("u"), F.greatest("a.cid", "b.cid").alias("v")).distinct(), "met")
+    side = made.select("cid", "n", "parity")
+    both = met.join(side.withColumnRenamed("cid", "u").alias("a"), "u").join(side.withColumnRenamed("cid", "v").alias("b"), "v")
+    return both.where(_differ_little(percent)).select("u", "v")
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

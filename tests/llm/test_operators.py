@@ -212,6 +212,25 @@ def test_near_dedup_loses_no_link_that_its_nodes_miss(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_near_dedup_deals_only_numbers_by_token_and_loses_no_pair(spark, monkeypatch):
+    rng, kept, stored = random.Random(6), {}, near_dedup.stored
+
+    def spy(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(near_dedup, "stored", spy)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage[: 60 - i % 25] + [f"o{rng.randrange(10**6)}" for _ in range(i % 11)])) for i in range(80)]
+    own = spark.createDataFrame([(i, i) for i, _ in rows], "cid long, component long")
+    got = {(r.u, r.v) for r in near_dedup.pairs_left(own, table(spark, rows), "doc_id", "text").collect()}
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert want and want <= got
+    assert [n for n, df in kept.items() if any(t.startswith("array") for _, t in df.dtypes)] == ["prefixes"]
+
+
 def test_near_dedup_takes_keys_of_any_type(spark):
     base = [f"w{i}" for i in range(80)]
     rows = [("b", " ".join(base)), ("a", " ".join(base[:79] + ["x"])), ("c", "something else altogether that is not near"), ("d", None)]
