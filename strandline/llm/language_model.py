@@ -53,10 +53,6 @@ def tail_classes(words: list[bytes]) -> np.ndarray:
     return (shingling.mix(last + np.uint64(1)) % np.uint64(TAIL)).astype(np.int64)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 class Network:
     """The weights, and a forward and backward pass through a window of many lanes."""
 
@@ -90,92 +86,131 @@ class Network:
             at += x.size
 
     def run(self, symbols: np.ndarray, state: np.ndarray, tape: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """States after each of (steps x lanes) symbols, from ``state``; an edge symbol starts from nothing."""
-        p, n = self.p, HIDDEN
-        gates = p["x"][symbols]
-        fresh = (symbols != EDGE).astype(np.float32)[:, :, None]
-        out = np.empty((*symbols.shape, n), np.float32)
-        h = state
-        for t in range(len(symbols)):
-            h = h * fresh[t]
-            a = h @ p["u"]
-            zr = _sigmoid(gates[t, :, : 2 * n] + a[:, : 2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            inner = a[:, 2 * n :] + p["bn"]
-            new = np.tanh(gates[t, :, 2 * n :] + r * inner)
-            if tape is not None:
-                tape.append((h, z, r, inner, new))
-            h = new + z * (h - new)
-            out[t] = h
-        return out, h
-
-    def log_probs(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
-        """Natural log P(class) + log P(word | class) of each target, and what the backward pass needs."""
+        """States after each of (steps x lanes) symbols, from ``state``; an edge symbol starts from nothing.
+
+        Within, lanes come last, so that every gate is one piece of memory. ``tape`` gets, in
+        that order, the states before each symbol, the gates, and what the reset gate lets through.
+        """
+        p, n, (steps, lanes) = self.p, HIDDEN, symbols.shape
+        x, u = p["x"].copy(), p["u"].T.copy()
+        x[:, : 2 * n] *= -1  # a sigmoid is 1 / (1 + exp(-x))
+        u[: 2 * n] *= -1
+        fresh = (symbols != EDGE).astype(np.float32)
+        cut = ~fresh.all(axis=1)
+        bias = p["bn"][:, None]
+        out = np.empty((steps, n, lanes), np.float32)
+        gates = np.empty((steps if tape is not None else 1, 3 * n, lanes), x.dtype)
+        before, inners = (np.empty_like(out), np.empty_like(out)) if tape is not None else (None, None)
+        h = state.T
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                if cut[t]:
+                    h = h * fresh[t]
+                a, gate = u @ h, gates[t if tape is not None else 0]
+                inner = a[2 * n :]
+                inner += bias
+                if tape is not None:
+                    before[t], inners[t] = h, inner
+                own = x.take(symbols[t], axis=0).T
+                zr, new = gate[: 2 * n], gate[2 * n :]
+                np.add(a[: 2 * n], own[: 2 * n], out=zr)
+                np.exp(zr, out=zr)
+                zr += 1
+                np.divide(1, zr, out=zr)
+                inner *= zr[n:]
+                np.add(inner, own[2 * n :], out=new)
+                np.tanh(new, out=new)
+                after = out[t]
+                np.subtract(h, new, out=after)
+                after *= zr[:n]
+                after += new
+                h = after
+        if tape is not None:
+            tape += [before, gates, inners]
+        return out.transpose(0, 2, 1), h.T
+
+    def log_probs(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list]:
+        """Natural log P(class) + log P(word | class) of each target after a state (rows of ``h``), and what the backward pass needs."""
         p = self.p
         kind = np.where(target < HEAD, target // IN_CLASS, target - HEAD + HEAD_CLASSES)
-        logits = h @ p["c"] + p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        out = logits[np.arange(len(h)), kind] - np.log(total)
+        logits = p["c"].T @ h.T
+        logits += p["cb"][:, None]
+        logits -= logits.max(axis=0)
+        out = logits[kind, np.arange(len(h))]
+        e = np.exp(logits, out=logits)
+        total = e.sum(axis=0)
+        out -= np.log(total)
         inside = []
         head = np.flatnonzero(target < HEAD)
-        head = head[np.argsort(kind[head], kind="stable")]
-        edges = np.searchsorted(kind[head], np.arange(HEAD_CLASSES + 1))
+        kinds = kind[head].astype(np.int16)  # short numbers are sorted by their digits
+        order = np.argsort(kinds, kind="stable")
+        head, edges = head[order], np.searchsorted(kinds[order], np.arange(HEAD_CLASSES + 1))
         for k in range(HEAD_CLASSES):
             at = head[edges[k] : edges[k + 1]]
             if not len(at):
                 continue
-            x = h[at] @ p["o"][k] + p["ob"][k]
-            x -= x.max(axis=1, keepdims=True)
-            ex = np.exp(x)
-            s = ex.sum(axis=1)
+            mine = h[at]
+            x = p["o"][k].T @ mine.T
+            x += p["ob"][k][:, None]
+            x -= x.max(axis=0)
             which = target[at] % IN_CLASS
-            out[at] += x[np.arange(len(at)), which] - np.log(s)
-            inside.append((k, at, which, ex / s[:, None]))
-        return out, e / total[:, None], [kind, inside]
+            own = x[which, np.arange(len(at))]
+            ex = np.exp(x, out=x)
+            s = ex.sum(axis=0)
+            out[at] += own - np.log(s)
+            inside.append((k, at, which, ex, s, mine))
+        return out, [kind, e, total, inside]
 
     def gradients(self, symbols: np.ndarray, target: np.ndarray, weight: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the mean loss over a window (truncated backpropagation), and the state after it."""
-        p, n = self.p, HIDDEN
+        p, n, (steps, lanes) = self.p, HIDDEN, symbols.shape
         tape: list = []
         hs, after = self.run(symbols, state, tape)
+        before, gates, inners = tape
+        rows = lambda x: x.transpose(0, 2, 1).reshape(steps * lanes, -1)
         h = hs.reshape(-1, n)
-        w = (weight.ravel() / max(1.0, float(weight.sum()))).astype(np.float32)[:, None]
-        _, probs, (kind, inside) = self.log_probs(h, target.ravel())
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        probs[np.arange(len(h)), kind] -= 1
-        probs *= w
-        g["c"], g["cb"] = h.T @ probs, probs.sum(axis=0)
-        dh = probs @ p["c"].T
-        for k, at, which, q in inside:
-            q[np.arange(len(at)), which] -= 1
-            q *= w[at]
-            g["o"][k], g["ob"][k] = h[at].T @ q, q.sum(axis=0)
-            dh[at] += q @ p["o"][k].T
-        dh = dh.reshape(hs.shape)
-        back = np.zeros_like(after)
-        dx = np.empty((*symbols.shape, 3 * n), np.float32)
-        da = np.empty_like(dx)
-        for t in range(len(symbols) - 1, -1, -1):
-            h0, z, r, inner, new = tape[t]
-            d = dh[t] + back
-            dnew = d * (1 - z) * (1 - new * new)
-            dz = d * (h0 - new) * z * (1 - z)
-            dr = dnew * inner * r * (1 - r)
-            dx[t, :, :n], dx[t, :, n : 2 * n], dx[t, :, 2 * n :] = dz, dr, dnew
-            da[t, :, : 2 * n], da[t, :, 2 * n :] = dx[t, :, : 2 * n], dnew * r
-            back = (d * z + da[t] @ p["u"].T) * (symbols[t] != EDGE)[:, None]
-        flat = da.reshape(-1, 3 * n)
-        g["u"], g["bn"] = np.concatenate([step[0] for step in tape]).T @ flat, flat[:, 2 * n :].sum(axis=0)
-        order = np.argsort(symbols, axis=None, kind="stable")
+        w = (weight.ravel() / max(1.0, float(weight.sum()))).astype(np.float32)
+        _, (kind, probs, total, inside) = self.log_probs(h, target.ravel())
+        g = {k: np.zeros_like(v) for k, v in p.items() if k in ("x", "o", "ob")}
+        probs *= w / total
+        probs[kind, np.arange(len(h))] -= w
+        g["c"], g["cb"] = h.T @ probs.T, probs.sum(axis=1)
+        of_words = np.zeros_like(h)
+        for k, at, which, q, s, mine in inside:
+            q *= w[at] / s
+            q[which, np.arange(len(at))] -= w[at]
+            g["o"][k], g["ob"][k] = mine.T @ q.T, q.sum(axis=1)
+            of_words[at] = q.T @ p["o"][k].T
+        dh = (p["c"] @ probs).reshape(n, steps, lanes).transpose(1, 0, 2) + of_words.reshape(steps, lanes, n).transpose(0, 2, 1)
+        dh = np.ascontiguousarray(dh)
+        z, r, new = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
+        to_new, to_z, to_r = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), inners * r * (1 - r)
+        fresh = (symbols != EDGE).astype(np.float32)
+        cut = ~fresh.all(axis=1)
+        back = np.zeros((n, lanes), np.float32)
+        da, dnew = np.empty_like(gates), np.empty((steps, n, lanes), gates.dtype)
+        for t in range(steps - 1, -1, -1):
+            d = dh[t]
+            d += back
+            np.multiply(d, to_new[t], out=dnew[t])
+            np.multiply(d, to_z[t], out=da[t, :n])
+            np.multiply(dnew[t], to_r[t], out=da[t, n : 2 * n])
+            np.multiply(dnew[t], r[t], out=da[t, 2 * n :])
+            back = p["u"] @ da[t]
+            d *= z[t]
+            back += d
+            if cut[t]:
+                back *= fresh[t]
+        flat = rows(da)
+        g["u"], g["bn"] = rows(before).T @ flat, da[:, 2 * n :].sum(axis=(0, 2))
+        da[:, 2 * n :] = dnew
+        order = np.argsort(symbols.ravel().astype(np.int16), kind="stable")
         met = symbols.ravel()[order]
         begins = np.flatnonzero(np.r_[True, met[1:] != met[:-1]])
-        g["x"][met[begins]] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], begins, axis=0)
+        g["x"][met[begins]] = np.add.reduceat(rows(da)[order], begins, axis=0)
         return g, after
 
 
-
 class Adam:
     """Steps of a network along its gradients, each of bounded length."""
 
@@ -191,13 +226,24 @@ class Adam:
         for a in range(0, len(symbols), steps):
             weight = (owner[a : a + steps] >= 0).astype(np.float32)
             g, state = self.network.gradients(symbols[a : a + steps], target[a : a + steps], weight, state)
-            size = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+            size = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
             self.t += 1
             step = self.rate * min(1.0, 1.0 / max(size, 1e-9))
+            first, second = step / (1 - 0.9**self.t), 1 / (1 - 0.99**self.t)
             for k, x in g.items():
-                self.m[k] += 0.1 * (x - self.m[k])
-                self.v[k] += 0.01 * (x * x - self.v[k])
-                self.network.p[k] -= step * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-6)
+                m, v = self.m[k], self.v[k]
+                m *= 0.9
+                m += 0.1 * x
+                x *= x
+                x *= 0.01
+                v *= 0.99
+                v += x
+                np.multiply(v, second, out=x)
+                np.sqrt(x, out=x)
+                x += 1e-6
+                np.divide(m, x, out=x)
+                x *= first
+                self.network.p[k] -= x
         return int((owner >= 0).sum())
 
 
@@ -293,7 +339,7 @@ class Model:
             hs, state = self.network.run(symbols[a : a + WINDOW], state)
             own = owner[a : a + WINDOW].ravel()
             real = np.flatnonzero(own >= 0)
-            logp, _, _ = self.network.log_probs(hs.reshape(-1, HIDDEN)[real], target[a : a + WINDOW].ravel()[real])
+            logp, _ = self.network.log_probs(hs.reshape(-1, HIDDEN)[real], target[a : a + WINDOW].ravel()[real])
             total += np.bincount(own[real], weights=logp, minlength=len(documents))
         return total / np.log(10)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 
 #: Words after which a worker forgets all numbers before its next batch, if it is not told otherwise.
@@ -30,11 +32,10 @@ class WordIds:
         ``rows[numbers]`` then holds what ``describe`` says of each word.
         """
         ids = self.ids
-        new = {w for ws in texts for w in ws if w not in ids}
+        new = list(set().union(*texts).difference(ids))
         if new:
-            new = list(new)
             ids.update(zip(new, range(len(ids), len(ids) + len(new))))
             self.rows = np.concatenate([self.rows, np.asarray(self.describe(new), self.dtype).reshape(len(new), self.width)])
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        return np.fromiter((i for ws in texts for i in map(ids.__getitem__, ws)), np.int32, int(counts.sum())), counts
+        return np.fromiter(map(ids.__getitem__, chain.from_iterable(texts)), np.int32, int(counts.sum())), counts
 

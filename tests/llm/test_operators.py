@@ -606,6 +606,18 @@ def test_scores_do_not_depend_on_company():
         assert got == pytest.approx(total / math.log(10), rel=1e-4)
 
 
+def test_gates_lie_in_one_piece_with_lanes_last():
+    net, rng, n = language_model.Network(5), np.random.default_rng(2), language_model.HIDDEN
+    net.p = {k: v * 30 for k, v in net.p.items()}  # gates that are all shut or open
+    symbols, tape = rng.integers(0, language_model.SYMBOLS, (6, 7)), []
+    out, _ = net.run(symbols, np.zeros((7, n), np.float32), tape)
+    before, gates, inners = tape
+    assert (before.shape, gates.shape, inners.shape) == ((6, n, 7), (6, 3 * n, 7), (6, n, 7))
+    assert all(x.flags.c_contiguous and np.isfinite(x).all() for x in tape)
+    z, new = gates[:, :n], gates[:, 2 * n :]
+    assert out.transpose(0, 2, 1) == pytest.approx(new + z * (before - new), abs=1e-5)
+
+
 def test_lanes_hold_a_very_long_document():
     docs = [np.zeros(200_000, np.int32)] + [np.zeros(60, np.int32)] * 500
     symbols, _, owner, _ = language_model.lanes_of(docs, 256)
