@@ -92,6 +92,18 @@ def small_batches(spark: SparkSession, rows: int = 2500) -> Iterator[None]:
             spark.conf.set(name, own[name])
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a query has shuffled is deleted as soon as the query has ended; afterwards all is as before."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

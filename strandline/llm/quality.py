@@ -5,21 +5,24 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import in_batches, read, stored
-from strandline.llm.shingling import text_parts
+from strandline.llm.common import discard, freed_shuffles, in_batches, read, stored
+from strandline.llm.shingling import mix, text_parts
 from strandline.llm.word_ids import WordIds
 
 #: Trusted documents that the model is fitted on: no bound, so four in five (a hash of the key chooses); the fifth sets limits.
 TRUSTED = 1 << 62
-#: Trigrams of a model up to which it is broadcast; a larger one stays in Spark and scores by joins.
+#: Learned words up to which a model is broadcast; a larger one stays in Spark and scores in shards.
 ENTRIES = 2_000_000
 #: How often the trusted text must have a word for it to stand for itself; rarer ones stand for their shape.
 LEAST = 2
@@ -140,13 +143,7 @@ class KneserNey:
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts of one, two, and three or more."""
     n = {r[0]: r[1] for r in counts.where(F.col("n") <= 4).groupBy("n").count().collect()}
-    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
-    if not (n1 and n2):
-        return 0.5, 0.75, 0.9
-    y = n1 / (n1 + 2 * n2)
-    d1, d2 = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2
-    d3 = 3 - 4 * y * n4 / n3 if n3 else d2
-    return tuple(min(max(d, 0.1), k - 0.1) for k, d in ((1, d1), (2, d2), (3, d3)))
+    return _clamped([n.get(k, 0) for k in (1, 2, 3, 4)])
 
 
 def _off(d: tuple[float, float, float]) -> Column:
@@ -189,7 +186,7 @@ class Tables:
         """The model as arrays, for one that is small enough to be broadcast."""
         v = self.vocabulary.size
         if v >= 1 << 21:
-            raise ValueError("three numbers no longer fit a key of 63 bits: score by joins")
+            raise ValueError("three numbers no longer fit a key of 63 bits: score by shards")
 
         def table(df: DataFrame, key: Column) -> tuple[np.ndarray, np.ndarray]:
             t = df.select(key.alias("k"), "x").toArrow().sort_by("k")
@@ -212,7 +209,18 @@ def fit_tables(trusted: DataFrame, many: int, most: int = TRUSTED, least: int =
     contexts, sharded by context, and stay in Spark. Words that the text has ``least`` times
     stand for themselves; only their hashes reach the driver.
     """
-    texts = trusted.where(in_sample(key, many, most)).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
+    texts = learned(trusted, many, most, key, text)
+    return tables_of(texts, learn_words(texts, least)[0])
+
+
+def learned(trusted: DataFrame, many: int, most: int, key: str, text: str) -> DataFrame:
+    """The texts ``t`` of the trusted documents to fit on."""
+    return trusted.where(in_sample(key, many, most)).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
+
+
+def learn_words(texts: DataFrame, least: int) -> tuple[Vocabulary, np.ndarray]:
+    """The words that ``texts`` have ``least`` times, and about how often each symbol occurs."""
+    place = {s: i for i, s in enumerate(SHAPES)}
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -221,13 +229,33 @@ def fit_tables(trusted: DataFrame, many: int, most: int = TRUSTED, least: int =
                 for t in some:
                     seen.update(t.split())
         merged: Counter = Counter()
+        kinds: dict = {}
+        others = [0] * len(SHAPES)
         for w, n in seen.items():
-            if shape(w)[:-1] in ("lower", "title"):
-                merged[folded(w)] += n
-        yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, merged), pa.int64()), pa.array(list(merged.values()), pa.int64())], names=["w", "n"])
-
-    frequent = in_batches(texts, count_words, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("w")
-    words = Vocabulary(np.sort(frequent.toArrow().column("w").to_numpy()))
+            s = shape(w)
+            if s[:-1] in ("lower", "title"):
+                f = folded(w)
+                merged[f] += n
+                kinds[f] = place[s]
+            else:
+                others[place[s]] += n
+        w = [*map(word_hash, merged), *range(len(SHAPES))]
+        columns = [pa.array(w, pa.int64()), pa.array([*merged.values(), *others], pa.int64()), pa.array([*map(kinds.__getitem__, merged), *range(len(SHAPES))], pa.int32())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(len(w)) < len(merged))], names=["w", "n", "s", "named"])
+
+    counts = in_batches(texts, count_words, "w long, n long, s int, named boolean").groupBy("w", "named").agg(F.sum("n").alias("n"), F.max("s").alias("s"))
+    own = F.col("named") & (F.col("n") >= least)
+    found = counts.groupBy(F.when(own, F.col("w")).alias("w"), F.when(~own, F.col("s")).alias("s")).agg(F.sum("n").alias("n")).toArrow().sort_by("w")
+    own, rest = (found.filter(x) for x in (pc.is_valid(found.column("w")), pc.is_null(found.column("w"))))
+    words = Vocabulary(own.column("w").to_numpy())
+    often = np.zeros(words.size, np.int64)
+    often[3 + len(SHAPES) :] = own.column("n").to_numpy()
+    often[3 + rest.column("s").to_numpy()] = rest.column("n").to_numpy()
+    return words, often
+
+
+def tables_of(texts: DataFrame, words: Vocabulary) -> Tables:
+    """The model of ``texts`` as tables in Spark."""
     v = words.size
 
     def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,6 +386,348 @@ def scores_by_joins(docs: DataFrame, vocabulary: Vocabulary, arrays: tuple[np.nd
     return whole, sums.where("k >= 0").select("row", "k", (-F.col("logp") / F.col("n_tokens")).alias("mean"))
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of 32-bit numbers, their bytes by significance, compressed."""
+    raw = np.concatenate([np.asarray(c).astype("<i4") for c in columns])
+    return pa.compress(raw.view(np.uint8).reshape(-1, 4).T.copy(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int, many: int) -> np.ndarray:
+    """The ``many`` columns of ``size`` numbers that :func:`packed` has compressed."""
+    raw = np.frombuffer(pa.decompress(data, 4 * size * many, codec="zstd"), np.uint8)
+    return raw.reshape(4, -1).T.copy().view("<i4").reshape(many, size)
+
+
+def _order(b: np.ndarray, a: np.ndarray, c: np.ndarray, v: int) -> np.ndarray:
+    """An order of trigrams by middle, first and last symbol."""
+    ba = b.astype(np.int64) * v + a
+    return np.argsort(ba * v + c) if v < 1 << 21 else np.lexsort((c, ba))
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a new value begins in sorted columns."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = False
+        for x in columns:
+            new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _off_of(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    return np.array([0.0, *d], np.float32)[np.minimum(n, 3)]
+
+
+@dataclass
+class Shards:
+    """Where trigrams are counted: with their middle symbol, whose shards, one for most, are told apart by the first."""
+
+    size: int
+    many: int
+    home: np.ndarray
+    parts: np.ndarray
+
+    @staticmethod
+    def by(often: np.ndarray) -> Shards:
+        total = max(1, int(often.sum()))
+        many = max(LEAST_SHARDS, -(-total // SHARD_WORDS))
+        home = mix(np.arange(len(often), dtype=np.uint64)) % np.uint64(many)
+        # a middle symbol with more than a quarter of a shard's words is divided
+        return Shards(len(often), many, home.astype(np.int32), np.clip(-(-often * 4 * many // total), 1, many).astype(np.int32))
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.home[b] + (mix(a.astype(np.uint64) + np.uint64(1)) % self.parts[b].astype(np.uint64)).astype(np.int64)) % self.many
+
+    def dealt(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, more: np.ndarray | None = None) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(shard, [b, a, c, n or more]) of trigrams in their order; without ``more``, equal ones are counted."""
+        order = _order(b, a, c, self.size)
+        a, b, c = a[order], b[order], c[order]
+        if more is None:
+            at = _runs(b, a, c)
+            more = np.diff(np.r_[at, len(b)])
+            a, b, c = a[at], b[at], c[at]
+        else:
+            more = more[order]
+        shard = self.of(a, b).astype(np.int16 if self.many < 1 << 15 else np.int64)
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(self.many + 1))
+        for k in np.flatnonzero(np.diff(edges)):
+            at = order[edges[k] : edges[k + 1]]
+            yield int(k), [b[at], a[at], c[at], more[at]]
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The columns of each shard as a whole, from batches (shard, size, data) in order of shard."""
+    now, held = None, []
+    for b in batches:
+        for shard, size, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            if shard != now and held:
+                yield now, np.concatenate(held, axis=1)
+                held = []
+            now = shard
+            held.append(unpacked(data.as_buffer(), size, many))
+    if held:
+        yield now, np.concatenate(held, axis=1)
+
+
+#: What a row of the sharded model holds: trigrams (b, a, c, n), bigrams (b, c, n), how many counts are 1 to 4, what follows each middle symbol, and a last symbol's bigrams.
+THREE, TWO, COUNTS, MIDDLE, LAST = range(5)
+_MODEL = "shard int, kind int, size int, data binary, c long, n long"
+
+
+def _model_rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["shard", "kind", "size", "data", "c", "n"])
+
+
+def _pieces(shard: int, kind: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), 500_000):
+        some = [x[i : i + 500_000] for x in columns]
+        yield _model_rows([(shard, kind, len(some[0]), packed(*some), None, None)])
+
+
+def _first_counts(n: np.ndarray) -> bytes:
+    return np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype("<i8").tobytes()
+
+
+def _clamped(n: list[int]) -> tuple[float, float, float]:
+    """Modified Kneser-Ney discounts from how many counts are 1, 2, 3 and 4."""
+    n1, n2, n3, n4 = n
+    if not (n1 and n2):
+        return 0.5, 0.75, 0.9
+    y = n1 / (n1 + 2 * n2)
+    d1, d2 = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2
+    d3 = 3 - 4 * y * n4 / n3 if n3 else d2
+    return tuple(min(max(d, 0.1), k - 0.1) for k, d in ((1, d1), (2, d2), (3, d3)))
+
+
+@dataclass
+class Sharded:
+    """A model in shards: ``rows`` (shard, kind, size, data) of trigrams and bigrams; by symbol: P alone, words after it and what it leaves."""
+
+    vocabulary: Vocabulary
+    shards: Shards
+    rows: list[DataFrame]
+    p1: np.ndarray
+    total2: np.ndarray
+    back2: np.ndarray
+    d3: tuple[float, float, float]
+    d2: tuple[float, float, float]
+
+
+def fit_sharded(texts: DataFrame, words: Vocabulary, often: np.ndarray) -> Sharded:
+    """Count the model of ``texts`` in shards by the middle symbol.
+
+    There a trigram meets its context (a, b) and its bigram (b, c), so that one shuffle of the
+    trigrams serves all counts. A frequent middle symbol has several shards; the counts of its
+    bigrams are added up over them and given to each.
+    """
+    v, shards = words.size, Shards.by(often)
+    shared = texts.sparkSession.sparkContext.broadcast((words, shards))
+
+    def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, shards = shared.value
+        ids = WordIds(words.describe, 1, np.int32, REMEMBERED)
+        for b in batches:
+            for _, part in text_parts(b.column(0), 4_000_000):
+                symbols, sizes = words.tokens(ids, part)
+                inside = np.ones(len(symbols), bool)
+                ends = np.cumsum(sizes)
+                for k in (1, 2):
+                    inside[ends - k] = False
+                at = np.flatnonzero(inside)
+                yield _model_rows([(k, THREE, len(x[0]), packed(*x), None, None) for k, x in shards.dealt(symbols[at], symbols[at + 1], symbols[at + 2])])
+
+    def add_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = shared.value[1]
+        for shard, (b, a, c, n) in _by_shard(batches, 4):
+            order = _order(b, a, c, v)
+            b, a, c = b[order], a[order], c[order]
+            at = _runs(b, a, c)
+            n = np.add.reduceat(n[order], at)
+            b, a, c = b[at], a[at], c[at]
+            yield from _pieces(shard, THREE, [b, a, c, n])
+            yield _model_rows([(shard, COUNTS, 0, _first_counts(n), None, None)])
+            bc, n = np.unique(b.astype(np.int64) * v + c, return_counts=True)
+            b, c = bc // v, bc % v
+            homes = shards.home[b]
+            for home in np.unique(homes):
+                mine = homes == home
+                yield from _pieces(int(home), TWO, [b[mine], c[mine], n[mine]])
+
+    def add_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = shared.value[1]
+        for home, (b, c, n) in _by_shard(batches, 3):
+            order = np.argsort(b.astype(np.int64) * v + c)
+            b, c = b[order], c[order]
+            at = _runs(b, c)
+            n = np.add.reduceat(n[order], at)
+            b, c = b[at], c[at]
+            for j in range(int(shards.parts[b].max())):
+                mine = shards.parts[b] > j
+                yield from _pieces((home + j) % shards.many, TWO, [b[mine], c[mine], n[mine]])
+            yield _model_rows([(home, COUNTS, 0, _first_counts(n), None, None)])
+            at = _runs(b)
+            yield from _pieces(home, MIDDLE, [b[at], *(np.add.reduceat(x, at) for x in (n, n == 1, n == 2, n > 2))])
+            last, many = np.unique(c, return_counts=True)
+            for i in range(0, len(last), 100_000):
+                k = len(last[i : i + 100_000])
+                same = lambda x, t: pa.array(np.full(k, x), t)  # noqa: B023, E731
+                columns = [same(home, pa.int32()), same(LAST, pa.int32()), same(0, pa.int32()), pa.nulls(k, pa.binary()), pa.array(last[i : i + k].astype(np.int64)), pa.array(many[i : i + k])]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "kind", "size", "data", "c", "n"])
+
+    dealt = lambda df: df.select("shard", "size", "data").repartition(4 * shards.many, "shard").sortWithinPartitions("shard")
+    three = stored(in_batches(dealt(in_batches(texts, count_trigrams, _MODEL)), add_trigrams, _MODEL), "trigrams")
+    two = stored(in_batches(dealt(three.where(F.col("kind") == TWO)), add_bigrams, _MODEL), "bigrams")
+
+    def discounts(df: DataFrame) -> tuple[float, float, float]:
+        rows = df.where(F.col("kind") == COUNTS).select("data").collect()
+        return _clamped(sum((np.frombuffer(r.data, "<i8") for r in rows), np.zeros(4, np.int64)).tolist())
+
+    d3, d2 = discounts(three), discounts(two)
+    one = two.where(F.col("kind") == LAST).groupBy("c").agg(F.sum("n").alias("n")).toArrow()
+    alone = np.zeros(v)
+    alone[one.column("c").to_numpy()] = one.column("n").to_numpy()
+    p1 = alone * (0.995 / max(1.0, alone.sum())) + 0.005 / v
+    total2, back2 = np.ones(v), np.ones(v)
+    for r in two.where(F.col("kind") == MIDDLE).select("size", "data").collect():
+        b, total, *kinds = unpacked(r.data, r.size, 5)
+        total2[b], back2[b] = total, sum(k * d for k, d in zip(kinds, d2)) / total
+    return Sharded(words, shards, [three, two], p1.astype(np.float32), total2.astype(np.float32), back2.astype(np.float32), d3, d2)
+
+
+class Shard:
+    """The tables of one shard of the model, ready to be looked up."""
+
+    def __init__(self, model: tuple, three: list[np.ndarray], two: list[np.ndarray]):
+        self.v, self.p1, self.total2, self.back2, d3, d2 = model
+        none = np.empty((4, 0), np.int32)
+        b, c, n = np.concatenate(two, axis=1) if two else none[:3]
+        bc = b.astype(np.int64) * self.v + c
+        order = np.argsort(bc)
+        self.bc, b, c, n = bc[order], b[order], c[order], n[order]
+        self.p2 = (n - _off_of(n, d2)) / self.total2[b] + self.back2[b] * self.p1[c]
+        b, a, c, n = np.concatenate(three, axis=1) if three else none
+        order = _order(b, a, c, self.v)  # pieces of a shard may come in any order
+        b, a, c, n = b[order], a[order], c[order], n[order]
+        ba = b.astype(np.int64) * self.v + a
+        at = _runs(ba)
+        self.ba = ba[at]
+        which = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(ba)]))
+        off = _off_of(n, d3)
+        total = np.add.reduceat(n, at).astype(np.float32) if len(at) else np.empty(0, np.float32)
+        self.back3 = np.add.reduceat(off, at) / total if len(at) else total
+        self.bac = which * self.v + c
+        self.p3 = (n - off) / total[which] + self.back3[which] * self._two(b, c)
+
+    def _two(self, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        at, found = KneserNey._find(self.bc, b.astype(np.int64) * self.v + c)
+        low = self.back2[b] * self.p1[c]
+        low[found] = self.p2[at[found]]
+        return low
+
+    def log_probs(self, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """log10 P of each c after a, b."""
+        out = np.empty(len(b), np.float32)
+        ba, known = KneserNey._find(self.ba, b.astype(np.int64) * self.v + a)
+        at, found = KneserNey._find(self.bac, ba * self.v + c)
+        found &= known
+        out[found] = self.p3[at[found]]
+        rest = np.flatnonzero(~found)
+        low = self._two(b[rest], c[rest])
+        seen = known[rest]
+        low[seen] *= self.back3[ba[rest[seen]]]
+        out[rest] = low
+        return np.log10(out)
+
+
+#: Learned words of a shard, and shards at least; parts of the documents whose trigrams are under way at once, one after another.
+SHARD_WORDS, LEAST_SHARDS, PORTIONS = 4_000_000, 16, 4
+
+
+def scores_by_shards(docs: DataFrame, model: Sharded, spanned: Column, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The columns of ``docs`` but ``text`` with row, n_tokens and logp, and the spans (row, k, mean) of the rows that are ``spanned``.
+
+    For a model of any size. Trigrams go to the shard of their middle symbol, where all their
+    counts are, and the sums meet again by row. A span is scored as a text of its own. The
+    documents go in ``PORTIONS`` one after another, so that a part of their trigrams is on disk.
+    """
+    spark = docs.sparkSession
+    others = [c for c in docs.columns if c != text]
+    source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t"), F.coalesce(spanned, F.lit(False)).alias("_s"), *others)
+    own = source.schema[2:]
+    fields = ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(own))
+    names = ["shard", "kind", "size", "data", "row", *(f"_{i}" for i in range(len(own)))]
+    schema = f"shard int, kind int, size int, data binary, row long, {fields}"
+    tables = (model.vocabulary.size, model.p1, model.total2, model.back2, model.d3, model.d2)
+    shared = spark.sparkContext.broadcast((model.vocabulary, model.shards, tables))
+    tokens_kind, document_kind = LAST + 1, LAST + 2
+    counted = [df.where(F.col("kind") == kind).select("shard", "kind", "size", "data") for df, kind in zip(model.rows, (THREE, TWO))]
+    sums = []
+    for portion in range(PORTIONS):
+
+        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, shards, _ = shared.value
+            ids = WordIds(words.describe, 1, np.int32, REMEMBERED)
+            row = (TaskContext.get().partitionId() << 40) + (portion << 36)  # noqa: B023
+            for batch in batches:
+                for first, texts in text_parts(batch.column(0), 4_000_000):
+                    symbols, sizes = words.tokens(ids, texts)
+                    begins, tokens = np.cumsum(sizes) - sizes, sizes - 2
+                    mine = np.flatnonzero(batch.column(1).slice(first, len(texts)).to_numpy(zero_copy_only=False))
+                    many, k, start = _spans(sizes[mine])
+                    # whole texts, then spans: which text, which power of two, where and how long
+                    owner = np.r_[np.arange(len(texts)), np.repeat(mine, many)] * 16 + np.r_[np.zeros(len(texts), np.int64), k + 1]
+                    length = np.r_[tokens, 1 << k]
+                    at = np.arange(length.sum()) + np.repeat(np.r_[begins, begins[np.repeat(mine, many)] + start] - np.cumsum(length) + length, length)
+                    dealt = [(s, len(x[0]), packed(*x)) for s, x in shards.dealt(symbols[at], symbols[at + 1], symbols[at + 2], np.repeat(owner, length))]
+                    for i in range(0, len(dealt), 100):
+                        s, size, data = zip(*dealt[i : i + 100])
+                        n = len(s)
+                        columns = [pa.array(s, pa.int32()), pa.array(np.full(n, tokens_kind, np.int32)), pa.array(size, pa.int32()), pa.array(data, pa.binary()), pa.array(np.full(n, row))]
+                        yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(n, c.type) for c in batch.columns[2:])], names=names)
+                    n = len(texts)
+                    rows = row + np.arange(n)
+                    columns = [pa.array((rows % shards.many).astype(np.int32)), pa.array(np.full(n, document_kind, np.int32)), pa.array(tokens.astype(np.int32)), pa.nulls(n, pa.binary()), pa.array(rows)]
+                    yield pa.RecordBatch.from_arrays([*columns, *(c.slice(first, n) for c in batch.columns[2:])], names=names)
+                    row += n
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, held, shard = None, {}, None
+            for batch in batches:
+                kinds = batch.column(1).to_numpy()
+                for i in np.flatnonzero(kinds < document_kind):
+                    at, size, data = batch.column(0)[i].as_py(), batch.column(2)[i].as_py(), batch.column(3)[i].as_buffer()
+                    if at != now:
+                        now, held, shard = at, {THREE: [], TWO: []}, None
+                    if kinds[i] != tokens_kind:
+                        held[int(kinds[i])].append(unpacked(data, size, 4 if kinds[i] == THREE else 3))
+                        continue
+                    if shard is None:
+                        shard, held = Shard(shared.value[2], held[THREE], held[TWO]), {}
+                    b, a, c, owner = unpacked(data, size, 4)
+                    total = np.bincount(owner, weights=shard.log_probs(b, a, c))
+                    met = np.flatnonzero(np.bincount(owner))
+                    rows = [pa.array((met >> 4) + batch.column(4)[i].as_py()), pa.array(((met & 15) - 1).astype(np.int32)), pa.array(total[met])]
+                    yield pa.RecordBatch.from_arrays([*rows, pa.nulls(len(met), pa.int64()), *(pa.nulls(len(met), x.type) for x in batch.columns[5:])], names=["row", "k", "x", "n_tokens", *names[5:]])
+                some = batch.filter(pa.array(kinds == document_kind))
+                n = some.num_rows
+                if n:
+                    yield pa.RecordBatch.from_arrays([some.column(4), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()), some.column(2).cast(pa.int64()), *some.columns[5:]], names=["row", "k", "x", "n_tokens", *names[5:]])
+
+        mine = source if PORTIONS == 1 else source.where(F.pmod(F.xxhash64("_t", *others), F.lit(PORTIONS)) == portion)
+        spelled = in_batches(mine, spell, schema)
+        met = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), counted, spelled)
+        met = met.repartition(4 * model.shards.many, "shard").sortWithinPartitions("shard", "kind")
+        sums.append(stored(in_batches(met, score, f"row long, k int, x double, n_tokens long, {fields}"), "sums"))
+    shared.destroy()
+    both = reduce(DataFrame.union, sums)
+    by_row = stored(both.where("k is not null").groupBy("row", "k").agg(F.sum("x").alias("logp")), "logp")
+    whole = both.where("k is null").select("row", "n_tokens", *(F.col(f"_{i}").alias(f.name) for i, f in enumerate(own)))
+    whole = whole.join(by_row.where("k = -1").select("row", "logp"), "row")
+    return whole, by_row.where("k >= 0").select("row", "k", (-F.col("logp") / F.pow(F.lit(2.0), F.col("k"))).alias("mean"))
+
+
 def limits(sample: DataFrame, quantile: float, least: int = 200) -> DataFrame:
     """(g, k, limit): the quantile of each language and length of spans (g, k, mean); lengths with fewer than ``least`` spans take that of all languages."""
     q = F.percentile_approx("mean", F.lit(quantile), F.lit(10000))
@@ -375,7 +745,7 @@ def quality(
     """Judge every whole text by its perplexity under a model of trusted text.
 
     Trusted are documents labelled with quality 1; four in five of them, all of their text, fit
-    the model, which is broadcast if it is small and else joined. The
+    the model, which is broadcast if it is small and else looked up in shards. The
     others, all of them, set the limits on text that was not learned: for each language and each power of two, the ``quantile`` of the
     mean surprise of their spans of that length. A text is kept if its own mean is within the
     limit for its language and length, so that a short one is compared with short spans.
@@ -390,17 +760,23 @@ def quality(
     good = F.broadcast(good) if good.count() <= 1_000_000 else good
     trusted = docs.select(key, text).join(good, key, "left_semi")
     many = trusted.count()
-    model = fit_tables(trusted, many, most, key=key, text=text)
+    texts = learned(trusted, many, most, key, text)
+    with freed_shuffles(docs.sparkSession):
+        words, often = learn_words(texts, LEAST)
     named = docs.select(F.col(key), *carry, F.col(text), F.col(lang).alias("lang"))
     more = {"score": -F.col("logp") / F.col("n_tokens"), "g": F.coalesce("lang", F.lit("\x00"))}
-    if model.p3.count() <= ENTRIES:
-        scored = stored(perplexity(named, model.collected(), key, text, (*carry, "lang")).withColumns(more), "scored")
+    if often.sum() <= ENTRIES:
+        scored = stored(perplexity(named, tables_of(texts, words).collected(), key, text, (*carry, "lang")).withColumns(more), "scored")
         others = scored.where(~in_sample(key, many, most)).join(good, key, "left_semi").select("g", F.posexplode("spans").alias("k", "mean"))
     else:
-        marked = named.join(good.withColumn("_good", F.lit(True)), key, "left")
-        scored, spans = scores_by_joins(marked, model.vocabulary, model.arrays(), (model.p3, model.p2, model.after3), F.col("_good") & ~in_sample(key, many, most), text)
-        scored = stored(scored.withColumns(more), "scored")
-        others = spans.join(scored.select("row", "g"), "row").select("g", "k", "mean")
+        with freed_shuffles(docs.sparkSession):
+            model = fit_sharded(texts, words, often)
+            marked = named.join(good.withColumn("_good", F.lit(True)), key, "left")
+            scored, spans = scores_by_shards(marked, model, F.col("_good") & ~in_sample(key, many, most), text)
+            for df in model.rows:
+                discard(df)
+            scored = stored(scored.withColumns(more), "scored")
+            others = spans.join(scored.select("row", "g"), "row").select("g", "k", "mean")
     bounds = stored(limits(others, quantile), "limits")
     length = F.least(F.floor(F.log2(F.col("n_tokens"))), F.lit(LONGEST)).cast("int")
     longest = F.broadcast(bounds.groupBy("g").agg(F.max("k").alias("_most")))

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -517,6 +518,35 @@ def test_quality_learns_from_all_trusted_text_by_joins_too(spark, docs, monkeypa
         assert got[k].score == pytest.approx(r.score, rel=1e-4) and (got[k].limit or 0.0) == pytest.approx(r.limit or 0.0, rel=1e-4)
 
 
+def test_shards_equal_brute_force_when_middle_words_are_divided(spark, docs):
+    rows = docs.where("length(text) < 3000").limit(60).select("doc_id", "text").cache()
+    texts = quality.learned(rows, 60, 10**9, "doc_id", "text")
+    words, often = quality.learn_words(texts, 5)
+    assert (quality.Shards.by(often).parts > 1).any()
+    model = quality.fit_sharded(texts, words, often)
+    ids = quality.WordIds(words.describe, 1, np.int32)
+    spelled = {r.doc_id: words.tokens(ids, [r.text or ""])[0].tolist() for r in rows.collect()}
+    logp = kneser_ney([spelled[r.doc_id] for r in rows.where(quality.in_sample("doc_id", 60, 10**9)).collect()], words.size)
+    whole, spans = quality.scores_by_shards(rows, model, F.lit(True))
+    got = {r.doc_id: r for r in whole.collect()}
+    assert got.keys() == spelled.keys() and spans.where("mean is null or mean < 0").isEmpty()
+    for k, t in spelled.items():
+        assert got[k].n_tokens == len(t) - 2
+        assert got[k].logp == pytest.approx(sum(logp(*g) for g in zip(t, t[1:], t[2:])), rel=2e-4, abs=1e-3)
+
+
+def test_shuffles_are_freed_and_trigrams_packed(spark):
+    def left():
+        return sum(p.stat().st_size for p in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data"))
+
+    before, own = left(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with common.freed_shuffles(spark):
+        common.stored(spark.range(300_000).repartition(3, "id"), "freed")
+    assert left() <= before and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == own
+    columns = [np.array(x, np.int64) for x in ([0, 1, 2**31 - 1], [5, 0, 7], [70_000, 1, 2])]
+    assert [x.tolist() for x in quality.unpacked(quality.packed(*columns), 3, 3)] == [x.tolist() for x in columns]
+
+
 def test_limits_are_quantiles_by_length(spark):
     rows = [("en", 3, float(i)) for i in range(1000)] + [("de", 3, float(i)) for i in range(5000, 5010)]
     got = {(r.g, r.k): r.limit for r in quality.limits(spark.createDataFrame(rows, "g string, k int, mean double"), 0.9).collect()}
