@@ -400,8 +400,13 @@ def unpacked(data: bytes, size: int, many: int) -> np.ndarray:
 
 def _order(b: np.ndarray, a: np.ndarray, c: np.ndarray, v: int) -> np.ndarray:
     """An order of trigrams by middle, first and last symbol."""
-    ba = b.astype(np.int64) * v + a
-    return np.argsort(ba * v + c) if v < 1 << 21 else np.lexsort((c, ba))
+    ba = b.astype(np.int64) * v
+    ba += a
+    if v >= 1 << 21:
+        return np.lexsort((c, ba))
+    ba *= v
+    ba += c
+    return np.argsort(ba)
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -459,15 +464,20 @@ class Shards:
 def _by_shard(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The columns of each shard as a whole, from batches (shard, size, data) in order of shard."""
     now, held = None, []
+
+    def whole() -> np.ndarray:
+        out = np.concatenate(held, axis=1)
+        held.clear()
+        return out
+
     for b in batches:
         for shard, size, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             if shard != now and held:
-                yield now, np.concatenate(held, axis=1)
-                held = []
+                yield now, whole()
             now = shard
             held.append(unpacked(data.as_buffer(), size, many))
     if held:
-        yield now, np.concatenate(held, axis=1)
+        yield now, whole()
 
 
 #: What a row of the sharded model holds: trigrams (b, a, c, n), bigrams (b, c, n), how many counts are 1 to 4, what follows each middle symbol, and a last symbol's bigrams.
@@ -542,10 +552,12 @@ def fit_sharded(texts: DataFrame, words: Vocabulary, often: np.ndarray) -> Shard
         shards = shared.value[1]
         for shard, (b, a, c, n) in _by_shard(batches, 4):
             order = _order(b, a, c, v)
-            b, a, c = b[order], a[order], c[order]
+            b, a, c, n = b[order], a[order], c[order], n[order]
+            del order
             at = _runs(b, a, c)
-            n = np.add.reduceat(n[order], at)
+            n = np.add.reduceat(n, at)
             b, a, c = b[at], a[at], c[at]
+            del at
             yield from _pieces(shard, THREE, [b, a, c, n])
             yield _model_rows([(shard, COUNTS, 0, _first_counts(n), None, None)])
             bc, n = np.unique(b.astype(np.int64) * v + c, return_counts=True)
@@ -597,28 +609,51 @@ def fit_sharded(texts: DataFrame, words: Vocabulary, often: np.ndarray) -> Shard
 
 
 class Shard:
-    """The tables of one shard of the model, ready to be looked up."""
+    """The tables of one shard of the model, ready to be looked up.
+
+    ``three`` and ``two`` are its pieces, in any order; they are used up. A piece of ``three`` is
+    a stretch of the sorted trigrams, so that they are taken one after another and never lie
+    beside a copy of all.
+    """
 
     def __init__(self, model: tuple, three: list[np.ndarray], two: list[np.ndarray]):
         self.v, self.p1, self.total2, self.back2, d3, d2 = model
-        none = np.empty((4, 0), np.int32)
-        b, c, n = np.concatenate(two, axis=1) if two else none[:3]
-        bc = b.astype(np.int64) * self.v + c
+        b, c, n = np.concatenate(two, axis=1) if two else np.empty((3, 0), np.int32)
+        two.clear()
+        bc = b.astype(np.int64) * self.v
+        bc += c
+        p2 = ((n - _off_of(n, d2)) / self.total2[b] + self.back2[b] * self.p1[c]).astype(np.float32)
         order = np.argsort(bc)
-        self.bc, b, c, n = bc[order], b[order], c[order], n[order]
-        self.p2 = (n - _off_of(n, d2)) / self.total2[b] + self.back2[b] * self.p1[c]
-        b, a, c, n = np.concatenate(three, axis=1) if three else none
-        order = _order(b, a, c, self.v)  # pieces of a shard may come in any order
-        b, a, c, n = b[order], a[order], c[order], n[order]
-        ba = b.astype(np.int64) * self.v + a
-        at = _runs(ba)
-        self.ba = ba[at]
-        which = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(ba)]))
-        off = _off_of(n, d3)
-        total = np.add.reduceat(n, at).astype(np.float32) if len(at) else np.empty(0, np.float32)
-        self.back3 = np.add.reduceat(off, at) / total if len(at) else total
-        self.bac = which * self.v + c
-        self.p3 = (n - off) / total[which] + self.back3[which] * self._two(b, c)
+        self.bc, self.p2 = bc[order], p2[order]
+        del b, c, n, bc, p2, order
+        three.sort(key=lambda x: x[:3, 0].tolist(), reverse=True)  # the last one is taken first
+        begins, contexts, totals, freed = [], [], [np.empty(0, np.int64)], [np.empty(0, np.float32)]
+        for b, a, c, n in reversed(three):
+            ba = b.astype(np.int64) * self.v + a
+            at = _runs(ba)
+            ba, total, off = ba[at], np.add.reduceat(n, at, dtype=np.int64), np.add.reduceat(_off_of(n, d3), at)
+            goes_on = int(bool(contexts) and contexts[-1][-1] == ba[0])  # a context that the piece before has begun
+            if goes_on:
+                totals[-1][-1] += total[0]
+                freed[-1][-1] += off[0]
+            begins.append((-goes_on, at))
+            if len(ba) > goes_on:
+                contexts.append(ba[goes_on:])
+                totals.append(total[goes_on:])
+                freed.append(off[goes_on:])
+        self.ba = np.concatenate(contexts) if contexts else np.empty(0, np.int64)
+        total = np.concatenate(totals).astype(np.float32)
+        self.back3 = np.concatenate(freed) / total
+        size = sum(x.shape[1] for x in three)
+        self.bac, self.p3 = np.empty(size, np.int64), np.empty(size, np.float32)
+        row = context = 0
+        for back, at in begins:
+            b, a, c, n = three.pop()
+            context += back
+            which = np.repeat(np.arange(context, context + len(at)), np.diff(np.r_[at, len(b)]))
+            self.bac[row : row + len(b)] = which * self.v + c
+            self.p3[row : row + len(b)] = (n - _off_of(n, d3)) / total[which] + self.back3[which] * self._two(b, c)
+            row, context = row + len(b), context + len(at)
 
     def _two(self, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         at, found = KneserNey._find(self.bc, b.astype(np.int64) * self.v + c)

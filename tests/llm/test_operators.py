@@ -535,6 +535,37 @@ def test_shards_equal_brute_force_when_middle_words_are_divided(spark, docs):
         assert got[k].logp == pytest.approx(sum(logp(*g) for g in zip(t, t[1:], t[2:])), rel=2e-4, abs=1e-3)
 
 
+def test_a_shard_takes_its_pieces_one_after_another_in_little_memory():
+    import tracemalloc
+
+    rng, v = np.random.default_rng(3), 5000
+    b, a, c = rng.integers(0, 40, 400_000), rng.integers(0, 300, 400_000), rng.integers(0, v, 400_000)
+    b[:50_000], a[:50_000] = 7, 7  # one context goes through several pieces
+    rows, n = np.unique(np.stack([b, a, c]), axis=1, return_counts=True)
+    n = (n + rng.integers(0, 3, len(n))).astype(np.int32)
+    b, a, c = rows.astype(np.int32)
+    bc, of_bc = np.unique(b.astype(np.int64) * v + c, return_counts=True)
+    model = (v, np.full(v, 1 / v, np.float32), np.full(v, 900, np.float32), np.full(v, 0.5, np.float32), (0.5, 0.75, 0.9), (0.5, 0.75, 0.9))
+    cut = lambda size: [np.stack([x[i : i + size] for x in (b, a, c, n)]) for i in range(0, len(b), size)]
+    two = lambda: [np.stack([bc // v, bc % v, of_bc]).astype(np.int32)]
+    whole = quality.Shard(model, cut(len(b)), two())
+    pieces, size = cut(3000)[::-1], 3000
+    rng.shuffle(pieces)
+    tracemalloc.start()
+    shard = quality.Shard(model, pieces, two())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(b) and not pieces
+    for name in ("ba", "back3", "bac", "p3", "bc", "p2"):
+        assert getattr(shard, name) == pytest.approx(getattr(whole, name), rel=1e-5)
+    off = np.array([0, 0.5, 0.75, 0.9])[np.minimum(n, 3)]
+    mine = np.flatnonzero((b == 7) & (a == 7))
+    low = np.array([(k - [0, 0.5, 0.75, 0.9][min(k, 3)]) / 900 for k in of_bc[np.searchsorted(bc, b[mine].astype(np.int64) * v + c[mine])].tolist()]) + 0.5 / v
+    want = (n[mine] - off[mine]) / n[mine].sum() + off[mine].sum() / n[mine].sum() * low
+    assert 10.0 ** shard.log_probs(b[mine], a[mine], c[mine]) == pytest.approx(want, rel=1e-4)
+    assert len(quality.Shard(model, [], []).log_probs(b[:3], a[:3], c[:3])) == 3
+
+
 def test_shuffles_are_freed_and_trigrams_packed(spark):
     def left():
         return sum(p.stat().st_size for p in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data"))
