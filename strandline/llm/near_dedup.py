@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import shingling
-from strandline.llm.common import in_batches, read, stored
+from strandline.llm.common import discard, freed_shuffles, in_batches, read, stored
 from strandline.llm.components import components
 
 TREES, LEVELS, NODE = 16, 4, 64
@@ -87,7 +87,7 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def nodes(classes: DataFrame, most: int = NODE) -> DataFrame:
-    """(node, cid, size): each set in the node where its path ends in each tree.
+    """(node, cid, size), stored: each set in the node where its path ends in each tree.
 
     A path ends at the first node with ``most`` sets or fewer, or at the deepest level. Nodes
     with one set are left out. Only names move; every row learns its node's size in one join a
@@ -95,17 +95,21 @@ def nodes(classes: DataFrame, most: int = NODE) -> DataFrame:
     """
     at = lambda level: F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.get("names", t + level * TREES))
     rows = classes.select("cid", F.inline(F.arrays_zip(*[at(i).alias(f"p{i}") for i in range(LEVELS)])))
-    out = None
+    out, levels = None, []
     for level in range(LEVELS):
         rows = rows.withColumn("node", F.col(f"p{level}")).drop(f"p{level}")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
         rows = stored(rows.join(sizes, "node"), "level")
+        levels.append(rows)
         end = rows.where(F.col("size") > 1) if level == LEVELS - 1 else rows.where(F.col("size").between(2, most))
         end = end.select("node", "cid", "size")
         out = end if out is None else out.union(end)
         rows = rows.where(F.col("size") > most).drop("node", "size")
         if level < LEVELS - 1 and rows.isEmpty():
             break
+    out = stored(out, "nodes")
+    for df in levels:
+        discard(df)
     return out
 
 
@@ -316,29 +320,44 @@ def pairs_left(own: DataFrame, docs: DataFrame, key: str, text: str, percent: in
     rows = made.select("cid", "component", "n", F.posexplode("tokens").alias("at", "token"))
     same = Window.partitionBy("token")
     rows = rows.withColumns({"size": F.count("*").over(same), "x": F.min("component").over(same), "y": F.max("component").over(same)})
-    rows = stored(rows.where("x <> y").drop("x", "y"), "shared")
+    shared = stored(rows.where("x <> y").drop("x", "y"), "shared")
     blocks = F.ceil(F.col("size") / BLOCK)
-    rows = rows.select("token", "cid", "component", "n", "at", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).alias("mine"))
+    rows = shared.select("token", "cid", "component", "n", "at", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).alias("mine"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
     rows = rows.select("token", "cid", "component", "n", "at", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     pairs = rows.alias("a").join(rows.alias("b"), ["token", "lo", "hi"])
     pairs = pairs.where((F.col("a.mine") == F.col("lo")) & (F.col("b.mine") == F.col("hi")) & ((F.col("lo") < F.col("hi")) | (F.col("a.cid") < F.col("b.cid"))))
     pairs = pairs.where((F.col("a.component") != F.col("b.component")) & _enough_follows(percent))
     met = stored(pairs.select(F.least("a.cid", "b.cid").alias("u"), F.greatest("a.cid", "b.cid").alias("v")).distinct(), "met")
+    discard(shared)
     side = made.select("cid", "n", "parity")
     both = met.join(side.withColumnRenamed("cid", "u").alias("a"), "u").join(side.withColumnRenamed("cid", "v").alias("b"), "v")
     return both.where(_differ_little(percent)).select("u", "v")
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row; see :func:`near_dedup`."""
+    """doc_id, n_shingles, component_id, kept for every row; see :func:`near_dedup`.
+
+    All steps end in tables, so that what a step has shuffled is deleted when it ends.
+    """
+    with freed_shuffles(docs.sparkSession):
+        sig, home = _located(docs, key, text)
+    out = sig.select("doc_id", "n_shingles", "ha", "hb").join(home, ["ha", "hb"], "left")
+    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def _located(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's doc_id, n_shingles, ha and hb, and the component_id of each pair of ha and hb, both stored."""
     sig = stored(signatures(docs, key, text), "signatures")
     whole = sig.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = whole.groupBy("ha", "hb").agg(
         F.min("doc_id").alias("cid"), F.max("n_shingles").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("names").alias("names")
     )
     classes = stored(classes, "classes")
-    met = stored(nodes(classes), "nodes")
+    wide, sig = sig, stored(sig.select("doc_id", "n_shingles", "ha", "hb"), "sets")
+    discard(wide)
+    met = nodes(classes)
 
     # First every member of a node with the set that has most company in its nodes.
     company = met.groupBy("cid").agg(F.sum("size").alias("company"))
@@ -381,9 +400,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     joining = third.join(of("u"), "u").join(of("v"), "v").select(F.col("of_u").alias("u"), F.col("of_v").alias("v"))
     last = stored(components(joining), "parts").select(F.col("node").alias("component"), F.col("component").alias("last_id"))
     home = classes.select("ha", "hb", "cid").join(own, "cid").join(last, "component", "left").select("ha", "hb", F.coalesce("last_id", "component").alias("component_id"))
-    out = sig.select("doc_id", "n_shingles", "ha", "hb").join(home, ["ha", "hb"], "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return sig, stored(home, "home")
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -232,6 +232,19 @@ def test_near_dedup_deals_only_numbers_by_token_and_loses_no_pair(spark, monkeyp
     assert [n for n, df in kept.items() if any(t.startswith("array") for _, t in df.dtypes)] == ["prefixes"]
 
 
+def test_near_dedup_keeps_no_shuffles_and_no_wide_tables(spark, docs):
+    def left():
+        return sum(p.stat().st_size for p in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data"))
+
+    before, root = left(), Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    tables = {p for p in root.iterdir()}
+    found = near_dedup.near_dedup(docs)
+    assert left() <= before
+    names = {p.name.rsplit("-", 5)[0] for p in set(root.iterdir()) - tables}
+    assert {"sets", "nodes", "home"} <= names and not names & {"signatures", "level", "shared"}
+    assert found.count() == docs.count()
+
+
 def test_near_dedup_takes_keys_of_any_type(spark):
     base = [f"w{i}" for i in range(80)]
     rows = [("b", " ".join(base)), ("a", " ".join(base[:79] + ["x"])), ("c", "something else altogether that is not near"), ("d", None)]
