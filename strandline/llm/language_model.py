@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import shingling
@@ -31,6 +32,8 @@ DISCOUNT = 0.75
 #: The weights are fitted on every training document: on one in ``SHARE``, that is on all, of its
 #: stretches of about so many bytes, dealt to ``ROUNDS`` rounds of training.
 STRETCH, SHARE, ROUNDS = 16_000, 1, 4
+#: Symbols that a task learns from, or scores, side by side: enough to fill all lanes beside a long document.
+LESSON, SCORED = 640_000, 2_000_000
 #: Symbols: head words, tail classes, then the edge of a document.
 EDGE = HEAD + TAIL
 SYMBOLS, CLASSES = EDGE + 1, HEAD_CLASSES + TAIL + 1
@@ -360,30 +363,104 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return in_batches(docs.select(F.col(text).alias("t")), count, "h long, c long, kind int").groupBy("h").agg(F.sum("c").alias("c"), F.first("kind").alias("kind"))
 
 
-def fit(model: Model, train: DataFrame, text: str) -> None:
-    """Fit the network to all words and ends of all documents of ``train``.
+def _binaries(symbols: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The symbols of each document, one after another in ``symbols``, as 16-bit numbers."""
+    ends = np.r_[0, 2 * np.cumsum(sizes)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(symbols.astype("<i2"))])
 
-    In each round, every task learns from the round's stretches of its documents (truncated
+
+def _documents(column: pa.Array) -> list[np.ndarray]:
+    """The symbols of each document, from the column that :func:`_binaries` has made."""
+    return [np.frombuffer(x.as_py(), "<i2") for x in column]
+
+
+def in_lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches one after another as one, until their ``symbols`` are ``most`` or more."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += pc.sum(pc.binary_length(b.column("symbols"))).as_py() // 2
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def encoded(docs: DataFrame, learn: Column, model: Model, log_mass: np.ndarray, key: str, text: str) -> DataFrame:
+    """Each document's symbols and all of its score that the network does not give, and what is to be learned from.
+
+    A row with ``row`` is a document: its tokens, those known, base and rest of its score, and
+    hashes and tail classes of its rare words, whose counts are joined. A row with ``round`` is a
+    stretch to learn from in that round; a document of one stretch is both in one row.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast((model, log_mass))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, log_mass = shared.value
+        ids = WordIds(m.describe, 4, np.int64)
+        rid = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        for b in batches:
+            for first, texts in text_parts(b.column(2), 8_000_000):
+                ids.tidy()
+                learns = b.column(1).slice(first, len(texts)).to_pylist()
+                numbers, sizes, lessons, more = [], [], [], []
+                for i in range(0, len(texts), 300):
+                    folded = [t.encode("utf-8", "replace").lower() for t in texts[i : i + 300]]
+                    for x, out in zip(ids.of([f.split() for f in folded]), (numbers, sizes)):
+                        out.append(x)
+                    for f, own in zip(folded, learns[i : i + 300]):
+                        parts = list(stretches(f)) if own else []
+                        lessons.append(parts[0][:3] if len(parts) == 1 else (None, None, None))
+                        more += parts if len(parts) > 1 else []
+                numbers, sizes = np.concatenate(numbers), np.concatenate(sizes)
+                more_numbers, more_sizes = ids.of([x[3].split() for x in more])
+                rows = ids.rows
+                owner = np.repeat(np.arange(len(texts)), sizes)
+                symbol, count = rows[numbers, 0], rows[numbers, 1]
+                tail = symbol >= HEAD
+                known = count > 0
+                add = lambda mask, x: np.bincount(owner[mask], weights=x, minlength=len(texts)).astype(float)  # noqa: B023, E731
+                seen_tail = tail & known
+                score = add(seen_tail, np.log10(count[seen_tail] - DISCOUNT)) - add(tail, log_mass[rows[numbers[tail], 3]])
+                base = add(known, np.log10(count[known] + 1.0))
+                n_known = np.bincount(owner[known], minlength=len(texts))
+                rest = np.flatnonzero(~known)  # their counts are joined
+                many = np.bincount(owner[rest], minlength=len(texts))
+                lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(x)) for x in (rows[numbers[rest], 2], rows[numbers[rest], 3].astype(np.int32))]
+                lesson = lambda x: [pa.array(c, t) for c, t in zip(zip(*x), (pa.int32(), pa.bool_(), pa.bool_()))]
+                document = [pa.array(np.arange(len(texts), dtype=np.int64) + rid), b.column(0).slice(first, len(texts)), pa.array(sizes + 1), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score), *lists]
+                names = ["row", "k", "n_tokens", "n_known", "base", "rest", "hs", "kinds", "symbols", "round", "first", "last"]
+                yield pa.RecordBatch.from_arrays([*document, _binaries(symbol, sizes), *lesson(lessons)], names=names)
+                if more:
+                    none = [pa.nulls(len(more), x.type) for x in document]
+                    yield pa.RecordBatch.from_arrays([*none, _binaries(rows[more_numbers, 0], more_sizes), *lesson([x[:3] for x in more])], names=names)
+                rid += len(texts)
+
+    own = F.coalesce(learn & F.col(key).isNotNull(), F.lit(False))
+    schema = f"row long, k {kind}, n_tokens long, n_known long, base double, rest double, hs array<long>, kinds array<int>, symbols binary, round int, first boolean, last boolean"
+    return stored(in_batches(docs.select(F.col(key).alias("k"), own.alias("l"), F.col(text).alias("t")), encode, schema), "encoded")
+
+
+def fit(network: Network, lessons: DataFrame) -> None:
+    """Fit the network to all ``lessons`` (round, first, last, symbols): all words and ends to learn from.
+
+    In each round, every task learns from the round's stretches of its part (truncated
     backpropagation from the same weights), and the weights are averaged by the symbols they
     have seen: first in Spark, in about the square root of the number of tasks, so that only so
     many copies reach the driver.
     """
     for number in range(ROUNDS):
-        now, rate = train.sparkSession.sparkContext.broadcast(model), 0.01 * 0.6**number
+        now, rate = lessons.sparkSession.sparkContext.broadcast(network.to_bytes()), 0.01 * 0.6**number
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m = now.value  # noqa: B023
             net = Network()
-            net.set_from(np.frombuffer(m.network.to_bytes(), "<f4"))
-            adam, ids, seen = Adam(net, rate), WordIds(m.describe, 4, np.int64), 0  # noqa: B023
-            for b in batches:
-                for _, texts in text_parts(b.column(0), 8_000_000):
-                    mine = [x for t in texts for x in stretches(t.encode("utf-8", "replace").lower()) if x[0] == number]  # noqa: B023
-                    if mine:
-                        ids.tidy()
-                        numbers, sizes = ids.of([words.split() for *_, words in mine])
-                        documents = np.split(ids.rows[numbers, 0], np.cumsum(sizes)[:-1])
-                        seen += adam.learn(documents, [(first, last) for _, first, last, _ in mine])
+            net.set_from(np.frombuffer(now.value, "<f4"))  # noqa: B023
+            adam, seen = Adam(net, rate), 0  # noqa: B023
+            for b in in_lots(batches, LESSON):
+                seen += adam.learn(_documents(b.column("symbols")), list(zip(b.column("first").to_pylist(), b.column("last").to_pylist())))
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([net.to_bytes()], pa.binary())], names=["n", "w"])
 
@@ -396,12 +473,13 @@ def fit(model: Model, train: DataFrame, text: str) -> None:
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(total / n).astype("<f4").tobytes()], pa.binary())], names=["n", "w"])
 
-        learned = stored(in_batches(train.select(F.col(text).alias("t")), learn, "n long, w binary"), "weights")
+        mine = lessons.where(F.col("round") == number).select("first", "last", "symbols")
+        learned = stored(in_batches(mine, learn, "n long, w binary"), "weights")
         many = learned.count()
         if many:
             rows = learned.repartition(max(1, int(many**0.5))).mapInArrow(average, "n long, w binary").collect()
             flat = sum(np.frombuffer(r.w, "<f4").astype(np.float64) * r.n for r in rows) / sum(r.n for r in rows)
-            model.network.set_from(flat)
+            network.set_from(flat)
         now.destroy()
 
 
@@ -414,7 +492,8 @@ def language_model(docs: DataFrame, learn, key: str = "doc_id", text: str = "tex
     by their last letters and are chosen within it by their discounted counts, unseen words
     together taking what the discount freed. Documents run side by side in lanes, and the state is
     carried over windows to a document's end, however long it is. The weights are fitted by
-    tasks on the whole of every document to learn from (:func:`fit`).
+    tasks on the whole of every document to learn from (:func:`fit`). Texts are read twice, for
+    their counts and for their symbols (:func:`encoded`); all rounds and the scores take the symbols.
 
     Returns key, n_tokens, n_known, train_tokens, base_score and score. Tokens are words and one
     end; a null or empty text is its end alone; a null key is never learned from; repeated rows
@@ -443,42 +522,22 @@ def language_model(docs: DataFrame, learn, key: str = "doc_id", text: str = "tex
     heads_seen = np.zeros(HEAD)
     heads_seen[: min(HEAD, len(h))] = c[:HEAD]
     model.network.begin_at(np.r_[heads_seen, mass[0], ends])
-    fit(model, train, text)
-    shared = spark.sparkContext.broadcast((model, np.log10(mass[0] + 1)))
+    ready = encoded(docs, learn, model, np.log10(mass[0] + 1), key, text)
+    fit(model.network, ready)
+    shared = spark.sparkContext.broadcast(model.network)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, log_mass = shared.value
-        ids = WordIds(m.describe, 4, np.int64)
-        rid = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for b in batches:
-            for first, texts in text_parts(b.column(1), 8_000_000):
-                ids.tidy()
-                numbers, sizes = (np.concatenate(x) for x in zip(*[ids.of([split(t) for t in texts[i : i + 300]]) for i in range(0, len(texts), 300)]))
-                rows = ids.rows
-                owner = np.repeat(np.arange(len(texts)), sizes)
-                symbol, count = rows[numbers, 0], rows[numbers, 1]
-                gru = m.score(np.split(symbol, np.cumsum(sizes)[:-1]))
-                tail = symbol >= HEAD
-                known = count > 0
-                add = lambda mask, x: np.bincount(owner[mask], weights=x, minlength=len(texts))
-                gru -= add(tail, log_mass[rows[numbers[tail], 3]])
-                seen_tail = tail & known
-                gru += add(seen_tail, np.log10(count[seen_tail] - DISCOUNT))
-                base = add(known, np.log10(count[known] + 1.0))
-                n_known = np.bincount(owner[known], minlength=len(texts))
-                rest = np.flatnonzero(~known)  # their counts are joined
-                many = np.bincount(owner[rest], minlength=len(texts))
-                lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(x)) for x in (rows[numbers[rest], 2], rows[numbers[rest], 3].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(texts), dtype=np.int64) + rid), b.column(0).slice(first, len(texts)), pa.array(sizes + 1), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(gru), *lists],
-                    names=["row", "k", "n_tokens", "n_known", "base", "gru", "hs", "kinds"],
-                )
-                rid += len(texts)
-
-    made = in_batches(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), score, f"row long, k {kind}, n_tokens long, n_known long, base double, gru double, hs array<long>, kinds array<int>")
+        none = np.empty(0, np.int64)
+        m = Model(none, none, none, shared.value)
+        for b in in_lots(batches, SCORED):
+            gru = b.column("rest").to_numpy() + m.score(_documents(b.column("symbols")))
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(gru)], names=["row", "k", "n_tokens", "n_known", "base", "gru"])
+
+    whole = ready.where("row is not null")
+    made = in_batches(whole.select("row", "k", "n_tokens", "n_known", "base", "rest", "symbols"), score, f"row long, k {kind}, n_tokens long, n_known long, base double, gru double")
     made = stored(made, "scored")
     unseen = spark.createDataFrame([(i, float(np.log10(DISCOUNT * mass[1][i] + 1))) for i in range(TAIL)], "kind int, unseen double")
-    rare = made.select("row", F.inline(F.arrays_zip(F.col("hs").alias("h"), F.col("kinds").alias("kind"))))
+    rare = whole.select("row", F.inline(F.arrays_zip(F.col("hs").alias("h"), F.col("kinds").alias("kind"))))
     joined = rare.join(counts.select("h", "c"), "h", "left").join(F.broadcast(unseen), "kind")
     sums = joined.groupBy("row").agg(
         F.count("c").alias("more_known"),
@@ -486,7 +545,7 @@ def language_model(docs: DataFrame, learn, key: str = "doc_id", text: str = "tex
         F.sum(F.coalesce(F.log10(F.col("c") - DISCOUNT), F.col("unseen"))).alias("more_score"),
     )
     zero = lambda c, x: F.coalesce(F.col(c), F.lit(x))
-    return made.select("row", "k", "n_tokens", "n_known", "base", "gru").join(sums, "row", "left").select(
+    return made.join(sums, "row", "left").select(
         F.col("k").alias(key), "n_tokens",
         (F.col("n_known") + zero("more_known", 0) + (1 if ends else 0)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("more_base", 0.0) + float(np.log10(ends + 1)) - F.col("n_tokens") * float(np.log10(tokens + types + 1))).alias("base_score"),

@@ -716,6 +716,23 @@ def test_every_word_and_end_is_learned_once(monkeypatch):
         assert sorted(learned) == sorted(text.split()) and ends == 1
 
 
+def test_texts_are_encoded_once_for_all_rounds_and_scores(spark, edge, docs, monkeypatch):
+    kept, stored = {}, language_model.stored
+    monkeypatch.setattr(language_model, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    rows = docs.where("length(text) < 90000").limit(60).select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in rows] + [(None, "no key"), (10**6, None), (10**6 + 2, "x" * 50_000 + " y z" * 20_000), (10**6 + 2, " ")]
+    got = language_model.language_model(spark.createDataFrame(rows, "doc_id long, text string"), ~language_model.held_out(fold=7))
+    assert got.count() == len(rows)
+    whole = kept["encoded"].where("row is not null").collect()
+    assert Counter((r.k, r.n_tokens, len(r.symbols) // 2) for r in whole) == Counter((k, len(w) + 1, len(w)) for k, w in ((k, language_model.split(t or "")) for k, t in rows))
+    learns = [t or "" for k, t in rows if k is not None and zlib.crc32(str(k).encode()) % 7 != 2]
+    want = Counter((*x[:3], len(x[3].split())) for t in learns for x in language_model.stretches(t.encode().lower()))
+    assert Counter((r["round"], r["first"], r["last"], len(r.symbols) // 2) for r in kept["encoded"].where("round is not null").collect()) == want
+    batches = [pa.record_batch([language_model._binaries(np.arange(n), np.array([n - n // 3, n // 3]))], names=["symbols"]) for n in (3, 10, 0, 5)]
+    lots = [language_model._documents(b.column(0)) for b in language_model.in_lots(iter(batches), 12)]
+    assert [[x.tolist() for x in lot] for lot in lots] == [[[0, 1], [2], [0, 1, 2, 3, 4, 5, 6], [7, 8, 9]], [[], [], [0, 1, 2, 3], [4]]]
+
+
 def test_gradients_are_right():
     net = language_model.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
