@@ -135,10 +135,14 @@ class Network:
     def log_probs(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list]:
         """Natural log P(class) + log P(word | class) of each target after a state (rows of ``h``), and what the backward pass needs."""
         p = self.p
+        # states lie between -1 and 1: with weights like these, no exponential can overflow, nor all of them vanish
+        small = lambda w, b: float(np.abs(w).sum(axis=-2).max() + np.abs(b).max()) < 60
+        small_kinds, small_words = small(p["c"], p["cb"]), small(p["o"], p["ob"])
         kind = np.where(target < HEAD, target // IN_CLASS, target - HEAD + HEAD_CLASSES)
         logits = p["c"].T @ h.T
         logits += p["cb"][:, None]
-        logits -= logits.max(axis=0)
+        if not small_kinds:
+            logits -= logits.max(axis=0)
         out = logits[kind, np.arange(len(h))]
         e = np.exp(logits, out=logits)
         total = e.sum(axis=0)
@@ -155,7 +159,8 @@ class Network:
             mine = h[at]
             x = p["o"][k].T @ mine.T
             x += p["ob"][k][:, None]
-            x -= x.max(axis=0)
+            if not small_words:
+                x -= x.max(axis=0)
             which = target[at] % IN_CLASS
             own = x[which, np.arange(len(at))]
             ex = np.exp(x, out=x)

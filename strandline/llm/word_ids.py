@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -10,6 +10,14 @@ import numpy as np
 WORDS = 400_000
 
 
+class _Numbers(dict):
+    """A word's number; a new word gets the next one, so that each word is looked up once."""
+
+    def __missing__(self, word) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class WordIds:
     """Numbers words in order of appearance; ``describe(words)`` gives a row for each new one."""
 
@@ -18,7 +26,7 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.ids: dict = {}
+        self.ids = _Numbers()
         self.rows = np.empty((0, self.width), self.dtype)
 
     def tidy(self) -> None:
@@ -31,11 +39,11 @@ class WordIds:
 
         ``rows[numbers]`` then holds what ``describe`` says of each word.
         """
-        ids = self.ids
-        new = list(set().union(*texts).difference(ids))
-        if new:
-            ids.update(zip(new, range(len(ids), len(ids) + len(new))))
-            self.rows = np.concatenate([self.rows, np.asarray(self.describe(new), self.dtype).reshape(len(new), self.width)])
+        ids, known = self.ids, len(self.ids)
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        return np.fromiter(map(ids.__getitem__, chain.from_iterable(texts)), np.int32, int(counts.sum())), counts
+        numbers = np.fromiter(map(ids.__getitem__, chain.from_iterable(texts)), np.int32, int(counts.sum()))
+        if len(ids) > known:
+            new = list(islice(reversed(ids), len(ids) - known))[::-1]
+            self.rows = np.concatenate([self.rows, np.asarray(self.describe(new), self.dtype).reshape(len(new), self.width)])
+        return numbers, counts
 

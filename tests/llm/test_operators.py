@@ -733,6 +733,31 @@ def test_texts_are_encoded_once_for_all_rounds_and_scores(spark, edge, docs, mon
     assert [[x.tolist() for x in lot] for lot in lots] == [[[0, 1], [2], [0, 1, 2, 3, 4, 5, 6], [7, 8, 9]], [[], [], [0, 1, 2, 3], [4]]]
 
 
+def test_words_are_looked_up_once_and_softmax_holds_for_any_weights():
+    class Word(str):
+        hashed = 0
+
+        def __hash__(self):
+            Word.hashed += 1
+            return str.__hash__(self)
+
+    ids = quality.WordIds(lambda new: np.array([[len(w)] for w in new]), 1, np.int64)
+    assert ids.of([["b", "aa"], [], ["b", "ccc"]])[0].tolist() == [0, 1, 0, 2] and ids.rows.ravel().tolist() == [1, 2, 3]
+    again, sizes = ids.of([[Word("aa"), Word("b")], [Word("ccc")]])
+    assert again.tolist() == [1, 0, 2] and sizes.tolist() == [2, 1] and Word.hashed == 3
+    rng = np.random.default_rng(4)
+    for scale in (1, 1000):
+        net = language_model.Network(6)
+        net.p = {k: x.astype(np.float64) * scale for k, x in net.p.items()}
+        h, target = rng.uniform(-1, 1, (50, language_model.HIDDEN)), rng.integers(0, language_model.SYMBOLS, 50)
+        log_softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+        for got, state, t in zip(net.log_probs(h, target)[0], h, target):
+            kind = t // language_model.IN_CLASS if t < language_model.HEAD else t - language_model.HEAD + language_model.HEAD_CLASSES
+            want = log_softmax(state @ net.p["c"] + net.p["cb"])[kind]
+            want += log_softmax(state @ net.p["o"][kind] + net.p["ob"][kind])[t % language_model.IN_CLASS] if t < language_model.HEAD else 0
+            assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_gradients_are_right():
     net = language_model.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
