@@ -19,10 +19,13 @@ def upsert(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
 def update(stored: DataFrame, history: DataFrame, delta: DataFrame, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``stored`` after ``delta``: ``build`` runs again on all rows of the touched keys only.
 
-    ``build`` must work within a key; then the result equals ``build`` on everything.
+    ``build`` must work within a key; then the result equals ``build`` on everything. All of
+    ``delta`` is touched, so only ``history`` is joined. Joined both, they would lie by key on either
+    side of the union, and Spark 4.1 then takes the union to lie by key, too, although adaptive
+    execution has merged the two sides' partitions differently.
     """
-    rows = history.unionByName(delta)
-    return upsert(stored, build(touched(rows, delta, key)), key)
+    delta = delta.where(F.col(key).isNotNull())
+    return upsert(stored, build(touched(history, delta, key).unionByName(delta)), key)
 
 
 def unseen(codes: DataFrame, known: DataFrame, key: str = "code") -> DataFrame:

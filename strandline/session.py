@@ -6,8 +6,8 @@ from pyspark.sql import SparkSession
 
 
 def session(name: str = "strandline", **settings: str) -> SparkSession:
-    """UTC, adaptive execution with skew handling; further settings by name with ``__`` for dots."""
-    builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true")
+    """UTC, adaptive execution with skew handling, no partitioning taken over by unions; further settings by name with ``__`` for dots."""
+    builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.sql.unionOutputPartitioning", "false")
     for k, v in settings.items():
         builder = builder.config(k.replace("__", "."), v)
     return builder.getOrCreate()

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strandline.functions import scalars as S
@@ -187,3 +188,22 @@ def test_entry_module():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_update_shuffles_what_it_unites(spark):
+    """Where history and delta are joined by sorting, a union of both must be dealt by key anew: their partitions merge differently."""
+    from strandline.operators.incremental import update
+
+    w = Window.partitionBy("k").orderBy("v", "r")
+    build = lambda df: df.withColumn("r", F.col("v") % 7).withColumn("n", F.row_number().over(w)).groupBy("k").agg(F.max("n").alias("n"))
+    old, new = (io.stored(spark.range(a, a + n).select((F.col("id") % 50).alias("k"), F.col("id").alias("v")), "rows") for a, n in ((0, 1000), (2000, 30)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = update(io.stored(build(old), "built"), old, new, "k", build)
+        assert {r.k: r.n for r in got.collect()} == {k: 21 if k < 30 else 20 for k in range(50)}
+        plan = [x.strip(" :+-").lstrip("*") for x in got._jdf.queryExecution().executedPlan().toString().splitlines()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    unions = [i for i, x in enumerate(plan) if x.startswith("Union") and i > 2]
+    assert unions and not any("Sort " in plan[i - 1] for i in unions)
