@@ -184,6 +184,9 @@ def related(pairs: DataFrame, up: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def spread_join(df: DataFrame, other: DataFrame, key: str, ident: str) -> DataFrame:
-    """Left join on ``key``; rows without one are dealt by ``ident``, so that they do not meet in one task."""
+    """Left join on ``key``; rows without one are dealt by ``ident``, so that they do not meet in one task.
+
+    The other side's part of the join key is always 0, but no constant: one would be folded away, and the dealing with it.
+    """
     salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(ident), F.lit(4096)) + 1).otherwise(0)
-    return df.withColumn("_salt", salt).join(other.withColumn("_salt", F.lit(0).cast("bigint")), [key, "_salt"], "left").drop("_salt")
+    return df.withColumn("_salt", salt).join(other.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1))), [key, "_salt"], "left").drop("_salt")
